@@ -51,12 +51,9 @@ def describe(
         for c in columns
     ]
     stacked = df.select(F.explode(F.array(*entries)).alias("e")).select("e.column", "e.value")
-    counted = stage(
-        stacked.where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n")),
-        "values",
-    )
+    # Missing values are counted too, to keep columns that have no others.
+    counted = stage(stacked.groupBy("column", "value").agg(F.count("*").alias("n")), "values")
+    known = counted.where(F.col("value").isNotNull())
     sizes: dict[str, int] = {}
 
     def wanted(column: str, n: int) -> list[int]:
@@ -64,11 +61,12 @@ def describe(
         return [rank for low, high, _ in _percentile_places(n).values() for rank in (low, high)]
 
     at = keys_at_ranks(
-        counted, "column", ["value"], wanted, weight="n", sortable_rows=sortable_rows
+        known, "column", ["value"], wanted, weight="n", sortable_rows=sortable_rows
     )
+    n_known = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
     totals = counted.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.coalesce(n_known, F.lit(0)).alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / n_known).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )

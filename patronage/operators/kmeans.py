@@ -20,8 +20,9 @@ from .segments import segment_profile
 
 RAW_VECTOR = "features"
 SCALED_VECTOR = "scaled_features"
-# Fixed value: seed of the fits.
+# Seed of the fits, and the most rounds a fit may take.
 SEED = 42
+MAX_ITERATIONS = 300
 ELBOW_MAX = 19
 MAX_CENTRES = 100
 
@@ -45,6 +46,16 @@ def feature_stages(rfm: DataFrame, scaler: str = "standard") -> PipelineModel:
     return PipelineModel(stages=[assembler, fitted])
 
 
+def _kmeans(k: int, seed: int) -> KMeans:
+    return KMeans(
+        k=k,
+        seed=seed,
+        maxIter=MAX_ITERATIONS,
+        featuresCol=SCALED_VECTOR,
+        predictionCol=CLUSTER,
+    )
+
+
 def fit_kmeans(
     rfm: DataFrame, k: int, scaler: str = "standard", seeds: Sequence[int] = (SEED,)
 ) -> PipelineModel:
@@ -53,10 +64,7 @@ def fit_kmeans(
     prepare = feature_stages(rfm, scaler)
     vectors = prepare.transform(rfm).select(SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [
-            KMeans(k=k, seed=seed, featuresCol=SCALED_VECTOR, predictionCol=CLUSTER).fit(vectors)
-            for seed in seeds
-        ]
+        fits = [_kmeans(k, seed).fit(vectors) for seed in seeds]
         best = min(fits, key=lambda fit: fit.summary.trainingCost)
     finally:
         vectors.unpersist()
@@ -132,6 +140,7 @@ def elbow(
 
     One cluster needs no fit, Spark's K-Means starts at two: the cost is the
     spread about the mean. The fits share persisted vectors, a few at a time.
+    Costs on standardised metrics are stated for the population deviation.
     """
     prepare = feature_stages(rfm, scaler)
     vectors = prepare.transform(rfm).select(SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
@@ -141,11 +150,10 @@ def elbow(
             parts = vectors.select(F.posexplode(vector_to_array(SCALED_VECTOR)))
             spread = parts.groupBy("pos").agg(F.var_pop("col") * F.count("*"))
             return k, float(sum(row[1] for row in spread.collect()))  # one row per metric
-        fit = KMeans(k=k, seed=seed, featuresCol=SCALED_VECTOR).fit(vectors)
-        return k, float(fit.summary.trainingCost)
+        return k, float(_kmeans(k, seed).fit(vectors).summary.trainingCost)
 
     try:
-        vectors.count()
+        n = vectors.count()
         pool = ThreadPool(min(parallelism, len(ks)))
         try:
             costs = pool.map(inheritable_thread_target(rfm.sparkSession)(cost), ks)
@@ -154,7 +162,10 @@ def elbow(
             pool.join()
     finally:
         vectors.unpersist()
-    return rfm.sparkSession.createDataFrame(costs, "k int, sse double")
+    factor = n / (n - 1) if scaler == "standard" and n > 1 else 1.0
+    return rfm.sparkSession.createDataFrame(
+        [(k, cost * factor) for k, cost in costs], "k int, sse double"
+    )
 
 
 def bisecting_segments(rfm: DataFrame, k: int, seed: int = SEED) -> DataFrame:

@@ -15,23 +15,31 @@ FIELD_POSITIONS = {
     4: {CUSTOMER: 0, DATE: 1, QUANTITY: 2, VALUE: 3},
     5: {CUSTOMER: 0, DATE: 2, QUANTITY: 3, VALUE: 4},
 }
-DATE_FORMAT = "yyyyMMdd"
 LAYOUTS = tuple(FIELD_POSITIONS)
 
 
-def _fields() -> Column:
-    """Whitespace-separated fields of ``value``; outer blanks do not count."""
+def _with_fields(lines: DataFrame) -> DataFrame:
+    """Add ``parts``, the whitespace-separated fields of ``value``; outer blanks
+    do not count.
+
+    Filters on the fields must not be pushed below the split, or every one of
+    them would split the line again: hence the explode of a single array.
+    """
     stripped = F.regexp_replace("value", r"^\s+|\s+$", "")
-    return F.split(stripped, r"\s+")
+    return lines.select("value", F.explode(F.array(F.split(stripped, r"\s+"))).alias("parts"))
+
+
+def _compact_date(text: Column) -> Column:
+    """Date written as eight digits, year first; null if it is not one."""
+    dashed = F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2))
+    return F.when(F.length(text) == 8, dashed.try_cast("date"))
 
 
 def _converted(raw: dict[str, Column]) -> dict[str, Column]:
     """Typed columns; null where the text does not convert."""
     return {
         CUSTOMER: raw[CUSTOMER],
-        DATE: F.when(
-            raw[DATE].rlike(r"^\d{8}$"), F.try_to_date(raw[DATE], DATE_FORMAT)
-        ),
+        DATE: _compact_date(raw[DATE]),
         QUANTITY: raw[QUANTITY].try_cast("int"),
         VALUE: raw[VALUE].try_cast(MONEY),
     }
@@ -54,8 +62,8 @@ def parse_transactions(
     if unknown or not layouts:
         raise ValueError(f"layouts must be some of {LAYOUTS}, got {tuple(layouts)}")
 
-    parts = lines.select("value", _fields().alias("parts"))
-    parts = parts.withColumn("fields", F.size("parts")).where(F.col("fields").isin(*layouts))
+    parts = _with_fields(lines).withColumn("fields", F.size("parts"))
+    parts = parts.where(F.col("fields").isin(*layouts))
 
     def raw(column: str) -> Column:
         choice = None
@@ -86,7 +94,7 @@ def load_transactions(spark: SparkSession, path: str, id_width: int | None = Non
     text; ``id_width`` left-pads them with zeros so that they sort as numbers.
     """
     width = len(TRANSACTION_COLUMNS)
-    parts = spark.read.text(path).select("value", _fields().alias("parts"))
+    parts = _with_fields(spark.read.text(path))
     parts = parts.where(F.col("parts")[0] != "")
     raw = {c: F.get("parts", F.lit(i)) for i, c in enumerate(TRANSACTION_COLUMNS)}
     typed = _converted(raw)
