@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +18,17 @@ from .microclusters import distinct_points, fit_micro_clusters, summarise, with_
 
 # Up to this many distinct points the merge tree is built on the points
 # themselves, which is exact.
-EXACT_POINTS = 2_000
+EXACT_POINTS = 25_000
 # Beyond it, on this many micro-clusters.
-MICRO_CLUSTERS = 500
+MICRO_CLUSTERS = 1_000
+
+_CHUNK_CELLS = 2_000_000  # distances held at once
+_LOCAL_CELLS = 20_000_000  # a search over fewer distances is not worth a job
+
+# Nodes to search for, nodes alive, sizes and centres -> nearest node and cost.
+Search = Callable[
+    [np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]
+]
 
 _MERGES = T.StructType(
     [
@@ -30,77 +41,138 @@ _MERGES = T.StructType(
 )
 
 
-def ward_merges(weights: np.ndarray, centroids: np.ndarray) -> list[tuple[int, int, float, int]]:
+def _searcher() -> Search:
+    """For each wanted node the alive node it is cheapest to merge with (the
+    lowest numbered of equals), and the cost: the rise in squared error, doubled.
+
+    Made here so that it travels to the executors whole, whether or not they
+    can import this package.
+    """
+    chunk = _CHUNK_CELLS
+
+    def search(wanted, alive, size, centre):
+        nearest, cost = np.empty(len(wanted), dtype=np.int64), np.empty(len(wanted))
+        others, other_size = centre[alive], size[alive]
+        at_once = max(1, chunk // len(alive))
+        for start in range(0, len(wanted), at_once):
+            part = wanted[start : start + at_once]
+            gap = np.zeros((len(part), len(alive)))
+            for c in range(centre.shape[1]):
+                step = centre[part, c, None] - others[None, :, c]
+                step *= step
+                gap += step
+            own = size[part, None]
+            gap *= 2.0 * (own * other_size) / (own + other_size)
+            gap[part[:, None] == alive[None, :]] = np.inf
+            best = gap.argmin(axis=1)
+            nearest[start : start + at_once] = alive[best]
+            cost[start : start + at_once] = gap[np.arange(len(part)), best]
+        return nearest, cost
+
+    return search
+
+
+def _search_on(spark: SparkSession) -> Search:
+    """The search, with large ones spread over the executors: a task takes a
+    share of the wanted nodes, and all take the bounded table of nodes."""
+    local = _searcher()
+
+    def search(wanted, alive, size, centre):
+        if len(wanted) * len(alive) <= _LOCAL_CELLS:
+            return local(wanted, alive, size, centre)
+
+        def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                place = batch["id"].to_numpy()
+                nearest, cost = local(wanted[place], alive, size, centre)
+                yield pd.DataFrame({"id": place, "nearest": nearest, "cost": cost})
+
+        tasks = spark.sparkContext.defaultParallelism
+        places = spark.range(0, len(wanted), 1, tasks)
+        rows = places.mapInPandas(found, "id bigint, nearest bigint, cost double").toPandas()
+        rows = rows.sort_values("id")
+        return rows["nearest"].to_numpy(), rows["cost"].to_numpy()
+
+    return search
+
+
+def ward_merges(
+    weights: np.ndarray, centroids: np.ndarray, search: Search | None = None
+) -> list[tuple[int, int, float, int]]:
     """Merge tree of a bounded number of weighted points: (left, right, height,
     size) by rising height. Inputs are nodes 0..m-1, merge i makes node m + i.
 
-    Follows nearest neighbours until two nodes are each other's nearest, which
-    is safe because a merge never brings the merged node closer to a third one.
+    Each round merges every pair of mutually nearest nodes. Under Ward's cost a
+    merged node is never closer to a third one than the nearer of its parts
+    was, so such pairs are merges of the sequential method too, and only nodes
+    that merged or lost their nearest node need a new search.
     """
-    size = weights.astype(float).copy()
-    centre = centroids.astype(float).copy()
-    alive = np.ones(len(size), dtype=bool)
+    search = search or _searcher()
+    m = len(weights)
+    size, centre = weights.astype(float), centroids.astype(float).copy()
+    alive = np.ones(m, dtype=bool)
+    nearest, cost = np.full(m, -1, dtype=np.int64), np.full(m, np.inf)
     found: list[tuple[float, int, int]] = []
-    chain: list[int] = []
-    while len(found) < len(size) - 1:
-        if not chain:
-            chain.append(int(np.argmax(alive)))
-        tip = chain[-1]
-        gap = ((centre - centre[tip]) ** 2).sum(axis=1)
-        cost = 2.0 * size * size[tip] / (size + size[tip]) * gap
-        cost[~alive] = np.inf
-        cost[tip] = np.inf
-        nearest = int(np.argmin(cost))
-        if len(chain) > 1 and cost[chain[-2]] <= cost[nearest]:
-            nearest = chain[-2]
-        if len(chain) > 1 and nearest == chain[-2]:
-            found.append((float(np.sqrt(cost[nearest])), nearest, tip))
-            total = size[nearest] + size[tip]
-            centre[nearest] = (
-                size[nearest] * centre[nearest] + size[tip] * centre[tip]
-            ) / total
-            size[nearest] = total
-            alive[tip] = False
-            del chain[-2:]
-        else:
-            chain.append(nearest)
+    stale = np.arange(m)
+    while len(found) < m - 1:
+        here = np.flatnonzero(alive)
+        nearest[stale], cost[stale] = search(stale, here, size, centre)
+        left = here[(nearest[nearest[here]] == here) & (here < nearest[here])]
+        if len(left) == 0:
+            # Only rounding can leave no mutual pair; a full search has one.
+            stale = here
+            continue
+        right = nearest[left]
+        found.extend(zip(np.sqrt(cost[left]).tolist(), left.tolist(), right.tolist()))
+        total = size[left] + size[right]
+        centre[left] = (
+            size[left, None] * centre[left] + size[right, None] * centre[right]
+        ) / total[:, None]
+        size[left] = total
+        alive[right] = False
+        touched = np.zeros(m, dtype=bool)
+        touched[left] = touched[right] = True
+        stale = np.flatnonzero(alive & (touched | touched[nearest]))
 
     # Number the nodes in order of height.
     found.sort(key=lambda merge: merge[0])
-    owner = list(range(len(size)))  # leaf -> parent leaf
-    node = list(range(len(size)))  # root leaf -> current node number
+    owner = list(range(m))  # point -> a point of its current node
+    node = list(range(m))  # number of the node such a point stands for
     count = weights.astype(int).tolist()
 
-    def root(leaf: int) -> int:
-        while owner[leaf] != leaf:
-            owner[leaf] = owner[owner[leaf]]
-            leaf = owner[leaf]
-        return leaf
+    def top(point: int) -> int:
+        while owner[point] != point:
+            owner[point] = owner[owner[point]]
+            point = owner[point]
+        return point
 
     merges = []
     for i, (height, a, b) in enumerate(found):
-        a, b = root(a), root(b)
-        left, right = sorted((node[a], node[b]))
+        a, b = top(a), top(b)
+        first, second = sorted((node[a], node[b]))
         owner[b] = a
         count[a] += count[b]
-        node[a] = len(size) + i
-        merges.append((left, right, height, count[a]))
+        node[a] = m + i
+        merges.append((first, second, height, count[a]))
     return merges
 
 
-def cut_tree(merges: list[tuple[int, int, float, int]], weights: np.ndarray, k: int) -> list[int]:
+def cut_tree(
+    merges: list[tuple[int, int, float, int]], weights: np.ndarray, k: int
+) -> list[int]:
     """Cluster 0..k-1 of each input point after undoing the last k - 1 merges;
     cluster 0 is the largest."""
     m = len(weights)
-    member = {i: [i] for i in range(m)}
-    for i, (left, right, _, _) in enumerate(merges[: m - k]):
-        member[m + i] = member.pop(left) + member.pop(right)
-    groups = sorted(member.values(), key=lambda g: (-int(weights[g].sum()), min(g)))
-    labels = [0] * m
-    for label, group in enumerate(groups):
-        for point in group:
-            labels[point] = label
-    return labels
+    top = list(range(2 * m))
+    for i in reversed(range(m - k)):
+        left, right, _, _ = merges[i]
+        top[left] = top[right] = top[m + i]
+    tops = np.array(top[:m])
+    names, first, member = np.unique(tops, return_index=True, return_inverse=True)
+    sizes = np.bincount(member, weights=weights)
+    label = np.empty(len(names), dtype=int)
+    label[np.lexsort((first, -sizes))] = np.arange(len(names))
+    return label[member].tolist()
 
 
 def ward_segments(
@@ -114,7 +186,7 @@ def ward_segments(
     merge tree.
 
     Exact while there are at most ``exact_points`` distinct points. The exact
-    method needs all pairwise distances, so beyond that Spark first groups the
+    method compares all pairs of points, so beyond that Spark first groups the
     points into ``micro`` micro-clusters by K-Means; their weighted merge tree
     is Ward's method started from those groups. Only the points of the tree,
     never more than the two bounds, reach the driver.
@@ -128,34 +200,21 @@ def ward_segments(
         raise ValueError(f"cannot make {k} clusters of {n} distinct points")
     exact = n <= exact_points
     if exact:
-        leaves = points.orderBy(*SCALED).collect()
+        leaves = points.toPandas().sort_values(list(SCALED), ignore_index=True)
     else:
         if micro < k:
             raise ValueError("micro must be at least k")
         fitted = fit_micro_clusters(points, SCALED, micro, seed)
-        assigned = with_micro(points, fitted)
-        leaves = summarise(assigned, SCALED, ["micro"]).orderBy("micro").collect()
-    weights = np.array([row["weight"] for row in leaves])
-    centroids = np.array([[row[c] for c in SCALED] for row in leaves])
-    merges = ward_merges(weights, centroids)
-    labels = cut_tree(merges, weights, k)
+        cells = summarise(with_micro(points, fitted), SCALED, ["micro"])
+        leaves = cells.toPandas().sort_values("micro", ignore_index=True)
+    weights = leaves["weight"].to_numpy()
+    merges = ward_merges(weights, leaves[list(SCALED)].to_numpy(), _search_on(spark))
 
     # At most ``exact_points`` or ``micro`` rows: safe to broadcast.
-    if exact:
-        mapping = spark.createDataFrame(
-            [(*(row[c] for c in SCALED), label) for row, label in zip(leaves, labels)],
-            T.StructType(
-                [T.StructField(c, T.DoubleType()) for c in SCALED]
-                + [T.StructField(CLUSTER, T.IntegerType())]
-            ),
-        )
-        located, on = features, list(SCALED)
-    else:
-        mapping = spark.createDataFrame(
-            [(row["micro"], label) for row, label in zip(leaves, labels)],
-            f"micro int, {CLUSTER} int",
-        )
-        located, on = with_micro(features, fitted), ["micro"]
-    segments = located.join(F.broadcast(mapping), on).select(CUSTOMER, *METRICS, *SCALED, CLUSTER)
+    on = list(SCALED) if exact else ["micro"]
+    mapping = leaves[on].assign(**{CLUSTER: np.array(cut_tree(merges, weights, k), "int32")})
+    located = features if exact else with_micro(features, fitted)
+    segments = located.join(F.broadcast(spark.createDataFrame(mapping)), on)
+    segments = segments.select(CUSTOMER, *METRICS, *SCALED, CLUSTER)
     tree = spark.createDataFrame([(i, *merge) for i, merge in enumerate(merges)], _MERGES)
     return segments, tree

@@ -190,6 +190,24 @@ def test_hand_computed_tree():
     assert hierarchy.cut_tree(merges, np.ones(4), 4) == [0, 1, 2, 3]
 
 
+def test_merge_tree_searched_on_executors(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "_LOCAL_CELLS", 100)
+    rng = np.random.default_rng(9)
+    weights, centres = rng.integers(1, 6, 60), rng.normal(size=(60, 3))
+    # Growing gaps on a line leave one mutual pair per round.
+    centres[:12] = np.array([[100 + 2.0**i, 0, 0] for i in range(12)])
+    ours = hierarchy.ward_merges(weights, centres, hierarchy._search_on(spark))
+    theirs = brute_ward(weights, centres)
+    assert [(a, b, size) for a, b, _, size in ours] == [(a, b, size) for a, b, _, size in theirs]
+
+
+def test_merge_tree_with_equal_distances():
+    grid = np.array([[x, y, 0.0] for x in range(6) for y in range(6)])
+    merges = hierarchy.ward_merges(np.ones(36), grid)
+    assert len(merges) == 35 and merges[-1][3] == 36
+    assert sorted(n for left, right, _, _ in merges for n in (left, right)) == list(range(70))
+
+
 @pytest.mark.parametrize("exact_points", [2000, 10])
 def test_ward_segments(blobs, exact_points):
     segments, tree = hierarchy.ward_segments(blobs, 3, exact_points=exact_points, micro=20)
