@@ -19,7 +19,7 @@ EXACT_POINTS = 20_000
 MICRO_CLUSTERS = 1_000
 
 _CHUNK_CELLS = 4_000_000  # distances held at once in a task
-_POINTS_PER_TASK = 20_000
+_POINTS_PER_TASK = 200_000
 
 
 def silhouette_euclidean(

@@ -17,25 +17,18 @@ from ..operators import clean, comparison, density, describe, features, hierarch
 from ..operators import ranking, rfm, scoring, segments, silhouette
 from ..schema import (
     CLUSTER,
-    COMPARISON_SCHEMA,
     COUNT,
     CUSTOMER,
     DATE,
-    FREQUENCY,
     LEVEL,
     METRICS,
     MODEL,
-    MONETARY,
     NUM_CLUSTERS,
     PERCENT,
     QUANTITY,
-    RECENCY,
     SECONDS,
     SILHOUETTE,
-    TRANSACTION_COLUMNS,
-    TRANSACTION_SCHEMA,
     VALUE,
-    profile_schema,
 )
 from ..session import scratch_path, stage
 from ..sources import comparison as comparison_source

@@ -35,12 +35,20 @@ def _compact_date(text: Column) -> Column:
     return F.when(F.length(text) == 8, dashed.try_cast("date"))
 
 
+def _whole_number(text: Column) -> Column:
+    """Integer, also when written with a zero fraction; null if it is not one."""
+    exact = text.try_cast("decimal(20,6)")
+    return F.coalesce(
+        text.try_cast("int"), F.when(exact == F.floor(exact), exact).try_cast("int")
+    )
+
+
 def _converted(raw: dict[str, Column]) -> dict[str, Column]:
     """Typed columns; null where the text does not convert."""
     return {
         CUSTOMER: raw[CUSTOMER],
         DATE: _compact_date(raw[DATE]),
-        QUANTITY: raw[QUANTITY].try_cast("int"),
+        QUANTITY: _whole_number(raw[QUANTITY]),
         VALUE: raw[VALUE].try_cast(MONEY),
     }
 

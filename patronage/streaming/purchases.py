@@ -28,6 +28,8 @@ from ..schema import (
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _BATCH = "batch"
+# Unless told otherwise a query takes what has arrived, in batches, and stops.
+_ALL_AVAILABLE = {"availableNow": True}
 
 
 @contextmanager
@@ -61,14 +63,14 @@ def _start(
     totals: DataFrame,
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
-    trigger: dict,
+    trigger: dict | None,
 ) -> StreamingQuery:
     with _disk_backed_state(totals.sparkSession):
         return (
             totals.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
             .foreachBatch(write)
-            .trigger(**trigger)
+            .trigger(**(trigger or _ALL_AVAILABLE))
             .start()
         )
 
@@ -91,7 +93,7 @@ def start_totals(
     checkpoint: str,
     start: str = FIRST_ACCEPTED_DAY,
     end: str = LAST_ACCEPTED_DAY,
-    trigger: dict = {"availableNow": True},
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write the changed customers' totals after every micro-batch."""
     return _start(running_totals(stream, start, end), _writer(out), checkpoint, trigger)
@@ -131,7 +133,7 @@ def start_scoring(
     as_of: str = SCORING_DAY,
     start: str = FIRST_ACCEPTED_DAY,
     end: str = LAST_ACCEPTED_DAY,
-    trigger: dict = {"availableNow": True},
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write the changed customers with their cluster after every micro-batch."""
 
@@ -153,7 +155,7 @@ def start_rejects(
     checkpoint: str,
     start: str = FIRST_ACCEPTED_DAY,
     end: str = LAST_ACCEPTED_DAY,
-    trigger: dict = {"availableNow": True},
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append invalid transactions, with the reason, to a Parquet quarantine.
 
@@ -165,6 +167,6 @@ def start_rejects(
         .outputMode("append")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**(trigger or _ALL_AVAILABLE))
         .start()
     )

@@ -19,7 +19,10 @@ def test_every_oracle_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, connection, name):
-    result = queries()[name](spark, FOLDER).toPandas()
+    query = queries()[name](spark, FOLDER)
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    result = query.toPandas()
     assert len(result) > 0
     if name in oracle_sql():
         assert not differences(result, connection.execute(oracle_sql()[name]).df())

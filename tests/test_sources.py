@@ -30,6 +30,14 @@ def test_four_and_five_fields(spark):
     assert rejects.count() == 0
 
 
+def test_whole_numbers(spark):
+    good, rejects = transactions.parse_transactions(
+        lines(spark, "1 19970101 2.0 5", "2 19970101 2.5 5", "3 19970101 99999999999 5")
+    )
+    assert [(r[0], r[2]) for r in good.collect()] == [("1", 2)]
+    assert rejects.count() == 2
+
+
 def test_layouts(spark):
     good, _ = transactions.parse_transactions(lines(spark, *GOOD), layouts=(4,))
     assert {r["customer_id"] for r in good.collect()} == {"00001", "00002"}
