@@ -11,30 +11,44 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ranks import last_ranks_of_quartiles, quartile_of_rank
-from ..schema import CUSTOMER, FREQUENCY, METRICS, MONETARY, MONEY_SUM, RECENCY
+from ..schema import CUSTOMER, FREQUENCY, METRICS, MONETARY, MONEY, MONEY_SUM, RECENCY
 from ..session import stage
 
 # Rows of one bracket that are sorted together in one task.
 SORTABLE_ROWS = 200_000
 # Rows sampled per bracket to choose the next, narrower brackets.
-PIVOT_SAMPLE = 2_000
+PIVOT_SAMPLE = 4_000
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def metric_values(rfm: DataFrame) -> DataFrame:
-    """The three metrics stacked as (metric, value, customer_id)."""
-    entries = [
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast(MONEY_SUM).alias("value"))
+def metric_values(rfm: DataFrame, value_type: T.DataType = MONEY_SUM) -> DataFrame:
+    """The three metrics stacked as (metric, value, customer_id).
+
+    A union of narrow scans and not an explode: what is asked of one metric is
+    then planned for its branch alone and compiles to short code. ``rfm``
+    should be staged.
+    """
+    first, *others = (
+        rfm.select(F.lit(m).alias("metric"), F.col(m).cast(value_type).alias("value"), CUSTOMER)
         for m in METRICS
-    ]
-    stacked = rfm.select(CUSTOMER, F.explode(F.array(*entries)).alias("entry"))
-    return stacked.select("entry.metric", "entry.value", CUSTOMER)
+    )
+    return reduce(DataFrame.unionAll, others, first)
+
+
+def size_and_value_type(rfm: DataFrame) -> tuple[int, T.DataType]:
+    """Number of customers, and the narrowest money type holding every sum: up
+    to 18 digits Spark compares and sorts decimals as plain integers."""
+    n, largest = rfm.agg(F.count("*"), F.max(F.abs(MONETARY))).head()
+    fits = largest is None or largest < 10 ** (MONEY.precision - MONEY.scale)
+    return n, MONEY if fits else MONEY_SUM
 
 
 def first_ranks(rfm: DataFrame) -> DataFrame:
@@ -47,8 +61,9 @@ def first_ranks(rfm: DataFrame) -> DataFrame:
     must not be computed twice under different partition bounds.
     """
     position = F.monotonically_increasing_id()
+    _, value_type = size_and_value_type(rfm)
     ordered = stage(
-        metric_values(rfm).orderBy("metric", "value", CUSTOMER).select(
+        metric_values(rfm, value_type).orderBy("metric", "value", CUSTOMER).select(
             "metric", CUSTOMER, position.alias("position")
         ),
         "ranks",
@@ -117,17 +132,23 @@ def keys_at_ranks(
     w = F.col(weight) if weight else F.lit(1)
     types = {field.name: field.dataType for field in values.schema}
     keys = list(keys)
-    order = F.struct(*keys)
 
-    def literal(key: tuple) -> Column:
-        return F.struct(*(F.lit(v).cast(types[c]).alias(c) for c, v in zip(keys, key)))
+    def reaches(key: tuple) -> Column:
+        """Whether a row's keys are at or after ``key``. Plain comparisons of
+        columns: comparing structs would build one per row and pivot."""
+        (last, value), *earlier = reversed(list(zip(keys, key)))
+        test = F.col(last) >= F.lit(value).cast(types[last])
+        for column, value in earlier:
+            at = F.lit(value).cast(types[column])
+            test = (F.col(column) > at) | ((F.col(column) == at) & test)
+        return test
 
     def inside(b: _Bracket) -> Column:
         test = F.col(group) == b.group
         if b.low is not None:
-            test = test & (order >= literal(b.low))
+            test = test & reaches(b.low)
         if b.high is not None:
-            test = test & (order < literal(b.high))
+            test = test & ~reaches(b.high)
         return test
 
     def numbered(brackets: list[_Bracket]) -> DataFrame:
@@ -151,7 +172,9 @@ def keys_at_ranks(
     seed = 0
     while any(b.rows > sortable_rows for b in brackets):
         seed += 1
-        brackets = _narrow(brackets, numbered(brackets), keys, literal, sortable_rows, pivot_sample, seed)
+        brackets = _narrow(
+            brackets, numbered(brackets), keys, reaches, sortable_rows, pivot_sample, seed
+        )
     if not brackets:
         return {}
 
@@ -179,14 +202,13 @@ def _narrow(
     brackets: list[_Bracket],
     rows: DataFrame,
     keys: list[str],
-    literal: Callable[[tuple], Column],
+    reaches: Callable[[tuple], Column],
     sortable_rows: int,
     pivot_sample: int,
     seed: int,
 ) -> list[_Bracket]:
     """Split every oversized bracket at sampled pivots and keep the intervals
     that hold wanted ranks."""
-    order = F.struct(*keys)
     big = [i for i, b in enumerate(brackets) if b.rows > sortable_rows]
     fraction = F.lit(0.0)
     for i in big:
@@ -200,7 +222,7 @@ def _narrow(
     pivots = {i: _pivots(brackets[i], sorted(sampled[i])) for i in big}
     zone = F.lit(0)
     for i in big:
-        passed = sum((F.when(order >= literal(p), 1).otherwise(0) for p in pivots[i]), F.lit(0))
+        passed = sum((reaches(p).cast("int") for p in pivots[i]), F.lit(0))
         zone = F.when(F.col("_b") == i, passed).otherwise(zone)
     counted: dict[tuple[int, int], tuple[int, int]] = {
         (row["_b"], row["_z"]): (row["n"], row["w"])
@@ -231,14 +253,15 @@ def _pivots(b: _Bracket, sample: list[tuple[tuple, int]]) -> list[tuple]:
     size = len(sample)
     if size == 0:
         return []
-    places = {size * i // 8 for i in range(1, 8)}
+    places = {size * i // 4 for i in range(1, 4)}
     seen, reached = sum(w for _, w in sample), 0
-    spread = math.ceil(math.sqrt(size))
+    # Three standard deviations of the place of a median in a sample.
+    spread = math.ceil(1.5 * math.sqrt(size))
     targets = [((rank - b.below) / b.weight * seen) for rank in b.ranks]
     for place, (_, w) in enumerate(sample):
         for target in targets:
             if reached < target <= reached + w:
-                places.update(place + d * spread for d in (-3, -1, 1, 3))
+                places.update((place - spread, place + spread))
         reached += w
     return sorted({sample[p][0] for p in places if 0 <= p < size} - {b.low})
 
@@ -251,12 +274,12 @@ def quartiles(rfm: DataFrame, sortable_rows: int = SORTABLE_ROWS) -> DataFrame:
     nothing is sorted or shuffled in full. ``rfm`` should be staged, it is
     scanned more than once. At least two customers are needed.
     """
-    n = rfm.count()
+    n, value_type = size_and_value_type(rfm)
     if n < 2:
         raise ValueError("quartiles need at least two customers")
     ranks = last_ranks_of_quartiles(n)
     cuts = keys_at_ranks(
-        metric_values(rfm),
+        metric_values(rfm, value_type),
         "metric",
         ["value", CUSTOMER],
         lambda metric, size: ranks,

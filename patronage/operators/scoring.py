@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CUSTOMER, FIRST_ACCEPTED_DAY, LAST_ACCEPTED_DAY, SCORING_DAY
+from ..session import stage
 from .clean import accepted, validate_transactions
 from .kmeans import RAW_VECTOR, SCALED_VECTOR, assign
 from .rfm import rfm_table
@@ -19,15 +20,15 @@ ENTERED_CUSTOMER = "00001"
 def _rescaled(model: PipelineModel, rfm: DataFrame) -> PipelineModel:
     """The same model with its scaler fitted to ``rfm`` instead."""
     stages = list(model.stages)
-    for i, stage in enumerate(stages):
-        if isinstance(stage, StandardScalerModel):
+    for i, fitted in enumerate(stages):
+        if isinstance(fitted, StandardScalerModel):
             scaler = StandardScaler(
                 inputCol=RAW_VECTOR,
                 outputCol=SCALED_VECTOR,
-                withMean=stage.getWithMean(),
-                withStd=stage.getWithStd(),
+                withMean=fitted.getWithMean(),
+                withStd=fitted.getWithStd(),
             )
-        elif isinstance(stage, MinMaxScalerModel):
+        elif isinstance(fitted, MinMaxScalerModel):
             scaler = MinMaxScaler(inputCol=RAW_VECTOR, outputCol=SCALED_VECTOR)
         else:
             continue
@@ -50,6 +51,7 @@ def score(
     """
     rfm = rfm_table(transactions, as_of=as_of, clean=False)
     if rescale == "batch":
+        rfm = stage(rfm, "batch-rfm")  # read by the fit and by the prediction
         model = _rescaled(model, rfm)
     elif rescale != "trained":
         raise ValueError(f"unknown rescale {rescale!r}")
