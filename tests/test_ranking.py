@@ -115,3 +115,20 @@ def test_no_exchange_into_a_single_partition(make_rfm, spark):
     rfm = stage(make_rfm(random_rows(50, 1, 5)))
     plan = ranking.quartiles(rfm)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+
+
+def test_sums_beyond_eighteen_digits(spark):
+    n = 40
+    rfm = stage(
+        spark.range(n).selectExpr(
+            "id customer_id", "int(id) Recency", "id + 1 Frequency",
+            "cast('100000000000000000000.01' as decimal(28,2)) + (id * 7 % 40) as Monetary",
+        ).selectExpr("customer_id", "Recency", "Frequency",
+                     "cast(Monetary as decimal(28,2)) as Monetary")
+    )
+    place = {i: rank for rank, i in enumerate(sorted(range(n), key=lambda i: i * 7 % 40), 1)}
+    for rows in (ranking.quartiles(rfm, sortable_rows=5),
+                 ranking.quartiles_from_ranks(ranking.first_ranks(rfm))):
+        assert {r["customer_id"]: r["M"] for r in rows.collect()} == {
+            i: bucket(rank, n) for i, rank in place.items()
+        }

@@ -181,3 +181,18 @@ def test_density_curve(make_rfm):
     assert [r["density"] for r in ours] == pytest.approx(expected.tolist())
     scale = len(values) * (values.max() - values.min()) / 30
     assert [r["curve"] for r in ours] == pytest.approx((expected * scale).tolist())
+
+
+def test_a_customer_with_a_third_of_all_rows(spark):
+    rows = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('c', id)) customer_id",
+        "date_add(date '1997-01-01', int(id % 100)) transaction_date",
+        "1 num_cds_purchased", "cast(1 + id % 7 as decimal(18,2)) transaction_value",
+    )
+    result = rfm.rfm_table(rows)
+    # Aggregated before the shuffle, so the hot customer is a row per task in it.
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(transaction_value" in plan and "partial_max(" in plan
+    hot = result.where("customer_id = 'hot'").head()
+    assert (hot["Frequency"], hot["Monetary"]) == (1000, sum(1 + i % 7 for i in range(0, 3000, 3)))
+    assert result.count() == 2001
