@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.llm import byte_bpe, exact_dedup, token_count
+from patronage.llm import (
+    byte_bpe,
+    embedding_dedup,
+    exact_dedup,
+    kneser_ney,
+    language_id,
+    license_scan,
+    mixing,
+    quality,
+    simhash,
+    token_count,
+)
 from patronage.llm.columns import table
 
 
@@ -15,6 +26,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.held_out_scores(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(
         table(spark, folder, "documents", "doc_id", "text"),
@@ -23,6 +38,24 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.held_out_predictions(
+        table(spark, folder, "documents", "doc_id", "text", "lang")
+    )
+
+
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents", "doc_id", "text"))
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(table(spark, folder, "documents", "doc_id", "text", "source"))
+
+
 def op8_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(
         table(spark, folder, "documents", "doc_id", "text"),
@@ -31,8 +64,29 @@ def op8_token_count(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.held_out_scores(
+        table(spark, folder, "documents", "doc_id", "text"),
+        table(spark, folder, "labels", "doc_id", "quality"),
+    )
+
+
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_exact_dedup": op1_exact_dedup,
-    "op3_byte_bpe": op3_byte_bpe,
-    "op8_token_count": op8_token_count,
+    query.__name__: query
+    for query in (
+        op1_exact_dedup,
+        op2_kneser_ney,
+        op3_byte_bpe,
+        op4_embedding_dedup,
+        op5_language_id,
+        op6_license_scan,
+        op7_mixing,
+        op8_token_count,
+        op9_quality,
+        op10_simhash,
+    )
 }
