@@ -36,6 +36,9 @@ PARTITIONS = 3
 BUCKET = 1_000
 #: Fingerprints whose candidates are counted, over all others, to estimate costs.
 PROBES = 256
+#: Candidates that cost as much as one probe: a probe is a row that is shuffled and
+#: sorted, a candidate one step of a vectorised comparison.
+PROBE_COST = 100
 #: Rows of a partition compared at once.
 ROWS_AT_ONCE = 200_000
 #: Overfull buckets up to this number are broadcast.
@@ -199,15 +202,15 @@ def variants(bits: list[int], threshold: int) -> list[int]:
 def allocate(groups: list[list[int]], candidates: np.ndarray, radius: int) -> list[int]:
     """Thresholds of least cost that sum to ``radius - partitions + 1``, each -1 at least.
 
-    The cost of a partition is its number of probes and of candidates per
-    fingerprint; -1 costs nothing. Solved partition by partition, by the sum so far.
+    The cost of a partition is its number of candidates per fingerprint and, ``PROBE_COST`` each,
+    of probes; -1 costs nothing. Solved partition by partition, by the sum so far.
     """
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for bits, counts in zip(groups, candidates, strict=True):
         longer: dict[int, tuple[float, list[int]]] = {}
         for total, (cost, chosen) in best.items():
             for e in range(-1, radius + 1):
-                more = 0.0 if e < 0 else len(variants(bits, e)) + float(counts[e])
+                more = 0.0 if e < 0 else PROBE_COST * len(variants(bits, e)) + float(counts[e])
                 found = (cost + more, [*chosen, e])
                 if total + e not in longer or found < longer[total + e]:
                     longer[total + e] = found
