@@ -21,6 +21,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +37,9 @@ from patronage.session import scratch_path
 #: Hash of the end of a text, a token that no word's hash is likely to equal.
 END = np.uint64(0x51ED270B7F4A7C15)
 #: Bytes of training text per shard of counts.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 #: Word numbers per file of word statistics.
-RANGE_WORDS = 1 << 20
+RANGE_WORDS = 1 << 18
 #: Bytes of text handled at once.
 BLOCK_BYTES = 2 << 20
 #: The context at the beginning of a text, above every word's number.
@@ -63,7 +65,7 @@ def _top_bits(keys: np.ndarray, bits: int) -> np.ndarray:
 class _Counter:
     """Counts of keys met by a task, merged whenever many have piled up."""
 
-    def __init__(self, limit: int = 1 << 21) -> None:
+    def __init__(self, limit: int = 1 << 20) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held, self.limit = 0, limit
 
@@ -104,22 +106,22 @@ def _unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return found, np.frombuffer(counts, kind).astype(np.int64)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, list]]:
-    """The packed rows of one shard after the other, from a partition sorted by shard."""
-    current, rows = None, []
-    for batch in batches:
-        for shard, *values in zip(*(batch.column(c) for c in ("shard", *columns)), strict=True):
-            shard = shard.as_py()
-            if current is not None and shard != current:
-                yield current, rows
-                rows = []
-            current = shard
-            rows.append([v.as_py() for v in values])
-    if current is not None:
-        yield current, rows
+def _by_shard(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, Iterator]]:
+    """The packed rows of one shard after the other, from a partition sorted by shard.
+
+    Rows are handed on one by one, so no more than a batch of them is held.
+    """
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in ("shard", *columns)), strict=True):
+                yield tuple(value.as_py() for value in row)
+
+    for shard, own in groupby(rows(), key=itemgetter(0)):
+        yield shard, (row[1:] for row in own)
 
 
-def _merged(rows: list) -> tuple[np.ndarray, np.ndarray]:
+def _merged(rows: Iterator[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Sum packed rows, folding as they accumulate so that memory follows the distinct keys."""
     done: list[tuple[np.ndarray, np.ndarray]] = []
     for keys, counts in rows:
@@ -129,6 +131,14 @@ def _merged(rows: list) -> tuple[np.ndarray, np.ndarray]:
     return _sum_by_key(*map(np.concatenate, zip(*done, strict=True)))
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    return values.astype(np.int64 if values.max(initial=0) >> 31 else np.int32).tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.int32 if len(data) == 4 * n else np.int64)
+
+
 def token_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, each text's words and then one end; bounds of the texts' tokens."""
     found = words(data, bounds)
@@ -376,9 +386,9 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
                     [
                         pa.array([int(r)], pa.int32()),
                         pa.array([left[0][a].tobytes()], pa.binary()),
-                        pa.array([np.stack([v[a] for v in left[1:]]).tobytes()], pa.binary()),
+                        pa.array([_narrow(np.stack([v[a] for v in left[1:]]))], pa.binary()),
                         pa.array([right[0][b].tobytes()], pa.binary()),
-                        pa.array([right[1][b].tobytes()], pa.binary()),
+                        pa.array([_narrow(right[1][b])], pa.binary()),
                         pa.array([of], pa.list_(pa.int64())),
                     ],
                     names=["shard", "left", "sums", "right", "before", "of"],
@@ -396,9 +406,9 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
             stats, of_pairs = np.zeros((size, 5), np.int64), np.zeros(4, np.int64)
             for left, sums, right, before, of in rows:
                 at = np.frombuffer(left, np.uint64).astype(np.int64) - (BEGIN if is_begin else low)
-                stats[at, :4] += np.frombuffer(sums, np.int64).reshape(4, -1).T
+                stats[at, :4] += _wide(sums, 4 * len(at)).reshape(4, -1).T
                 at = np.frombuffer(right, np.uint64).astype(np.int64) - low
-                stats[at, 4] += np.frombuffer(before, np.int64)
+                stats[at, 4] += _wide(before, len(at))
                 of_pairs += of
             write_array(f"{folder}/stats-{'begin' if is_begin else r}.npy", stats)
             of_words = np.bincount(np.minimum(stats[:, 4], 5), minlength=6)
