@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from .ranking import metric_values
 BINS = 30
 GRID_POINTS = 200
 
+_VALUES_AT_ONCE = 2_000
+
 
 def histogram(rfm: DataFrame, bins: int = BINS) -> DataFrame:
     """Counts in ``bins`` equal-width bins from minimum to maximum, per metric.
@@ -55,10 +60,10 @@ def density_curve(rfm: DataFrame, grid: int = GRID_POINTS, bins: int = BINS) ->
     """Gaussian kernel density of each metric at ``grid`` points from minimum to
     maximum, and the same curve scaled to the height of the histogram.
 
-    Bandwidth is the sample standard deviation times n^(-1/5). Equal values are
-    counted first, so a value shared by many customers is one row; each distinct
-    value then contributes ``grid`` terms that combine on the map side. A metric
-    without spread has no curve. ``rfm`` is scanned twice, so stage it.
+    Bandwidth is the sample standard deviation times n^(-1/5). Each task adds its
+    values to ``grid`` sums per metric, so the work is linear in the rows and a task
+    shuffles those sums alone. A metric without spread has no curve. ``rfm`` is scanned
+    twice, so stage it.
     """
     values = metric_values(rfm).select("metric", F.col("value").cast("double").alias("value"))
     # One row per metric: small by construction.
@@ -79,16 +84,28 @@ def density_curve(rfm: DataFrame, grid: int = GRID_POINTS, bins: int = BINS) ->
             (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bandwidth"),
         )
     )
-    weights = values.groupBy("metric", "value").agg(F.count("*").alias("weight"))
-    x = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (grid - 1)
-    z = (x - F.col("value")) / F.col("bandwidth")
-    terms = weights.join(F.broadcast(stats), "metric").select(
-        "metric", "value", "weight", "low", "high", "bandwidth",
-        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
-    )
-    sums = terms.groupBy("metric", "point").agg(
-        F.sum(F.col("weight") * F.exp(-z * z / 2)).alias("total")
+    rows = {r["metric"]: (r["low"], r["high"], r["bandwidth"]) for r in stats.collect()}
+    points = {m: np.linspace(low, high, grid) for m, (low, high, _) in rows.items()}
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {metric: np.zeros(grid) for metric in rows}
+        for batch in batches:
+            for metric, group in batch.groupby("metric"):
+                if metric not in rows:
+                    continue
+                value, bandwidth = group["value"].to_numpy(), rows[metric][2]
+                for at in range(0, len(value), _VALUES_AT_ONCE):
+                    z = (points[metric][:, None] - value[None, at : at + _VALUES_AT_ONCE]) / bandwidth
+                    totals[metric] += np.exp(-z * z / 2).sum(axis=1)
+        for metric, total in totals.items():
+            yield pd.DataFrame({"metric": metric, "point": np.arange(grid), "total": total})
+
+    sums = (
+        values.mapInPandas(partial, "metric string, point int, total double")
+        .groupBy("metric", "point")
+        .agg(F.sum("total").alias("total"))
     )
+    x = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (grid - 1)
     kernel = F.col("total") / (F.col("bandwidth") * math.sqrt(2 * math.pi))
     return sums.join(F.broadcast(stats), "metric").select(
         "metric",

@@ -15,9 +15,14 @@ from .ranking import SORTABLE_ROWS, keys_at_ranks
 SUMMARY_PERCENTS = (25, 50, 75)
 
 
-def sample_rows(df: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` random rows (fewer only if the table has fewer)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, key: Sequence[str], n: int = 5, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` random rows (fewer only if the table has fewer).
+
+    Rows come in the order of the digest of ``seed`` and their ``key``, which does not
+    depend on how the table is partitioned. Rows with equal keys are equally likely.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in key))
+    return df.orderBy(F.md5(text), *key).limit(n)
 
 
 def head_rows(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:

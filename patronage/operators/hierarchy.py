@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,21 +14,15 @@ from ..schema import CLUSTER, CUSTOMER, METRICS, check_k
 from ..session import stage
 from .features import SCALED, standardize
 from .kmeans import SEED
-from .microclusters import distinct_points, fit_micro_clusters, summarise, with_micro
-
-# Up to this many distinct points the merge tree is built on the points
-# themselves, which is exact.
-EXACT_POINTS = 25_000
-# Beyond it, on this many micro-clusters.
-MICRO_CLUSTERS = 1_000
+from .microclusters import (
+    MICRO_CLUSTERS,
+    MICRO_ROUNDS,
+    fit_micro_clusters,
+    summarise,
+    with_micro,
+)
 
 _CHUNK_CELLS = 2_000_000  # distances held at once
-_LOCAL_CELLS = 20_000_000  # a search over fewer distances is not worth a job
-
-# Nodes to search for, nodes alive, sizes and centres -> nearest node and cost.
-Search = Callable[
-    [np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]
-]
 
 _MERGES = T.StructType(
     [
@@ -41,63 +35,64 @@ _MERGES = T.StructType(
 )
 
 
-def _searcher() -> Search:
-    """For each wanted node the alive node it is cheapest to merge with (the
-    lowest numbered of equals), and the cost: the rise in squared error, doubled.
+@dataclass(frozen=True)
+class Ward:
+    """A merge tree of cells over staged customers.
 
-    Made here so that it travels to the executors whole, whether or not they
-    can import this package.
+    ``tree`` has a row per merge. ``squared_error_inside`` is what the cells cost: the squared error
+    inside them, in units of the standardised metrics. ``converged`` says whether
+    the fit of the cells ended before its limit of rounds.
     """
-    chunk = _CHUNK_CELLS
-
-    def search(wanted, alive, size, centre):
-        nearest, cost = np.empty(len(wanted), dtype=np.int64), np.empty(len(wanted))
-        others, other_size = centre[alive], size[alive]
-        at_once = max(1, chunk // len(alive))
-        for start in range(0, len(wanted), at_once):
-            part = wanted[start : start + at_once]
-            gap = np.zeros((len(part), len(alive)))
-            for c in range(centre.shape[1]):
-                step = centre[part, c, None] - others[None, :, c]
-                step *= step
-                gap += step
-            own = size[part, None]
-            gap *= 2.0 * (own * other_size) / (own + other_size)
-            gap[part[:, None] == alive[None, :]] = np.inf
-            best = gap.argmin(axis=1)
-            nearest[start : start + at_once] = alive[best]
-            cost[start : start + at_once] = gap[np.arange(len(part)), best]
-        return nearest, cost
-
-    return search
-
-
-def _search_on(spark: SparkSession) -> Search:
-    """The search, with large ones spread over the executors: a task takes a
-    share of the wanted nodes, and all take the bounded table of nodes."""
-    local = _searcher()
-
-    def search(wanted, alive, size, centre):
-        if len(wanted) * len(alive) <= _LOCAL_CELLS:
-            return local(wanted, alive, size, centre)
-
-        def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                place = batch["id"].to_numpy()
-                nearest, cost = local(wanted[place], alive, size, centre)
-                yield pd.DataFrame({"id": place, "nearest": nearest, "cost": cost})
-
-        tasks = spark.sparkContext.defaultParallelism
-        places = spark.range(0, len(wanted), 1, tasks)
-        rows = places.mapInPandas(found, "id bigint, nearest bigint, cost double").toPandas()
-        rows = rows.sort_values("id")
-        return rows["nearest"].to_numpy(), rows["cost"].to_numpy()
-
-    return search
+
+    located: DataFrame
+    cells: pd.DataFrame
+    merges: list[tuple[int, int, float, int]]
+    squared_error_inside: float
+    converged: bool
+
+    @property
+    def tree(self) -> DataFrame:
+        rows = [(i, *merge) for i, merge in enumerate(self.merges)]
+        return self.located.sparkSession.createDataFrame(rows, _MERGES)
+
+    def segments(self, k: int) -> DataFrame:
+        """Customers in ``k`` clusters, from the tree cut at ``k``."""
+        check_k(k)
+        if len(self.cells) < k:
+            raise ValueError(f"cannot make {k} clusters of {len(self.cells)} cells")
+        labels = cut_tree(self.merges, self.cells["weight"].to_numpy(), k)
+        mapping = self.cells[["micro"]].assign(**{CLUSTER: np.array(labels, "int32")})
+        # As many rows as there are cells.
+        small = F.broadcast(self.located.sparkSession.createDataFrame(mapping))
+        return self.located.join(small, "micro").select(CUSTOMER, *METRICS, *SCALED, CLUSTER)
+
+
+def _search(
+    wanted: np.ndarray, alive: np.ndarray, size: np.ndarray, centre: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each wanted node the alive node it is cheapest to merge with (the
+    lowest numbered of equals), and the cost: the rise in squared error, doubled."""
+    nearest, cost = np.empty(len(wanted), dtype=np.int64), np.empty(len(wanted))
+    others, other_size = centre[alive], size[alive]
+    at_once = max(1, _CHUNK_CELLS // len(alive))
+    for start in range(0, len(wanted), at_once):
+        part = wanted[start : start + at_once]
+        gap = np.zeros((len(part), len(alive)))
+        for c in range(centre.shape[1]):
+            step = centre[part, c, None] - others[None, :, c]
+            step *= step
+            gap += step
+        own = size[part, None]
+        gap *= 2.0 * (own * other_size) / (own + other_size)
+        gap[part[:, None] == alive[None, :]] = np.inf
+        best = gap.argmin(axis=1)
+        nearest[start : start + at_once] = alive[best]
+        cost[start : start + at_once] = gap[np.arange(len(part)), best]
+    return nearest, cost
 
 
 def ward_merges(
-    weights: np.ndarray, centroids: np.ndarray, search: Search | None = None
+    weights: np.ndarray, centroids: np.ndarray
 ) -> list[tuple[int, int, float, int]]:
     """Merge tree of a bounded number of weighted points: (left, right, height,
     size) by rising height. Inputs are nodes 0..m-1, merge i makes node m + i.
@@ -107,7 +102,6 @@ def ward_merges(
     was, so such pairs are merges of the sequential method too, and only nodes
     that merged or lost their nearest node need a new search.
     """
-    search = search or _searcher()
     m = len(weights)
     size, centre = weights.astype(float), centroids.astype(float).copy()
     alive = np.ones(m, dtype=bool)
@@ -116,7 +110,7 @@ def ward_merges(
     stale = np.arange(m)
     while len(found) < m - 1:
         here = np.flatnonzero(alive)
-        nearest[stale], cost[stale] = search(stale, here, size, centre)
+        nearest[stale], cost[stale] = _search(stale, here, size, centre)
         left = here[(nearest[nearest[here]] == here) & (here < nearest[here])]
         if len(left) == 0:
             # Only rounding can leave no mutual pair; a full search has one.
@@ -175,46 +169,31 @@ def cut_tree(
     return label[member].tolist()
 
 
-def ward_segments(
-    rfm: DataFrame,
-    k: int,
-    exact_points: int = EXACT_POINTS,
-    micro: int = MICRO_CLUSTERS,
-    seed: int = SEED,
-) -> tuple[DataFrame, DataFrame]:
-    """Customers in ``k`` Ward clusters of the standardised metrics, and the
-    merge tree.
-
-    Exact while there are at most ``exact_points`` distinct points. The exact
-    method compares all pairs of points, so beyond that Spark first groups the
-    points into ``micro`` micro-clusters by K-Means; their weighted merge tree
-    is Ward's method started from those groups. Only the points of the tree,
-    never more than the two bounds, reach the driver.
+def ward(
+    rfm: DataFrame, micro: int = MICRO_CLUSTERS, seed: int = SEED, rounds: int = MICRO_ROUNDS
+) -> Ward:
+    """Ward's method on the standardised metrics of all customers.
+
+    At every size the same way: Spark summarises the customers by ``micro``
+    cells (K-Means of at most ``rounds`` rounds) and Ward's method merges the weighted
+    cells. ``micro`` is the precision; half the sum of the tree's squared heights
+    and the error inside the cells add up to the error of one single cluster.
+    Only the cells reach the driver. Stage ``rfm`` first.
     """
+    features = standardize(rfm)
+    fitted = fit_micro_clusters(features, SCALED, micro, seed, rounds)
+    located = stage(with_micro(features, fitted), "located")
+    cells = summarise(located, SCALED, ["micro"]).toPandas()  # ``micro`` rows at most
+    cells = cells.sort_values("micro", ignore_index=True)
+    merges = ward_merges(cells["weight"].to_numpy(), cells[list(SCALED)].to_numpy())
+    inside = float((cells["weight"] * cells["spread"]).sum())
+    converged = fitted[1] is None or fitted[1].summary.numIter < rounds
+    return Ward(located, cells, merges, inside, converged)
+
+
+def ward_segments(
+    rfm: DataFrame, k: int, micro: int = MICRO_CLUSTERS, seed: int = SEED
+) -> DataFrame:
+    """Customers in ``k`` Ward clusters."""
     check_k(k)
-    spark = rfm.sparkSession
-    features = stage(standardize(rfm), "features")
-    points = distinct_points(features, SCALED)
-    n = points.count()
-    if n < k:
-        raise ValueError(f"cannot make {k} clusters of {n} distinct points")
-    exact = n <= exact_points
-    if exact:
-        leaves = points.toPandas().sort_values(list(SCALED), ignore_index=True)
-    else:
-        if micro < k:
-            raise ValueError("micro must be at least k")
-        fitted = fit_micro_clusters(points, SCALED, micro, seed)
-        cells = summarise(with_micro(points, fitted), SCALED, ["micro"])
-        leaves = cells.toPandas().sort_values("micro", ignore_index=True)
-    weights = leaves["weight"].to_numpy()
-    merges = ward_merges(weights, leaves[list(SCALED)].to_numpy(), _search_on(spark))
-
-    # At most ``exact_points`` or ``micro`` rows: safe to broadcast.
-    on = list(SCALED) if exact else ["micro"]
-    mapping = leaves[on].assign(**{CLUSTER: np.array(cut_tree(merges, weights, k), "int32")})
-    located = features if exact else with_micro(features, fitted)
-    segments = located.join(F.broadcast(spark.createDataFrame(mapping)), on)
-    segments = segments.select(CUSTOMER, *METRICS, *SCALED, CLUSTER)
-    tree = spark.createDataFrame([(i, *merge) for i, merge in enumerate(merges)], _MERGES)
-    return segments, tree
+    return ward(rfm, micro, seed).segments(k)

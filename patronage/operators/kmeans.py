@@ -11,20 +11,21 @@ from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import cluster_name
 from ..schema import CLUSTER, CUSTOMER, METRICS, check_k
+from .centres import nearest
 from .segments import segment_profile
 
 RAW_VECTOR = "features"
 SCALED_VECTOR = "scaled_features"
-# Seed of the fits, and the most rounds a fit may take.
+# Seed of the fits, rounds a fit may take unless told otherwise,
+# and the largest k of an elbow curve.
 SEED = 42
 MAX_ITERATIONS = 300
 ELBOW_MAX = 19
-MAX_CENTRES = 100
 
 
 def _scaler(name: str):
@@ -46,31 +47,44 @@ def feature_stages(rfm: DataFrame, scaler: str = "standard") -> PipelineModel:
     return PipelineModel(stages=[assembler, fitted])
 
 
-def _kmeans(k: int, seed: int) -> KMeans:
+def _kmeans(k: int, seed: int, max_iterations: int) -> KMeans:
     return KMeans(
         k=k,
         seed=seed,
-        maxIter=MAX_ITERATIONS,
+        maxIter=max_iterations,
         featuresCol=SCALED_VECTOR,
         predictionCol=CLUSTER,
     )
 
 
 def fit_kmeans(
-    rfm: DataFrame, k: int, scaler: str = "standard", seeds: Sequence[int] = (SEED,)
+    rfm: DataFrame,
+    k: int,
+    scaler: str = "standard",
+    seeds: Sequence[int] = (SEED,),
+    max_iterations: int = MAX_ITERATIONS,
 ) -> PipelineModel:
-    """Assembler, scaler and the K-Means fit of lowest cost among ``seeds``."""
+    """Assembler, scaler and the K-Means fit of lowest cost among ``seeds``.
+
+    ``converged`` tells whether it ended before ``max_iterations``.
+    """
     check_k(k)
     prepare = feature_stages(rfm, scaler)
     vectors = prepare.transform(rfm).select(SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [_kmeans(k, seed).fit(vectors) for seed in seeds]
+        fits = [_kmeans(k, seed, max_iterations).fit(vectors) for seed in seeds]
         best = min(fits, key=lambda fit: fit.summary.trainingCost)
     finally:
         vectors.unpersist()
     return PipelineModel(stages=[*prepare.stages, best])
 
 
+def converged(model: PipelineModel) -> bool:
+    """Whether a model fitted in this session ended before its limit of rounds."""
+    fit = model.stages[-1]
+    return fit.summary.numIter < fit.getMaxIter()
+
+
 def assign(model: PipelineModel, rfm: DataFrame) -> DataFrame:
     """Customers with their metrics and cluster, a projection over ``rfm``."""
     return model.transform(rfm).select(CUSTOMER, *METRICS, CLUSTER)
@@ -81,27 +95,15 @@ def attach_clusters(rfm: DataFrame, assignments: DataFrame) -> DataFrame:
     return rfm.join(assignments.select(CUSTOMER, CLUSTER), CUSTOMER, "inner")
 
 
-def assign_nearest(df: DataFrame, centroids: DataFrame, columns: Sequence[str]) -> DataFrame:
+def assign_nearest(
+    df: DataFrame, centroids: Sequence[tuple], columns: Sequence[str]
+) -> DataFrame:
     """Add the nearest centroid's ``cluster`` and the distance to it.
 
-    ``centroids`` (cluster, *columns) has one row per cluster; a few of them
-    become literals of a projection, so rows find their nearest centre without
-    a join. Ties go to the smallest cluster.
+    ``centroids`` are (cluster, one number per column), kept on the driver as a model's
+    centres are. Ties go to the smallest cluster.
     """
-    centres = centroids.select("cluster", *columns).limit(MAX_CENTRES + 1).collect()
-    if not 1 <= len(centres) <= MAX_CENTRES:
-        raise ValueError(f"between 1 and {MAX_CENTRES} centroids are supported")
-
-    def ranked(centre) -> Column:
-        squares = (F.pow(F.col(c).cast("double") - float(centre[c]), 2) for c in columns)
-        return F.struct(
-            sum(squares, F.lit(0.0)).alias("squared"), F.lit(centre["cluster"]).alias("cluster")
-        )
-
-    nearest = df.withColumn("_nearest", F.array_min(F.array(*map(ranked, centres))))
-    return nearest.withColumns(
-        {"cluster": F.col("_nearest.cluster"), "distance": F.sqrt("_nearest.squared")}
-    ).drop("_nearest")
+    return nearest(df, [F.col(c).cast("double") for c in columns], centroids)
 
 
 def cluster_profile(
@@ -135,8 +137,10 @@ def elbow(
     scaler: str = "standard",
     seed: int = SEED,
     parallelism: int = 4,
+    max_iterations: int = MAX_ITERATIONS,
 ) -> DataFrame:
-    """Sum of squared distances to the nearest centre for each k.
+    """(k, sse, converged): sum of squared distances to the nearest centre for each k, and
+    whether the fit ended before ``max_iterations``.
 
     One cluster needs no fit, Spark's K-Means starts at two: the cost is the
     spread about the mean. The fits share persisted vectors, a few at a time.
@@ -145,12 +149,13 @@ def elbow(
     prepare = feature_stages(rfm, scaler)
     vectors = prepare.transform(rfm).select(SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def cost(k: int) -> tuple[int, float]:
+    def cost(k: int) -> tuple[int, float, bool]:
         if k == 1:
             parts = vectors.select(F.posexplode(vector_to_array(SCALED_VECTOR)))
             spread = parts.groupBy("pos").agg(F.var_pop("col") * F.count("*"))
-            return k, float(sum(row[1] for row in spread.collect()))  # one row per metric
-        return k, float(_kmeans(k, seed).fit(vectors).summary.trainingCost)
+            return k, float(sum(row[1] for row in spread.collect())), True  # a row per metric
+        summary = _kmeans(k, seed, max_iterations).fit(vectors).summary
+        return k, float(summary.trainingCost), summary.numIter < max_iterations
 
     try:
         n = vectors.count()
@@ -164,15 +169,22 @@ def elbow(
         vectors.unpersist()
     factor = n / (n - 1) if scaler == "standard" and n > 1 else 1.0
     return rfm.sparkSession.createDataFrame(
-        [(k, cost * factor) for k, cost in costs], "k int, sse double"
+        [(k, cost * factor, done) for k, cost, done in costs], "k int, sse double, converged boolean"
     )
 
 
-def bisecting_segments(rfm: DataFrame, k: int, seed: int = SEED) -> DataFrame:
-    """Top-down hierarchical clusters: each split is a distributed two-means."""
+def bisecting_segments(
+    rfm: DataFrame, k: int, seed: int = SEED, max_iterations: int = 20
+) -> DataFrame:
+    """Top-down hierarchical clusters: each split is a distributed two-means of at most
+    ``max_iterations`` rounds."""
     check_k(k)
     prepared = feature_stages(rfm).transform(rfm)
     model = BisectingKMeans(
-        k=k, seed=seed, featuresCol=SCALED_VECTOR, predictionCol=CLUSTER
+        k=k,
+        seed=seed,
+        maxIter=max_iterations,
+        featuresCol=SCALED_VECTOR,
+        predictionCol=CLUSTER,
     ).fit(prepared)
     return model.transform(prepared).select(CUSTOMER, *METRICS, CLUSTER)

@@ -3,43 +3,22 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel, StandardScaler, StandardScalerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CUSTOMER, FIRST_ACCEPTED_DAY, LAST_ACCEPTED_DAY, SCORING_DAY
 from ..session import stage
+from .centres import CentreModel, assign_centres, centre_model, rescaled
 from .clean import accepted, validate_transactions
-from .kmeans import RAW_VECTOR, SCALED_VECTOR, assign
 from .rfm import rfm_table
 
 # Fixed value: the id given to a customer entered by hand.
 ENTERED_CUSTOMER = "00001"
 
 
-def _rescaled(model: PipelineModel, rfm: DataFrame) -> PipelineModel:
-    """The same model with its scaler fitted to ``rfm`` instead."""
-    stages = list(model.stages)
-    for i, fitted in enumerate(stages):
-        if isinstance(fitted, StandardScalerModel):
-            scaler = StandardScaler(
-                inputCol=RAW_VECTOR,
-                outputCol=SCALED_VECTOR,
-                withMean=fitted.getWithMean(),
-                withStd=fitted.getWithStd(),
-            )
-        elif isinstance(fitted, MinMaxScalerModel):
-            scaler = MinMaxScaler(inputCol=RAW_VECTOR, outputCol=SCALED_VECTOR)
-        else:
-            continue
-        before = PipelineModel(stages=stages[:i]).transform(rfm)
-        stages[i] = scaler.fit(before)
-    return PipelineModel(stages=stages)
-
-
 def score(
     transactions: DataFrame,
-    model: PipelineModel,
+    model: CentreModel | PipelineModel,
     as_of: str = SCORING_DAY,
     rescale: str = "trained",
 ) -> DataFrame:
@@ -49,18 +28,20 @@ def score(
     The scaler learned in training is used, so a customer's cluster does not
     depend on who else is in the batch; ``rescale='batch'`` fits it to the batch.
     """
+    if isinstance(model, PipelineModel):
+        model = centre_model(model)
     rfm = rfm_table(transactions, as_of=as_of, clean=False)
     if rescale == "batch":
         rfm = stage(rfm, "batch-rfm")  # read by the fit and by the prediction
-        model = _rescaled(model, rfm)
+        model = rescaled(model, rfm)
     elif rescale != "trained":
         raise ValueError(f"unknown rescale {rescale!r}")
-    return assign(model, rfm)
+    return assign_centres(model, rfm)
 
 
 def score_single(
     entered: DataFrame,
-    model: PipelineModel,
+    model: CentreModel | PipelineModel,
     as_of: str = SCORING_DAY,
     start: str = FIRST_ACCEPTED_DAY,
     end: str = LAST_ACCEPTED_DAY,

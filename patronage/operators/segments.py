@@ -58,6 +58,25 @@ def rfm_profile(scored: DataFrame, k: int) -> DataFrame:
     return segment_profile(levels(scored, k), LEVEL, k, order=order)
 
 
+def rfm_profiles(scored: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """Profiles of the rule-based segments for several ``ks`` from one pass over the customers."""
+    each = [
+        F.struct(F.lit(check_k(k)).alias(NUM_CLUSTERS), rfm_level(k).alias(LEVEL)) for k in ks
+    ]
+    rows = scored.select(*METRICS, F.explode(F.array(*each)).alias("one")).select(
+        *METRICS, F.col(f"one.{LEVEL}"), F.col(f"one.`{NUM_CLUSTERS}`")
+    )
+    means = [
+        F.bround(F.sum(metric).cast("double") / F.count("*"), 0).alias(name)
+        for metric, name in zip(METRICS, PROFILE_MEANS)
+    ]
+    profiles = rows.groupBy(LEVEL, NUM_CLUSTERS).agg(*means, F.count("*").alias(COUNT))
+    share = F.col(COUNT) / F.sum(COUNT).over(Window.partitionBy(NUM_CLUSTERS))
+    return profiles.select(
+        LEVEL, *PROFILE_MEANS, COUNT, F.bround(share * 100, 2).alias(PERCENT), NUM_CLUSTERS
+    )
+
+
 def segment_labels(profile: DataFrame, name: str) -> DataFrame:
     """Each segment's description."""
     return profile.select(name, segment_label(name).alias("label"))

@@ -9,77 +9,134 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .features import SCALED
 from .kmeans import SEED
-from .microclusters import distinct_points, fit_micro_clusters, summarise, with_micro
+from .microclusters import MICRO_CLUSTERS, fit_micro_clusters, summarise, with_micro
 
-# Up to this many distinct (cluster, point) pairs the result is exact.
-EXACT_POINTS = 20_000
-# Beyond it, distances are taken to the cells of this many micro-clusters.
-MICRO_CLUSTERS = 1_000
+# Rows of a block in the pairwise method.
+BLOCK_ROWS = 2_000
 
 _CHUNK_CELLS = 4_000_000  # distances held at once in a task
-_POINTS_PER_TASK = 200_000
 
 
 def silhouette_euclidean(
     df: DataFrame,
     label: str,
     columns: Sequence[str] = SCALED,
-    exact_points: int = EXACT_POINTS,
+    method: str = "cells",
+    cell: str | None = None,
     micro: int = MICRO_CLUSTERS,
     seed: int = SEED,
 ) -> DataFrame:
     """One row: the mean silhouette, a lower and an upper bound of it, the
     number of rows and of clusters. Every row counts; none is sampled.
 
-    A row's silhouette needs its mean distance to each cluster. Clusters are
-    summarised by cells holding weight, centroid and mean squared radius. The
-    mean distance from a point to a cell of centroid c and mean squared radius
-    v lies between ``d = |x - c|`` and ``sqrt(d^2 + v)`` (Jensen's inequality,
-    both ways), so a row's silhouette is bounded on both sides.
-
-    With at most ``exact_points`` distinct points each is its own cell, v = 0,
-    and the three results agree: this is the exact silhouette. Exact distances
-    among more points would be quadratic; then the cells are ``micro``
-    micro-clusters split by label, the work is linear in the rows, and the
-    reported value is the middle of the bounds.
+    The caller chooses the method, whatever the size of the data:
+
+    ``cells`` is linear in the rows. Clusters are summarised by cells holding
+    weight, centroid and mean squared radius: those of the column ``cell``, or ``micro``
+    micro-clusters split by label. The mean distance from a point to a cell of centroid c
+    and mean squared radius v lies between ``d = |x - c|`` and ``sqrt(d^2 + v)``
+    (Jensen's inequality, both ways), so a row's silhouette is bounded on both
+    sides; the value is the middle. The table of cells goes to every task and must be small.
+
+    ``pairwise`` is exact and quadratic: blocks of rows meet each other on
+    the executors, which send sums per row and cluster.
     """
-    points = distinct_points(df.select(F.col(label).alias("label"), *columns), ["label", *columns])
-    n = points.count()
-    if n <= exact_points:
-        cells = points.withColumn("spread", F.lit(0.0))
-    else:
-        fitted = fit_micro_clusters(points, columns, micro, seed)
-        cells = summarise(with_micro(points, fitted), columns, ["label", "micro"])
-    # At most ``exact_points``, or ``micro`` times the number of clusters.
-    known = cells.select("label", *columns, "weight", "spread").toPandas()
+    if method == "pairwise":
+        return _pairwise(df.select(F.col(label).alias("label"), *columns), list(columns))
+    if method != "cells":
+        raise ValueError(f"unknown method {method!r}")
+    rows = df.select(
+        F.col(label).alias("label"), *columns, *([F.col(cell).alias("micro")] if cell else [])
+    )
+    if cell is None:
+        rows = with_micro(rows, fit_micro_clusters(rows, columns, micro, seed))
+    rows = stage(rows, "located")
+    known = summarise(rows, columns, ["label", "micro"]).toPandas()
     names = sorted(known["label"].unique())
     if len(names) < 2:
         raise ValueError("a silhouette needs at least two clusters")
     bounds = _bounds_of_rows(known, names, list(columns))
-
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, n // _POINTS_PER_TASK)
-    per_point = points.repartition(tasks).mapInPandas(
-        bounds, "weight bigint, low double, high double"
-    )
-    total = F.sum("weight")
-    low = F.sum(F.col("weight") * F.col("low")) / total
-    high = F.sum(F.col("weight") * F.col("high")) / total
-    return per_point.agg(
+    per_row = rows.select("label", *columns).mapInPandas(bounds, "low double, high double")
+    low, high = F.avg("low"), F.avg("high")
+    return per_row.agg(
         ((low + high) / 2).alias("silhouette"),
         low.alias("silhouette_low"),
         high.alias("silhouette_high"),
-        total.alias("n_rows"),
+        F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(names)).alias("n_clusters"),
     )
 
 
+def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The exact silhouette from all distances, block against block."""
+    points = stage(rows.withColumn("id", F.monotonically_increasing_id()), "points")
+    sizes = stage(points.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    n, clusters = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    if clusters < 2:
+        raise ValueError("a silhouette needs at least two clusters")
+    blocks = -(-n // BLOCK_ROWS)
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    left = points.withColumns({"i": own, "j": every})
+    right = points.select("label", *columns, own.alias("j"), every.alias("i"))
+
+    def distances(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        x, y = one[columns].to_numpy(float), other[columns].to_numpy(float)
+        names, code = np.unique(other["label"].to_numpy(), return_inverse=True)
+        member = np.zeros((len(y), len(names)))
+        member[np.arange(len(y)), code] = 1
+        totals = np.empty((len(x), len(names)))
+        for at in range(0, len(x), 200):
+            squared = np.zeros((len(x[at : at + 200]), len(y)))
+            for c in range(x.shape[1]):
+                squared += (x[at : at + 200, c, None] - y[None, :, c]) ** 2
+            totals[at : at + 200] = np.sqrt(squared) @ member
+        return pd.DataFrame(
+            {
+                "id": np.repeat(one["id"].to_numpy(), len(names)),
+                "own": np.repeat(one["label"].to_numpy(), len(names)),
+                "other": np.tile(names, len(x)),
+                "total": totals.ravel(),
+            }
+        )
+
+    kind = rows.schema["label"].dataType.simpleString()
+    sums = (
+        left.groupBy("i", "j")
+        .cogroup(right.groupBy("i", "j"))
+        .applyInPandas(distances, f"id long, own {kind}, other {kind}, total double")
+        .groupBy("id", "own", "other")
+        .agg(F.sum("total").alias("total"))
+    )
+    same = F.col("own") == F.col("other")
+    a, b, own_size = (
+        F.max(F.when(same, F.col("total") / F.greatest(F.col("size") - 1, F.lit(1)))).alias("a"),
+        F.min(F.when(~same, F.col("total") / F.col("size"))).alias("b"),
+        F.max(F.when(same, F.col("size"))).alias("own_size"),
+    )
+    # ``sizes`` has one row per cluster; Spark broadcasts it while it is small.
+    per_row = sums.join(sizes, sums["other"] == sizes["label"]).groupBy("id").agg(a, b, own_size)
+    larger = F.greatest("a", "b")
+    value = F.when((F.col("own_size") == 1) | (larger == 0), 0.0).otherwise(
+        (F.col("b") - F.col("a")) / larger
+    )
+    mean = F.avg(value)
+    return per_row.agg(
+        mean.alias("silhouette"),
+        mean.alias("silhouette_low"),
+        mean.alias("silhouette_high"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(clusters).cast("int").alias("n_clusters"),
+    )
+
+
 def _bounds_of_rows(known: pd.DataFrame, names: list, columns: list[str]):
-    """A ``mapInPandas`` function giving each point's silhouette bounds."""
+    """A ``mapInPandas`` function giving each row's silhouette bounds."""
     centres = known[columns].to_numpy(float)
     spread = known["spread"].to_numpy(float)
-    exact = not spread.any()
     code = {name: i for i, name in enumerate(names)}
     # Column j holds the weights of the cells of cluster j.
     by_cluster = np.zeros((len(known), len(names)))
@@ -100,7 +157,7 @@ def _bounds_of_rows(known: pd.DataFrame, names: list, columns: list[str]):
                 for c in range(len(columns)):
                     squared += (x[:, c, None] - centres[None, :, c]) ** 2
                 near = np.sqrt(squared) @ by_cluster
-                far = near if exact else np.sqrt(squared + spread) @ by_cluster
+                far = np.sqrt(squared + spread) @ by_cluster
                 mine = part["label"].map(code).to_numpy()
                 rows = np.arange(len(part))
                 others = np.maximum(sizes[mine] - 1, 1)
@@ -113,6 +170,6 @@ def _bounds_of_rows(known: pd.DataFrame, names: list, columns: list[str]):
                 alone = sizes[mine] == 1
                 low = np.where(alone, 0.0, value(own_high, other_low))
                 high = np.where(alone, 0.0, value(own_low, other_high))
-                yield pd.DataFrame({"weight": part["weight"], "low": low, "high": high})
+                yield pd.DataFrame({"low": low, "high": high})
 
     return bounds

@@ -82,6 +82,17 @@ def transaction_lines(spark: SparkSession, folder: str, mixed: bool = True) -> D
     return orders_as_transactions(spark, folder).select(line.alias("value"))
 
 
+def unpadded_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions as four-field text lines with ids as they are; every fifth amount
+    has a third decimal."""
+    shown = F.format_string("%.2f", F.col(VALUE).cast("double"))
+    amount = F.when(_every(5), F.concat(shown, F.lit("7"))).otherwise(shown)
+    day = F.date_format(DATE, "yyyyMMdd")
+    return orders_as_transactions(spark, folder).select(
+        F.concat_ws(" ", F.col(CUSTOMER).cast("string"), day, F.col(QUANTITY), amount).alias("value")
+    )
+
+
 def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Events as transactions of one item each."""
     return spark.read.schema(_EVENTS).parquet(f"{folder}/events.parquet").select(

@@ -194,6 +194,60 @@ nearest AS (
     QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY distance, c.cluster) = 1
 )"""
 
+_CENTRE_ROWS = "(0, -0.5, 1.0, 1.0), (1, 0.0, 0.0, 0.0), (2, 1.5, -1.0, -1.0), (3, -0.5, -0.5, -0.5)"
+
+
+def _moments(source: str) -> str:
+    """Means and n - 1 deviations that a scoring model takes from ``source``."""
+    parts = ", ".join(
+        f"AVG(CAST({m} AS DOUBLE)) AS {n}_mean, stddev_samp(CAST({m} AS DOUBLE)) AS {n}_std"
+        for m, n in (("Recency", "r"), ("Frequency", "f"), ("Monetary", "m"))
+    )
+    return f"moments AS (SELECT {parts} FROM {source})"
+
+
+def _scored_by_centres(source: str) -> str:
+    """Customers of ``source`` at the nearest of the given centres, scaled by ``moments``."""
+    return f"""
+given(cluster, cr, cf, cm) AS (VALUES {_CENTRE_ROWS}),
+placed AS (
+    SELECT s.customer_id, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary,
+           CAST(g.cluster AS INTEGER) AS cluster,
+           ((Recency - r_mean) / r_std - cr) ^ 2 + ((Frequency - f_mean) / f_std - cf) ^ 2
+               + ((CAST(Monetary AS DOUBLE) - m_mean) / m_std - cm) ^ 2 AS squared
+    FROM {source} s CROSS JOIN moments CROSS JOIN given g
+    QUALIFY row_number() OVER (PARTITION BY s.customer_id ORDER BY squared, g.cluster) = 1
+)"""
+
+
+_PLACED = """(SELECT Recency, Frequency, Monetary, 'Cluster ' || cluster AS "Cluster" FROM placed)"""
+
+
+def _batch(source: str, where: str = "TRUE", customer: str = "customer_id") -> str:
+    """RFM of new transactions at the scoring day."""
+    return f"""
+batch AS (
+    SELECT {customer} AS customer_id,
+           CAST(date_diff('day', MAX(transaction_date), DATE '2000-06-30') AS INTEGER) AS Recency,
+           COUNT(transaction_value) AS Frequency,
+           CAST(SUM(transaction_value) AS DECIMAL(28, 2)) AS Monetary
+    FROM {source} WHERE {where} GROUP BY 1
+)"""
+
+
+_SCORED_BATCH = (_ORDERS, _RFM, _TEXT, _batch("parsed"))
+_IN_RANGE = (
+    "SELECT customer_id, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary,"
+    " TRUE AS in_range FROM rfm"
+)
+
+
+def _sizes_of(k: str) -> str:
+    """A row per k: that many segments hold all customers."""
+    return f"""SELECT CAST(k AS INTEGER) AS "Number of Clusters", CAST(k AS BIGINT) AS n_segments,
+               (SELECT COUNT(*) FROM rfm) AS n_customers FROM (SELECT unnest({k}) AS k)"""
+
+
 _NEAREST_TABLES = (_ORDERS, _RFM, _STANDARDIZED, _NEAREST)
 _NAMED_CLUSTERS = (
     "(SELECT Recency, Frequency, Monetary, 'Cluster ' || cluster AS \"Cluster\" FROM nearest)"
@@ -356,8 +410,112 @@ ORACLES: dict[str, str] = {
     + "FROM rfm",
     "assign_nearest": _with(*_NEAREST_TABLES)
     + "SELECT customer_id, cluster, ROUND(distance, 6) AS distance FROM nearest",
-    "attach_clusters": _with(*_NEAREST_TABLES)
-    + f'SELECT {_RFM_OUTPUT}, cluster AS "Cluster" FROM nearest WHERE cluster <> 2',
+    "attach_clusters": _with(
+        *_NEAREST_TABLES, _DIRTY, _rfm_of("dirty", where=_CLEAN).replace("rfm AS", "dirty_rfm AS")
+    )
+    + """SELECT d.customer_id, d.Recency, d.Frequency, CAST(d.Monetary AS DOUBLE) AS Monetary,
+         cluster AS "Cluster" FROM dirty_rfm d JOIN nearest n ON n.customer_id = d.customer_id""",
+    "sample_rows": _with(_ORDERS)
+    + f"""SELECT o_orderkey, {_TRANSACTION_OUTPUT} FROM orders_tx
+          ORDER BY md5('42|' || CAST(o_orderkey AS VARCHAR)) LIMIT 5""",
+    "parse_surplus_decimals": _with(_ORDERS)
+    + f"""SELECT * REPLACE (CAST(num_cds_purchased AS DOUBLE) AS num_cds_purchased)
+          FROM (SELECT {_transactions_of(_PADDED_ID)} FROM orders_tx WHERE o_orderkey % 5 <> 0)
+          UNION ALL BY NAME
+          SELECT concat_ws(' ', customer_id, strftime(transaction_date, '%Y%m%d'),
+                 num_cds_purchased, printf('%.2f', CAST(transaction_value AS DOUBLE)) || '7') AS value
+          FROM orders_tx WHERE o_orderkey % 5 = 0""",
+    "kmeans_segments": _with(_ORDERS, _RFM)
+    + f"SELECT {_RFM_OUTPUT}, TRUE AS in_range, TRUE AS at_nearest FROM rfm",
+    "kmeans_profile": _with(_ORDERS, _RFM)
+    + f"SELECT *, TRUE AS silhouette_in_bounds FROM ({_sizes_of('[4]')})",
+    "kmeans_minmax_profile": _with(_ORDERS, _RFM)
+    + f"SELECT *, TRUE AS silhouette_in_bounds FROM ({_sizes_of('[4]')})",
+    "kmeans_profiles": _with(_ORDERS, _RFM)
+    + f"SELECT *, TRUE AS below_one_cluster FROM ({_sizes_of('range(2, 8)')})",
+    "ward_segments": _with(_ORDERS, _RFM) + _IN_RANGE,
+    "bisecting_segments": _with(_ORDERS, _RFM) + _IN_RANGE,
+    "ward_profile": _with(_ORDERS, _RFM)
+    + f"SELECT *, TRUE AS silhouette_in_bounds FROM ({_sizes_of('[4]')})",
+    "ward_profiles": _with(_ORDERS, _RFM) + _sizes_of("range(2, 8)"),
+    "ward_merges": _with(_ORDERS, _RFM, _STANDARDIZED)
+    + """SELECT COUNT(*) AS n_customers, ROUND(SUM(zr ^ 2 + zf ^ 2 + zm ^ 2), 4) AS sse,
+         TRUE AS heights_rise, TRUE AS nodes_merge_once FROM standardized""",
+    "elbow_curve": _with(_ORDERS, _RFM, _STANDARDIZED)
+    + """SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN (SELECT
+         ROUND(SUM(zr ^ 2 + zf ^ 2 + zm ^ 2), 4) FROM standardized) END AS sse_of_one,
+         TRUE AS not_above_one FROM (SELECT unnest(range(1, 20)) AS k)""",
+    "elbow_curve_minmax": _with(_ORDERS, _RFM)
+    + """SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN (SELECT ROUND(
+         var_pop(Recency) * COUNT(*) / (MAX(Recency) - MIN(Recency)) ^ 2
+         + var_pop(Frequency) * COUNT(*) / (MAX(Frequency) - MIN(Frequency)) ^ 2
+         + var_pop(CAST(Monetary AS DOUBLE)) * COUNT(*)
+           / CAST(MAX(Monetary) - MIN(Monetary) AS DOUBLE) ^ 2, 4) FROM rfm) END AS sse_of_one,
+         TRUE AS not_above_one FROM (SELECT unnest(range(1, 20)) AS k)""",
+    "silhouette_bounded": _with(
+        *_SCORE_TABLES,
+        _STANDARDIZED,
+        f"""labelled AS (SELECT customer_id, {_LEVEL[4]} AS c, zr, zf, zm,
+            concat_ws(',', floor(zr / 0.5), floor(zf / 0.5), floor(zm / 0.5)) AS cell
+            FROM scored JOIN standardized USING (customer_id))""",
+        """cells AS (SELECT c, cell, COUNT(*) AS w, AVG(zr) AS ar, AVG(zf) AS af, AVG(zm) AS am,
+            greatest(AVG(zr ^ 2 + zf ^ 2 + zm ^ 2) - AVG(zr) ^ 2 - AVG(zf) ^ 2 - AVG(zm) ^ 2, 0)
+            AS spread FROM labelled GROUP BY c, cell)""",
+        """sizes AS (SELECT c, COUNT(*) AS size FROM labelled GROUP BY c)""",
+        """sums AS (SELECT customer_id, any_value(l.c) AS own, k.c AS other,
+            SUM(w * sqrt((zr - ar) ^ 2 + (zf - af) ^ 2 + (zm - am) ^ 2)) AS near,
+            SUM(w * sqrt((zr - ar) ^ 2 + (zf - af) ^ 2 + (zm - am) ^ 2 + spread)) AS far
+            FROM labelled l CROSS JOIN cells k GROUP BY customer_id, k.c)""",
+        """parts AS (SELECT customer_id, any_value(own) AS own,
+            MAX(CASE WHEN own = other THEN near / greatest(size - 1, 1) END) AS own_near,
+            MAX(CASE WHEN own = other THEN far / greatest(size - 1, 1) END) AS own_far,
+            MIN(CASE WHEN own <> other THEN near / size END) AS other_near,
+            MIN(CASE WHEN own <> other THEN far / size END) AS other_far,
+            MAX(CASE WHEN own = other THEN size END) AS own_size
+            FROM sums JOIN sizes ON sizes.c = sums.other GROUP BY customer_id)""",
+        """bounds AS (SELECT own,
+            CASE WHEN own_size = 1 THEN 0
+                 ELSE (other_near - own_far) / greatest(other_near, own_far) END AS low,
+            CASE WHEN own_size = 1 THEN 0
+                 ELSE (other_far - own_near) / greatest(other_far, own_near) END AS high
+            FROM parts)""",
+    )
+    + """SELECT ROUND((AVG(low) + AVG(high)) / 2, 6) AS silhouette,
+         ROUND(AVG(low), 6) AS silhouette_low, ROUND(AVG(high), 6) AS silhouette_high,
+         COUNT(*) AS n_rows, CAST(COUNT(DISTINCT own) AS INTEGER) AS n_clusters FROM bounds""",
+    "score_single": _with(
+        _ORDERS,
+        _RFM,
+        _moments("rfm"),
+        _batch(
+            "orders_tx", f"({_reason('1996-01-01', '2000-06-30')}) IS NULL", customer="'00001'"
+        ),
+        _scored_by_centres("batch"),
+    )
+    + 'SELECT customer_id, Recency, Frequency, Monetary, cluster AS "Cluster" FROM placed',
+    "score_batch": _with(*_SCORED_BATCH, _moments("rfm"), _scored_by_centres("batch"))
+    + _profile_of(_PLACED, '"Cluster"', 4),
+    "score_batch_rescaled": _with(*_SCORED_BATCH, _moments("batch"), _scored_by_centres("batch"))
+    + _profile_of(_PLACED, '"Cluster"', 4),
+    "score_customers": _with(*_SCORED_BATCH, _moments("rfm"), _scored_by_centres("batch"))
+    + """SELECT customer_id, Recency, Frequency, Monetary, cluster AS "Cluster",
+         CAST(4 AS INTEGER) AS "Number of Clusters" FROM placed""",
+    "select_model": _with(*_SCORE_TABLES)
+    + f"""SELECT "Model", n_segments, (SELECT COUNT(*) FROM rfm) AS n_customers,
+          CAST(3 AS BIGINT) AS n_compared
+          FROM (SELECT 'RFM' AS "Model", COUNT(DISTINCT {_LEVEL[4]}) AS n_segments FROM scored
+                UNION ALL SELECT 'KMeans', CAST(4 AS BIGINT)
+                UNION ALL SELECT 'Hierarchical', CAST(4 AS BIGINT))""",
+    "stream_scoring": _with(
+        _EVENTS,
+        _rfm_of("event_tx", where=_CLEAN),
+        _moments("rfm"),
+        _rfm_of(
+            "event_tx", as_of="2024-01-31", where=f"({_EVENT_REASON}) IS NULL"
+        ).replace("rfm AS", "live AS"),
+        _scored_by_centres("live"),
+    )
+    + 'SELECT customer_id, Recency, Frequency, Monetary, cluster AS "Cluster" FROM placed',
     "cluster_profile": _with(*_NEAREST_TABLES) + _profile_of(_NAMED_CLUSTERS, '"Cluster"', 4),
     "cluster_profile_2dp": _with(*_NEAREST_TABLES)
     + _profile_of(_NAMED_CLUSTERS, '"Cluster"', 4, digits=2),

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import clean, comparison, density, describe, features, hierarchy, kmeans
+from ..operators import centres, clean, comparison, density, describe, features, hierarchy
+from ..operators import kmeans
 from ..operators import ranking, rfm, scoring, segments, silhouette
 from ..schema import (
     CLUSTER,
@@ -47,6 +48,7 @@ ORDER_DAYS = ("1996-01-01", "2000-06-30")
 EVENT_DAYS = ("2024-01-03", "2024-01-27")
 EVENT_AS_OF = "2024-01-31"
 # Centres on the standardised metrics for the queries that assign to given centres.
+CELL_STEP = 0.5
 CENTRES = ((0, -0.5, 1.0, 1.0), (1, 0.0, 0.0, 0.0), (2, 1.5, -1.0, -1.0), (3, -0.5, -0.5, -0.5))
 
 
@@ -80,10 +82,32 @@ def _standardized(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _nearest(spark: SparkSession, folder: str) -> DataFrame:
-    centres = spark.createDataFrame(
-        CENTRES, "cluster int, " + ", ".join(f"{c} double" for c in features.SCALED)
+    return kmeans.assign_nearest(_standardized(spark, folder), CENTRES, features.SCALED)
+
+
+def _given_model(customers: DataFrame) -> centres.CentreModel:
+    """The given centres with the customers' scaling."""
+    unscaled = centres.CentreModel(
+        centres.STANDARD, (0.0,) * 3, (1.0,) * 3, tuple(c[1:] for c in CENTRES)
     )
-    return kmeans.assign_nearest(_standardized(spark, folder), centres, features.SCALED)
+    return centres.rescaled(unscaled, customers)
+
+
+def _in_range(assigned: DataFrame, k: int) -> DataFrame:
+    """Assignments with a flag in place of the cluster's number, which a fit chooses."""
+    in_range = F.col(CLUSTER).between(0, k - 1).alias("in_range")
+    return _shown(assigned.select(CUSTOMER, *METRICS, in_range))
+
+
+def _sizes(profile: DataFrame, by) -> DataFrame:
+    """Segments and customers of profiles whose segments' numbers a fit chooses."""
+    return profile.groupBy(*by).agg(
+        F.count(F.lit(1)).cast("long").alias("n_segments"), F.sum(COUNT).alias("n_customers")
+    )
+
+
+def _one_cluster_error(scaled: DataFrame) -> float:
+    return features.squared_error_of_one_cluster(scaled).first()["sse"]
 
 
 # --- sources and sinks
@@ -110,6 +134,15 @@ def parse_transactions_four_fields(spark: SparkSession, folder: str) -> DataFram
     return _shown(transactions_source.parse_transactions(lines, layouts=(4,))[0])
 
 
+def parse_surplus_decimals(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with unpadded ids, some with a third decimal, parsed in one pass."""
+    path, lines = scratch_path(spark, "parsed"), bindings.unpadded_lines(spark, folder)
+    transactions_source.write_parsed(lines, path, id_width=10)
+    good, rejects = transactions_source.read_parsed(spark, path)
+    good = good.withColumn(QUANTITY, F.col(QUANTITY).cast("double"))
+    return _shown(good).unionByName(rejects, allowMissingColumns=True)
+
+
 def parse_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return transactions_source.parse_transactions(_mixed_lines(spark, folder))[1]
 
@@ -129,9 +162,7 @@ def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def results_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "results")
-    scored = _scored(spark, folder)
-    for k in KS:
-        results_source.save_results(segments.rfm_profile(scored, k), path)
+    results_source.save_results(segments.rfm_profiles(_scored(spark, folder), KS), path)
     return results_source.read_results(spark, path, LEVEL)
 
 
@@ -202,7 +233,8 @@ def validate_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(describe.sample_rows(bindings.transactions(spark, folder)))
+    rows = bindings.orders_as_transactions(spark, folder)
+    return _shown(describe.sample_rows(rows, [bindings.ORDER]))
 
 
 def head_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,8 +342,8 @@ def assign_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 def attach_clusters(spark: SparkSession, folder: str) -> DataFrame:
     stored = _nearest(spark, folder).select(CUSTOMER, F.col("cluster").alias(CLUSTER))
-    stored = stored.where(F.col(CLUSTER) != 2)
-    return _shown(kmeans.attach_clusters(_rfm(spark, folder), stored))
+    customers = segmentation.staged_rfm(bindings.dirty_transactions(spark, folder))
+    return _shown(kmeans.attach_clusters(customers, stored))
 
 
 def cluster_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -324,28 +356,101 @@ def cluster_profile_2dp(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Each customer beside what must hold of a fit: the cluster is one of four, and
+    its centre is the nearest of the fitted ones."""
     customers = _rfm(spark, folder)
-    return _shown(kmeans.assign(kmeans.fit_kmeans(customers, 4), customers))
+    model = kmeans.fit_kmeans(customers, 4)
+    fitted = centres.centre_model(model)
+    numbered = [(i, *centre) for i, centre in enumerate(fitted.centres)]
+    assigned = stage(kmeans.assign(model, customers), "assigned")
+    placed = centres.nearest(assigned, fitted.scaled(), numbered)
+    own = F.sqrt(
+        sum(
+            F.pow(value - F.element_at(F.array(*[F.lit(c[i]) for c in fitted.centres]),
+                                       F.col(CLUSTER) + 1), 2)
+            for i, value in enumerate(fitted.scaled())
+        )
+    )
+    return _shown(
+        placed.select(
+            CUSTOMER,
+            *METRICS,
+            F.col(CLUSTER).between(0, 3).alias("in_range"),
+            (own <= F.col("distance") + 1e-9).alias("at_nearest"),
+        )
+    )
 
 
 def kmeans_profile(spark: SparkSession, folder: str) -> DataFrame:
     result = segmentation.kmeans_segmentation(_rfm(spark, folder), 4)
-    return result.profile.withColumn(SILHOUETTE, F.lit(result.silhouette))
+    bounded = F.lit(-1 <= result.silhouette <= 1).alias("silhouette_in_bounds")
+    return _sizes(result.profile, [NUM_CLUSTERS]).select("*", bounded)
+
+
+def kmeans_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """K-Means for every supported k: sizes, and whether more clusters than one pay."""
+    customers = _rfm(spark, folder)
+    one = _one_cluster_error(stage(features.standardize(customers), "scaled"))
+    out = None
+    for k in KS:
+        model = kmeans.fit_kmeans(customers, k)
+        assigned = kmeans.assign(model, customers)
+        cost = model.stages[-1].summary.trainingCost
+        row = _sizes(kmeans.cluster_profile(assigned, k), [NUM_CLUSTERS]).withColumn(
+            "below_one_cluster", F.lit(cost < one)
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def score_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """A scored batch saved customer by customer, and read back."""
+    path = scratch_path(spark, "scored")
+    batch, _ = transactions_source.parse_transactions(_mixed_lines(spark, folder))
+    scored = _shown(scoring.score(batch, _given_model(_rfm(spark, folder)), AS_OF))
+    rows = scored.withColumn(NUM_CLUSTERS, F.lit(len(CENTRES)))
+    results_source.save_results(rows, path)
+    return results_source.read_results(spark, path, rows.schema)
+
+
+def select_model(spark: SparkSession, folder: str) -> DataFrame:
+    """All three models built, saved and read back for selection."""
+    root = scratch_path(spark, "project")
+    segmentation.build_project(spark, bindings.transactions(spark, folder), 4, root)
+    compared, combined = segmentation.select_model(spark, 4, root)
+    return _sizes(combined, [MODEL]).crossJoin(
+        F.broadcast(compared.agg(F.count(F.lit(1)).alias("n_compared")))
+    )
 
 
 def kmeans_minmax_profile(spark: SparkSession, folder: str) -> DataFrame:
     customers = _rfm(spark, folder)
     model = kmeans.fit_kmeans(customers, 4, scaler="minmax")
     profile = kmeans.cluster_profile_descending(kmeans.assign(model, customers), 4)
-    return profile.withColumn(SILHOUETTE, F.lit(kmeans.silhouette_squared(model.transform(customers))))
+    silhouette_value = kmeans.silhouette_squared(model.transform(customers))
+    bounded = F.lit(-1 <= silhouette_value <= 1).alias("silhouette_in_bounds")
+    return _sizes(profile, [NUM_CLUSTERS]).select("*", bounded)
+
+
+def _elbow_shown(curve: DataFrame, one: float) -> DataFrame:
+    """The cost of one cluster, which SQL knows, and that no other k costs more."""
+    return curve.select(
+        "k",
+        F.round(F.when(F.col("k") == 1, F.col("sse")), 4).alias("sse_of_one"),
+        ((F.col("sse") >= 0) & (F.col("sse") <= one * (1 + 1e-9))).alias("not_above_one"),
+    )
 
 
 def elbow_curve(spark: SparkSession, folder: str) -> DataFrame:
-    return kmeans.elbow(_rfm(spark, folder))
+    customers = _rfm(spark, folder)
+    one = _one_cluster_error(stage(features.standardize(customers), "scaled"))
+    return _elbow_shown(kmeans.elbow(customers), one)
 
 
 def elbow_curve_minmax(spark: SparkSession, folder: str) -> DataFrame:
-    return kmeans.elbow(_rfm(spark, folder), range(2, 20), "minmax")
+    customers = _rfm(spark, folder)
+    one = _one_cluster_error(stage(features.minmax(customers), "scaled"))
+    return _elbow_shown(kmeans.elbow(customers, range(1, 20), "minmax"), one)
 
 
 def sse_k1(spark: SparkSession, folder: str) -> DataFrame:
@@ -359,14 +464,18 @@ def _levelled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silhouette_euclidean(spark: SparkSession, folder: str) -> DataFrame:
-    result = silhouette.silhouette_euclidean(_levelled(spark, folder), LEVEL)
+    result = silhouette.silhouette_euclidean(
+        _levelled(spark, folder), LEVEL, method="pairwise"
+    )
     return _rounded(result.select("silhouette", "n_rows", "n_clusters"), ["silhouette"])
 
 
 def silhouette_bounded(spark: SparkSession, folder: str) -> DataFrame:
-    return silhouette.silhouette_euclidean(
-        _levelled(spark, folder), LEVEL, exact_points=0, micro=100
-    )
+    """Bounds from the cells of a grid of half deviations."""
+    steps = [F.floor(F.col(c) / CELL_STEP).cast("string") for c in features.SCALED]
+    rows = _levelled(spark, folder).withColumn("cell", F.concat_ws(",", *steps))
+    result = silhouette.silhouette_euclidean(rows, LEVEL, cell="cell")
+    return _rounded(result, ["silhouette", "silhouette_low", "silhouette_high"])
 
 
 def silhouette_squared(spark: SparkSession, folder: str) -> DataFrame:
@@ -381,21 +490,44 @@ def silhouette_squared(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ward_segments(spark: SparkSession, folder: str) -> DataFrame:
-    segmented, _ = hierarchy.ward_segments(_rfm(spark, folder), 4)
-    return _shown(segmented.select(CUSTOMER, *METRICS, CLUSTER))
+    return _in_range(hierarchy.ward_segments(_rfm(spark, folder), 4), 4)
 
 
 def ward_merges(spark: SparkSession, folder: str) -> DataFrame:
-    return hierarchy.ward_segments(_rfm(spark, folder), 4)[1]
+    """What must hold of a merge tree: half its squared heights and the error inside
+    the cells make the error of one cluster, heights rise, each node merges once."""
+    found = hierarchy.ward(_rfm(spark, folder))
+    tree = found.tree
+    above = F.lag("height").over(Window.orderBy("step"))  # a row per merge of cells
+    checked = tree.withColumn("rises", F.coalesce(F.col("height") >= above, F.lit(True)))
+    nodes = tree.select(F.explode(F.array("left", "right")).alias("node"))
+    once = nodes.groupBy("node").count().agg(F.max("count")).first()[0] == 1
+    return checked.agg(
+        F.max("size").alias("n_customers"),
+        F.round(F.sum(F.pow("height", F.lit(2))) / 2 + found.squared_error_inside, 4).alias("sse"),
+        F.bool_and("rises").alias("heights_rise"),
+        F.lit(once).alias("nodes_merge_once"),
+    )
 
 
 def ward_profile(spark: SparkSession, folder: str) -> DataFrame:
     result = segmentation.ward_segmentation(_rfm(spark, folder), 4)
-    return result.profile.withColumn(SILHOUETTE, F.lit(result.silhouette))
+    bounded = F.lit(-1 <= result.silhouette <= 1).alias("silhouette_in_bounds")
+    return _sizes(result.profile, [NUM_CLUSTERS]).select("*", bounded)
+
+
+def ward_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """One tree cut for every supported k."""
+    found = hierarchy.ward(_rfm(spark, folder))
+    out = None
+    for k in KS:
+        profile = kmeans.cluster_profile(found.segments(k), k)
+        out = profile if out is None else out.unionByName(profile)
+    return _sizes(out, [NUM_CLUSTERS])
 
 
 def bisecting_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(kmeans.bisecting_segments(_rfm(spark, folder), 4))
+    return _in_range(kmeans.bisecting_segments(_rfm(spark, folder), 4), 4)
 
 
 # --- comparing
@@ -419,21 +551,22 @@ def comparison_for_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_single(spark: SparkSession, folder: str) -> DataFrame:
-    model = kmeans.fit_kmeans(_rfm(spark, folder), 4)
+    model = _given_model(_rfm(spark, folder))
     entered = bindings.transactions(spark, folder).drop(CUSTOMER)
     return _shown(scoring.score_single(entered, model, AS_OF, *ORDER_DAYS))
 
 
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
-    model = kmeans.fit_kmeans(_rfm(spark, folder), 4)
+    path = scratch_path(spark, "centres")
+    centres.save_centres(spark, _given_model(_rfm(spark, folder)), path)
+    model = centres.load_centres(spark, path)
     batch, _ = transactions_source.parse_transactions(_mixed_lines(spark, folder))
     return kmeans.cluster_profile(scoring.score(batch, model, AS_OF), 4)
 
 
 def score_batch_rescaled(spark: SparkSession, folder: str) -> DataFrame:
-    model = kmeans.fit_kmeans(_rfm(spark, folder), 4)
+    model = _given_model(_rfm(spark, folder))
     batch, _ = transactions_source.parse_transactions(_mixed_lines(spark, folder))
-    batch = stage(batch, "batch")
     return kmeans.cluster_profile(scoring.score(batch, model, AS_OF, rescale="batch"), 4)
 
 
@@ -451,13 +584,14 @@ def stream_rfm(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "totals"), scratch_path(spark, "totals-checkpoint")
     stream = _event_stream(spark, folder)
     purchases.start_totals(stream, out, checkpoint, *EVENT_DAYS).awaitTermination()
+    purchases.compact_totals(spark, out)
     totals = purchases.current_totals(spark, out)
     return _shown(purchases.totals_as_of(totals, EVENT_AS_OF))
 
 
 def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-checkpoint")
-    model = kmeans.fit_kmeans(stage(rfm.rfm_table(bindings.event_transactions(spark, folder))), 3)
+    model = _given_model(stage(rfm.rfm_table(bindings.event_transactions(spark, folder))))
     purchases.start_scoring(
         _event_stream(spark, folder), model, out, checkpoint, EVENT_AS_OF, *EVENT_DAYS
     ).awaitTermination()
@@ -511,6 +645,7 @@ QUERIES: dict[str, Query] = {
         cluster_profile_2dp,
         kmeans_segments,
         kmeans_profile,
+        kmeans_profiles,
         kmeans_minmax_profile,
         elbow_curve,
         elbow_curve_minmax,
@@ -521,12 +656,16 @@ QUERIES: dict[str, Query] = {
         ward_segments,
         ward_merges,
         ward_profile,
+        ward_profiles,
         bisecting_segments,
         combined_results,
         comparison_for_k,
         score_single,
         score_batch,
         score_batch_rescaled,
+        score_customers,
+        select_model,
+        parse_surplus_decimals,
         stream_rfm,
         stream_scoring,
         stream_rejects,

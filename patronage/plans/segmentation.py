@@ -8,10 +8,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.centres import assign_centres, centre_model
 from ..operators.comparison import combined_results, comparison_for_k, timed
 from ..operators.features import standardize
 from ..operators.hierarchy import ward_segments
-from ..operators.kmeans import SEED, assign, cluster_profile, fit_kmeans
+from ..operators.kmeans import SEED, cluster_profile, fit_kmeans
 from ..operators.ranking import quartiles
 from ..operators.rfm import rfm_table
 from ..operators.segments import rfm_profile, scores
@@ -74,7 +75,8 @@ def kmeans_segmentation(
     fit_seconds = time.perf_counter() - started
     if model_path is not None:
         save_model(model, model_path)
-    assigned, seconds = timed(lambda: assign(model, rfm))
+    centres = centre_model(model)
+    assigned, seconds = timed(lambda: assign_centres(centres, rfm))
     profile = stage(cluster_profile(assigned, k), "profile")
     silhouette = euclidean_silhouette_of(assigned)
     return Segmentation(KMEANS_MODEL, k, profile, seconds, silhouette, fit_seconds)
@@ -83,7 +85,7 @@ def kmeans_segmentation(
 def ward_segmentation(rfm: DataFrame, k: int) -> Segmentation:
     """Ward clustering; ``seconds`` covers building the tree and assigning."""
     check_k(k)
-    assigned, seconds = timed(lambda: ward_segments(rfm, k)[0])
+    assigned, seconds = timed(lambda: ward_segments(rfm, k))
     profile = stage(cluster_profile(assigned, k), "profile")
     silhouette = silhouette_euclidean(assigned, CLUSTER).head()["silhouette"]
     return Segmentation(WARD_MODEL, k, profile, seconds, silhouette, seconds)

@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_FOLDER = "patronage"
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates: ``spark.checkpoint.dir``.
 
-    Only a local-mode session may do without the setting; on a cluster a
-    machine-local folder would be invisible to the other executors.
+    A session without the setting uses a folder below its warehouse, which every
+    executor of a cluster reaches as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="patronage-")
-    return _local_roots[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/{_FOLDER}/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, never reused path under the scratch folder."""
-    return f"{scratch_root(spark)}/patronage/{name}-{uuid.uuid4().hex}"
+    """A new, never reused path in this application's scratch folder."""
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -42,3 +40,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged; frames read from it end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(path, True)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import CUSTOMER, DATE, MONEY, QUANTITY, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA, VALUE
 
@@ -17,6 +18,8 @@ FIELD_POSITIONS = {
 }
 LAYOUTS = tuple(FIELD_POSITIONS)
 
+REJECTED = "rejected"
+
 
 def _with_fields(lines: DataFrame) -> DataFrame:
     """Add ``parts``, the whitespace-separated fields of ``value``; outer blanks
@@ -49,23 +52,34 @@ def _converted(raw: dict[str, Column]) -> dict[str, Column]:
         CUSTOMER: raw[CUSTOMER],
         DATE: _compact_date(raw[DATE]),
         QUANTITY: _whole_number(raw[QUANTITY]),
-        VALUE: raw[VALUE].try_cast(MONEY),
+        VALUE: _money(raw[VALUE]),
     }
 
 
-def parse_transactions(
-    lines: DataFrame,
-    layouts: Sequence[int] = LAYOUTS,
-    mode: str = "permissive",
-) -> tuple[DataFrame, DataFrame]:
-    """Transactions and rejects from text lines (column ``value``).
+def _money(text: Column) -> Column:
+    """Amount with no more decimals than money has; null if it is not one.
 
-    Lines whose number of fields is not among ``layouts`` are skipped. Among
-    the others, a date or number that does not convert makes the line a reject
-    (``permissive``) or fails the job (``failfast``; rejects are then empty).
+    A cast alone would round further decimals silently.
+    """
+    exact, amount = text.try_cast("decimal(38,12)"), text.try_cast(MONEY)
+    return F.when(exact == amount, amount)
+
+
+def _padded(customer: Column, width: int | None) -> Column:
+    """Ids shorter than ``width`` filled up with zeros on the left, so that they sort as numbers."""
+    if width is None:
+        return customer
+    return F.when(F.length(customer) < width, F.lpad(customer, width, "0")).otherwise(customer)
+
+
+def typed_transactions(
+    lines: DataFrame, layouts: Sequence[int] = LAYOUTS, id_width: int | None = None
+) -> DataFrame:
+    """Text lines (column ``value``) with their typed columns and a flag ``rejected``.
+
+    Lines whose number of fields is not among ``layouts`` are skipped. A date or number
+    that does not convert, or an amount with surplus decimals, makes the line rejected.
     """
-    if mode not in ("permissive", "failfast"):
-        raise ValueError(f"unknown mode {mode!r}")
     unknown = set(layouts) - set(FIELD_POSITIONS)
     if unknown or not layouts:
         raise ValueError(f"layouts must be some of {LAYOUTS}, got {tuple(layouts)}")
@@ -81,10 +95,51 @@ def parse_transactions(
             choice = F.when(here, field) if choice is None else choice.when(here, field)
         return choice
 
-    typed = parts.select("value", *(c.alias(n) for n, c in _converted(
-        {c: raw(c) for c in TRANSACTION_COLUMNS}
-    ).items()))
+    converted = _converted({c: raw(c) for c in TRANSACTION_COLUMNS})
+    converted[CUSTOMER] = _padded(converted[CUSTOMER], id_width)
+    typed = parts.select("value", *(c.alias(n) for n, c in converted.items()))
     bad = F.col(DATE).isNull() | F.col(QUANTITY).isNull() | F.col(VALUE).isNull()
+    return typed.withColumn(REJECTED, bad)
+
+
+def write_parsed(
+    lines: DataFrame, path: str, layouts: Sequence[int] = LAYOUTS, id_width: int | None = None
+) -> None:
+    """Write transactions and rejects in one pass over the lines, one directory each.
+
+    Read ``rejected=false`` for the transactions, ``rejected=true`` for the rejects'
+    lines: ``read_parsed`` does.
+    """
+    typed = typed_transactions(lines, layouts, id_width)
+    line = F.when(F.col(REJECTED), F.col("value")).alias("value")  # good lines are not kept twice
+    typed.select(line, *TRANSACTION_COLUMNS, REJECTED).write.partitionBy(REJECTED).parquet(path)
+
+
+def read_parsed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Transactions and rejects as ``write_parsed`` left them."""
+    added = [T.StructField("value", T.StringType()), T.StructField(REJECTED, T.BooleanType())]
+    both = spark.read.schema(T.StructType([*TRANSACTION_SCHEMA.fields, *added])).parquet(path)
+    return (
+        both.where(~F.col(REJECTED)).select(*TRANSACTION_COLUMNS),
+        both.where(F.col(REJECTED)).select("value"),
+    )
+
+
+def parse_transactions(
+    lines: DataFrame,
+    layouts: Sequence[int] = LAYOUTS,
+    mode: str = "permissive",
+    id_width: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Transactions and rejects from text lines (column ``value``).
+
+    As ``typed_transactions``; a line that does not convert is a reject (``permissive``)
+    or fails the job (``failfast``; rejects are then empty). The two are plans
+    over the same lines; to read those once for both, use ``write_parsed``.
+    """
+    if mode not in ("permissive", "failfast"):
+        raise ValueError(f"unknown mode {mode!r}")
+    typed, bad = typed_transactions(lines, layouts, id_width), F.col(REJECTED)
     if mode == "failfast":
         message = F.concat(F.lit("cannot convert transaction line: "), F.col("value"))
         good = typed.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
@@ -112,10 +167,7 @@ def load_transactions(spark: SparkSession, path: str, id_width: int | None = Non
     message = F.concat(F.lit("not a four-column transaction line: "), F.col("value"))
     checked = parts.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
     rows = checked.select(*(value.alias(column) for column, value in typed.items()))
-    if id_width is not None:
-        padded = F.when(F.length(CUSTOMER) < id_width, F.lpad(CUSTOMER, id_width, "0"))
-        rows = rows.withColumn(CUSTOMER, F.coalesce(padded, F.col(CUSTOMER)))
-    return rows
+    return rows.withColumn(CUSTOMER, _padded(F.col(CUSTOMER), id_width))
 
 
 def row_count(df: DataFrame) -> DataFrame:

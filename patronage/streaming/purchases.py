@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import accepted, rejected, validate_transactions
-from ..operators.kmeans import assign
+from ..operators.centres import CentreModel, assign_centres, centre_model
 from ..operators.rfm import LAST_DATE, customer_totals
 from ..schema import (
     CLUSTER,
@@ -28,6 +28,7 @@ from ..schema import (
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _BATCH = "batch"
+_SNAPSHOTS, _UNTIL = "_snapshots", "until"
 # Unless told otherwise a query takes what has arrived, in batches, and stops.
 _ALL_AVAILABLE = {"availableNow": True}
 
@@ -99,21 +100,74 @@ def start_totals(
     return _start(running_totals(stream, start, end), _writer(out), checkpoint, trigger)
 
 
-def current_totals(spark: SparkSession, out: str) -> DataFrame:
-    """Newest totals per customer from the output of ``start_totals``.
+def _newest_totals(rows: DataFrame) -> DataFrame:
+    """Accepted values are positive, so totals only grow and the newest are the
+    largest; no ordering by batch is needed."""
+    newest = [F.max(c).alias(c) for c in (LAST_DATE, FREQUENCY, MONETARY)]
+    return rows.groupBy(CUSTOMER).agg(*newest, F.max(_BATCH).alias(_BATCH))
+
 
-    Accepted values are positive, so totals only grow and the newest are the
-    largest; no ordering by batch is needed.
+def _newest_scores(rows: DataFrame) -> DataFrame:
+    newest = [F.max_by(c, _BATCH).alias(c) for c in (*METRICS, CLUSTER)]
+    return rows.groupBy(CUSTOMER).agg(*newest, F.max(_BATCH).alias(_BATCH))
+
+
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished directories ``prefix=number`` in a folder, rising."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    done = []
+    for status in system.listStatus(path):
+        name, _, number = status.getPath().getName().partition("=")
+        finished = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if name == prefix and system.exists(finished):
+            done.append(int(number))
+    return sorted(done)
+
+
+def _live(spark: SparkSession, out: str) -> DataFrame | None:
+    """The newest snapshot and the batches after it; None before the first batch."""
+    snapshots = _numbers(spark, f"{out}{_SNAPSHOTS}", _UNTIL)
+    until = snapshots[-1] if snapshots else -1
+    newer = [b for b in _numbers(spark, out, _BATCH) if b > until]
+    rows = None
+    if newer:
+        paths = [f"{out}/{_BATCH}={b}" for b in newer]
+        rows = spark.read.option("basePath", out).parquet(*paths)
+        rows = rows.withColumn(_BATCH, F.col(_BATCH).cast("long"))
+    if snapshots:
+        before = spark.read.parquet(f"{out}{_SNAPSHOTS}/{_UNTIL}={until}")
+        rows = before if rows is None else before.unionByName(rows)
+    return rows
+
+
+def _compact(spark: SparkSession, out: str, newest: Callable[[DataFrame], DataFrame]) -> None:
+    batches = _numbers(spark, out, _BATCH)
+    snapshots = _numbers(spark, f"{out}{_SNAPSHOTS}", _UNTIL)
+    if batches and (not snapshots or batches[-1] > snapshots[-1]):
+        target = f"{out}{_SNAPSHOTS}/{_UNTIL}={batches[-1]}"
+        newest(_live(spark, out)).write.mode("overwrite").parquet(target)
+
+
+def compact_totals(spark: SparkSession, out: str) -> None:
+    """Fold the finished batches of ``start_totals`` into a new snapshot beside the old ones.
+
+    Readers then read that snapshot and newer batches, however many came before. Run
+    it from time to time; older snapshots and folded batches may be expired.
     """
-    return (
-        spark.read.parquet(out)
-        .groupBy(CUSTOMER)
-        .agg(
-            F.max(LAST_DATE).alias(LAST_DATE),
-            F.max(FREQUENCY).alias(FREQUENCY),
-            F.max(MONETARY).alias(MONETARY),
-        )
-    )
+    _compact(spark, out, _newest_totals)
+
+
+def compact_scores(spark: SparkSession, out: str) -> None:
+    """As ``compact_totals``, for the output of ``start_scoring``."""
+    _compact(spark, out, _newest_scores)
+
+
+def current_totals(spark: SparkSession, out: str) -> DataFrame:
+    """Newest totals per customer from the output of ``start_totals``."""
+    return _newest_totals(_live(spark, out)).drop(_BATCH)
 
 
 def totals_as_of(totals: DataFrame, as_of: str) -> DataFrame:
@@ -127,7 +181,7 @@ def totals_as_of(totals: DataFrame, as_of: str) -> DataFrame:
 
 def start_scoring(
     stream: DataFrame,
-    model: PipelineModel,
+    model: CentreModel | PipelineModel,
     out: str,
     checkpoint: str,
     as_of: str = SCORING_DAY,
@@ -136,17 +190,17 @@ def start_scoring(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write the changed customers with their cluster after every micro-batch."""
+    centres = centre_model(model) if isinstance(model, PipelineModel) else model
 
     def scored(totals: DataFrame) -> DataFrame:
-        return assign(model, totals_as_of(totals, as_of))
+        return assign_centres(centres, totals_as_of(totals, as_of))
 
     return _start(running_totals(stream, start, end), _writer(out, scored), checkpoint, trigger)
 
 
 def current_scores(spark: SparkSession, out: str) -> DataFrame:
     """Newest metrics and cluster per customer from the output of ``start_scoring``."""
-    newest = [F.max_by(c, _BATCH).alias(c) for c in (*METRICS, CLUSTER)]
-    return spark.read.parquet(out).groupBy(CUSTOMER).agg(*newest)
+    return _newest_scores(_live(spark, out)).drop(_BATCH)
 
 
 def start_rejects(

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from patronage.operators import comparison, features, hierarchy, kmeans, scoring, silhouette
+from patronage.operators import centres, comparison, features, hierarchy, kmeans, scoring, silhouette
 from patronage.plans import segmentation
 from patronage.schema import METRICS, TRANSACTION_SCHEMA
 from patronage.session import scratch_path, stage
@@ -48,9 +48,9 @@ def test_kmeans_finds_the_blobs_and_assigns_to_the_nearest_centre(blobs):
         groups.setdefault(r["customer_id"] // 100, set()).add(r["Cluster"])
     assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == 3
     scaled = model.transform(blobs).select(kmeans.SCALED_VECTOR, "Cluster").collect()
-    centres = np.array(model.stages[-1].clusterCenters())
+    fitted = np.array(model.stages[-1].clusterCenters())
     for r in scaled:
-        distances = ((centres - r[0].toArray()) ** 2).sum(axis=1)
+        distances = ((fitted - r[0].toArray()) ** 2).sum(axis=1)
         assert distances[r["Cluster"]] == distances.min()
     assert kmeans.silhouette_squared(model.transform(blobs)) > 0.9
     with pytest.raises(ValueError):
@@ -83,14 +83,34 @@ def test_elbow(blobs):
 
 
 def test_assign_nearest(spark, blobs):
-    centres = spark.createDataFrame([(7, *BLOBS[0]), (3, *BLOBS[1]), (5, *BLOBS[2])],
-                                    ["cluster", *METRICS])
-    rows = kmeans.assign_nearest(blobs, centres, METRICS).collect()
+    given = [(7, *BLOBS[0]), (3, *BLOBS[1]), (5, *BLOBS[2])]
+    rows = kmeans.assign_nearest(blobs, given, METRICS).collect()
     assert {(r["customer_id"] // 100, r["cluster"]) for r in rows} == {(0, 7), (1, 3), (2, 5)}
-    tied = spark.createDataFrame([(2, *BLOBS[0]), (1, *BLOBS[0])], ["cluster", *METRICS])
+    tied = [(2, *BLOBS[0]), (1, *BLOBS[0])]
     assert {r["cluster"] for r in kmeans.assign_nearest(blobs, tied, METRICS).collect()} == {1}
     with pytest.raises(ValueError):
-        kmeans.assign_nearest(blobs, centres.limit(0), METRICS)
+        kmeans.assign_nearest(blobs, [], METRICS)
+    many = [(i, 1e6 + i, 0.0, 0.0) for i in range(150)] + [(150, *BLOBS[0])]
+    assert {r["cluster"] for r in kmeans.assign_nearest(blobs, many, METRICS).collect()} == {150}
+
+
+@pytest.mark.parametrize("scaler", ["standard", "minmax"])
+def test_centre_table_assigns_as_the_pipeline_does(spark, blobs, scaler):
+    model = kmeans.fit_kmeans(blobs, 3, scaler=scaler)
+    assert kmeans.converged(model)
+    path = scratch_path(spark, "centres")
+    centres.save_centres(spark, centres.centre_model(model), path)
+    loaded = centres.load_centres(spark, path)
+    assert loaded == centres.centre_model(model)
+    assert sorted(centres.assign_centres(loaded, blobs).collect()) == sorted(
+        kmeans.assign(model, blobs).collect()
+    )
+    again = centres.rescaled(loaded, blobs)
+    assert np.allclose(again.shift, loaded.shift) and np.allclose(again.scale, loaded.scale)
+
+
+def test_a_fit_cut_short_says_so(blobs):
+    assert not kmeans.converged(kmeans.fit_kmeans(blobs, 5, max_iterations=1))
 
 
 def test_profiles(spark, blobs):
@@ -130,9 +150,11 @@ def labelled(spark):
     return spark.createDataFrame(rows, ["label", *features.SCALED]), x, labels
 
 
-def test_exact_silhouette(labelled):
+@pytest.mark.parametrize("block", [2000, 50])
+def test_pairwise_silhouette(labelled, block, monkeypatch):
+    monkeypatch.setattr(silhouette, "BLOCK_ROWS", block)
     df, x, labels = labelled
-    row = silhouette.silhouette_euclidean(df, "label").head()
+    row = silhouette.silhouette_euclidean(df, "label", method="pairwise").head()
     expected = brute_silhouette(x, labels)
     for name in ("silhouette", "silhouette_low", "silhouette_high"):
         assert row[name] == pytest.approx(expected, abs=1e-12)
@@ -142,7 +164,7 @@ def test_exact_silhouette(labelled):
 @pytest.mark.parametrize("micro", [2, 20, 60])
 def test_bounded_silhouette_encloses_the_exact_one(labelled, micro):
     df, x, labels = labelled
-    row = silhouette.silhouette_euclidean(df, "label", exact_points=10, micro=micro).head()
+    row = silhouette.silhouette_euclidean(df, "label", micro=micro).head()
     expected = brute_silhouette(x, labels)
     assert row["silhouette_low"] - 1e-9 <= expected <= row["silhouette_high"] + 1e-9
     if micro == 60:
@@ -150,9 +172,20 @@ def test_bounded_silhouette_encloses_the_exact_one(labelled, micro):
     assert row["n_rows"] == 240
 
 
-def test_silhouette_needs_two_clusters(labelled):
+@pytest.mark.parametrize("method", ["cells", "pairwise"])
+def test_silhouette_needs_two_clusters(labelled, method):
+    with pytest.raises(ValueError):
+        silhouette.silhouette_euclidean(labelled[0].where("label = 'a'"), "label", method=method)
     with pytest.raises(ValueError):
-        silhouette.silhouette_euclidean(labelled[0].where("label = 'a'"), "label")
+        silhouette.silhouette_euclidean(labelled[0], "label", method="sampled")
+
+
+def test_silhouette_by_given_cells(labelled):
+    df, x, labels = labelled
+    rows = df.withColumn("cell", F.concat_ws(",", *(F.round(c).cast("string") for c in features.SCALED)))
+    row = silhouette.silhouette_euclidean(rows, "label", cell="cell").head()
+    expected = brute_silhouette(x, labels)
+    assert row["silhouette_low"] - 1e-9 <= expected <= row["silhouette_high"] + 1e-9
 
 
 def brute_ward(weights, centres):
@@ -190,13 +223,12 @@ def test_hand_computed_tree():
     assert hierarchy.cut_tree(merges, np.ones(4), 4) == [0, 1, 2, 3]
 
 
-def test_merge_tree_searched_on_executors(spark, monkeypatch):
-    monkeypatch.setattr(hierarchy, "_LOCAL_CELLS", 100)
+def test_merge_tree_on_a_line_of_growing_gaps():
     rng = np.random.default_rng(9)
     weights, centres = rng.integers(1, 6, 60), rng.normal(size=(60, 3))
     # Growing gaps on a line leave one mutual pair per round.
     centres[:12] = np.array([[100 + 2.0**i, 0, 0] for i in range(12)])
-    ours = hierarchy.ward_merges(weights, centres, hierarchy._search_on(spark))
+    ours = hierarchy.ward_merges(weights, centres)
     theirs = brute_ward(weights, centres)
     assert [(a, b, size) for a, b, _, size in ours] == [(a, b, size) for a, b, _, size in theirs]
 
@@ -208,9 +240,10 @@ def test_merge_tree_with_equal_distances():
     assert sorted(n for left, right, _, _ in merges for n in (left, right)) == list(range(70))
 
 
-@pytest.mark.parametrize("exact_points", [2000, 10])
-def test_ward_segments(blobs, exact_points):
-    segments, tree = hierarchy.ward_segments(blobs, 3, exact_points=exact_points, micro=20)
+@pytest.mark.parametrize("micro", [1000, 20])
+def test_ward_segments(blobs, micro):
+    found = hierarchy.ward(blobs, micro=micro)
+    segments, tree = found.segments(3), found.tree
     rows = segments.collect()
     assert len(rows) == 120
     assert {(r["customer_id"] // 100, r["Cluster"]) for r in rows} == {(0, 2), (1, 1), (2, 0)}
@@ -218,18 +251,23 @@ def test_ward_segments(blobs, exact_points):
     assert heights == sorted(heights)
     assert tree.orderBy(F.desc("step")).head()["size"] == 120
     with pytest.raises(ValueError):
-        hierarchy.ward_segments(blobs.limit(2), 3)
-
-
-def test_exact_ward_equals_brute_force_on_all_customers(blobs):
-    rfm = blobs.where("customer_id % 3 = 0")
-    _, tree = hierarchy.ward_segments(stage(rfm), 3)
-    z = matrix(features.standardize(rfm), features.SCALED)
-    points, weights = np.unique(z.round(12), axis=0, return_counts=True)
-    expected = brute_ward(weights, points)
-    found = tree.orderBy("step").collect()
-    assert [r["height"] for r in found] == pytest.approx([m[2] for m in expected])
-    assert [r["size"] for r in found] == [m[3] for m in expected]
+        hierarchy.ward_segments(stage(blobs.limit(2)), 3)
+    one = features.squared_error_of_one_cluster(features.standardize(blobs)).head()["sse"]
+    between = sum(r["height"] ** 2 for r in tree.collect()) / 2
+    assert between + found.squared_error_inside == pytest.approx(one)
+    if micro == 1000:
+        assert found.squared_error_inside < 0.01 * one
+
+
+def test_tree_of_the_cells_equals_brute_force(blobs):
+    found = hierarchy.ward(blobs, micro=30)
+    expected = brute_ward(
+        found.cells["weight"].to_numpy(), found.cells[list(features.SCALED)].to_numpy()
+    )
+    assert [m[2] for m in found.merges] == pytest.approx([m[2] for m in expected])
+    assert [m[3] for m in found.merges] == [m[3] for m in expected]
+    for k in (2, 5):
+        assert found.segments(k).select("Cluster").distinct().count() == k
 
 
 def test_bisecting(blobs):

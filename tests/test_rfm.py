@@ -97,7 +97,7 @@ def test_exploring(spark):
     nulls = {r[0]: r[1] for r in describe.null_counts(df).collect()}
     assert nulls == {"customer_id": 1, "transaction_date": 0, "num_cds_purchased": 0,
                      "transaction_value": 1}
-    assert describe.sample_rows(df, 3).count() == 3
+    assert describe.sample_rows(df, df.columns[:1], 3).count() == 3
     assert [r[0] for r in describe.head_rows(df, ["transaction_date"], 2).collect()] == ["1", "2"]
 
 

@@ -2,6 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from patronage import session
 from patronage.session import scratch_path, stage
 from patronage.sources import comparison, results, transactions
 from pyspark.errors import PySparkException
@@ -38,6 +39,26 @@ def test_whole_numbers(spark):
     assert rejects.count() == 2
 
 
+def test_surplus_decimals_are_rejects(spark):
+    rows = lines(spark, "1 19970101 1 11.777", "2 19970101 1 11.770", "3 19970101 1 5")
+    good, rejects = transactions.parse_transactions(rows, id_width=5)
+    assert sorted(tuple(r)[::3] for r in good.collect()) == [
+        ("00002", Decimal("11.77")), ("00003", Decimal("5.00"))
+    ]
+    assert [r["value"] for r in rejects.collect()] == ["1 19970101 1 11.777"]
+    with pytest.raises(PySparkException):
+        transactions.parse_transactions(rows, mode="failfast")[0].count()
+
+
+def test_one_pass_writes_both_outcomes(spark):
+    path = scratch_path(spark, "parsed")
+    transactions.write_parsed(lines(spark, *GOOD, *BAD), path)
+    good, rejects = transactions.read_parsed(spark, path)
+    both = transactions.parse_transactions(lines(spark, *GOOD, *BAD))
+    assert sorted(good.collect()) == sorted(both[0].collect())
+    assert sorted(rejects.collect()) == sorted(both[1].collect())
+
+
 def test_layouts(spark):
     good, _ = transactions.parse_transactions(lines(spark, *GOOD), layouts=(4,))
     assert {r["customer_id"] for r in good.collect()} == {"00001", "00002"}
@@ -138,6 +159,29 @@ def test_upsert(spark):
     assert changed.count() == 2
 
 
+def test_release_deletes_what_was_staged(spark):
+    other = spark.newSession()
+    path = scratch_path(other, "gone")
+    profile(spark, 4).write.parquet(path)
+    folder = session._session_folder(other)
+    assert path.startswith(folder)
+    kept = session._session_folder
+    session._session_folder = lambda _: path
+    try:
+        session.release(other)
+    finally:
+        session._session_folder = kept
+    with pytest.raises(PySparkException):
+        spark.read.parquet(path)
+
+
+def test_scratch_needs_no_setting(spark):
+    class Unset:
+        conf = {"spark.sql.warehouse.dir": "file:/warehouse/"}
+
+    assert session.scratch_root(Unset) == "file:/warehouse/_scratch"
+
+
 def test_stage_keeps_rows_and_types(spark):
     df = profile(spark, 4)
     staged = stage(df)

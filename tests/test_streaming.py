@@ -54,6 +54,24 @@ def test_restart_continues_from_the_checkpoint(spark, rows):
     assert sorted(purchases.current_totals(spark, out).collect()) == sorted(batch.collect())
 
 
+def test_snapshots_bound_what_is_read(spark, rows):
+    out, checkpoint = paths(spark)
+    source = scratch_path(spark, "arrivals")
+    for part in range(6):
+        rows.where(f"num_cds_purchased % 6 = {part} OR {part} = 5").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        purchases.start_totals(stream, out, checkpoint).awaitTermination()
+        if part % 2:
+            before = sorted(purchases.current_totals(spark, out).collect())
+            purchases.compact_totals(spark, out)
+            purchases.compact_totals(spark, out)
+            assert sorted(purchases.current_totals(spark, out).collect()) == before
+    batch = rfm.customer_totals(accepted(validate_transactions(spark.read.parquet(source))))
+    assert sorted(purchases.current_totals(spark, out).collect()) == sorted(batch.collect())
+    read = purchases.current_totals(spark, out).inputFiles()
+    assert all("until=" in file for file in read) and len({f.rsplit("/", 1)[0] for f in read}) == 1
+
+
 def test_scores_follow_the_newest_totals(spark, rows):
     out, checkpoint = paths(spark)
     customers = stage(
@@ -62,9 +80,10 @@ def test_scores_follow_the_newest_totals(spark, rows):
     model = kmeans.fit_kmeans(customers, 2)
     stream = stream_of(spark, rows, (2, 0, 3, 1))
     purchases.start_scoring(stream, model, out, checkpoint).awaitTermination()
-    assert sorted(purchases.current_scores(spark, out).collect()) == sorted(
-        kmeans.assign(model, customers).collect()
-    )
+    expected = sorted(kmeans.assign(model, customers).collect())
+    assert sorted(purchases.current_scores(spark, out).collect()) == expected
+    purchases.compact_scores(spark, out)
+    assert sorted(purchases.current_scores(spark, out).collect()) == expected
 
 
 def test_quarantine(spark, rows):
