@@ -418,9 +418,7 @@ def select_model(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "project")
     segmentation.build_project(spark, bindings.transactions(spark, folder), 4, root)
     compared, combined = segmentation.select_model(spark, 4, root)
-    return _sizes(combined, [MODEL]).crossJoin(
-        F.broadcast(compared.agg(F.count(F.lit(1)).alias("n_compared")))
-    )
+    return _sizes(combined, [MODEL]).withColumn("n_compared", F.lit(compared.count()).cast("long"))
 
 
 def kmeans_minmax_profile(spark: SparkSession, folder: str) -> DataFrame:

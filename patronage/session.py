@@ -2,11 +2,40 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER = "patronage"
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Tasks of Python operators import it; with this call they can wherever they
+    run, whether or not it is installed there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    target = f"{scratch_path(spark, 'package')}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    try:
+        stream.write(data.getvalue())
+    finally:
+        stream.close()
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
 
 
 def scratch_root(spark: SparkSession) -> str:
