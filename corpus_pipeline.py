@@ -11,31 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.llm import byte_bpe, exact_dedup, mixing, quality, simhash
-from patronage.session import stage
+from patronage.session import ship, stage
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality ranker accepts."""
+    ship(spark)
     return quality.filter_good(docs, sf_dir)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest id."""
+    ship(spark)
     return exact_dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose fingerprints are connected, the one with the smallest id."""
+    ship(spark)
     return simhash.deduplicate(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it, up to three times."""
+    ship(spark)
     return mixing.mixed_documents(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and the text that the ids decode to."""
+    ship(spark)
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     pattern = public_tokenizers.PATTERN
     encoded = byte_bpe.encode(docs, vocabulary, pattern, F.col("text"), "ids")

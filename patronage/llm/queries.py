@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from patronage.llm import (
     token_count,
 )
 from patronage.llm.columns import table
+from patronage.session import ship
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,8 +77,19 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable:
+    """The query, after the package has been sent to the executors."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query
+    query.__name__: _shipped(query)
     for query in (
         op1_exact_dedup,
         op2_kneser_ney,
