@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.columns import ascii_lower, whole_text
+from patronage.session import stage
 
 #: Words of a gram.
 GRAM = 3
@@ -183,8 +184,15 @@ def scan(
         (F.col("pos") - F.col("at")).alias("diagonal"),
     )
     key = ["doc_id", "text_key", "template", "label", "is_base", "grams"]
-    diagonals = votes.groupBy(*key, "diagonal").agg(
-        F.count_distinct("pos").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi")
+    # Phrases and templates both read the diagonals: written once, the texts are
+    # searched once.
+    diagonals = stage(
+        votes.groupBy(*key, "diagonal").agg(
+            F.count_distinct("pos").alias("votes"),
+            F.min("pos").alias("lo"),
+            F.max("pos").alias("hi"),
+        ),
+        "diagonals",
     )
     places_of_phrases = diagonals.where(F.col("is_base") & (F.col("votes") == F.col("grams")))
     base = places_of_phrases.select(
