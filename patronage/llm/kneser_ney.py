@@ -38,8 +38,8 @@ from patronage.session import scratch_path
 END = np.uint64(0x51ED270B7F4A7C15)
 #: Bytes of training text per shard of counts.
 SHARD_BYTES = 16 << 20
-#: Word numbers per file of word statistics.
-RANGE_WORDS = 1 << 18
+#: Word numbers per file of word statistics, at least.
+LEAST_RANGE = 1 << 12
 #: Bytes of text handled at once.
 BLOCK_BYTES = 2 << 20
 #: The context at the beginning of a text, above every word's number.
@@ -159,6 +159,8 @@ class Model:
     word_bits: int
     offsets: tuple[int, ...]
     pair_bits: int
+    #: Word numbers per file of word statistics.
+    range_words: int
     n_tokens: int
     n_words: int
     n_pairs: int
@@ -213,13 +215,15 @@ class MappedModel:
     def statistics(self, numbers: np.ndarray) -> np.ndarray:
         """Rows (total, ones, twos, more, predecessors) of sorted numbers; BEGIN has its own."""
         out = np.zeros((len(numbers), 5), np.int64)
-        ranges = np.where(numbers == BEGIN, -1, numbers // RANGE_WORDS)
+        ranges = np.where(numbers == BEGIN, -1, numbers // self.model.range_words)
         for r in np.unique(ranges):
             at = ranges == r
             if r < 0:
                 out[at] = self.array("stats-begin")
             else:
-                out[at] = self.array(f"stats-{int(r)}")[numbers[at] % RANGE_WORDS]
+                out[at] = self.array(f"stats-{int(r)}")[
+                    numbers[at] % self.model.range_words
+                ]
         return out
 
     def score(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -341,10 +345,13 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
     )
     sizes = {row.shard: row.size for row in found}
     offsets = tuple(np.cumsum([0, *(sizes.get(s, 0) for s in range(shards))]).tolist())
-    if offsets[-1] > BEGIN - RANGE_WORDS:
+    # As many ranges as shards: what all shards know of a range's words is then of
+    # one size, however much text there is.
+    range_words = max(LEAST_RANGE, math.ceil(offsets[-1] / shards))
+    if offsets[-1] > BEGIN - range_words:
         raise ValueError("too many distinct words for 32-bit numbers")
     counted = Model(
-        folder, bits, offsets, bits, sum(row.total for row in found), offsets[-1], 0,
+        folder, bits, offsets, bits, range_words, sum(row.total for row in found), offsets[-1], 0,
         (0.5, 1.0, 1.5), (0.5, 1.0, 1.5), 1.0,
     )
 
@@ -378,8 +385,8 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
             more = (counts > 2).astype(np.int64)
             left = _sum_by_key(context, counts, ones, twos, more)
             right = _sum_by_key(pairs & np.uint64(BEGIN), np.ones_like(counts))
-            for r in np.unique(np.concatenate([left[0], right[0]]) // np.uint64(RANGE_WORDS)):
-                lo, hi = r * np.uint64(RANGE_WORDS), (r + np.uint64(1)) * np.uint64(RANGE_WORDS)
+            for r in np.unique(np.concatenate([left[0], right[0]]) // np.uint64(range_words)):
+                lo, hi = r * np.uint64(range_words), (r + np.uint64(1)) * np.uint64(range_words)
                 a = slice(*np.searchsorted(left[0], [lo, hi]))
                 b = slice(*np.searchsorted(right[0], [lo, hi]))
                 yield pa.RecordBatch.from_arrays(
@@ -400,9 +407,9 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
     def write_statistics(batches):
         columns = ("left", "sums", "right", "before", "of")
         for r, rows in _by_shard(batches, *columns):
-            low = r * RANGE_WORDS
-            is_begin = low + RANGE_WORDS > BEGIN
-            size = RANGE_WORDS if not is_begin else 1
+            low = r * range_words
+            is_begin = low + range_words > BEGIN
+            size = range_words if not is_begin else 1
             stats, of_pairs = np.zeros((size, 5), np.int64), np.zeros(4, np.int64)
             for left, sums, right, before, of in rows:
                 at = np.frombuffer(left, np.uint64).astype(np.int64) - (BEGIN if is_begin else low)
@@ -420,7 +427,7 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
                 }
             )
 
-    ranges = offsets[-1] // RANGE_WORDS + 1
+    ranges = offsets[-1] // range_words + 1
     found = (
         texts.mapInArrow(pair_tasks, _PACKED)
         .union(none)
@@ -440,7 +447,7 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
     more = of_words[2] + of_words[3] + of_words[4]
     kept_back = np.dot(word_discounts, [of_words[0], of_words[1], more])
     return Model(
-        folder, bits, offsets, bits, counted.n_tokens, counted.n_words, n_pairs,
+        folder, bits, offsets, bits, range_words, counted.n_tokens, counted.n_words, n_pairs,
         _discounts(of_pairs), word_discounts,
         float(kept_back / n_pairs) if n_pairs else 1.0,
     )
