@@ -9,7 +9,7 @@ group by (salt, digest), so a hot text is spread over the same salts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.columns import ascii_lower, whole_text
@@ -18,6 +18,16 @@ from patronage.llm.columns import ascii_lower, whole_text
 SALTS = 64
 
 
+def _sha256(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+def _bytes(digest: Column | str) -> Column:
+    """A digest as bytes. It is never null, and says so: else joins would first filter
+    for it, working the digest out twice."""
+    return F.coalesce(F.unhex(digest), F.lit(b""))
+
+
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -33,11 +43,11 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ).select(
         "doc_id",
         "norm",
-        F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+        _sha256(F.col("norm")).alias("text_sha256"),
         F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
     )
     salted = (
-        keyed.select("doc_id", "norm", "salt", F.unhex("text_sha256").alias("digest"))
+        keyed.select("doc_id", "norm", "salt", _bytes("text_sha256").alias("digest"))
         .groupBy("salt", "digest", "norm")
         .agg(F.max("doc_id").alias("top_id"), F.count(F.lit(1)).alias("n"))
     )
@@ -65,7 +75,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "doc_id",
         "salt",
         "text_sha256",
-        F.unhex("text_sha256").alias("digest"),
+        _bytes("text_sha256").alias("digest"),
         F.octet_length("norm").alias("length"),
     )
     return rows.join(winners, ["salt", "digest", "length"]).select(
@@ -83,25 +93,19 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Of repeated rows with the winning id one stays, whichever. Columns of any name
     may accompany the id and the text.
     """
+    def keyed(doc_id, digest):
+        """Plain equality on these columns is equality of (doc_id, digest), null ids included."""
+        return {"id": F.coalesce(doc_id, F.lit(0)), "no_id": doc_id.isNull(), "digest": digest}
+
+    digest = _bytes(_sha256(ascii_lower(whole_text(text_column))))
     packed = docs.select(
-        F.col(id_column).alias("doc_id"),
-        F.unhex(F.sha2(ascii_lower(whole_text(text_column)).cast("binary"), 256)).alias("digest"),
+        *(c.alias(n) for n, c in keyed(F.col(id_column).cast("long"), digest).items()),
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
     )
-    kept = (
-        exact_groups(docs, id_column, text_column)
-        .where("kept")
-        .select(
-            F.col("keep_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")
-        )
-        .distinct()
-    )
-    return (
-        packed.join(
-            kept,
-            F.col("doc_id").eqNullSafe(F.col("kept_id"))
-            & (F.col("digest") == F.col("kept_digest")),
-        )
-        .dropDuplicates(["digest"])
-        .select("row.*")
+    kept = exact_groups(docs, id_column, text_column).where("kept")
+    kept = kept.select(
+        *(c.alias(n) for n, c in keyed(F.col("keep_id"), _bytes("text_sha256")).items())
     )
+    # The duplicates of repeated rows lie where the join has brought them.
+    key = ["id", "no_id", "digest"]
+    return packed.join(kept.distinct(), key).dropDuplicates(key).select("row.*")
