@@ -39,17 +39,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and the text that the ids decode to."""
+    """The documents with their token ids and the digest of what the ids decode to."""
     ship(spark)
-    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    pattern = public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(docs, vocabulary, pattern, F.col("text"), "ids")
-    decoded = byte_bpe.decode(encoded, vocabulary, pattern, F.col("ids"), "decoded")
-    return (
-        decoded.withColumn("n_tokens", F.size("ids").cast("long"))
-        .withColumn("decoded_sha256", F.sha2("decoded", 256))
-        .drop("decoded")
+    encoded = byte_bpe.encode(
+        docs,
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        decoded_to="decoded_sha256",
     )
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

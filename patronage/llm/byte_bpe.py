@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage.llm.scan import blocks
 from patronage.llm.segments import Segments, literal, once_per_worker
@@ -258,51 +259,69 @@ def round_trip(
     )
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, text: Column, to: str) -> DataFrame:
-    """``docs`` with an array column ``to`` of the token ids of ``text`` (null: no ids).
+def encode(
+    docs: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text_column: str = "text",
+    to: str = "ids",
+    decoded_to: str | None = None,
+) -> DataFrame:
+    """``docs`` with an array column ``to`` of the token ids of each text (null: no ids).
 
-    All columns of ``docs`` stay; one named ``to`` already is replaced.
+    With ``decoded_to``, also with a column of the SHA-256 of the bytes that the ids
+    decode to. All columns of ``docs`` stay, but those of the new names are replaced.
     """
+    new = {to: T.ArrayType(T.IntegerType())} | (
+        {decoded_to: T.StringType()} if decoded_to else {}
+    )
+    kept = docs.drop(*new)
+    place = kept.columns.index(text_column)
+    schema = T.StructType([*kept.schema.fields])
+    for name, kind in new.items():
+        schema = schema.add(name, kind)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(vocabulary, pattern)
         for batch in batches:
-            for block in blocks(batch, "text", BLOCK_BYTES):
-                ids, bounds = coder.encode(block.column("text").to_pylist())
-                lists = pa.ListArray.from_arrays(
-                    pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32))
+            for block in blocks(batch, place, BLOCK_BYTES):
+                ids, bounds = coder.encode(block.column(place).to_pylist())
+                columns = [
+                    pa.ListArray.from_arrays(
+                        pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32))
+                    )
+                ]
+                if decoded_to:
+                    texts = coder.decode(ids, bounds)
+                    columns.append(pa.array([hashlib.sha256(t).hexdigest() for t in texts]))
+                yield pa.RecordBatch.from_arrays(
+                    [*block.columns, *columns], [*block.schema.names, *new]
                 )
-                yield pa.RecordBatch.from_arrays([block.column("row"), lists], ["row", "ids"])
 
-    kept = [F.col(f"`{name}`") for name in docs.columns if name != to]
-    rows = docs.select(F.struct(*kept).alias("row"), text.alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(tasks, f"row {kind}, ids array<int>").select(
-        "row.*", F.col("ids").alias(to)
-    )
+    return kept.mapInArrow(tasks, schema)
 
 
-def decode(rows: DataFrame, vocabulary: str, pattern: str, ids: Column, to: str) -> DataFrame:
-    """``rows`` with a binary column ``to`` of the bytes that ``ids`` decode to (null: none)."""
+def decode(
+    rows: DataFrame, vocabulary: str, pattern: str, ids_column: str = "ids", to: str = "decoded"
+) -> DataFrame:
+    """``rows`` with a binary column ``to`` of the bytes that the ids decode to (null: none)."""
+    kept = rows.drop(to)
+    place = kept.columns.index(ids_column)
+    schema = T.StructType([*kept.schema.fields]).add(to, T.BinaryType())
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(vocabulary, pattern)
         for batch in batches:
             for at in range(0, len(batch), 500):
                 block = batch.slice(at, 500)
-                lists = block.column("ids")
-                sizes = [0 if x is None else x for x in pc.list_value_length(lists).to_pylist()]
+                lists = block.column(place)
+                sizes = [0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]
                 texts = coder.decode(
                     pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.uint32),
                     np.cumsum([0, *sizes]),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("row"), pa.array(texts, pa.binary())], ["row", "bytes"]
+                    [*block.columns, pa.array(texts, pa.binary())], [*block.schema.names, to]
                 )
 
-    kept = [F.col(f"`{name}`") for name in rows.columns if name != to]
-    packed = rows.select(F.struct(*kept).alias("row"), ids.cast("array<int>").alias("ids"))
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(tasks, f"row {kind}, bytes binary").select(
-        "row.*", F.col("bytes").alias(to)
-    )
+    return kept.mapInArrow(tasks, schema)

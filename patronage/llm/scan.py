@@ -101,7 +101,7 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True) -> Words:
     return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds))
 
 
-def blocks(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def blocks(batch: pa.RecordBatch, column: str | int, limit: int = 8 << 20):
     """Slices of a batch whose texts have ``limit`` bytes at most, or are single rows."""
     sizes = np.diff(text_bytes(batch.column(column))[1])
     begin, total = 0, 0

@@ -131,10 +131,11 @@ def test_byte_bpe(edge_docs, edge_rows, rows_of, no_docs):
 
 
 def test_byte_bpe_columns(edge_docs):
-    encoded = byte_bpe.encode(edge_docs, RANKS, PATTERN, F.col("text"), "ids")
-    decoded = byte_bpe.decode(encoded, RANKS, PATTERN, F.col("ids"), "bytes")
+    encoded = byte_bpe.encode(edge_docs, RANKS, PATTERN, decoded_to="mask")
+    decoded = byte_bpe.decode(encoded, RANKS, PATTERN, to="bytes")
     assert set(decoded.columns) == set(edge_docs.columns)
-    wrong = F.coalesce(F.col("text"), F.lit("")).cast("binary") != F.col("bytes")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    wrong = (text.cast("binary") != F.col("bytes")) | (F.sha2(text, 256) != F.col("mask"))
     assert decoded.where(wrong | F.col("bytes").isNull()).count() == 0
 
 
