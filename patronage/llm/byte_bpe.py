@@ -31,9 +31,9 @@ from patronage.llm.token_count import merged
 #: of ``token_count`` merges it.
 LONGEST_WORD = 255
 #: Words encoded by one recursive query.
-WORDS_AT_ONCE = 60_000
+WORDS_AT_ONCE = 30_000
 #: Bytes of text handled at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _ENCODE = """
 WITH RECURSIVE walk(step, w, p, q, a, b, r) AS (

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 #: Segments kept in a worker's memory; beyond, the worker forgets them and starts anew.
-KEPT_SEGMENTS = 800_000
+KEPT_SEGMENTS = 500_000
 #: Longer segments are worked out where they stand and not kept.
 KEPT_LENGTH = 64
 
