@@ -1,14 +1,18 @@
 """Near-duplicate vectors by product quantisation.
 
 Vectors go to inverted lists by their nearest coarse centroid, and each one's
-residual is coded subspace by subspace. A vector probes several lists: its distances to
-the subspaces' codewords are tabulated once per list, and sums of table entries estimate
-its distance to every vector of the list. An estimate is off by no more than
-the coded vector's quantisation error, which is stored with it, so no pair of a
-probed list is lost to the estimate; what passes is compared exactly.
+residual is coded subspace by subspace. A vector probes every list that can hold a
+vector it links with: a list's vectors are nearer to its centroid than to the
+vector's own, so the list is out of reach only if the plane between the two centroids is.
+A vector's distances to the subspaces' codewords are tabulated once per list, and sums
+of table entries estimate its distance to every vector of the list. An estimate is off
+by no more than the coded vector's quantisation error, which is stored with it, so no
+pair is lost to the estimate either; what passes is compared exactly.
 
 Centroids and codewords are fitted to a bounded sample; every vector is indexed. Equal
-vectors are indexed once. Lists and their probes are cut into blocks of bounded size.
+vectors are indexed once. Neighbouring lists are bundled, so that a vector is sent once to
+a bundle whatever number of its lists it probes; bundles and their probes are
+cut into blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -30,8 +34,6 @@ SAMPLE = 20_000
 #: Vectors per list, as far as ``MOST_LISTS`` allows.
 LIST_SIZE = 200
 MOST_LISTS = 4_096
-#: Lists that a vector probes, nearest centroids first.
-PROBES = 32
 #: Subspaces and codewords of each.
 SUBSPACES = 8
 CODEWORDS = 64
@@ -39,6 +41,9 @@ CODEWORDS = 64
 BLOCK_INDEXED = 2_000
 BLOCK_PROBING = 4_000
 
+#: Components of vectors gathered at once to be compared exactly.
+GATHERED = 4_000_000
+
 _EXTRA = 1e-6
 
 
@@ -59,6 +64,20 @@ class Quantiser:
         order = np.argsort(np.take_along_axis(near, some, axis=1), axis=1, kind="stable")
         return np.take_along_axis(some, order, axis=1)
 
+    def probed(self, x: np.ndarray, reach: float, probes: int | None = None) -> np.ndarray:
+        """Which lists (columns) each vector probes: all that hold a vector within ``reach``,
+        or with ``probes`` so many of the nearest."""
+        if probes is not None:
+            out = np.zeros((len(x), len(self.centroids)), bool)
+            np.put_along_axis(out, self.lists(x, probes), True, axis=1)
+            return out
+        squares = (self.centroids**2).sum(axis=1)
+        near = squares - 2 * (x @ self.centroids.T)
+        own = near.argmin(axis=1)
+        between = squares[own][:, None] + squares - 2 * (self.centroids[own] @ self.centroids.T)
+        beyond = near - near[np.arange(len(x)), own][:, None]
+        return beyond <= 2 * (reach + _EXTRA) * np.sqrt(np.maximum(between, 0)) + _EXTRA
+
     def parts(self, x: np.ndarray) -> np.ndarray:
         """Vectors cut into subspaces, the last filled up with zeros: (n, subspace, dimension)."""
         spaces, _, width = self.codewords.shape
@@ -163,85 +182,172 @@ def distinct_vectors(vectors: DataFrame, id_column: str, vector_column: str) ->
     return rows.select("vec_id", "k1", "k2"), stage(named, "vectors")
 
 
-def _index(vectors: DataFrame, quantiser: Quantiser, probes: int) -> DataFrame:
-    """Index rows (role 0, own list) and probe rows (role 1, one per probed list)."""
+def _index(vectors: DataFrame, quantiser: Quantiser) -> DataFrame:
+    """Each vector with its own list, codes and their error."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 500):
                 batch = whole.slice(at, 500)
                 x = _vectors(batch, "unit")
-                lists = quantiser.lists(x, probes)
-                codes, error = quantiser.encode(x - quantiser.centroids[lists[:, 0]])
-                n, many = lists.shape
-                repeat = np.repeat(np.arange(n), many)
-                taken = pa.array(np.concatenate([np.arange(n), repeat]))
+                own = quantiser.lists(x, 1)[:, 0]
+                codes, error = quantiser.encode(x - quantiser.centroids[own])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([lists[:, 0], lists.ravel()]).astype(np.int32)),
-                        pa.array(np.concatenate([np.zeros(n), np.ones(n * many)]).astype(np.int32)),
-                        batch.column("uid").take(taken),
-                        batch.column("weight").take(taken),
-                        batch.column("unit").take(taken),
-                        pa.array(
-                            [c.tobytes() for c in codes] + [None] * (n * many), pa.binary()
-                        ),
-                        pa.array(np.concatenate([error, np.zeros(n * many)])),
+                        pa.array(own.astype(np.int32)),
+                        *batch.columns,
+                        pa.array([c.tobytes() for c in codes], pa.binary()),
+                        pa.array(error),
                     ],
-                    names=["list", "role", "uid", "weight", "unit", "codes", "error"],
+                    names=["list", *batch.schema.names, "codes", "error"],
                 )
 
     return vectors.select("uid", "weight", "unit").mapInArrow(
-        tasks,
-        "list int, role int, uid long, weight long, unit binary, codes binary, error double",
+        tasks, "list int, uid long, weight long, unit binary, codes binary, error double"
+    )
+
+
+def bundles(centroids: np.ndarray, sizes: np.ndarray, limit: int) -> list[list[int]]:
+    """Lists that hold vectors, bundled along a chain of near centroids.
+
+    A bundle has ``limit`` vectors at most, or is a single list.
+    """
+    left, out, room = np.flatnonzero(sizes), [], -1
+    at = centroids[left].mean(axis=0) if len(left) else None
+    while len(left):
+        i = int(((centroids[left] - at) ** 2).sum(axis=1).argmin())
+        number = int(left[i])
+        left, at = np.delete(left, i), centroids[number]
+        if sizes[number] > room:
+            out.append([])
+            room = limit
+        out[-1].append(number)
+        room -= sizes[number]
+    return out
+
+
+def _probes(
+    vectors: DataFrame, quantiser: Quantiser, bundled: list[list[int]], reach: float, probes
+) -> tuple[DataFrame, DataFrame]:
+    """One row per vector and bundle that it probes, with the probed lists; and their
+    numbers (bundle, n), one row per batch."""
+    lists = np.array([n for some in bundled for n in some], np.int32)
+    bundle = np.repeat(np.arange(len(bundled)), [len(some) for some in bundled])
+
+    def pieces(batches: Iterator[pa.RecordBatch]):
+        for whole in batches:
+            for at in range(0, len(whole), 500):
+                batch = whole.slice(at, 500)
+                probed = quantiser.probed(_vectors(batch, "unit"), reach, probes)
+                row, place = np.nonzero(probed[:, lists])
+                cuts = np.flatnonzero((np.diff(row) != 0) | (np.diff(bundle[place]) != 0)) + 1
+                yield batch, row, place, np.append(0, cuts) if len(row) else cuts
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, row, place, starts in pieces(batches):
+            ends = np.append(starts[1:], len(row))
+            taken = pa.array(row[starts])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bundle[place[starts]].astype(np.int32)),
+                    batch.column("uid").take(taken),
+                    batch.column("unit").take(taken),
+                    pa.array(
+                        [
+                            lists[place[i:j]].tobytes()
+                            for i, j in zip(starts.tolist(), ends.tolist(), strict=True)
+                        ],
+                        pa.binary(),
+                    ),
+                ],
+                names=["bundle", "uid", "unit", "lists"],
+            )
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(bundled), np.int64)
+        for _, _, place, starts in pieces(batches):
+            total += np.bincount(bundle[place[starts]], minlength=len(bundled))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(bundled), dtype=np.int32)), pa.array(total)], ["bundle", "n"]
+        )
+
+    own = vectors.select("uid", "unit")
+    return (
+        own.mapInArrow(tasks, "bundle int, uid long, unit binary, lists binary"),
+        own.mapInArrow(counting, "bundle int, n long"),
     )
 
 
-def _compare(quantiser: Quantiser, cosine: float):
+def _compare(quantiser: Quantiser, cosine: float, reach: float):
     """Over rows sorted by block and role: (uid, other, n), the weight of the vectors that ``uid``
     links with, and in rows with ``n`` null a link that keeps components together."""
-    reach = math.sqrt(max(2 - 2 * cosine, 0))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, index = None, [], None
 
+        def linked(x: np.ndarray, number: int, units, codes, errors) -> tuple:
+            """Places (in x, in the list) of linked vectors."""
+            tables = quantiser.tables(x - quantiser.centroids[number])
+            estimate = np.zeros((len(x), len(units)))
+            for s in range(codes.shape[1]):
+                estimate += tables[:, s][:, codes[:, s]]
+            i, j = np.nonzero(np.sqrt(np.maximum(estimate, 0)) <= reach + errors + _EXTRA)
+            step = max(1, GATHERED // x.shape[1])
+            good = [
+                np.einsum("nd,nd->n", x[i[k : k + step]], units[j[k : k + step]]) >= cosine
+                for k in range(0, len(i), step)
+            ]
+            good = np.concatenate([*good, np.zeros(0, bool)])
+            return i[good], j[good]
+
         def against(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            number, uids, weights, units, codes, errors = index
-            spaces = np.arange(codes.shape[1])
-            for at in range(0, len(rows), 200):
-                some = rows.slice(at, 200)
+            uids, weights, units, codes, errors, numbers, starts = index
+            for at in range(0, len(rows), 500):
+                some = rows.slice(at, 500)
                 x = _vectors(some, "unit")
-                tables = quantiser.tables(x - quantiser.centroids[number])
-                estimate = np.zeros((len(x), len(uids)))
-                for s in spaces:
-                    estimate += tables[:, s][:, codes[:, s]]
-                near = np.sqrt(np.maximum(estimate, 0)) <= reach + errors + _EXTRA
-                i, j = np.nonzero(near)
-                dots = np.einsum("nd,nd->n", x[i], units[j])
-                linked = dots >= cosine
-                i, j = i[linked], j[linked]
+                lists = [np.frombuffer(v.as_py(), np.int32) for v in some.column("lists")]
+                row = np.repeat(np.arange(len(x)), [*map(len, lists)])
+                lists = np.concatenate(lists)
                 own = some.column("uid").to_numpy()
-                counts = np.bincount(i, weights[j], len(x)).astype(np.int64)
-                a, b = star(np.concatenate([own, uids]), i, len(own) + j)
+                counts = np.zeros(len(x))
+                first, second = [], []
+                for number, lo, hi in zip(numbers, starts[:-1], starts[1:], strict=True):
+                    asking = row[lists == number]
+                    step = max(1, 400_000 // (hi - lo))
+                    for k in range(0, len(asking), step):
+                        part = asking[k : k + step]
+                        i, j = linked(x[part], number, units[lo:hi], codes[lo:hi], errors[lo:hi])
+                        i, j = part[i], lo + j
+                        counts += np.bincount(i, weights[j], len(x))
+                        value, root = star(np.concatenate([own, uids]), i, len(own) + j)
+                        first.append(value)
+                        second.append(root)
+                none = np.zeros(0, np.int64)
+                a, b = np.concatenate([*first, none]), np.concatenate([*second, none])
+                if len(first) > 1:
+                    a, b = star(np.concatenate([a, b]), np.arange(len(a)), len(a) + np.arange(len(a)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([own, a])),
                         pa.array(np.concatenate([own, b])),
-                        pa.array([*counts.tolist(), *[None] * len(a)], pa.int64()),
+                        pa.array([*counts.astype(np.int64).tolist(), *[None] * len(a)], pa.int64()),
                     ],
                     ["uid", "other", "n"],
                 )
 
         def built() -> tuple:
-            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            table = pa.Table.from_batches(held).sort_by("list").combine_chunks().to_batches()[0]
             codes = np.stack([np.frombuffer(c.as_py(), np.uint8) for c in table.column("codes")])
+            lists = table.column("list").to_numpy()
+            starts = np.flatnonzero(np.diff(lists, prepend=-1))
             return (
-                table.column("list")[0].as_py(),
                 table.column("uid").to_numpy(),
                 table.column("weight").to_numpy(),
                 _vectors(table, "unit"),
                 codes,
                 table.column("error").to_numpy(),
+                lists[starts].tolist(),
+                [*starts.tolist(), len(lists)],
             )
 
         for batch in batches:
@@ -268,7 +374,7 @@ def near_vectors(
     cosine: float = 0.95,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
-    probes: int = PROBES,
+    probes: int | None = None,
     sample: int = SAMPLE,
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
@@ -278,13 +384,14 @@ def near_vectors(
     id reachable; ``kept`` says whether it is the row's own. A vector that is
     null, empty, zero, or has a null or non-finite component links with nothing.
     Only vectors of one length are comparable; each length has its own
-    index. With at most ``probes`` lists every pair is found; beyond, recall
-    depends on ``probes`` (see the README).
+    index. Every pair is found, unless ``probes`` asks for so many of
+    the nearest lists only.
     """
     rows, named = distinct_vectors(vectors, id_column, vector_column)
     lengths = [
         row[0] for row in named.select(F.octet_length("unit")).distinct().collect()
     ]  # one per dimension of the data
+    reach = math.sqrt(max(2 - 2 * cosine, 0))
     counted, linked = None, None
     for length in sorted(lengths):
         own = named.where(F.octet_length("unit") == length)
@@ -296,28 +403,60 @@ def near_vectors(
         x = np.stack([np.frombuffer(bytes(row.unit), "<f8") for row in drawn.collect()])
         lists = max(1, min(MOST_LISTS, number // LIST_SIZE, len(x)))
         quantiser = fit(x, lists)
-        indexed = stage(_index(own, quantiser, probes), "index")
-        sizes = stage(
-            indexed.groupBy("list").agg(
-                F.ceil(F.count_if(F.col("role") == 0) / F.lit(BLOCK_INDEXED)).alias("across"),
-                F.ceil(F.count_if(F.col("role") == 1) / F.lit(BLOCK_PROBING)).alias("down"),
-            ),
-            "lists",
-        )  # one row per list, of which there are MOST_LISTS at most
+        indexed = stage(_index(own, quantiser), "index")
+        held = np.zeros(len(quantiser.centroids), np.int64)
+        for row in indexed.groupBy("list").count().collect():  # MOST_LISTS at most
+            held[row["list"]] = row["count"]
+        bundled = bundles(quantiser.centroids, held, BLOCK_INDEXED)
+        probing, numbers = _probes(indexed, quantiser, bundled, reach, probes)
+        asked = {r.bundle: r.n for r in numbers.groupBy("bundle").agg(F.sum("n").alias("n")).collect()}
+        placing = vectors.sparkSession.createDataFrame(
+            [
+                (
+                    n,
+                    b,
+                    -(-int(sum(held[some])) // BLOCK_INDEXED),
+                    -(-asked[b] // BLOCK_PROBING),
+                )
+                for b, some in enumerate(bundled)
+                for n in some
+            ],
+            "list int, bundle int, across long, down long",
+        )
+        sizes = F.broadcast(placing.where("down > 0"))
         spread = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
         mine = lambda n: F.array(F.pmod(F.xxhash64("uid"), F.col(n)))
-        indexing = F.col("role") == 0
+        to_index = (
+            indexed.join(sizes, "list")
+            .withColumns({"role": F.lit(0), "lists": F.lit(None).cast("binary")})
+            .withColumn("i", F.explode(mine("across")))
+            .withColumn("j", F.explode(spread("down")))
+        )
+        of_bundle = F.broadcast(placing.select("bundle", "across", "down").distinct())
+        to_probe = (
+            probing.join(of_bundle, "bundle")
+            .withColumns(
+                {
+                    "role": F.lit(1),
+                    "list": F.lit(-1),
+                    "weight": F.lit(0).cast("long"),
+                    "codes": F.lit(None).cast("binary"),
+                    "error": F.lit(0.0),
+                }
+            )
+            .withColumn("i", F.explode(spread("across")))
+            .withColumn("j", F.explode(mine("down")))
+        )
         placed = (
-            indexed.join(F.broadcast(sizes.where("across > 0 AND down > 0")), "list")
-            .withColumn("i", F.explode(F.when(indexing, mine("across")).otherwise(spread("across"))))
-            .withColumn("j", F.explode(F.when(indexing, spread("down")).otherwise(mine("down"))))
-            .withColumn("block", F.expr("list * 1099511627776 + i * 1048576 + j"))
-            .select("block", "list", "role", "uid", "weight", "unit", "codes", "error")
+            to_index.unionByName(to_probe)
+            .withColumn("block", F.expr("bundle * 1099511627776 + i * 1048576 + j"))
+            .select("block", "list", "role", "uid", "weight", "unit", "codes", "error", "lists")
             .repartition("block")
-            .sortWithinPartitions("block", "list", "role")
+            .sortWithinPartitions("block", "role")
         )
         compared = stage(
-            placed.mapInArrow(_compare(quantiser, cosine), "uid long, other long, n long"), "links"
+            placed.mapInArrow(_compare(quantiser, cosine, reach), "uid long, other long, n long"),
+            "links",
         )
         counts = compared.where("n IS NOT NULL").groupBy("uid").agg(F.sum("n").alias("n"))
         pairs = compared.where("n IS NULL").select(

@@ -199,6 +199,24 @@ def test_embedding_recall(spark):
     assert 0.95 * expected <= got <= expected and expected > 2000
 
 
+@pytest.mark.parametrize("list_size", [150, 30, 8])
+def test_embedding_links_of_a_dense_group(spark, rows_of, monkeypatch, list_size):
+    """A third of the vectors differ little from one another and share many lists."""
+    monkeypatch.setattr(embedding_dedup, "LIST_SIZE", list_size)
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(1500, 64))
+    x[:500] = x[0] + draw.normal(0, 0.2, (500, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    frame = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>"
+    )
+    got = rows_of(embedding_dedup.near_vectors(frame), "vec_id", "n_links", "component_id")
+    root = brute.roots(len(x), zip(*np.nonzero(np.tril(near, -1)), strict=True))
+    assert got == [(i, int(near[i].sum()) - 1, root[i]) for i in range(len(x))]
+    assert near[:500, :500].mean() > 0.3
+
+
 def test_language_id(edge_docs, edge_rows, no_docs):
     rows = language_id.held_out_predictions(edge_docs).collect()
     assert len(rows) == len(edge_rows)
