@@ -5,7 +5,7 @@ words, found by a join on their hash and confirmed by the words themselves. A te
 that stands in a text votes along one diagonal (place in the text minus place
 in the template); missing or added words shift it, so diagonals near each
 other are merged. A span is verified by how much of its template
-the confirmed words cover.
+the confirmed words cover, a template position counting once however often it is met.
 """
 
 from __future__ import annotations
@@ -181,6 +181,7 @@ def scan(
         "is_base",
         "grams",
         "pos",
+        "at",
         (F.col("pos") - F.col("at")).alias("diagonal"),
     )
     key = ["doc_id", "text_key", "template", "label", "is_base", "grams"]
@@ -188,13 +189,13 @@ def scan(
     # searched once.
     diagonals = stage(
         votes.groupBy(*key, "diagonal").agg(
-            F.count_distinct("pos").alias("votes"),
+            F.collect_set("at").alias("ats"),  # as many as the template has, at most
             F.min("pos").alias("lo"),
             F.max("pos").alias("hi"),
         ),
         "diagonals",
     )
-    places_of_phrases = diagonals.where(F.col("is_base") & (F.col("votes") == F.col("grams")))
+    places_of_phrases = diagonals.where(F.col("is_base") & (F.size("ats") == F.col("grams")))
     base = places_of_phrases.select(
         "doc_id",
         "text_key",
@@ -203,20 +204,25 @@ def scan(
         F.col("diagonal").alias("start"),
         F.lit(1.0).alias("coverage"),
     )
-    ordered = Window.partitionBy("doc_id", "text_key", "template").orderBy("lo", "diagonal")
-    before = F.lag("hi").over(ordered)
-    apart = (
-        before.isNull()
-        | (F.col("lo") - before > GAP)
-        | (F.abs(F.col("diagonal") - F.lag("diagonal").over(ordered)) > SLACK)
+    # Diagonals near each other first, then the places on them: votes on a diagonal far from a
+    # span's do not come between its parts.
+    in_text = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
+    far = F.col("diagonal") - F.lag("diagonal").over(in_text) > SLACK
+    in_cluster = Window.partitionBy("doc_id", "text_key", "template", "cluster").orderBy(
+        "lo", "diagonal"
     )
+    earlier = in_cluster.rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.col("lo") - F.max("hi").over(earlier) > GAP
     spans = (
         diagonals.where(~F.col("is_base"))
+        .withColumn("far", F.when(far, 1).otherwise(0))
+        .withColumn("cluster", F.sum("far").over(in_text))
         .withColumn("begins", F.when(apart, 1).otherwise(0))
-        .withColumn("span", F.sum("begins").over(ordered))
-        .groupBy(*key, "span")
-        .agg(F.sum("votes").alias("votes"), F.min("lo").alias("start"))
-        .withColumn("coverage", F.least(F.col("votes") / F.col("grams"), F.lit(1.0)))
+        .withColumn("span", F.sum("begins").over(in_cluster))
+        .select(*key, "cluster", "span", "lo", F.explode("ats").alias("at"))
+        .groupBy(*key, "cluster", "span")
+        .agg(F.size(F.collect_set("at")).alias("covered"), F.min("lo").alias("start"))
+        .withColumn("coverage", F.col("covered") / F.col("grams"))
         .where(F.col("coverage") >= COVERAGE)
         .select("doc_id", "text_key", "label", "is_base", "start", "coverage")
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import struct
 import zlib
 
@@ -292,6 +293,23 @@ def test_license_spans_survive_changes(spark):
     assert labels == {1: "mit", 2: "mit", 3: "", 4: "gpl", 5: ""}
 
 
+def test_license_words_met_twice_count_once(spark):
+    apache = next(text for label, text in license_scan.TEMPLATES if label == "apache-2")
+    rows = [
+        (1, "licensed under the BSD license or licensed under the GPL"),
+        (2, "licensed under the BSD 3 clause License " * 3),
+        (3, "licensed under the MIT License or licensed under the MIT License"),
+        (4, apache.replace("this file", "this file here")),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(frame).collect()}
+    assert {i: r.labels for i, r in got.items()} == {1: "", 2: "bsd", 3: "mit", 4: "apache-2"}
+    n = len(re.findall(r"\w+", apache)) - 2
+    # A word after "this file" breaks two grams, as the phrase of three words stands at the head.
+    spans = {r.doc_id: r.score for r in license_scan.scan(frame, phrases=()).collect()}
+    assert spans[4] == pytest.approx((n - 2) / n) and spans[3] == 1
+
+
 def test_native_plans_have_no_python(edge_docs):
     for frame in (exact_dedup.exact_groups(edge_docs), license_scan.scan(edge_docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
