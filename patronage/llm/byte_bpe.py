@@ -32,6 +32,9 @@ from patronage.llm.token_count import merged
 LONGEST_WORD = 255
 #: Words encoded by one recursive query.
 WORDS_AT_ONCE = 30_000
+#: Rows that one recursive query may make, as it keeps every round: a word of n bytes
+#: has n rounds at most, of one row less each. DuckDB holds so many within its memory.
+ROWS_AT_ONCE = 2_000_000
 #: Bytes of text handled at once.
 BLOCK_BYTES = 2 << 20
 
@@ -73,6 +76,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+def portions(sizes: list[int]) -> Iterator[slice]:
+    """Runs of words for one recursive query each, by number and by the rows they can make."""
+    begin, rows = 0, 0
+    for i, size in enumerate(sizes):
+        more = size * (size + 1) // 2
+        if i > begin and (rows + more > ROWS_AT_ONCE or i - begin == WORDS_AT_ONCE):
+            yield slice(begin, i)
+            begin, rows = i, 0
+        rows += more
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary, with a DuckDB connection of its own."""
 
@@ -122,9 +138,9 @@ class ByteBpe:
                 out[i] = merged(symbols, self.pairs, self.product)[0]
             else:
                 rest.append(i)
-        for at in range(0, len(rest), WORDS_AT_ONCE):
-            some = rest[at : at + WORDS_AT_ONCE]
-            for i, ids in zip(some, self._recursive([words[i] for i in some]), strict=True):
+        for some in portions([len(words[i]) for i in rest]):
+            numbers = rest[some]
+            for i, ids in zip(numbers, self._recursive([words[i] for i in numbers]), strict=True):
                 out[i] = ids
         return out
 

@@ -151,6 +151,18 @@ def test_long_words_and_short_ones_are_merged_alike():
     assert got == [library.encode_ordinary(t) for t in texts]
 
 
+def test_blocks_of_long_distinct_words_fit_in_memory():
+    draw = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(draw.choices(letters, k=draw.randint(100, 254))) for _ in range(9_000)]
+    library = tiktoken.Encoding(
+        "own", pat_str=PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={}
+    )
+    text = " ".join(words)
+    ids, _ = byte_bpe.ByteBpe(RANKS, PATTERN).encode([text])
+    assert ids.tolist() == library.encode_ordinary(text)
+
+
 def test_token_counts(edge_docs, edge_rows, rows_of, no_docs):
     library = Tokenizer.from_file(JSON)
     expected = []
