@@ -7,18 +7,22 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from patronage.llm import (
     byte_bpe,
     embedding_dedup,
     exact_dedup,
+    hard_negatives,
     kneser_ney,
     language_id,
     license_scan,
     mixing,
     quality,
     simhash,
+    spelling,
     token_count,
+    token_files,
 )
 from patronage.llm.columns import table
 from patronage.session import ship
@@ -77,6 +81,24 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents", "doc_id", "text"))
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(
+        table(spark, folder, "documents", "doc_id", "text"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable:
     """The query, after the package has been sent to the executors."""
 
@@ -101,5 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_count,
         op9_quality,
         op10_simhash,
+        op11_spelling_variants,
+        op12_token_files,
+        op13_hard_negatives,
     )
 }
