@@ -15,12 +15,15 @@ final name only when it is whole; a task that runs twice writes the same file.
 from __future__ import annotations
 
 import io
+import json
 import os
+import string
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 from typing import BinaryIO
 from urllib.parse import urlparse
 
@@ -36,10 +39,10 @@ from patronage.llm.segments import once_per_worker
 from patronage.session import scratch_path, stage
 
 #: Pieces, and characters of them, kept in a worker's memory; beyond, it starts anew.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 1_200_000
 KEPT_CHARACTERS = 32 << 20
-#: Characters of a text whose pieces are looked up at once.
-STRETCH = 1 << 20
+#: Bytes of texts whose pieces are looked up at once, or one text.
+BLOCK_BYTES = 8 << 20
 #: Ids of a block of a file, unless a single document has more.
 BLOCK_IDS = 1 << 20
 
@@ -93,7 +96,9 @@ class Pieces:
     """Ids of texts by a tokenizer file, each distinct piece between spaces worked out once.
 
     No match of the tokenizer's pattern and no normalisation reaches across a space, so a
-    text's ids are those of its pieces in order.
+    text's ids are those of its pieces in order. A piece of ASCII that ends in punctuation is
+    two matches, of which the first does not depend on the case of letters where the tokenizer
+    lower-cases; such pieces share the ids of their first part.
     """
 
     def __init__(self, path: str) -> None:
@@ -102,90 +107,119 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        with open(path, encoding="utf-8") as file:
+            self.splits = _splits_punctuation(json.load(file))
         self._forget()
 
     def _forget(self) -> None:
-        fresh: list[str] = []
-
-        class Numbers(dict):
-            def __missing__(self, piece: str) -> int:
-                number = self[piece] = len(self)
-                fresh.append(piece)
-                return number
-
-        self.numbers, self.fresh, self.characters = Numbers(), fresh, 0
-        self.ids = np.zeros(1 << 16, self.width)
-        self.ends, self.used = np.zeros(1 << 16, np.int64), 0
-
-    def _learn(self) -> None:
-        first = len(self.numbers) - len(self.fresh)
-        for at in range(0, len(self.fresh), 4_000):
-            some = self.fresh[at : at + 4_000]
-            found = [
-                e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            ]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ends = self.used + np.cumsum(lengths)
-            while ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : ends[-1]] = [i for ids in found for i in ids]
-            low = first + at
-            while low + len(some) >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.ends[low + 1 : low + 1 + len(some)] = ends
-            self.used = int(ends[-1])
-            self.characters += sum(map(len, some))
-        self.fresh.clear()
-
-    def _stretch(self, text: str) -> np.ndarray:
+        self.numbers: dict[str, int] = {}
+        self.parts: dict[str, bytes] = {}
+        self.characters = 0
+        self.ids, self.used = np.zeros(1 << 16, self.width), 0
+        self.ends = np.zeros(1 << 16, np.int64)
+
+    def _cut(self, piece: str) -> tuple[str, str]:
+        if not self.splits or "<" in piece or not piece.isascii():
+            return piece, ""
+        first = piece.rstrip(string.punctuation)
+        if not first[-1:].isalnum():  # other characters and punctuation are one match
+            return piece, ""
+        return first.lower(), piece[len(first) :]
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Number pieces that are not known yet."""
+        cut = [self._cut(piece) for piece in fresh]
+        new = list(dict.fromkeys(part for pair in cut for part in pair if part not in self.parts))
+        for at in range(0, len(new), 4_000):
+            some = new[at : at + 4_000]
+            for part, found in zip(
+                some,
+                self.tokenizer.encode_batch_fast(some, add_special_tokens=False),
+                strict=True,
+            ):
+                self.parts[part] = np.array(found.ids, self.width).tobytes()
+        raw = [self.parts[a] + self.parts[b] if b else self.parts[a] for a, b in cut]
+        size = np.dtype(self.width).itemsize
+        ends = self.used + np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))) // size
+        while len(raw) and ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : ends[-1]] = np.frombuffer(b"".join(raw), self.width)
+        first = len(self.numbers)
+        while first + len(raw) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ends[first + 1 : first + 1 + len(raw)] = ends
+        self.used = int(ends[-1])
+        self.numbers.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+        self.characters += sum(map(len, fresh))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts one after another, and where each text's begin; null is empty."""
         if len(self.numbers) > KEPT_PIECES or self.characters > KEPT_CHARACTERS:
             self._forget()
-        found = list(map(self.numbers.__getitem__, text.split(" ")))
-        if self.fresh:
-            self._learn()
-        places = np.array(found)
+        lists = pc.split_pattern(texts.fill_null("").cast(pa.large_string()), " ")
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        met = lists.flatten().dictionary_encode()
+        pieces = met.dictionary.to_pylist()
+        found = [self.numbers.get(piece, -1) for piece in pieces]
+        fresh = [piece for piece, number in zip(pieces, found, strict=True) if number < 0]
+        if fresh:
+            self._learn(fresh)
+            found = list(map(self.numbers.__getitem__, pieces))
+        places = np.array(found, np.int64)[met.indices.to_numpy()]
         starts = self.ends[places]
         lengths = self.ends[places + 1] - starts
-        shift = np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
-        return self.ids[shift + np.arange(len(shift))]
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of one text."""
-        if len(text) <= STRETCH:
-            return self._stretch(text)
-        out, at = [], 0
-        while at <= len(text):
-            cut = text.find(" ", at + STRETCH)
-            cut = len(text) if cut < 0 else cut
-            out.append(self._stretch(text[at:cut]))
-            at = cut + 1
-        return np.concatenate(out)
+        begins = np.append(0, np.cumsum(lengths))
+        shift = np.repeat(starts - begins[:-1], lengths)
+        shift += np.arange(len(shift))
+        return self.ids[shift], begins[bounds]
+
+
+def _splits_punctuation(file: dict) -> bool:
+    """Whether a tokenizer file is one of the kind whose pieces ``Pieces._cut`` may cut: it
+    lower-cases, and matches either letters, a digit, or a run of other characters."""
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    normalizer, splitter = (json.dumps(file[k] or {}) for k in ("normalizer", "pre_tokenizer"))
+    return '"Lowercase"' in normalizer and json.dumps(pattern) in splitter
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """Staged rows (doc_id, ids, row), in no order: ``ids`` are raw little-endian integers."""
+    """Staged rows (doc_id, tie, n, ids, row), in no order.
+
+    ``ids`` are ``n`` little-endian integers as a zstd frame, ``tie`` is their crc32.
+    """
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = once_per_worker("pieces", tokenizer, lambda: Pieces(tokenizer))
-        last = np.array([] if end_id is None else [end_id], pieces.width)
+        codec = pa.Codec("zstd", compression_level=1)
+        last = np.array([] if end_id is None else [end_id], pieces.width).tobytes()
         for batch in batches:
-            for part in blocks(batch, "text", 2 << 20):
-                found = [
-                    np.concatenate([pieces.encode(text or ""), last]).tobytes()
-                    for text in part.column("text").to_pylist()
+            for part in blocks(batch, "text", BLOCK_BYTES):
+                ids, bounds = pieces.encode(part.column("text"))
+                size, raw = ids.itemsize, memoryview(ids.view(np.uint8))
+                whole = [
+                    bytes(raw[i * size : j * size]) + last
+                    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(found, pa.large_binary()).cast(pa.binary())],
-                    ["doc_id", "ids"],
+                    [
+                        part.column("doc_id"),
+                        pa.array(map(zlib.crc32, whole), pa.int64()),
+                        pa.array([len(ids) // size for ids in whole], pa.int64()),
+                        pa.array([codec.compress(ids, asbytes=True) for ids in whole], pa.binary()),
+                    ],
+                    ["doc_id", "tie", "n", "ids"],
                 )
 
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        tasks, "doc_id long, ids binary"
+        tasks, "doc_id long, tie long, n long, ids binary"
     )
-    path = scratch_path(docs.sparkSession, "ids")
-    numbered = made.withColumn("row", F.monotonically_increasing_id())
-    numbered.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(numbered.schema).parquet(path)
+    return stage(made.withColumn("row", F.monotonically_increasing_id()), "ids")
+
+
+def _ids(batch: pa.RecordBatch, width: str) -> Iterator[np.ndarray]:
+    codec, size = pa.Codec("zstd"), np.dtype(width).itemsize
+    for ids, n in zip(batch.column("ids"), batch.column("n").to_pylist(), strict=True):
+        yield np.frombuffer(codec.decompress(ids.as_buffer(), n * size), width)
 
 
 def by_frequency(encoded: DataFrame, width: str, vocabulary: int) -> np.ndarray:
@@ -196,14 +230,21 @@ def by_frequency(encoded: DataFrame, width: str, vocabulary: int) -> np.ndarray:
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
+        held, waiting = [], 0
         for batch in batches:
-            for value in batch.column("ids"):
-                total += np.bincount(np.frombuffer(value.as_buffer(), width), minlength=vocabulary)
+            for ids in _ids(batch, width):
+                held.append(ids)
+                waiting += len(ids)
+                if waiting > BLOCK_IDS:
+                    total += np.bincount(np.concatenate(held), minlength=vocabulary)
+                    held, waiting = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=vocabulary)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], ["id", "n"])
 
     counts = np.zeros(vocabulary, np.int64)
-    summed = encoded.select("ids").mapInArrow(tasks, "id long, n long").groupBy("id")
+    summed = encoded.select("n", "ids").mapInArrow(tasks, "id long, n long").groupBy("id")
     for row in summed.agg(F.sum("n").alias("n")).collect():  # the vocabulary's size at most
         counts[row.id] = row.n
     return np.argsort(-counts, kind="stable").astype("<u4")
@@ -308,29 +349,6 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int | None, folder: str)
     rank = np.empty(vocabulary, "<u4")
     rank[order] = np.arange(vocabulary)
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in _slices(whole, "ids"):
-                packed = [
-                    (len(ids), *map(np.ndarray.tobytes, pack(rank[ids])))
-                    for ids in (
-                        np.frombuffer(v.as_buffer(), width) for v in batch.column("ids")
-                    )
-                ]
-                n, control, data = zip(*packed, strict=True)
-                tie = [zlib.crc32(v.as_buffer()) for v in batch.column("ids")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        pa.array(tie, pa.int64()),
-                        batch.column("row"),
-                        pa.array(n, pa.int64()),
-                        pa.array(control, pa.binary()),
-                        pa.array(data, pa.binary()),
-                    ],
-                    ["doc_id", "tie", "row", "n", "control", "data"],
-                )
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:08d}.ids"
@@ -341,32 +359,27 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int | None, folder: str)
             return
         with _replacing(path) as file:
             held, ids = [], 0
-            for batch in (b for some in ([first], batches) for b in some):
-                for piece in _slices(batch, "data"):
-                    rows = zip(
-                        *(piece.column(c).to_pylist() for c in ("doc_id", "n", "control", "data")),
-                        strict=True,
-                    )
-                    for row in rows:
-                        if held and ids + row[1] > BLOCK_IDS:
+            for batch in chain([first], batches):
+                for piece in _slices(batch, "ids"):
+                    for doc_id, found in zip(
+                        piece.column("doc_id").to_pylist(), _ids(piece, width), strict=True
+                    ):
+                        n = len(found)
+                        if held and ids + n > BLOCK_IDS:
                             _write_block(file, held)
                             held, ids = [], 0
-                        held.append(row)
-                        ids += row[1]
+                        held.append((doc_id, n, *map(np.ndarray.tobytes, pack(rank[found]))))
+                        ids += n
                         documents += 1
-                        total += row[1]
+                        total += n
             _write_block(file, held)
         yield pa.RecordBatch.from_pylist(
             [{"part": part, "path": path, "documents": documents, "ids": total}]
         )
 
-    keys = ["doc_id", "tie", "control", "data", "row"]
     written = (
-        encoded.mapInArrow(
-            code, "doc_id long, tie long, row long, n long, control binary, data binary"
-        )
-        .repartitionByRange("doc_id", "tie", "row")
-        .sortWithinPartitions(*keys)
+        encoded.repartitionByRange("doc_id", "tie", "row")
+        .sortWithinPartitions("doc_id", "tie", "ids", "row")
         .mapInArrow(write, _MANIFEST)
     )
     written.write.parquet(f"{folder}/manifest")

@@ -139,6 +139,7 @@ def test_token_files(spark, edge_docs, edge_rows, no_docs, tmp_path, monkeypatch
         (101, "a<|startoftext|> <|endoftext|>  日本語 ١٢٣ 🙂🙂 x\x00y 가 ﬁ"),
         (102, " "),
         (103, "word " * 5_000),
+        (104, "Dogs' DOGS', it's. ('S) x'll.' U.S.A. <|endoftext|>. a<|b|>. 3.14, --- ''s Σας. É. x\n, a\x00. a\x1f."),
     ]
     docs = edge_docs.select("doc_id", "text", "ids", "n_tokens", "part").union(
         spark.createDataFrame(odd, "doc_id long, text string").select(
@@ -146,7 +147,8 @@ def test_token_files(spark, edge_docs, edge_rows, no_docs, tmp_path, monkeypatch
         )
     )
     monkeypatch.setattr(token_files, "BLOCK_IDS", 3_000)
-    monkeypatch.setattr(token_files, "STRETCH", 1_000)
+    monkeypatch.setattr(token_files, "BLOCK_BYTES", 1_000)
+    monkeypatch.setattr(token_files, "KEPT_PIECES", 50)
     rows = [(row[0], row[1]) for row in edge_rows] + odd
     folder = str(tmp_path / "ids")
     token_files.write_ids(docs, WORDS, 2, folder)
