@@ -17,6 +17,7 @@ from __future__ import annotations
 import io
 import json
 import os
+import re
 import string
 import struct
 import uuid
@@ -39,7 +40,7 @@ from patronage.llm.segments import once_per_worker
 from patronage.session import scratch_path, stage
 
 #: Pieces, and characters of them, kept in a worker's memory; beyond, it starts anew.
-KEPT_PIECES = 1_200_000
+KEPT_PIECES = 1_000_000
 KEPT_CHARACTERS = 32 << 20
 #: Bytes of texts whose pieces are looked up at once, or one text.
 BLOCK_BYTES = 8 << 20
@@ -92,6 +93,16 @@ def unpack(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     return out.reshape(-1)
 
 
+#: Letters that are one code point in every normal form, and those of lower case.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: How byte-level vocabularies show bytes without a printable sign.
+_SHOWN = {
+    b: chr(256 + i)
+    for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])
+}
+
+
 class Pieces:
     """Ids of texts by a tokenizer file, each distinct piece between spaces worked out once.
 
@@ -119,25 +130,39 @@ class Pieces:
         self.ends = np.zeros(1 << 16, np.int64)
 
     def _cut(self, piece: str) -> tuple[str, str]:
-        if not self.splits or "<" in piece or not piece.isascii():
+        if not self.splits or "<" in piece:
             return piece, ""
         first = piece.rstrip(string.punctuation)
-        if not first[-1:].isalnum():  # other characters and punctuation are one match
-            return piece, ""
-        return first.lower(), piece[len(first) :]
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Number pieces that are not known yet."""
-        cut = [self._cut(piece) for piece in fresh]
-        new = list(dict.fromkeys(part for pair in cut for part in pair if part not in self.parts))
-        for at in range(0, len(new), 4_000):
-            some = new[at : at + 4_000]
+        if first.isascii():
+            simple = first[-1:].isalnum()  # other characters and punctuation are one match
+        else:
+            simple = _LATIN.fullmatch(first) is not None
+        return (first.lower(), piece[len(first) :]) if simple else (piece, "")
+
+    def _encoded(self, parts: list[str]) -> None:
+        """Work out parts: plain words by the file's merges alone, as nothing else changes them."""
+        merges, others = self.tokenizer.model, []
+        for part in parts:
+            if self.splits and _PLAIN.fullmatch(part):
+                octets = part if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
+                found = [token.id for token in merges.tokenize(octets)]
+                self.parts[part] = np.array(found, self.width).tobytes()
+            else:
+                others.append(part)
+        for at in range(0, len(others), 4_000):
+            some = others[at : at + 4_000]
             for part, found in zip(
                 some,
                 self.tokenizer.encode_batch_fast(some, add_special_tokens=False),
                 strict=True,
             ):
                 self.parts[part] = np.array(found.ids, self.width).tobytes()
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Number pieces that are not known yet."""
+        cut = [self._cut(piece) for piece in fresh]
+        new = list(dict.fromkeys(part for pair in cut for part in pair if part not in self.parts))
+        self._encoded(new)
         raw = [self.parts[a] + self.parts[b] if b else self.parts[a] for a, b in cut]
         size = np.dtype(self.width).itemsize
         ends = self.used + np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))) // size
@@ -159,7 +184,7 @@ class Pieces:
         lists = pc.split_pattern(texts.fill_null("").cast(pa.large_string()), " ")
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         met = lists.flatten().dictionary_encode()
-        pieces = met.dictionary.to_pylist()
+        pieces = met.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = [self.numbers.get(piece, -1) for piece in pieces]
         fresh = [piece for piece, number in zip(pieces, found, strict=True) if number < 0]
         if fresh:
@@ -179,7 +204,9 @@ def _splits_punctuation(file: dict) -> bool:
     lower-cases, and matches either letters, a digit, or a run of other characters."""
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     normalizer, splitter = (json.dumps(file[k] or {}) for k in ("normalizer", "pre_tokenizer"))
-    return '"Lowercase"' in normalizer and json.dumps(pattern) in splitter
+    return (
+        '"Lowercase"' in normalizer and json.dumps(pattern) in splitter and '"ByteLevel"' in splitter
+    )
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:

@@ -139,7 +139,7 @@ def test_token_files(spark, edge_docs, edge_rows, no_docs, tmp_path, monkeypatch
         (101, "a<|startoftext|> <|endoftext|>  日本語 ١٢٣ 🙂🙂 x\x00y 가 ﬁ"),
         (102, " "),
         (103, "word " * 5_000),
-        (104, "Dogs' DOGS', it's. ('S) x'll.' U.S.A. <|endoftext|>. a<|b|>. 3.14, --- ''s Σας. É. x\n, a\x00. a\x1f."),
+        (104, "Dogs' DOGS', it's. ('S) x'll.' U.S.A. <|endoftext|>. a<|b|>. 3.14, --- ''s Σας. É. ÉCOLE, ßÀÖ×÷ø! ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞß. x\n, a\x00. a\x1f."),
     ]
     docs = edge_docs.select("doc_id", "text", "ids", "n_tokens", "part").union(
         spark.createDataFrame(odd, "doc_id long, text string").select(
