@@ -40,9 +40,13 @@ def differences(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str:
         return f"{len(spark_frame)} and {len(sql_frame)} rows"
     left, right = normal(spark_frame), normal(sql_frame)
     for column in left.columns:
+        if {str(left[column].dtype), str(right[column].dtype)} == {"float64", "Int64"}:
+            # Long with nulls, which the two libraries hand over as different types.
+            left[column], right[column] = (f[column].astype("Int64") for f in (left, right))
         if left[column].dtype != right[column].dtype and len(left):
             return f"{column}: {left[column].dtype} and {right[column].dtype}"
-        same = (left[column] == right[column]) | (left[column].isna() & right[column].isna())
+        same = (left[column] == right[column]).fillna(False)
+        same |= left[column].isna() & right[column].isna()
         if not same.all():
             i = (~same).idxmax()
             return (
