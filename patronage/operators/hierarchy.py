@@ -12,16 +12,11 @@ from pyspark.sql import types as T
 
 from ..schema import CLUSTER, CUSTOMER, METRICS, check_k
 from ..session import stage
+from .cftree import feature_tree, with_leaf
 from .features import SCALED, standardize
-from .kmeans import SEED
-from .microclusters import (
-    MICRO_CLUSTERS,
-    MICRO_ROUNDS,
-    fit_micro_clusters,
-    summarise,
-    with_micro,
-)
 
+#: Share of the total squared error that the merged leaves may have inside.
+ERROR_SHARE = 0.002
 _CHUNK_CELLS = 2_000_000  # distances held at once
 
 _MERGES = T.StructType(
@@ -40,15 +35,20 @@ class Ward:
     """A merge tree of cells over staged customers.
 
     ``tree`` has a row per merge. ``squared_error_inside`` is what the cells cost: the squared error
-    inside them, in units of the standardised metrics. ``converged`` says whether
-    the fit of the cells ended before its limit of rounds.
+    inside them, in units of the standardised metrics, no more than the wanted share of
+    ``squared_error``, that of one single cluster.
     """
 
     located: DataFrame
     cells: pd.DataFrame
     merges: list[tuple[int, int, float, int]]
     squared_error_inside: float
-    converged: bool
+    squared_error: float
+
+    def squared_error_of(self, k: int) -> float:
+        """Squared error of the tree cut at ``k``: inside the cells, and of the merges up to there."""
+        heights = [height for _, _, height, _ in self.merges[: max(len(self.cells) - k, 0)]]
+        return self.squared_error_inside + sum(h * h for h in heights) / 2
 
     @property
     def tree(self) -> DataFrame:
@@ -169,31 +169,29 @@ def cut_tree(
     return label[member].tolist()
 
 
-def ward(
-    rfm: DataFrame, micro: int = MICRO_CLUSTERS, seed: int = SEED, rounds: int = MICRO_ROUNDS
-) -> Ward:
+def ward(rfm: DataFrame, share: float = ERROR_SHARE) -> Ward:
     """Ward's method on the standardised metrics of all customers.
 
-    At every size the same way: Spark summarises the customers by ``micro``
-    cells (K-Means of at most ``rounds`` rounds) and Ward's method merges the weighted
-    cells. ``micro`` is the precision; half the sum of the tree's squared heights
-    and the error inside the cells add up to the error of one single cluster.
-    Only the cells reach the driver. Stage ``rfm`` first.
+    At every size the same way: Spark summarises the customers by the leaves of a tree of
+    clustering features, split until at most ``share`` of the squared error is inside them, and
+    Ward's method merges the weighted leaves. With a share of 0 a leaf holds equal customers and
+    the tree is that of Ward's method over all of them. Half the sum of the tree's squared heights and the
+    error inside the leaves add up to the error of one single cluster. Only the leaves
+    reach the driver; their number grows as the share falls, by its power -3/2 at most where
+    the three metrics fill space evenly. Stage ``rfm`` first.
     """
-    features = standardize(rfm)
-    fitted = fit_micro_clusters(features, SCALED, micro, seed, rounds)
-    located = stage(with_micro(features, fitted), "located")
-    cells = summarise(located, SCALED, ["micro"]).toPandas()  # ``micro`` rows at most
-    cells = cells.sort_values("micro", ignore_index=True)
+    features = stage(standardize(rfm), "standardized")
+    grown = feature_tree(features, SCALED, share)
+    located = stage(with_leaf(features, grown, "micro"), "located")
+    leaves = grown.leaves
+    cells = pd.DataFrame(grown.mean[leaves], columns=list(SCALED)).assign(
+        micro=leaves, weight=grown.count[leaves], error=grown.error[leaves].sum(axis=1)
+    )
     merges = ward_merges(cells["weight"].to_numpy(), cells[list(SCALED)].to_numpy())
-    inside = float((cells["weight"] * cells["spread"]).sum())
-    converged = fitted[1] is None or fitted[1].summary.numIter < rounds
-    return Ward(located, cells, merges, inside, converged)
+    return Ward(located, cells, merges, grown.inside, grown.total)
 
 
-def ward_segments(
-    rfm: DataFrame, k: int, micro: int = MICRO_CLUSTERS, seed: int = SEED
-) -> DataFrame:
+def ward_segments(rfm: DataFrame, k: int, share: float = ERROR_SHARE) -> DataFrame:
     """Customers in ``k`` Ward clusters."""
     check_k(k)
-    return ward(rfm, micro, seed).segments(k)
+    return ward(rfm, share).segments(k)

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import cluster_name
 from ..schema import CLUSTER, CUSTOMER, METRICS, check_k
+from ..session import stage
 from .centres import nearest
+from .elbow import Fit, fit_all
+from .features import SCALED, minmax, standardize
 from .segments import segment_profile
 
 RAW_VECTOR = "features"
@@ -131,45 +132,37 @@ def silhouette_squared(
     return evaluator.evaluate(df)
 
 
+def elbow_fits(
+    rfm: DataFrame,
+    ks: Sequence[int] = tuple(range(1, ELBOW_MAX + 1)),
+    scaler: str = "standard",
+    seed: int = SEED,
+    max_iterations: int = MAX_ITERATIONS,
+) -> list[Fit]:
+    """The fits behind ``elbow``, on metrics scaled by the population deviation, or to 0..1."""
+    if scaler not in ("standard", "minmax"):
+        raise ValueError(f"unknown scaler {scaler!r}")
+    scaled = standardize(rfm) if scaler == "standard" else minmax(rfm)
+    points = stage(scaled.select(*SCALED), "scaled")
+    return fit_all(points, SCALED, list(ks), seed, max_iterations)
+
+
 def elbow(
     rfm: DataFrame,
     ks: Sequence[int] = tuple(range(1, ELBOW_MAX + 1)),
     scaler: str = "standard",
     seed: int = SEED,
-    parallelism: int = 4,
     max_iterations: int = MAX_ITERATIONS,
 ) -> DataFrame:
     """(k, sse, converged): sum of squared distances to the nearest centre for each k, and
     whether the fit ended before ``max_iterations``.
 
-    One cluster needs no fit, Spark's K-Means starts at two: the cost is the
-    spread about the mean. The fits share persisted vectors, a few at a time.
-    Costs on standardised metrics are stated for the population deviation.
+    Every round of all fits is one aggregation over the customers, see ``elbow.fit_all``. Costs on
+    standardised metrics are stated for the population deviation.
     """
-    prepare = feature_stages(rfm, scaler)
-    vectors = prepare.transform(rfm).select(SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def cost(k: int) -> tuple[int, float, bool]:
-        if k == 1:
-            parts = vectors.select(F.posexplode(vector_to_array(SCALED_VECTOR)))
-            spread = parts.groupBy("pos").agg(F.var_pop("col") * F.count("*"))
-            return k, float(sum(row[1] for row in spread.collect())), True  # a row per metric
-        summary = _kmeans(k, seed, max_iterations).fit(vectors).summary
-        return k, float(summary.trainingCost), summary.numIter < max_iterations
-
-    try:
-        n = vectors.count()
-        pool = ThreadPool(min(parallelism, len(ks)))
-        try:
-            costs = pool.map(inheritable_thread_target(rfm.sparkSession)(cost), ks)
-        finally:
-            pool.close()
-            pool.join()
-    finally:
-        vectors.unpersist()
-    factor = n / (n - 1) if scaler == "standard" and n > 1 else 1.0
+    fits = elbow_fits(rfm, ks, scaler, seed, max_iterations)
     return rfm.sparkSession.createDataFrame(
-        [(k, cost * factor, done) for k, cost, done in costs], "k int, sse double, converged boolean"
+        [(fit.k, fit.sse, fit.converged) for fit in fits], "k int, sse double, converged boolean"
     )
 
 

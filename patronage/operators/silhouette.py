@@ -6,10 +6,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .cftree import FeatureTree, feature_tree, refine
 from .features import SCALED
 from .kmeans import SEED
 from .microclusters import MICRO_CLUSTERS, fit_micro_clusters, summarise, with_micro
@@ -17,6 +19,16 @@ from .microclusters import MICRO_CLUSTERS, fit_micro_clusters, summarise, with_m
 # Rows of a block in the pairwise method.
 BLOCK_ROWS = 2_000
 
+# How far apart the bounds of the tree method may be.
+TOLERANCE = 0.005
+
+# Cells that a caller's column may make.
+MOST_CELLS = 100_000
+
+# Share of the squared error inside the leaves of the first trees, and of a row's scale that
+# a box's mean distance may be uncertain by at first.
+_FIRST_SHARE, _FIRST_OPEN = 0.02, 2.0
+
 _CHUNK_CELLS = 4_000_000  # distances held at once in a task
 
 
@@ -24,29 +36,38 @@ def silhouette_euclidean(
     df: DataFrame,
     label: str,
     columns: Sequence[str] = SCALED,
-    method: str = "cells",
+    method: str = "tree",
     cell: str | None = None,
     micro: int = MICRO_CLUSTERS,
     seed: int = SEED,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """One row: the mean silhouette, a lower and an upper bound of it, the
     number of rows and of clusters. Every row counts; none is sampled.
 
     The caller chooses the method, whatever the size of the data:
 
+    ``tree`` is linear in the rows and gives bounds no farther apart than ``tolerance``. Every
+    cluster has a tree of clustering features; a row opens a box only while the box's mean distance
+    is uncertain at the row's own scale, so far boxes stay whole and near ones are
+    opened. The trees grow, and the rows are read again, until the bounds meet the tolerance.
+
     ``cells`` is linear in the rows. Clusters are summarised by cells holding
     weight, centroid and mean squared radius: those of the column ``cell``, or ``micro``
     micro-clusters split by label. The mean distance from a point to a cell of centroid c
     and mean squared radius v lies between ``d = |x - c|`` and ``sqrt(d^2 + v)``
     (Jensen's inequality, both ways), so a row's silhouette is bounded on both
-    sides; the value is the middle. The table of cells goes to every task and must be small.
+    sides; the value is the middle. The table of cells goes to every task: more than
+    ``MOST_CELLS`` are refused.
 
     ``pairwise`` is exact and quadratic: blocks of rows meet each other on
     the executors, which send sums per row and cluster.
     """
     if method == "pairwise":
         return _pairwise(df.select(F.col(label).alias("label"), *columns), list(columns))
-    if method != "cells":
+    if method == "tree" and cell is None:
+        return _tree(df.select(F.col(label).alias("label"), *columns), list(columns), tolerance)
+    if method not in ("cells", "tree"):
         raise ValueError(f"unknown method {method!r}")
     rows = df.select(
         F.col(label).alias("label"), *columns, *([F.col(cell).alias("micro")] if cell else [])
@@ -54,7 +75,9 @@ def silhouette_euclidean(
     if cell is None:
         rows = with_micro(rows, fit_micro_clusters(rows, columns, micro, seed))
     rows = stage(rows, "located")
-    known = summarise(rows, columns, ["label", "micro"]).toPandas()
+    known = summarise(rows, columns, ["label", "micro"]).limit(MOST_CELLS + 1).toPandas()
+    if len(known) > MOST_CELLS:
+        raise ValueError(f"more than {MOST_CELLS} cells")
     names = sorted(known["label"].unique())
     if len(names) < 2:
         raise ValueError("a silhouette needs at least two clusters")
@@ -70,6 +93,108 @@ def silhouette_euclidean(
     )
 
 
+def _tree(rows: DataFrame, columns: list[str], tolerance: float) -> DataFrame:
+    """Bounds within ``tolerance`` from trees that grow until they are."""
+    if tolerance <= 0:
+        raise ValueError("the tolerance must be positive")
+    rows = stage(rows, "rows")
+    share, opening = _FIRST_SHARE, _FIRST_OPEN * tolerance
+    tree = feature_tree(rows, columns, share, "label")
+    if len(tree.labels) < 2:
+        raise ValueError("a silhouette needs at least two clusters")
+    # Small files make few tasks, and a row costs far more here than its shuffle.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    spread = rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    while True:
+        bounds = _bounds_from_tree(tree, opening)
+        per_row = spread.mapInArrow(bounds, "low double, high double")
+        low, high, n = per_row.agg(F.avg("low"), F.avg("high"), F.count(F.lit(1))).first()
+        if high - low <= tolerance:
+            break
+        # What single boxes leave uncertain falls with both; distinct points end it.
+        share, opening = share / 8, opening / 2
+        refine(rows, tree, share, "label")
+    return rows.sparkSession.createDataFrame(
+        [((low + high) / 2, low, high, n, len(tree.labels))],
+        "silhouette double, silhouette_low double, silhouette_high double, n_rows long,"
+        " n_clusters int",
+    )
+
+
+def _bounds_from_tree(tree: FeatureTree, opening: float):
+    """A ``mapInArrow`` function giving each row's silhouette bounds.
+
+    A box is opened while its mean distance from the row is uncertain by more than ``opening`` of the
+    row's scale, the distance to the nearest other cluster's mean at the least.
+    """
+    labels = len(tree.labels)
+    squares = np.divide(
+        tree.error.sum(axis=1), tree.count, out=np.zeros(len(tree.count)), where=tree.count > 0
+    )
+    sizes = tree.count[:labels].astype(float)
+    held = [np.flatnonzero(tree.count[a : a + tree.fan]) + a for a in tree.first if a >= 0]
+    many = np.zeros(len(tree.first), np.int64)
+    many[tree.first >= 0] = [len(some) for some in held]
+    children = np.concatenate([*held, np.zeros(0, np.int64)])
+    begins = np.cumsum(many) - many
+
+    def sums(x: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper sums of each row's distances to the rows of each cluster."""
+        n = len(x)
+        near, far = np.zeros(n * labels), np.zeros(n * labels)
+        row = np.repeat(np.arange(n), labels)
+        node = np.tile(np.arange(labels), n)
+        while len(row):
+            away = x[row] - tree.mean[node]
+            squared = np.einsum("ij,ij->i", away, away)
+            low, high = np.sqrt(squared), np.sqrt(squared + squares[node])
+            closed = (high - low <= opening * scale[row]) | (many[node] == 0)
+            cell = row[closed] * labels + tree.label[node[closed]]
+            weight = tree.count[node[closed]]
+            near += np.bincount(cell, weight * low[closed], n * labels)
+            far += np.bincount(cell, weight * high[closed], n * labels)
+            row, node = row[~closed], node[~closed]
+            each = many[node]
+            begin = np.repeat(begins[node] - (np.cumsum(each) - each), each)
+            row, node = np.repeat(row, each), children[begin + np.arange(each.sum())]
+        return near.reshape(n, labels), far.reshape(n, labels)
+
+    def value(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+        larger = np.maximum(own, other)
+        return np.divide(other - own, larger, out=np.zeros_like(own), where=larger > 0)
+
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = {name: i for i, name in enumerate(tree.labels)}
+        for whole in batches:
+            for at in range(0, len(whole), 500):
+                batch = whole.slice(at, 500)
+                x = np.column_stack(
+                    [batch.column(c).to_numpy(zero_copy_only=False) for c in tree.columns]
+                )
+                mine = np.array([code[v] for v in batch.column("label").to_pylist()])
+                rows = np.arange(len(x))
+                to_roots = np.zeros((len(x), labels))
+                for c in range(x.shape[1]):
+                    to_roots += (x[:, c, None] - tree.mean[None, :labels, c]) ** 2
+                # No mean distance to a cluster is below the distance to its mean.
+                to_roots[rows, mine] = np.inf
+                near, far = sums(x, np.sqrt(to_roots.min(axis=1)))
+                others = np.maximum(sizes[mine] - 1, 1)
+                own_low, own_high = near[rows, mine] / others, far[rows, mine] / others
+                near, far = near / sizes, far / sizes
+                near[rows, mine] = np.inf
+                far[rows, mine] = np.inf
+                other_low, other_high = near.min(axis=1), far.min(axis=1)
+                alone = sizes[mine] == 1  # counts 0
+                low = np.where(alone, 0.0, value(own_high, other_low))
+                high = np.where(alone, 0.0, value(own_low, other_high))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(low), pa.array(high)], ["low", "high"]
+                )
+
+    return bounds
+
+
 def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
     """The exact silhouette from all distances, block against block."""
     points = stage(rows.withColumn("id", F.monotonically_increasing_id()), "points")

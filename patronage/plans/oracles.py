@@ -248,6 +248,21 @@ def _sizes_of(k: str) -> str:
                (SELECT COUNT(*) FROM rfm) AS n_customers FROM (SELECT unnest({k}) AS k)"""
 
 
+_PAIRWISE = (
+    *_SCORE_TABLES,
+    _STANDARDIZED,
+    f"""labelled AS (SELECT customer_id, {_LEVEL[4]} AS c, zr, zf, zm
+        FROM scored JOIN standardized USING (customer_id))""",
+    """sizes AS (SELECT c, COUNT(*) AS size FROM labelled GROUP BY c)""",
+    """sums AS (SELECT a.customer_id, a.c AS own, b.c AS other,
+                SUM(sqrt((a.zr - b.zr) ^ 2 + (a.zf - b.zf) ^ 2 + (a.zm - b.zm) ^ 2)) AS total
+                FROM labelled a CROSS JOIN labelled b GROUP BY 1, 2, 3)""",
+    """parts AS (SELECT customer_id, any_value(own) AS own,
+                 MAX(CASE WHEN own = other THEN total / greatest(size - 1, 1) END) AS a,
+                 MIN(CASE WHEN own <> other THEN total / size END) AS b,
+                 MAX(CASE WHEN own = other THEN size END) AS own_size
+                 FROM sums JOIN sizes ON sizes.c = sums.other GROUP BY customer_id)""",
+)
 _NEAREST_TABLES = (_ORDERS, _RFM, _STANDARDIZED, _NEAREST)
 _NAMED_CLUSTERS = (
     "(SELECT Recency, Frequency, Monetary, 'Cluster ' || cluster AS \"Cluster\" FROM nearest)"
@@ -426,32 +441,38 @@ ORACLES: dict[str, str] = {
                  num_cds_purchased, printf('%.2f', CAST(transaction_value AS DOUBLE)) || '7') AS value
           FROM orders_tx WHERE o_orderkey % 5 = 0""",
     "kmeans_segments": _with(_ORDERS, _RFM)
-    + f"SELECT {_RFM_OUTPUT}, TRUE AS in_range, TRUE AS at_nearest FROM rfm",
+    + f"SELECT {_RFM_OUTPUT}, TRUE AS in_range, TRUE AS at_nearest, 0.0::DOUBLE AS centre_gap,"
+    " TRUE AS converged FROM rfm",
     "kmeans_profile": _with(_ORDERS, _RFM)
     + f"SELECT *, TRUE AS silhouette_in_bounds FROM ({_sizes_of('[4]')})",
     "kmeans_minmax_profile": _with(_ORDERS, _RFM)
-    + f"SELECT *, TRUE AS silhouette_in_bounds FROM ({_sizes_of('[4]')})",
+    + "SELECT *, TRUE AS silhouette_in_bounds, 0.0::DOUBLE AS centre_gap"
+    f" FROM ({_sizes_of('[4]')})",
     "kmeans_profiles": _with(_ORDERS, _RFM)
-    + f"SELECT *, TRUE AS below_one_cluster FROM ({_sizes_of('range(2, 8)')})",
+    + "SELECT *, TRUE AS below_one_cluster, 0.0::DOUBLE AS centre_gap"
+    f" FROM ({_sizes_of('range(2, 8)')})",
     "ward_segments": _with(_ORDERS, _RFM) + _IN_RANGE,
     "bisecting_segments": _with(_ORDERS, _RFM) + _IN_RANGE,
     "ward_profile": _with(_ORDERS, _RFM)
     + f"SELECT *, TRUE AS silhouette_in_bounds FROM ({_sizes_of('[4]')})",
-    "ward_profiles": _with(_ORDERS, _RFM) + _sizes_of("range(2, 8)"),
+    "ward_profiles": _with(_ORDERS, _RFM, _STANDARDIZED)
+    + f"""SELECT *, (SELECT ROUND(SUM(zr ^ 2 + zf ^ 2 + zm ^ 2), 4) FROM standardized) AS sse_of_one
+          FROM ({_sizes_of("range(2, 8)")})""",
     "ward_merges": _with(_ORDERS, _RFM, _STANDARDIZED)
     + """SELECT COUNT(*) AS n_customers, ROUND(SUM(zr ^ 2 + zf ^ 2 + zm ^ 2), 4) AS sse,
-         TRUE AS heights_rise, TRUE AS nodes_merge_once FROM standardized""",
+         TRUE AS share_inside_kept, TRUE AS heights_rise, TRUE AS nodes_merge_once FROM standardized""",
     "elbow_curve": _with(_ORDERS, _RFM, _STANDARDIZED)
-    + """SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN (SELECT
-         ROUND(SUM(zr ^ 2 + zf ^ 2 + zm ^ 2), 4) FROM standardized) END AS sse_of_one,
-         TRUE AS not_above_one FROM (SELECT unnest(range(1, 20)) AS k)""",
+    + """SELECT CAST(k AS INTEGER) AS k, (SELECT ROUND(SUM(zr ^ 2 + zf ^ 2 + zm ^ 2), 4)
+         FROM standardized) AS sse_of_one, TRUE AS sse_checked, TRUE AS falls, TRUE AS converged
+         FROM (SELECT unnest(range(1, 20)) AS k)""",
     "elbow_curve_minmax": _with(_ORDERS, _RFM)
-    + """SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN (SELECT ROUND(
+    + """SELECT CAST(k AS INTEGER) AS k, (SELECT ROUND(
          var_pop(Recency) * COUNT(*) / (MAX(Recency) - MIN(Recency)) ^ 2
          + var_pop(Frequency) * COUNT(*) / (MAX(Frequency) - MIN(Frequency)) ^ 2
          + var_pop(CAST(Monetary AS DOUBLE)) * COUNT(*)
-           / CAST(MAX(Monetary) - MIN(Monetary) AS DOUBLE) ^ 2, 4) FROM rfm) END AS sse_of_one,
-         TRUE AS not_above_one FROM (SELECT unnest(range(1, 20)) AS k)""",
+           / CAST(MAX(Monetary) - MIN(Monetary) AS DOUBLE) ^ 2, 4) FROM rfm) AS sse_of_one,
+         TRUE AS sse_checked, TRUE AS falls, TRUE AS converged
+         FROM (SELECT unnest(range(1, 20)) AS k)""",
     "silhouette_bounded": _with(
         *_SCORE_TABLES,
         _STANDARDIZED,
@@ -524,23 +545,15 @@ ORACLES: dict[str, str] = {
          FROM standardized,
               (SELECT AVG(zr) AS ar, AVG(zf) AS af, AVG(zm) AS am FROM standardized)""",
     "silhouette_euclidean": _with(
-        *_SCORE_TABLES,
-        _STANDARDIZED,
-        f"""labelled AS (SELECT customer_id, {_LEVEL[4]} AS c, zr, zf, zm
-            FROM scored JOIN standardized USING (customer_id))""",
-        """sizes AS (SELECT c, COUNT(*) AS size FROM labelled GROUP BY c)""",
-        """sums AS (SELECT a.customer_id, a.c AS own, b.c AS other,
-                    SUM(sqrt((a.zr - b.zr) ^ 2 + (a.zf - b.zf) ^ 2 + (a.zm - b.zm) ^ 2)) AS total
-                    FROM labelled a CROSS JOIN labelled b GROUP BY 1, 2, 3)""",
-        """parts AS (SELECT customer_id, any_value(own) AS own,
-                     MAX(CASE WHEN own = other THEN total / greatest(size - 1, 1) END) AS a,
-                     MIN(CASE WHEN own <> other THEN total / size END) AS b,
-                     MAX(CASE WHEN own = other THEN size END) AS own_size
-                     FROM sums JOIN sizes ON sizes.c = sums.other GROUP BY customer_id)""",
+        *_PAIRWISE,
     )
     + """SELECT ROUND(AVG(CASE WHEN own_size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
          AS silhouette, COUNT(*) AS n_rows, CAST(COUNT(DISTINCT own) AS INTEGER) AS n_clusters
          FROM parts""",
+    "silhouette_tolerance": _with(*_PAIRWISE)
+    + """SELECT ROUND(AVG(CASE WHEN own_size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
+         AS silhouette, COUNT(*) AS n_rows, TRUE AS enclosed, TRUE AS within_tolerance
+         FROM parts""",
     "silhouette_squared": _with(
         *_NEAREST_TABLES,
         """sums AS (SELECT a.customer_id, a.cluster AS own, b.cluster AS other,

@@ -7,6 +7,7 @@ types look like outside.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
@@ -355,6 +356,14 @@ def cluster_profile_2dp(spark: SparkSession, folder: str) -> DataFrame:
     return kmeans.cluster_profile_descending(assigned, len(CENTRES))
 
 
+def _centre_gap(assigned: DataFrame, fitted: centres.CentreModel) -> float:
+    """The largest distance of a centre from the mean of its customers, in hundredths: 0 for
+    a fit that has ended, and not for one that was stopped on its way."""
+    means = assigned.groupBy(CLUSTER).agg(*(F.avg(v) for v in fitted.scaled())).collect()
+    gaps = [math.dist(row[1:], fitted.centres[row[0]]) for row in means]
+    return round(max(gaps), 2) + 0.0
+
+
 def kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Each customer beside what must hold of a fit: the cluster is one of four, and
     its centre is the nearest of the fitted ones."""
@@ -377,6 +386,8 @@ def kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
             *METRICS,
             F.col(CLUSTER).between(0, 3).alias("in_range"),
             (own <= F.col("distance") + 1e-9).alias("at_nearest"),
+            F.lit(_centre_gap(assigned, fitted)).alias("centre_gap"),
+            F.lit(kmeans.converged(model)).alias("converged"),
         )
     )
 
@@ -396,8 +407,11 @@ def kmeans_profiles(spark: SparkSession, folder: str) -> DataFrame:
         model = kmeans.fit_kmeans(customers, k)
         assigned = kmeans.assign(model, customers)
         cost = model.stages[-1].summary.trainingCost
-        row = _sizes(kmeans.cluster_profile(assigned, k), [NUM_CLUSTERS]).withColumn(
-            "below_one_cluster", F.lit(cost < one)
+        row = _sizes(kmeans.cluster_profile(assigned, k), [NUM_CLUSTERS]).withColumns(
+            {
+                "below_one_cluster": F.lit(cost < one),
+                "centre_gap": F.lit(_centre_gap(assigned, centres.centre_model(model))),
+            }
         )
         out = row if out is None else out.unionByName(row)
     return out
@@ -427,28 +441,56 @@ def kmeans_minmax_profile(spark: SparkSession, folder: str) -> DataFrame:
     profile = kmeans.cluster_profile_descending(kmeans.assign(model, customers), 4)
     silhouette_value = kmeans.silhouette_squared(model.transform(customers))
     bounded = F.lit(-1 <= silhouette_value <= 1).alias("silhouette_in_bounds")
-    return _sizes(profile, [NUM_CLUSTERS]).select("*", bounded)
-
-
-def _elbow_shown(curve: DataFrame, one: float) -> DataFrame:
-    """The cost of one cluster, which SQL knows, and that no other k costs more."""
-    return curve.select(
-        "k",
-        F.round(F.when(F.col("k") == 1, F.col("sse")), 4).alias("sse_of_one"),
-        ((F.col("sse") >= 0) & (F.col("sse") <= one * (1 + 1e-9))).alias("not_above_one"),
+    gap = _centre_gap(kmeans.assign(model, customers), centres.centre_model(model))
+    return _sizes(profile, [NUM_CLUSTERS]).select("*", bounded, F.lit(gap).alias("centre_gap"))
+
+
+def _squared_from(values, centre) -> F.Column:
+    squares = (F.pow(value - float(c), 2) for value, c in zip(values, centre, strict=True))
+    return sum(squares, F.lit(0.0))
+
+
+def _elbow_shown(customers: DataFrame, scaled: DataFrame, scaler: str) -> DataFrame:
+    """Each k beside what must hold of fits that have ended: the customers' error about the
+    nearest centre is the fit's, with that of the centres about the mean it is the error
+    of one cluster, and more clusters never cost more."""
+    fits = kmeans.elbow_fits(customers, scaler=scaler)
+    values = [F.col(c) for c in features.SCALED]
+    mean = scaled.agg(*(F.avg(v) for v in values)).first()
+    sums = []
+    for fit in fits:
+        ranked = F.array_min(
+            F.array(
+                *(
+                    F.struct(_squared_from(values, c).alias("squared"), F.lit(i).alias("i"))
+                    for i, c in enumerate(fit.centres)
+                )
+            )
+        )
+        between = [float(((c - list(mean)) ** 2).sum()) for c in fit.centres]
+        own = F.element_at(F.array(*map(F.lit, between)), ranked["i"] + 1)
+        sums += [F.sum(ranked["squared"]), F.sum(own)]
+    found = scaled.agg(*sums).first()
+    rows, last = [], None
+    for i, fit in enumerate(fits):
+        within, between = found[2 * i : 2 * i + 2]
+        same = abs(within - fit.sse) <= 1e-6 * (within + between)
+        falls = last is None or fit.sse <= last * (1 + 1e-9)
+        rows.append((fit.k, round(fit.sse + between, 4), same, falls, fit.converged))
+        last = fit.sse
+    return customers.sparkSession.createDataFrame(
+        rows, "k int, sse_of_one double, sse_checked boolean, falls boolean, converged boolean"
     )
 
 
 def elbow_curve(spark: SparkSession, folder: str) -> DataFrame:
     customers = _rfm(spark, folder)
-    one = _one_cluster_error(stage(features.standardize(customers), "scaled"))
-    return _elbow_shown(kmeans.elbow(customers), one)
+    return _elbow_shown(customers, stage(features.standardize(customers), "scaled"), "standard")
 
 
 def elbow_curve_minmax(spark: SparkSession, folder: str) -> DataFrame:
     customers = _rfm(spark, folder)
-    one = _one_cluster_error(stage(features.minmax(customers), "scaled"))
-    return _elbow_shown(kmeans.elbow(customers, range(1, 20), "minmax"), one)
+    return _elbow_shown(customers, stage(features.minmax(customers), "scaled"), "minmax")
 
 
 def sse_k1(spark: SparkSession, folder: str) -> DataFrame:
@@ -468,6 +510,19 @@ def silhouette_euclidean(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(result.select("silhouette", "n_rows", "n_clusters"), ["silhouette"])
 
 
+def silhouette_tolerance(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact value, and that bounds to a tolerance enclose it."""
+    rows = stage(_levelled(spark, folder), "levelled")
+    exact = silhouette.silhouette_euclidean(rows, LEVEL, method="pairwise")
+    low, high = silhouette.silhouette_euclidean(rows, LEVEL, tolerance=0.002).first()[1:3]
+    return exact.select(
+        F.round("silhouette", 6).alias("silhouette"),
+        "n_rows",
+        F.col("silhouette").between(low - 1e-9, high + 1e-9).alias("enclosed"),
+        F.lit(high - low <= 0.002).alias("within_tolerance"),
+    )
+
+
 def silhouette_bounded(spark: SparkSession, folder: str) -> DataFrame:
     """Bounds from the cells of a grid of half deviations."""
     steps = [F.floor(F.col(c) / CELL_STEP).cast("string") for c in features.SCALED]
@@ -493,21 +548,30 @@ def ward_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 def ward_merges(spark: SparkSession, folder: str) -> DataFrame:
     """What must hold of a merge tree: half its squared heights and the error inside
-    the cells make the error of one cluster, heights rise, each node merges once."""
+    the leaves make the error of one cluster, the share inside is no larger than wanted, heights
+    rise, each node merges once."""
     found = hierarchy.ward(_rfm(spark, folder))
-    tree = found.tree
-    above = F.lag("height").over(Window.orderBy("step"))  # a row per merge of cells
-    checked = tree.withColumn("rises", F.coalesce(F.col("height") >= above, F.lit(True)))
-    nodes = tree.select(F.explode(F.array("left", "right")).alias("node"))
-    once = nodes.groupBy("node").count().agg(F.max("count")).first()[0] == 1
-    return checked.agg(
+    heights = [merge[2] for merge in found.merges]
+    nodes = [node for merge in found.merges for node in merge[:2]]
+    within = found.squared_error_inside <= hierarchy.ERROR_SHARE * found.squared_error
+    return found.tree.agg(
         F.max("size").alias("n_customers"),
         F.round(F.sum(F.pow("height", F.lit(2))) / 2 + found.squared_error_inside, 4).alias("sse"),
-        F.bool_and("rises").alias("heights_rise"),
-        F.lit(once).alias("nodes_merge_once"),
+        F.lit(within).alias("share_inside_kept"),
+        F.lit(heights == sorted(heights)).alias("heights_rise"),
+        F.lit(len(nodes) == len(set(nodes))).alias("nodes_merge_once"),
     )
 
 
+def _between(labelled: DataFrame) -> float:
+    """Squared error of the clusters' means about the mean of all, on the standardised metrics."""
+    values = [F.col(c) for c in features.SCALED]
+    means = [F.avg(v).alias(c) for v, c in zip(values, features.SCALED, strict=True)]
+    clusters = labelled.groupBy(CLUSTER).agg(F.count(F.lit(1)).alias("n"), *means)
+    squares = sum((v * v for v in values), F.lit(0.0))  # the mean of all is 0
+    return clusters.agg(F.sum(F.col("n") * squares)).first()[0]
+
+
 def ward_profile(spark: SparkSession, folder: str) -> DataFrame:
     result = segmentation.ward_segmentation(_rfm(spark, folder), 4)
     bounded = F.lit(-1 <= result.silhouette <= 1).alias("silhouette_in_bounds")
@@ -515,13 +579,17 @@ def ward_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ward_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    """One tree cut for every supported k."""
+    """One tree cut for every supported k: what the tree says of the clusters' error and the
+    error of their means about the mean of all make that of one cluster."""
     found = hierarchy.ward(_rfm(spark, folder))
     out = None
     for k in KS:
-        profile = kmeans.cluster_profile(found.segments(k), k)
+        labelled = stage(found.segments(k), "labelled")
+        sse = found.squared_error_of(k) + _between(labelled)
+        profile = _sizes(kmeans.cluster_profile(labelled, k), [NUM_CLUSTERS])
+        profile = profile.withColumn("sse_of_one", F.round(F.lit(sse), 4))
         out = profile if out is None else out.unionByName(profile)
-    return _sizes(out, [NUM_CLUSTERS])
+    return out
 
 
 def bisecting_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -650,6 +718,7 @@ QUERIES: dict[str, Query] = {
         sse_k1,
         silhouette_euclidean,
         silhouette_bounded,
+        silhouette_tolerance,
         silhouette_squared,
         ward_segments,
         ward_merges,

@@ -1,6 +1,16 @@
 import numpy as np
 import pytest
-from patronage.operators import centres, comparison, features, hierarchy, kmeans, scoring, silhouette
+from patronage.operators import (
+    centres,
+    cftree,
+    comparison,
+    elbow,
+    features,
+    hierarchy,
+    kmeans,
+    scoring,
+    silhouette,
+)
 from patronage.plans import segmentation
 from patronage.schema import METRICS, TRANSACTION_SCHEMA
 from patronage.session import scratch_path, stage
@@ -82,6 +92,84 @@ def test_elbow(blobs):
     assert costs[3] == pytest.approx(within)
 
 
+def brute_lloyd(x, centres):
+    """Rounds over all points until nothing moves."""
+    while True:
+        near = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array(
+            [x[near == j].mean(axis=0) if (near == j).any() else c for j, c in enumerate(centres)]
+        )
+        if np.abs(moved - centres).max() <= elbow.TOLERANCE:
+            return moved, near
+        centres = moved
+
+
+@pytest.mark.parametrize("share", [1.0, 0.05, 1e-4])
+def test_all_numbers_of_clusters_at_once_equal_rounds_over_all_rows(spark, monkeypatch, share):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 3)) * [1, 2, 0.1]
+    x[:200] = x[0]  # a third of all rows are copies of one point
+    points = stage(spark.createDataFrame(x.tolist(), "a double, b double, c double"))
+    begin = {k: x[200 : 200 + k].copy() for k in range(1, 8)}
+    monkeypatch.setattr(elbow, "LEAVES_PER_CLUSTER", 1)
+    monkeypatch.setattr(elbow, "starts", lambda means, weight, ks, seed: {k: begin[k] for k in ks})
+    for fit in elbow.fit_all(points, ["a", "b", "c"], list(begin), 0, 300, share):
+        centres, near = brute_lloyd(x, begin[fit.k])
+        assert fit.converged and fit.centres == pytest.approx(centres, abs=1e-4)
+        assert fit.sse == pytest.approx(((x - centres[near]) ** 2).sum())
+        assert fit.counts.tolist() == np.bincount(near, minlength=fit.k).tolist()
+        assert fit.compared <= 600 * fit.rounds
+    one = elbow.fit_all(points, ["a", "b", "c"], [5], 0, 1, share)[0]
+    assert not one.converged and one.rounds == 1
+    with pytest.raises(ValueError):
+        elbow.fit_all(points.where("false"), ["a", "b", "c"], [1], 0, 5)
+    with pytest.raises(ValueError):
+        kmeans.elbow(points, [1], scaler="log")
+
+
+def test_no_centre_is_ruled_out_that_is_nearest_in_its_box():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        centres = rng.integers(0, 5, (6, 2)).astype(float)
+        low = rng.integers(0, 4, (20, 2)).astype(float)
+        high = low + rng.integers(0, 3, (20, 2))
+        may = elbow.candidates(low, high, (low + high) / 2, centres)
+        for i in range(20):
+            x = low[i] + rng.random((40, 2)) * (high[i] - low[i])
+            near = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+            assert may[i, near].all()
+
+
+def test_feature_tree(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(500, 2)), 2)
+    labels = rng.integers(0, 3, 500)
+    rows = [(int(label), *map(float, point)) for label, point in zip(labels, x)]
+    points = stage(spark.createDataFrame(rows, "label int, a double, b double"))
+    for share in (1, 0.1, 0.003, 0):
+        tree = cftree.feature_tree(points, ["a", "b"], share, "label")
+        total = sum(((x[labels == k] - x[labels == k].mean(axis=0)) ** 2).sum() for k in range(3))
+        assert tree.total == pytest.approx(total)
+        assert tree.inside <= share * total + 1e-9
+        placed = cftree.with_leaf(points, tree, label="label").toPandas()
+        assert (tree.label[placed["leaf"]] == placed["label"]).all()
+        for leaf, own in placed.groupby("leaf"):
+            own = own[["a", "b"]].to_numpy()
+            assert tree.count[leaf] == len(own)
+            assert tree.mean[leaf] == pytest.approx(own.mean(axis=0))
+            assert tree.error[leaf].sum() == pytest.approx(
+                ((own - own.mean(axis=0)) ** 2).sum(), abs=1e-9
+            )
+            assert (tree.low[leaf] == own.min(axis=0)).all()
+            assert (tree.high[leaf] == own.max(axis=0)).all()
+        if share == 0:
+            assert len(tree.leaves) == len(set(rows))
+    assert cftree.feature_tree(points.where("false"), ["a", "b"], 0.1).leaves.size == 0
+    monkeypatch.setattr(cftree, "MOST_NODES", 20)
+    with pytest.raises(ValueError, match="more than 20 nodes"):
+        cftree.feature_tree(points, ["a", "b"], 0.001)
+
+
 def test_assign_nearest(spark, blobs):
     given = [(7, *BLOBS[0]), (3, *BLOBS[1]), (5, *BLOBS[2])]
     rows = kmeans.assign_nearest(blobs, given, METRICS).collect()
@@ -164,7 +252,7 @@ def test_pairwise_silhouette(labelled, block, monkeypatch):
 @pytest.mark.parametrize("micro", [2, 20, 60])
 def test_bounded_silhouette_encloses_the_exact_one(labelled, micro):
     df, x, labels = labelled
-    row = silhouette.silhouette_euclidean(df, "label", micro=micro).head()
+    row = silhouette.silhouette_euclidean(df, "label", method="cells", micro=micro).head()
     expected = brute_silhouette(x, labels)
     assert row["silhouette_low"] - 1e-9 <= expected <= row["silhouette_high"] + 1e-9
     if micro == 60:
@@ -172,7 +260,26 @@ def test_bounded_silhouette_encloses_the_exact_one(labelled, micro):
     assert row["n_rows"] == 240
 
 
-@pytest.mark.parametrize("method", ["cells", "pairwise"])
+@pytest.mark.parametrize("tolerance", [0.2, 0.01, 1e-6])
+def test_silhouette_to_a_tolerance(labelled, tolerance):
+    df, x, labels = labelled
+    row = silhouette.silhouette_euclidean(df, "label", tolerance=tolerance).head()
+    expected = brute_silhouette(x, labels)
+    assert row["silhouette_low"] - 1e-9 <= expected <= row["silhouette_high"] + 1e-9
+    assert row["silhouette_high"] - row["silhouette_low"] <= tolerance
+    assert (row["n_rows"], row["n_clusters"]) == (240, 4)
+    with pytest.raises(ValueError):
+        silhouette.silhouette_euclidean(df, "label", tolerance=0)
+
+
+def test_cells_of_a_column_are_bounded(labelled, monkeypatch):
+    monkeypatch.setattr(silhouette, "MOST_CELLS", 10)
+    rows = labelled[0].withColumn("cell", F.monotonically_increasing_id())
+    with pytest.raises(ValueError, match="more than 10 cells"):
+        silhouette.silhouette_euclidean(rows, "label", cell="cell")
+
+
+@pytest.mark.parametrize("method", ["tree", "cells", "pairwise"])
 def test_silhouette_needs_two_clusters(labelled, method):
     with pytest.raises(ValueError):
         silhouette.silhouette_euclidean(labelled[0].where("label = 'a'"), "label", method=method)
@@ -240,9 +347,9 @@ def test_merge_tree_with_equal_distances():
     assert sorted(n for left, right, _, _ in merges for n in (left, right)) == list(range(70))
 
 
-@pytest.mark.parametrize("micro", [1000, 20])
-def test_ward_segments(blobs, micro):
-    found = hierarchy.ward(blobs, micro=micro)
+@pytest.mark.parametrize("share", [0, 0.002, 0.02])
+def test_ward_segments(blobs, share):
+    found = hierarchy.ward(blobs, share)
     segments, tree = found.segments(3), found.tree
     rows = segments.collect()
     assert len(rows) == 120
@@ -255,12 +362,20 @@ def test_ward_segments(blobs, micro):
     one = features.squared_error_of_one_cluster(features.standardize(blobs)).head()["sse"]
     between = sum(r["height"] ** 2 for r in tree.collect()) / 2
     assert between + found.squared_error_inside == pytest.approx(one)
-    if micro == 1000:
-        assert found.squared_error_inside < 0.01 * one
+    assert found.squared_error == pytest.approx(one)
+    assert found.squared_error_inside <= share * one + 1e-9
+    z = matrix(features.standardize(blobs).join(segments, "customer_id"), ["customer_id", "Cluster"])
+    assert len(z) == 120
+    within = 0.0
+    for cluster in range(3):
+        own = matrix(segments.where(F.col("Cluster") == cluster), features.SCALED)
+        within += ((own - own.mean(axis=0)) ** 2).sum()
+    assert found.squared_error_of(3) == pytest.approx(within)
 
 
 def test_tree_of_the_cells_equals_brute_force(blobs):
-    found = hierarchy.ward(blobs, micro=30)
+    found = hierarchy.ward(blobs, 0.001)
+    assert 5 < len(found.cells) < 100
     expected = brute_ward(
         found.cells["weight"].to_numpy(), found.cells[list(features.SCALED)].to_numpy()
     )

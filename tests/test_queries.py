@@ -4,6 +4,8 @@ Not only the last plan of a query is looked at: a listener keeps those of all
 that it ran, staged frames and their reads included.
 """
 
+import time
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -18,16 +20,28 @@ def connection():
 
 
 def _plans_since(spark, last):
-    """(id, physical plan) of the executions with larger ids than ``last``, newest first."""
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    known = spark._jsparkSession.sharedState().statusStore().executionsList()
-    found = []
-    for i in reversed(range(known.size())):
-        execution = known.apply(i)
-        if execution.executionId() <= last:
-            break
-        found.append((execution.executionId(), execution.physicalPlanDescription()))
-    return found
+    """(id, physical plan) of the executions with larger ids than ``last``, newest first.
+
+    Waits until all of them have ended and have a plan.
+    """
+    until = time.monotonic() + 60
+    while True:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        known = spark._jsparkSession.sharedState().statusStore().executionsList()
+        found, missing = [], []
+        for i in reversed(range(known.size())):
+            execution = known.apply(i)
+            if execution.executionId() <= last:
+                break
+            plan = execution.physicalPlanDescription()
+            if plan is None or execution.completionTime().isEmpty():
+                missing.append(execution.executionId())
+            else:
+                found.append((execution.executionId(), plan))
+        if not missing:
+            return found
+        assert time.monotonic() < until, f"executions without an end or a plan: {missing}"
+        time.sleep(0.2)
 
 
 def _last_execution(spark):
