@@ -30,6 +30,8 @@ from patronage.llm.token_count import merged
 #: bits; a longer word would need a round per merge over all its positions, so the heap
 #: of ``token_count`` merges it.
 LONGEST_WORD = 255
+#: Ids that one query decodes.
+DECODED = 500_000
 #: Words encoded by one recursive query.
 WORDS_AT_ONCE = 30_000
 #: Rows that one recursive query may make, as it keeps every round: a word of n bytes
@@ -208,23 +210,25 @@ class ByteBpe:
         return self.ids[at], np.concatenate([[0], ends])[bounds]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-        """The bytes of each text."""
-        sizes = np.diff(bounds)
-        self.duck.register(
-            "tokens",
-            pa.table(
-                {
-                    "doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                    "pos": np.arange(len(ids), dtype=np.int32),
-                    "id": ids,
-                }
-            ),
-        )
-        out = [b""] * len(sizes)
-        for doc, text in self.duck.execute(_DECODE).fetchall():
-            out[doc] = bytes.fromhex(text)
-        self.duck.unregister("tokens")
-        return out
+        """The bytes of each text, by runs of ``DECODED`` ids at most, whatever a text's length."""
+        texts = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
+        out: list[list[bytes]] = [[] for _ in range(len(bounds) - 1)]
+        for at in range(0, len(ids), DECODED):
+            run = ids[at : at + DECODED]
+            self.duck.register(
+                "tokens",
+                pa.table(
+                    {
+                        "doc": texts[at : at + DECODED],
+                        "pos": np.arange(len(run), dtype=np.int32),
+                        "id": run,
+                    }
+                ),
+            )
+            for doc, text in self.duck.execute(_DECODE).fetchall():
+                out[doc].append(bytes.fromhex(text))
+            self.duck.unregister("tokens")
+        return [b"".join(parts) for parts in out]
 
 
 def _coder(vocabulary: str, pattern: str) -> ByteBpe:
@@ -286,13 +290,13 @@ def encode(
     """``docs`` with an array column ``to`` of the token ids of each text (null: no ids).
 
     With ``decoded_to``, also with a column of the SHA-256 of the bytes that the ids
-    decode to. All columns of ``docs`` stay, but those of the new names are replaced.
+    decode to. Long texts are one row like any other, and decoded in runs of ``DECODED`` ids. All columns of ``docs`` stay, but those of the new names are replaced.
     """
     new = {to: T.ArrayType(T.IntegerType())} | (
         {decoded_to: T.StringType()} if decoded_to else {}
     )
-    kept = docs.drop(*new)
-    place = kept.columns.index(text_column)
+    kept, names = _numbered(docs.drop(*new))
+    place = names.index(text_column)
     schema = T.StructType([*kept.schema.fields])
     for name, kind in new.items():
         schema = schema.add(name, kind)
@@ -314,15 +318,20 @@ def encode(
                     [*block.columns, *columns], [*block.schema.names, *new]
                 )
 
-    return kept.mapInArrow(tasks, schema)
+    return kept.mapInArrow(tasks, schema).toDF(*names, *new)
+
+
+def _numbered(rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``rows`` under plain column names, as Python operators read no others, and the real ones."""
+    return rows.toDF(*(f"c{i}" for i in range(len(rows.columns)))), rows.columns
 
 
 def decode(
     rows: DataFrame, vocabulary: str, pattern: str, ids_column: str = "ids", to: str = "decoded"
 ) -> DataFrame:
     """``rows`` with a binary column ``to`` of the bytes that the ids decode to (null: none)."""
-    kept = rows.drop(to)
-    place = kept.columns.index(ids_column)
+    kept, names = _numbered(rows.drop(to))
+    place = names.index(ids_column)
     schema = T.StructType([*kept.schema.fields]).add(to, T.BinaryType())
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,4 +349,4 @@ def decode(
                     [*block.columns, pa.array(texts, pa.binary())], [*block.schema.names, to]
                 )
 
-    return kept.mapInArrow(tasks, schema)
+    return kept.mapInArrow(tasks, schema).toDF(*names, to)

@@ -7,6 +7,17 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
+def named(name: str) -> Column:
+    """The column of that name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(frame: DataFrame) -> Column:
+    """All columns of ``frame`` as one struct."""
+    return F.struct(*[named(name) for name in frame.columns])
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a given table; the scan reads no others."""
     frame = spark.read.parquet(f"{folder}/{name}.parquet")

@@ -9,7 +9,7 @@ of table entries estimate its distance to every vector of the list. An estimate
 by no more than the coded vector's quantisation error, which is stored with it, so no
 pair is lost to the estimate either; what passes is compared exactly.
 
-Centroids and codewords are fitted to a bounded sample; every vector is indexed. Equal
+Centroids and codewords are fitted to a bounded sample without its near copies; every vector is indexed. Equal
 vectors are indexed once. Neighbouring lists are bundled, so that a vector is sent once to
 a bundle whatever number of its lists it probes; bundles and their probes are
 cut into blocks of bounded size.
@@ -34,6 +34,8 @@ SAMPLE = 20_000
 #: Vectors per list, as far as ``MOST_LISTS`` allows.
 LIST_SIZE = 200
 MOST_LISTS = 4_096
+#: Nearest lists that the registered query probes.
+PROBES = 8
 #: Subspaces and codewords of each.
 SUBSPACES = 8
 CODEWORDS = 64
@@ -116,6 +118,24 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return centres
 
 
+def thinned(sample: np.ndarray, cosine: float) -> np.ndarray:
+    """The vectors of a sample, without those within ``cosine`` of an earlier one that is kept.
+
+    A dense group of near copies thus counts as a few vectors and gets few centroids, whatever
+    share of the sample it holds.
+    """
+    kept = np.zeros((0, sample.shape[1]))
+    for at in range(0, len(sample), 500):
+        some = sample[at : at + 500]
+        some = some[~(some @ kept.T >= cosine).any(axis=1)] if len(kept) else some
+        near = np.tril(some @ some.T >= cosine, -1)
+        alone = np.ones(len(some), bool)
+        for i in np.flatnonzero(near.any(axis=1)):
+            alone[i] = not (near[i] & alone).any()
+        kept = np.concatenate([kept, some[alone]])
+    return kept
+
+
 def fit(sample: np.ndarray, lists: int, seed: int = 0) -> Quantiser:
     """A quantiser of unit vectors."""
     centroids = _kmeans(sample, lists, 8, seed)
@@ -401,6 +421,7 @@ def near_vectors(
         )
         drawn = own.where(F.col("k1") <= chosen).orderBy("k1", "k2").select("unit").limit(sample)
         x = np.stack([np.frombuffer(bytes(row.unit), "<f8") for row in drawn.collect()])
+        x = thinned(x, cosine)
         lists = max(1, min(MOST_LISTS, number // LIST_SIZE, len(x)))
         quantiser = fit(x, lists)
         indexed = stage(_index(own, quantiser), "index")

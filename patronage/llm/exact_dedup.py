@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.columns import ascii_lower, whole_text
+from patronage.llm.columns import ascii_lower, whole_row, whole_text
 
 #: Salts per text; the set of a text's salts is one 64-bit mask.
 SALTS = 64
@@ -100,7 +100,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     digest = _bytes(_sha256(ascii_lower(whole_text(text_column))))
     packed = docs.select(
         *(c.alias(n) for n, c in keyed(F.col(id_column).cast("long"), digest).items()),
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        whole_row(docs).alias("row"),
     )
     kept = exact_groups(docs, id_column, text_column).where("kept")
     kept = kept.select(

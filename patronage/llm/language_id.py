@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.columns import fold
@@ -231,18 +231,29 @@ class Identifier:
 def sample(docs: DataFrame, seed: int = 0) -> list[tuple[bytes, str]]:
     """(word, language) of at most ``SAMPLE_DOCUMENTS`` times ``SAMPLE_WORDS`` words.
 
-    ``docs`` (doc_id, text, lang) holds what may train.
+    ``docs`` (doc_id, text, lang) holds what may train. Every language gives the same number of
+    documents, as far as it has them, those of the smallest hash of their id; of several rows
+    with one id one trains.
     """
     spark = docs.sparkSession
-    ids = [
-        row.doc_id
-        for row in docs.select("doc_id")
-        .where("doc_id IS NOT NULL")
-        .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-        .limit(SAMPLE_DOCUMENTS)
-        .collect()
-    ]
-    chosen = spark.createDataFrame([(i,) for i in set(ids)], "doc_id long")
+    # One row per id: that of the smallest text hash.
+    one_each = (
+        docs.where("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "lang")).alias("least"))
+        .select("doc_id", "least.*", F.xxhash64(F.lit(seed), "doc_id").alias("order"))
+    )
+    languages = one_each.agg(F.count_distinct("lang")).first()[0]
+    each = max(1, SAMPLE_DOCUMENTS // max(languages, 1))
+    # The first of each language, cut within parts of a language before the whole of it.
+    ordered = one_each.withColumn("part", F.pmod(F.xxhash64("order"), F.lit(64)))
+    for keys in (["lang", "part"], ["lang"]):
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy("order", "doc_id"))
+        ordered = ordered.withColumn("first", first).where(F.col("first") <= each)
+    ids = ordered.orderBy("first", "order", "doc_id").limit(SAMPLE_DOCUMENTS).collect()
+    chosen = spark.createDataFrame(
+        [(row.doc_id, row.hash) for row in ids], "doc_id long, hash long"
+    )
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,8 +269,11 @@ def sample(docs: DataFrame, seed: int = 0) -> list[tuple[bytes, str]]:
             )
 
     rows = (
-        docs.join(F.broadcast(chosen), "doc_id", "left_semi")
-        .select("doc_id", "text", "lang")
+        docs.withColumn("hash", F.xxhash64("text"))
+        .join(F.broadcast(chosen), ["doc_id", "hash"], "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("lang", "text")).alias("row"))
+        .select("doc_id", "row.text", "row.lang")
         .mapInArrow(tasks, "word binary, lang string")
         .collect()
     )
@@ -309,7 +323,8 @@ def held_out_predictions(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, held_out (crc32 of the id modulo 3 is 1), lang_pred, score.
 
     Learns from rows with a language that are not held out; a null id counts as empty
-    text, is not held out, and does not train. Predictions read the text alone.
+    text, is not held out, and does not train. Predictions read the text alone, so repeated
+    rows agree; long texts are read whole; an empty table gives no rows.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     network, languages = train(plain.where(fold("doc_id", 3) != 1))

@@ -5,7 +5,9 @@ words, found by a join on their hash and confirmed by the words themselves. A te
 that stands in a text votes along one diagonal (place in the text minus place
 in the template); missing or added words shift it, so diagonals near each
 other are merged. A span is verified by how much of its template
-the confirmed words cover, a template position counting once however often it is met.
+the confirmed words cover, a template position counting once however often it is met. Of
+spans that overlap in a text, the one that covers most grams of its template counts: wordings of one
+family share most of theirs.
 """
 
 from __future__ import annotations
@@ -219,11 +221,28 @@ def scan(
         .withColumn("cluster", F.sum("far").over(in_text))
         .withColumn("begins", F.when(apart, 1).otherwise(0))
         .withColumn("span", F.sum("begins").over(in_cluster))
-        .select(*key, "cluster", "span", "lo", F.explode("ats").alias("at"))
+        .select(*key, "cluster", "span", "lo", "hi", F.explode("ats").alias("at"))
         .groupBy(*key, "cluster", "span")
-        .agg(F.size(F.collect_set("at")).alias("covered"), F.min("lo").alias("start"))
+        .agg(
+            F.size(F.collect_set("at")).alias("covered"),
+            F.min("lo").alias("start"),
+            (F.max("hi") + GRAM - 1).alias("end"),
+        )
         .withColumn("coverage", F.col("covered") / F.col("grams"))
         .where(F.col("coverage") >= COVERAGE)
+    )
+    # Templates share wordings: of spans on the same words, the one with most words counts.
+    of_text = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
+    before = of_text.rowsBetween(Window.unboundedPreceding, -1)
+    afresh = F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True))
+    on_place = Window.partitionBy("doc_id", "text_key", "place").orderBy(
+        F.desc("covered"), F.desc("coverage"), "template"
+    )
+    spans = (
+        spans.withColumn("afresh", F.when(afresh, 1).otherwise(0))
+        .withColumn("place", F.sum("afresh").over(of_text))
+        .withColumn("best", F.row_number().over(on_place))
+        .where("best = 1")
         .select("doc_id", "text_key", "label", "is_base", "start", "coverage")
     )
     found = (

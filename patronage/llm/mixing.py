@@ -18,10 +18,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.columns import whole_text
+from patronage.llm.columns import whole_row, whole_text
 from patronage.session import stage
 
 #: Documents of one flight.
@@ -229,11 +229,13 @@ def mix(
     source_column: str = "source",
     seed: int = 0,
 ) -> DataFrame:
-    """One row per distinct (doc_id, source, size): those, source_size, target, copies, taken.
+    """One row per distinct (doc_id, source, size): those, n, source_size, target, copies, taken.
 
-    ``taken`` is the document's size times its ``copies``, which are the floor
-    or the ceiling of target over source size. Rows alike in id, source and size
-    (repeated rows) are one lot of ``n`` rows: each of them has the same copies. The draw depends
+    Rows alike in id, source and size (repeated rows) are one lot of ``n`` rows, mostly 1.
+    ``copies`` is how often the lot's rows are taken together, the floor or the ceiling of n times
+    target over source size, so one row is what the draw decides on; ``taken`` is the size times
+    the copies. Of a lot's rows the first take one copy more than the others where the
+    copies do not divide evenly. The draw depends
     on ids, sources and sizes only, never on the layout, so reruns agree. Null texts
     have size 0; a source without words has target 0 and no copies. An empty
     table gives no rows.
@@ -259,8 +261,9 @@ def mix(
     rows = (
         lots.join(small, lots["source"].eqNullSafe(targets["source"]))
         .drop(targets["source"])
-        .withColumn("base", F.floor(repeats + F.lit(_EDGE)))
-        .withColumn("chance", F.greatest(repeats - F.col("base"), F.lit(0.0)))
+        .withColumn("wanted", repeats * F.col("n"))
+        .withColumn("base", F.floor(F.col("wanted") + F.lit(_EDGE)))
+        .withColumn("chance", F.greatest(F.col("wanted") - F.col("base"), F.lit(0.0)))
     )
     chosen = draw_balanced(
         rows.select(
@@ -268,7 +271,7 @@ def mix(
             F.ceil(F.col("lots") / F.lit(BUCKET)).alias("buckets"),
             "uid",
             "id",
-            (F.col("size") * F.col("n")).alias("size"),
+            "size",
             "chance",
         ),
         math.ceil((largest or 0) / BUCKET),
@@ -294,11 +297,33 @@ def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken."""
     return (
         mix(docs, seed=seed)
-        .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+        .withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        .withColumn("taken", F.col("size") * _copies_of("place"))
         .select("doc_id", "size", "source_size", "target", "taken")
     )
 
 
+def _copies_of(place: str) -> Column:
+    """Copies of the row at a place of its lot, counted from 0."""
+    more = (F.col(place) < F.col("copies") % F.col("n")).cast("long")
+    return F.floor(F.col("copies") / F.col("n")) + more
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows of lots with their ``place`` in the lot. A lot's rows are numbered in parts, as
+    one lot may hold any share of the rows."""
+    held = stage(rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(1024))), "lots")
+    sizes = held.groupBy("lot", "part").agg(F.count(F.lit(1)).alias("size_of_part"))
+    before = Window.partitionBy("lot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("offset", F.coalesce(F.sum("size_of_part").over(before), F.lit(0)))
+    in_part = F.row_number().over(Window.partitionBy("lot", "part").orderBy(F.lit(0)))
+    return (
+        held.withColumn("in_part", in_part)
+        .join(offsets, ["lot", "part"])
+        .withColumn("place", F.col("in_part") - 1 + F.col("offset"))
+    )
+
+
 def mixed_documents(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -311,21 +336,28 @@ def mixed_documents(
         F.col("doc_id").alias("drawn_id"),
         F.col("source").alias("drawn_source"),
         F.col("size").alias("drawn_size"),
+        "n",
         "copies",
     )
     packed = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(source_column).cast("string").alias("source"),
         word_count(whole_text(text_column)).alias("size"),
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        whole_row(docs).alias("row"),
+    )
+    joined = packed.join(
+        drawn.where("copies > 0"),
+        F.col("doc_id").eqNullSafe(F.col("drawn_id"))
+        & F.col("source").eqNullSafe(F.col("drawn_source"))
+        & (F.col("size") == F.col("drawn_size")),
     )
+    single = joined.where("n = 1").select("row", "copies")
+    repeated = joined.where("n > 1").select(
+        F.struct("drawn_id", "drawn_source", "drawn_size").alias("lot"), "n", "copies", "row"
+    )
+    several = _placed(repeated).select("row", _copies_of("place").alias("copies"))
     return (
-        packed.join(
-            drawn.where("copies > 0"),
-            F.col("doc_id").eqNullSafe(F.col("drawn_id"))
-            & F.col("source").eqNullSafe(F.col("drawn_source"))
-            & (F.col("size") == F.col("drawn_size")),
-        )
+        single.union(several.where("copies > 0"))
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select("row.*")
     )

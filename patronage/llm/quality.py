@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patronage.llm.columns import fold, table
+from patronage.llm.columns import fold, table, whole_row
 from patronage.llm.scan import blocks, text_bytes, words
 
 #: Labelled rows that training uses at most: those whose ids have the smallest hashes.
@@ -171,8 +172,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Ranker:
     """Learn from labelled rows whose id's crc32 modulo 5 is not 0.
 
     ``docs`` (doc_id, text) and ``labels`` (doc_id, quality; other values than 0 and 1 are no
-    labels) are read whole; ``LABELLED_ROWS`` bounds what trains. A document with
-    several labels trains with each.
+    labels) are read whole; ``LABELLED_ROWS`` bounds what trains, and what reaches the driver.
+    A document with several labels trains with each; of several rows with one id
+    the one of the smallest text hash trains.
     """
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & (fold("doc_id", 5) != 0))
@@ -185,7 +187,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Ranker:
         labelled.setdefault(row.doc_id, []).append(row.quality)
     spark = docs.sparkSession
     ids = spark.createDataFrame([(i,) for i in labelled], "doc_id long")
-    rows = _featured(docs.join(F.broadcast(ids), "doc_id", "left_semi")).collect()
+    hashed = F.struct(F.xxhash64("text").alias("hash"), "text")
+    one_each = (
+        docs.join(F.broadcast(ids), "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min(hashed).alias("least"))
+        .select("doc_id", "least.text")
+    )
+    rows = _featured(one_each).collect()
     rows.sort(key=lambda row: (row.doc_id, row.features))
     x = [row.features for row in rows for _ in labelled[row.doc_id]]
     good = [quality == 1 for row in rows for quality in labelled[row.doc_id]]
@@ -234,7 +243,11 @@ def held_out_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(
     docs: DataFrame, ranker: Ranker, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose text is predicted to be good, all columns kept."""
+    """The rows of ``docs`` whose text is predicted to be good, all columns kept.
+
+    Null and empty texts are scored by features that are all 0, so they are kept or go together.
+    Repeated rows agree. Columns may have any names; an empty table gives no rows.
+    """
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,14 +256,17 @@ def keep_good(
                 yield block.select(["row"]).filter(pa.array(good))
 
     packed = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        whole_row(docs).alias("row"),
         F.col(text_column).alias("text"),
     )
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(tasks, f"row {kind}").select("row.*")
+    kind = T.StructType([packed.schema["row"]])
+    return packed.mapInArrow(tasks, kind).select("row.*")
 
 
 def filter_good(docs: DataFrame, folder: str) -> DataFrame:
-    """``keep_good`` by a ranker trained on ``docs`` and the labels in ``folder``."""
+    """``keep_good`` by a ranker trained on ``docs`` and the labels in ``folder``.
+
+    Without labelled rows every text scores 0.5 and is kept.
+    """
     labels = table(docs.sparkSession, folder, "labels", "doc_id", "quality")
     return keep_good(docs, train(_plain(docs, "doc_id", "text"), labels))

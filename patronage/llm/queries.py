@@ -45,7 +45,9 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return embedding_dedup.near_vectors(table(spark, folder, "embeddings", "vec_id", "embedding"))
+    return embedding_dedup.near_vectors(
+        table(spark, folder, "embeddings", "vec_id", "embedding"), probes=embedding_dedup.PROBES
+    )
 
 
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronage.llm.columns import whole_row
 from patronage.llm.components import components, star
 from patronage.llm.scan import blocks
 from patronage.session import stage
@@ -361,7 +362,7 @@ def deduplicate(
     names = kept.select(F.col("doc_id").alias("kept_id")).distinct()
     packed = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        whole_row(docs).alias("row"),
     )
     return packed.join(
         names, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi"
