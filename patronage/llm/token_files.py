@@ -40,7 +40,7 @@ from patronage.llm.segments import once_per_worker
 from patronage.session import scratch_path, stage
 
 #: Pieces, and characters of them, kept in a worker's memory; beyond, it starts anew.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 800_000
 KEPT_CHARACTERS = 32 << 20
 #: Bytes of texts whose pieces are looked up at once, or one text.
 BLOCK_BYTES = 8 << 20
