@@ -578,6 +578,13 @@ ORACLES: dict[str, str] = {
         _EVENTS, _rfm_of("event_tx", as_of="2024-01-31", where=f"({_EVENT_REASON}) IS NULL")
     )
     + f"SELECT {_RFM_OUTPUT} FROM rfm",
+    "stream_levels": _with(
+        _EVENTS,
+        _rfm_of("event_tx", as_of="2024-01-31", where=f"({_EVENT_REASON}) IS NULL"),
+        _RANKED,
+        _SCORED,
+    )
+    + f'SELECT {_RFM_OUTPUT}, R, F, M, {_LEVEL[4]} AS "RFM_level" FROM scored',
     "stream_rejects": _with(_EVENTS)
     + f"""SELECT {_TRANSACTION_OUTPUT}, {_EVENT_REASON} AS reject_reason FROM event_tx
           WHERE ({_EVENT_REASON}) IS NOT NULL""",

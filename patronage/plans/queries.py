@@ -37,6 +37,7 @@ from ..sources import comparison as comparison_source
 from ..sources import results as results_source
 from ..sources import transactions as transactions_source
 from ..streaming import purchases
+from ..streaming import quartiles as live_quartiles
 from . import bindings, segmentation
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -655,6 +656,23 @@ def stream_rfm(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(purchases.totals_as_of(totals, EVENT_AS_OF))
 
 
+def stream_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores and levels kept through two runs of the stream, with a snapshot between them."""
+    rows = bindings.event_transactions(spark, folder).repartition(4, DATE)
+    source, out, checkpoint = (scratch_path(spark, f"levels-{n}") for n in ("in", "out", "state"))
+    late = F.pmod(F.xxhash64(DATE, VALUE), F.lit(2)) == 1
+    for run, part in enumerate((rows.where(~late), rows.where(late))):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        live_quartiles.start_levels(
+            stream, 4, out, checkpoint, EVENT_AS_OF, *EVENT_DAYS
+        ).awaitTermination()
+        if run == 0:
+            live_quartiles.compact_levels(spark, out)
+    live = live_quartiles.live_levels(spark, out, 4, EVENT_AS_OF)
+    return _shown(live.select(CUSTOMER, *METRICS, "R", "F", "M", LEVEL))
+
+
 def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-checkpoint")
     model = _given_model(stage(rfm.rfm_table(bindings.event_transactions(spark, folder))))
@@ -734,6 +752,7 @@ QUERIES: dict[str, Query] = {
         select_model,
         parse_surplus_decimals,
         stream_rfm,
+        stream_levels,
         stream_scoring,
         stream_rejects,
     )

@@ -1,8 +1,8 @@
 import pytest
-from patronage.operators import kmeans, rfm
+from patronage.operators import kmeans, ranking, rfm, segments
 from patronage.operators.clean import accepted, rejected, validate_transactions
 from patronage.session import scratch_path, stage
-from patronage.streaming import purchases
+from patronage.streaming import purchases, quartiles
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +102,39 @@ def test_state_store_setting_is_restored(spark, rows):
     out, checkpoint = paths(spark)
     purchases.start_totals(stream_of(spark, rows, (0,)), out, checkpoint).awaitTermination()
     assert spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 1, 0, 2)])
+def test_live_levels_equal_the_batch_result_after_every_batch(spark, rows, order):
+    out, checkpoint = paths(spark)
+    source = scratch_path(spark, "arrivals")
+    arrived = None
+    for turn, part in enumerate(order):
+        some = rows.where(f"pmod(hash(transaction_date, transaction_value), 4) = {part}")
+        some.coalesce(1).write.mode("append").parquet(source)
+        arrived = some if arrived is None else arrived.unionAll(some)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        quartiles.start_levels(stream, 4, out, checkpoint, "1998-06-30").awaitTermination()
+        table = stage(
+            rfm.rfm_table(accepted(validate_transactions(arrived)), as_of="1998-06-30", clean=False)
+        )
+        scored = segments.scores(ranking.quartiles(table))
+        batch = segments.levels(scored, 4)
+        live = quartiles.live_levels(spark, out, 4, "1998-06-30")
+        assert sorted(live.select(batch.columns).collect()) == sorted(batch.collect())
+        profile = spark.read.parquet(f"{out}/profiles/batch={turn}")
+        assert sorted(profile.collect()) == sorted(segments.rfm_profile(scored, 4).collect())
+        counted = quartiles._live(spark, f"{out}/tree").where("level = 7").groupBy("metric").sum("n")
+        assert {row[1] for row in counted.collect()} == {table.count()}
+        if turn == 1:
+            quartiles.compact_levels(spark, out)
+
+
+def test_live_quartiles_need_two_customers(spark, rows):
+    out, checkpoint = paths(spark)
+    source = scratch_path(spark, "arrivals")
+    rows.where("customer_id = 'c3'").write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    quartiles.start_levels(stream, 4, out, checkpoint, "1998-06-30").awaitTermination()
+    with pytest.raises(ValueError):
+        quartiles.live_scores(spark, out, "1998-06-30")
