@@ -36,7 +36,11 @@ def rfm_table(df: DataFrame, as_of: str | None = None, clean: bool = True) -> Da
     among the (cleaned) transactions. A customer who bought after ``as_of`` has
     a negative recency.
     """
-    totals = customer_totals(clean_transactions(df) if clean else df)
+    return metrics_of(customer_totals(clean_transactions(df) if clean else df), as_of)
+
+
+def metrics_of(totals: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The RFM table of customers' totals, see ``rfm_table``."""
     if as_of is None:
         # The latest day overall is the latest of the customers' last days. The
         # struct keeps all three aggregates in the subquery, which makes its

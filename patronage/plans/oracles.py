@@ -351,6 +351,20 @@ ORACLES: dict[str, str] = {
     + f"SELECT o_orderkey, {_TRANSACTION_OUTPUT} FROM orders_tx ORDER BY o_orderkey LIMIT 5",
     "describe_transactions": _with(_ORDERS)
     + f"{_describe('num_cds_purchased')} UNION ALL {_describe('transaction_value')}",
+    "daily_profile": _with(
+        _ORDERS,
+        _DIRTY,
+        """stacked AS (
+           SELECT 'num_cds_purchased' AS "column", CAST(num_cds_purchased AS DOUBLE) AS v, customer_id FROM dirty
+           UNION ALL
+           SELECT 'transaction_value', CAST(transaction_value AS DOUBLE), customer_id FROM dirty)""",
+    )
+    + """SELECT "column", COUNT(v) AS "count", ROUND(AVG(v), 4) AS mean,
+         ROUND(stddev_samp(v), 4) AS std, MIN(v) AS min, MAX(v) AS max,
+         COUNT(*) - COUNT(v) AS "Missing_Values",
+         COUNT(*) - COUNT(customer_id) AS missing_ids,
+         TRUE AS ids_within, TRUE AS ranks_within
+         FROM stacked GROUP BY "column" """,
     "null_counts": _with(_ORDERS, _DIRTY)
     + " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", COUNT(*) - COUNT({c}) AS "Missing_Values" FROM dirty"""
@@ -365,6 +379,25 @@ ORACLES: dict[str, str] = {
     "rfm_table": _with(_ORDERS, _RFM) + f"SELECT {_RFM_OUTPUT} FROM rfm",
     "rfm_table_dirty": _with(_ORDERS, _DIRTY, _rfm_of("dirty", where=_CLEAN))
     + f"SELECT {_RFM_OUTPUT} FROM rfm",
+    "rfm_corrected": _with(
+        _ORDERS,
+        _DIRTY,
+        """marked AS (
+           SELECT *, o_orderkey % 7 = 3
+                     OR transaction_date >= DATE '2000-03-01' AND o_orderkey % 2 = 1 AS gone,
+                  o_orderkey % 5 = 1 AS moves
+           FROM dirty)""",
+        """corrected AS (
+           SELECT * FROM marked WHERE NOT gone AND NOT moves
+           UNION ALL
+           SELECT * REPLACE (
+               customer_id + o_orderkey % 2 AS customer_id,
+               CAST(transaction_date - INTERVAL 40 DAY AS DATE) AS transaction_date,
+               CAST(transaction_value + 1 AS DECIMAL(18, 2)) AS transaction_value)
+           FROM marked WHERE NOT gone AND moves)""",
+        _rfm_of("corrected", where=_CLEAN),
+    )
+    + f"SELECT {_RFM_OUTPUT} FROM rfm",
     "rfm_table_asof": _with(_ORDERS, _rfm_of("orders_tx", as_of="2000-06-30"))
     + f"SELECT {_RFM_OUTPUT} FROM rfm",
     "rfm_ranks": _with(_ORDERS, _RFM, _RANKED)

@@ -11,10 +11,10 @@ import math
 from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import centres, clean, comparison, density, describe, features, hierarchy
+from ..operators import centres, clean, comparison, daily, density, describe, features, hierarchy
 from ..operators import kmeans
 from ..operators import ranking, rfm, scoring, segments, silhouette
 from ..schema import (
@@ -25,6 +25,7 @@ from ..schema import (
     LEVEL,
     METRICS,
     MODEL,
+    MONEY,
     NUM_CLUSTERS,
     PERCENT,
     QUANTITY,
@@ -36,7 +37,7 @@ from ..session import scratch_path, stage
 from ..sources import comparison as comparison_source
 from ..sources import results as results_source
 from ..sources import transactions as transactions_source
-from ..streaming import purchases
+from ..streaming import corrections, purchases
 from ..streaming import quartiles as live_quartiles
 from . import bindings, segmentation
 
@@ -249,6 +250,52 @@ def describe_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(summary, ["mean", "std", "p25", "p50", "p75"], 4)
 
 
+def daily_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile merged from days kept in three batches, with a snapshot after the second.
+
+    Percentiles and numbers of ids are estimates: the query says whether the exact rank of each
+    percentile in the whole table, and the number of ids, lie within the stated errors.
+    """
+    orders = stage(bindings.dirty_transactions(spark, folder), "orders")
+    out = scratch_path(spark, "days")
+    key = F.col(bindings.ORDER)
+    for number in range(3):
+        daily.add_days(orders.where(key % 3 == number), out, number)
+        if number == 1:
+            daily.compact_days(spark, out)
+    merged = stage(daily.profile(spark, out), "profile")
+    checks = []
+    for row in merged.collect():  # one row per column
+        value, n = F.col(row["column"]).cast("double"), row["count"]
+        off = F.lit(0.0)
+        for percent in describe.SUMMARY_PERCENTS:
+            answer, asked = row[f"p{percent}"], percent / 100
+            below, upto = F.count_if(value < answer) / n, F.count_if(value <= answer) / n
+            off = F.greatest(off, below - asked, asked - upto)
+        within = off <= 2 * daily.rank_error()
+        checks.append(
+            orders.agg(within.alias("ranks_within")).select(
+                F.lit(row["column"]).alias("column"), "ranks_within"
+            )
+        )
+    found = daily.customer_stats(spark, out).first()
+    exact = describe.id_stats(orders).first()
+    off = abs(found["unique_ids"] - exact["unique_ids"])
+    ids_within = off <= daily.distinct_error() * exact["unique_ids"]
+    shown = merged.select(
+        "column",
+        "count",
+        F.round("mean", 4).alias("mean"),
+        F.round("std", 4).alias("std"),
+        "min",
+        "max",
+        "Missing_Values",
+        F.lit(found["missing_ids"]).cast("long").alias("missing_ids"),
+        F.lit(ids_within).alias("ids_within"),
+    )
+    return shown.join(F.broadcast(checks[0].unionByName(checks[1])), "column")
+
+
 def null_counts(spark: SparkSession, folder: str) -> DataFrame:
     return describe.null_counts(bindings.dirty_transactions(spark, folder))
 
@@ -656,6 +703,43 @@ def stream_rfm(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(purchases.totals_as_of(totals, EVENT_AS_OF))
 
 
+def _withdrawn() -> Column:
+    """Orders taken back: a seventh of all, and half of the last months'."""
+    late = F.col(DATE) >= F.lit("2000-03-01").cast("date")
+    return (F.col(bindings.ORDER) % 7 == 3) | (late & (F.col(bindings.ORDER) % 2 == 1))
+
+
+def rfm_corrected(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which some are withdrawn, and some moved to another day and customer, over
+    two runs of a stream; for a third of the orders the withdrawals come first."""
+    orders = stage(bindings.dirty_transactions(spark, folder), "orders")
+    key = F.col(bindings.ORDER)
+    moves = (key % 5 == 1) & ~_withdrawn()
+    moved = orders.where(moves).withColumns(
+        {
+            CUSTOMER: F.col(CUSTOMER) + key % 2,
+            DATE: F.date_sub(DATE, 40),
+            VALUE: (F.col(VALUE) + F.lit(1).cast(MONEY)).cast(MONEY),
+        }
+    )
+    later = key % 3 == 0
+    taken = corrections.withdrawn(orders.where(_withdrawn()))
+    runs = (
+        corrections.added(orders.where(~later)).unionByName(taken),
+        corrections.added(orders.where(later)).unionByName(
+            corrections.changed(orders.where(moves), moved)
+        ),
+    )
+    source, out, checkpoint = (scratch_path(spark, f"changes-{n}") for n in ("in", "out", "state"))
+    for run, changes in enumerate(runs):
+        changes.repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        corrections.start_corrections(stream, out, checkpoint).awaitTermination()
+        if run == 0:
+            corrections.compact_corrections(spark, out)
+    return _shown(corrections.corrected_rfm(spark, out))
+
+
 def stream_levels(spark: SparkSession, folder: str) -> DataFrame:
     """Scores and levels kept through two runs of the stream, with a snapshot between them."""
     rows = bindings.event_transactions(spark, folder).repartition(4, DATE)
@@ -707,12 +791,14 @@ QUERIES: dict[str, Query] = {
         sample_rows,
         head_rows,
         describe_transactions,
+        daily_profile,
         null_counts,
         date_range,
         id_stats,
         rfm_table,
         rfm_table_dirty,
         rfm_table_asof,
+        rfm_corrected,
         rfm_ranks,
         rfm_quartiles,
         rfm_quartiles_scaled,

@@ -196,3 +196,39 @@ def test_a_customer_with_a_third_of_all_rows(spark):
     hot = result.where("customer_id = 'hot'").head()
     assert (hot["Frequency"], hot["Monetary"]) == (1000, sum(1 + i % 7 for i in range(0, 3000, 3)))
     assert result.count() == 2001
+
+
+@pytest.mark.parametrize("tolerance", [1e-3, 1e-8, 1e-14])
+def test_density_of_boxes_is_within_its_bound(make_rfm, tolerance):
+    import numpy as np
+
+    # A third of all values is the same, one lies far away from all others.
+    rows = [(i, 7 if i % 3 == 0 else i * 31 % 400, 1, float(i * i % 97)) for i in range(300)]
+    rows.append((300, 5000, 1, 1e6))
+    curve = density.density_curve(make_rfm(rows), tolerance=tolerance).collect()
+    assert len(curve) == 400
+    for metric, place in (("Recency", 1), ("Monetary", 3)):
+        values = np.array([float(r[place]) for r in rows])
+        h = values.std(ddof=1) * len(values) ** -0.2
+        grid = np.linspace(values.min(), values.max(), 200)
+        scale = h * np.sqrt(2 * np.pi)
+        exact = np.exp(-((grid[:, None] - values) ** 2) / (2 * h * h)).mean(axis=1) / scale
+        ours = [r["density"] for r in sorted(curve, key=lambda r: r["point"]) if r["metric"] == metric]
+        bound = (2 * tolerance + 1e-13) / scale
+        assert np.abs(np.array(ours) - exact).max() <= bound
+
+
+def test_density_tasks_shuffle_boxes(make_rfm):
+    from patronage.operators.ranking import metric_values
+
+    rows = [(i, i % 50, i % 3, float(i % 70)) for i in range(2000)]
+    values = metric_values(make_rfm(rows)).selectExpr("metric", "double(value) value")
+    stats = values.groupBy("metric").agg({"value": "min"}).toDF("metric", "low").selectExpr("*", "5d bandwidth")
+    boxes = density.box_moments(values, stats, 4)
+    plan = boxes._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "Python" not in plan
+    assert boxes.groupBy("metric").count().collect() and boxes.count() == 10 + 1 + 14
+    assert boxes.selectExpr("sum(moments[0])").first()[0] == 6000
+    assert density.terms_for(1e-14) == 19 and density.terms_for(1) < 3
+    with pytest.raises(ValueError):
+        density.terms_for(0)
