@@ -254,7 +254,8 @@ def daily_profile(spark: SparkSession, folder: str) -> DataFrame:
     """The profile merged from days kept in three batches, with a snapshot after the second.
 
     Percentiles and numbers of ids are estimates: the query says whether the exact rank of each
-    percentile in the whole table, and the number of ids, lie within the stated errors.
+    percentile in the whole table lies within twice the stated error (which has 99 % confidence),
+    and the number of ids within its own.
     """
     orders = stage(bindings.dirty_transactions(spark, folder), "orders")
     out = scratch_path(spark, "days")
