@@ -458,6 +458,23 @@ ORACLES: dict[str, str] = {
     + "FROM rfm",
     "assign_nearest": _with(*_NEAREST_TABLES)
     + "SELECT customer_id, cluster, ROUND(distance, 6) AS distance FROM nearest",
+    "assign_many_centres": _with(
+        _ORDERS,
+        _RFM,
+        _STANDARDIZED,
+        "placed AS (SELECT *, "
+        + " + ".join(
+            f"(greatest(least(floor({z} / 0.25), 7), -8) + 8) * {16 ** (2 - i)}"
+            for i, z in enumerate(("zr", "zf", "zm"))
+        )
+        + " AS cell FROM standardized)",
+        """means AS (SELECT CAST(cell AS BIGINT) AS cell, ROUND(AVG(zr), 9) AS r,
+                   ROUND(AVG(zf), 9) AS f, ROUND(AVG(zm), 9) AS m FROM placed GROUP BY 1)""",
+        """away AS (SELECT customer_id, MIN({'q': (zr - r) ^ 2 + (zf - f) ^ 2 + (zm - m) ^ 2,
+                                             'cell': means.cell}) AS best
+                  FROM placed CROSS JOIN means GROUP BY customer_id)""",
+    )
+    + """SELECT customer_id, best.cell AS cluster, ROUND(SQRT(best.q), 6) AS distance FROM away""",
     "attach_clusters": _with(
         *_NEAREST_TABLES, _DIRTY, _rfm_of("dirty", where=_CLEAN).replace("rfm AS", "dirty_rfm AS")
     )

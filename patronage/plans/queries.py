@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import centres, clean, comparison, daily, density, describe, features, hierarchy
-from ..operators import kmeans
+from ..operators import kmeans, manycentres
 from ..operators import ranking, rfm, scoring, segments, silhouette
 from ..schema import (
     CLUSTER,
@@ -52,6 +52,8 @@ EVENT_DAYS = ("2024-01-03", "2024-01-27")
 EVENT_AS_OF = "2024-01-31"
 # Centres on the standardised metrics for the queries that assign to given centres.
 CELL_STEP = 0.5
+# A grid of 16 cells a metric, the outer ones open, whose cells' means are many centres.
+GRID_STEP, GRID_REACH = 0.25, 8
 CENTRES = ((0, -0.5, 1.0, 1.0), (1, 0.0, 0.0, 0.0), (2, 1.5, -1.0, -1.0), (3, -0.5, -0.5, -0.5))
 
 
@@ -390,6 +392,21 @@ def assign_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(nearest, ["distance"])
 
 
+def assign_many_centres(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest of the means of a grid's cells; of the 4,096 cells, those with customers."""
+    customers = stage(_standardized(spark, folder), "standardized")
+    cell = F.lit(0)
+    for c in features.SCALED:
+        step = F.floor(F.col(c) / GRID_STEP)
+        step = F.greatest(F.least(step, F.lit(GRID_REACH - 1)), F.lit(-GRID_REACH))
+        cell = cell * (2 * GRID_REACH) + step + GRID_REACH
+    means = customers.groupBy(cell.alias("cell")).agg(
+        *(F.round(F.avg(c), 9).alias(c) for c in features.SCALED)
+    )
+    nearest = manycentres.nearest_of_many(customers, [F.col(c) for c in features.SCALED], means)
+    return _rounded(nearest.select(CUSTOMER, "cluster", "distance"), ["distance"])
+
+
 def attach_clusters(spark: SparkSession, folder: str) -> DataFrame:
     stored = _nearest(spark, folder).select(CUSTOMER, F.col("cluster").alias(CLUSTER))
     customers = segmentation.staged_rfm(bindings.dirty_transactions(spark, folder))
@@ -811,6 +828,7 @@ QUERIES: dict[str, Query] = {
         rfm_standardized,
         rfm_minmax,
         assign_nearest,
+        assign_many_centres,
         attach_clusters,
         cluster_profile,
         cluster_profile_2dp,

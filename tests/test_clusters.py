@@ -8,6 +8,7 @@ from patronage.operators import (
     features,
     hierarchy,
     kmeans,
+    manycentres,
     scoring,
     silhouette,
 )
@@ -182,6 +183,52 @@ def test_assign_nearest(spark, blobs):
     assert {r["cluster"] for r in kmeans.assign_nearest(blobs, many, METRICS).collect()} == {150}
 
 
+def test_nearest_of_many_equals_all_distances():
+    rng = np.random.default_rng(3)
+    for n, d, values in ((1, 3, 9), (40, 1, 5), (700, 2, 12), (3_000, 3, 40), (500, 3, 2)):
+        # Few distinct coordinates make ties and equal centres.
+        points = rng.integers(0, values, (n, d)) / 4
+        numbers = rng.permutation(n) - 5
+        x = np.concatenate([rng.integers(0, values, (300, d)) / 4, rng.normal(0, 99, (300, d))])
+        x[0] = np.inf
+        away = np.zeros((len(x), n))
+        for c in range(d):
+            away += (x[:, c][:, None] - points[:, c]) ** 2
+        least = away.min(axis=1)
+        want = np.where(away == least[:, None], numbers, numbers.max() + 1).min(axis=1)
+        number, squared = manycentres.CentreTree(numbers, points).search(x)
+        assert (number == want).all() and (squared == least).all()
+
+
+def test_nearest_of_many_rows(spark, blobs):
+    given = [(7, *BLOBS[0]), (3, *BLOBS[1]), (5, *BLOBS[2]), (9, *BLOBS[2])]
+    values = [F.col(m) for m in METRICS]
+    few = centres.nearest(blobs, values, given)
+    rows = [(number, *map(float, centre)) for number, *centre in given]
+    table = spark.createDataFrame(rows, "`a b` int, x double, `y.z` double, w double")
+    for some in (given, table, manycentres.centre_tree(given)):
+        many = manycentres.nearest_of_many(blobs, values, some)
+        assert many.columns == few.columns
+        assert sorted(many.collect()) == sorted(few.collect())
+    assert manycentres.nearest_of_many(blobs.where("false"), values, given).count() == 0
+    odd = spark.createDataFrame(
+        [(1, None, 2.0), (2, float("nan"), 1.0), (3, 1.0, 1.0), (3, 1.0, 1.0)],
+        "Cluster int, `a.b` double, `x ``y` double",
+    )
+    parts = [F.col("`a.b`"), F.col("`x ``y`")]
+    rows = manycentres.nearest_of_many(odd, parts, [(1, 0.0, 1.0), (4, 3.0, 1.0)])
+    assert rows.columns == ["a.b", "x `y", "cluster", "distance"]
+    assert sorted((r["cluster"], r["distance"]) for r in rows.collect() if r["cluster"]) == [
+        (1, 1.0)
+    ] * 2
+    assert rows.where("cluster is null and distance is null").count() == 2
+    for wrong in ([], [(1, None, 1.0)], [(1, 1.0)]):
+        with pytest.raises(ValueError):
+            manycentres.nearest_of_many(odd, parts, wrong)
+    with pytest.raises(ValueError, match="more than 2 centres"):
+        manycentres.nearest_of_many(blobs, values, table, most=2)
+
+
 @pytest.mark.parametrize("scaler", ["standard", "minmax"])
 def test_centre_table_assigns_as_the_pipeline_does(spark, blobs, scaler):
     model = kmeans.fit_kmeans(blobs, 3, scaler=scaler)
