@@ -1,8 +1,10 @@
 """Interpolated modified Kneser-Ney bigram model, counted in Spark and scored from mapped arrays.
 
-Training takes three jobs. Every one combines counts inside its tasks and sends
-each shard one packed array per task, so no word, however frequent, makes a large
-group, and shards grow in number with the text:
+Training takes three jobs. Every one combines counts inside its tasks and sends packed
+arrays of them to shards, so no word, however frequent, makes a large group, and shards
+grow in number with the text. With more than 256 shards the arrays go by levels, each of which
+tells at most 256 groups apart and merges what came, so a task makes a bounded number of
+arrays whatever the number of shards:
 
 1. words: hash -> count, in shards by the hash's top bits. A word's number is its
    place in the concatenated sorted shards.
@@ -19,13 +21,15 @@ scoring workers memory-map: a lookup is a binary search and touches few pages.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections import OrderedDict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +42,10 @@ from patronage.session import scratch_path
 END = np.uint64(0x51ED270B7F4A7C15)
 #: Bytes of training text per shard of counts.
 SHARD_BYTES = 16 << 20
+#: Bits of a shard's number that one exchange tells apart.
+FAN_BITS = 8
+#: Arrays of a model that a worker keeps mapped, and bytes of those it had to read whole.
+MOST_MAPPED, MOST_READ = 4_096, 256 << 20
 #: Word numbers per file of word statistics, at least.
 LEAST_RANGE = 1 << 12
 #: Bytes of text handled at once.
@@ -45,7 +53,36 @@ BLOCK_BYTES = 2 << 20
 #: The context at the beginning of a text, above every word's number.
 BEGIN = (1 << 32) - 1
 
-_PACKED = "shard int, keys binary, counts binary"
+_PACKED = "place int, keys binary, counts binary"
+_SUMS = "place int, left binary, sums binary, right binary, before binary, of array<long>"
+
+
+def _shifts(bits: int, fan_bits: int) -> list[int]:
+    """The low bits of a shard's number that each exchange leaves open; the last leaves none."""
+    steps = max(1, math.ceil(bits / fan_bits))
+    return [bits - math.ceil(bits * (i + 1) / steps) for i in range(steps)]
+
+
+def _place(group: np.ndarray, shift: int) -> pa.Array:
+    """The partitions that a task's packed rows go to: a group has ``2 ** shift``, dealt to tasks
+    by their number, so a task that runs again sends every key to the same one."""
+    place = (group.astype(np.int64) << shift) + TaskContext.get().partitionId() % (1 << shift)
+    return pa.array(place.astype(np.int32))
+
+
+def _exchange(
+    rows: DataFrame, bits: int, shifts: list[int], merge: Callable, none: DataFrame | None = None
+) -> DataFrame:
+    """Bring packed rows to partitions that hold one shard each, level by level.
+
+    ``rows`` were packed for the first of ``shifts``; ``merge(shift)`` is a function of a
+    partition's batches that packs their sums for the next.
+    """
+    for shift in shifts[1:]:
+        rows = rows.repartitionById(1 << bits, "place").mapInArrow(merge(shift), rows.schema)
+    if none is not None:
+        rows = rows.union(none)
+    return rows.repartitionById(1 << bits, "place")
 
 
 def _sum_by_key(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -74,51 +111,138 @@ class _Counter:
         self.parts.append((found, counts.astype(np.int64)))
         self.held += len(found)
 
+    def add_counted(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.held += len(keys)
+
     def full(self) -> bool:
         return self.held > self.limit
 
-    def packed(self, bits: int) -> pa.RecordBatch:
-        """One row per shard that has keys: the shard, its sorted keys, their counts."""
+    def packed(self, bits: int, shift: int) -> pa.RecordBatch:
+        """One row per group of ``2 ** shift`` shards that has keys: where it goes, its sorted
+        keys, their counts."""
         keys = np.concatenate([p[0] for p in self.parts]) if self.parts else np.zeros(0, np.uint64)
         counts = np.concatenate([p[1] for p in self.parts]) if self.parts else np.zeros(0, np.int64)
         self.parts, self.held = [], 0
         keys, counts = _sum_by_key(keys, counts)
         narrow = np.uint64 if counts.max(initial=0) >> 32 else np.uint32
-        shards = np.arange(1 << bits)
-        cuts = np.append(np.searchsorted(_top_bits(keys, bits), shards.astype(np.uint64)), len(keys))
-        full = shards[np.diff(cuts) > 0]
+        groups, begins = np.unique(_top_bits(keys, bits - shift), return_index=True)
+        spans = [*zip(begins, [*begins[1:], len(keys)], strict=True)] if len(keys) else []
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(full.astype(np.int32)),
-                pa.array([keys[cuts[s] : cuts[s + 1]].tobytes() for s in full], pa.binary()),
-                pa.array(
-                    [counts[cuts[s] : cuts[s + 1]].astype(narrow).tobytes() for s in full],
-                    pa.binary(),
-                ),
+                _place(groups, shift),
+                pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()),
+                pa.array([counts[i:j].astype(narrow).tobytes() for i, j in spans], pa.binary()),
             ],
-            names=["shard", "keys", "counts"],
+            names=["place", "keys", "counts"],
         )
 
 
+def _recounted(bits: int, shift: int) -> Callable:
+    """Packed counts of a group, summed and packed for the next level."""
+
+    def tasks(batches):
+        counter = _Counter()
+        for _, rows in _by_place(batches, "keys", "counts"):
+            for keys, counts in rows:
+                counter.add_counted(*_unpack(keys, counts))
+                if counter.full():
+                    yield counter.packed(bits, shift)
+        yield counter.packed(bits, shift)
+
+    return tasks
+
+
+class _WordSums:
+    """What pairs say about their words, by number: of a context its total and its followers
+    met once, twice and more, of a follower its distinct predecessors, and of all pairs how many
+    occur 1 to 4 times. Ranges of ``range_words`` numbers follow one another; BEGIN's is the last."""
+
+    def __init__(self, range_words: int, last: int, limit: int = 1 << 20) -> None:
+        self.range_words, self.last, self.limit = range_words, last, limit
+        self.left: list[tuple] = []
+        self.right: list[tuple] = []
+        self.of = np.zeros(4, np.int64)
+        self.held = 0
+
+    def add(self, left: tuple, right: tuple, of: np.ndarray) -> None:
+        self.left.append(left)
+        self.right.append(right)
+        self.of += of
+        self.held += len(left[0]) + len(right[0])
+
+    def add_packed(self, left: bytes, sums: bytes, right: bytes, before: bytes, of: list) -> None:
+        at, other = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+        parts = _wide(sums, 4 * len(at)).reshape(4, -1).astype(np.int64)
+        self.add((at, *parts), (other, _wide(before, len(other)).astype(np.int64)), of)
+
+    def full(self) -> bool:
+        return self.held > self.limit
+
+    def _groups(self, numbers: np.ndarray, shift: int) -> np.ndarray:
+        ranges = numbers.astype(np.int64) // self.range_words
+        return np.where(numbers == BEGIN, self.last, ranges) >> shift
+
+    def packed(self, shift: int) -> Iterator[pa.RecordBatch]:
+        """One row per group of ``2 ** shift`` ranges that has numbers."""
+        if not self.held:
+            return
+        left = _sum_by_key(*map(np.concatenate, zip(*self.left, strict=True)))
+        right = _sum_by_key(*map(np.concatenate, zip(*self.right, strict=True)))
+        of = self.of.tolist()
+        self.__init__(self.range_words, self.last, self.limit)
+        of_left, of_right = self._groups(left[0], shift), self._groups(right[0], shift)
+        for group in np.union1d(of_left, of_right):
+            a = slice(*np.searchsorted(of_left, [group, group + 1]))
+            b = slice(*np.searchsorted(of_right, [group, group + 1]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    _place(np.array([group]), shift),
+                    pa.array([left[0][a].tobytes()], pa.binary()),
+                    pa.array([_narrow(np.stack([v[a] for v in left[1:]]))], pa.binary()),
+                    pa.array([right[0][b].tobytes()], pa.binary()),
+                    pa.array([_narrow(right[1][b])], pa.binary()),
+                    pa.array([of], pa.list_(pa.int64())),
+                ],
+                names=["place", "left", "sums", "right", "before", "of"],
+            )
+            of = [0, 0, 0, 0]
+
+
+def _resummed(range_words: int, last: int, shift: int) -> Callable:
+    """Packed sums of a group of ranges, added up and packed for the next level."""
+
+    def tasks(batches):
+        sums = _WordSums(range_words, last)
+        for _, rows in _by_place(batches, "left", "sums", "right", "before", "of"):
+            for row in rows:
+                sums.add_packed(*row)
+                if sums.full():
+                    yield from sums.packed(shift)
+        yield from sums.packed(shift)
+
+    return tasks
+
+
 def _unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     found = np.frombuffer(keys, np.uint64)
     kind = np.uint32 if len(counts) == 4 * len(found) else np.uint64
     return found, np.frombuffer(counts, kind).astype(np.int64)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, Iterator]]:
-    """The packed rows of one shard after the other, from a partition sorted by shard.
+def _by_place(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, Iterator]]:
+    """The place and packed rows of a partition, which holds those of one place.
 
     Rows are handed on one by one, so no more than a batch of them is held.
     """
 
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("shard", *columns)), strict=True):
+            for row in zip(*(batch.column(c) for c in ("place", *columns)), strict=True):
                 yield tuple(value.as_py() for value in row)
 
-    for shard, own in groupby(rows(), key=itemgetter(0)):
-        yield shard, (row[1:] for row in own)
+    for place, own in groupby(rows(), key=itemgetter(0)):
+        yield place, (row[1:] for row in own)
 
 
 def _merged(rows: Iterator[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,16 +295,28 @@ class Model:
 
 
 class MappedModel:
-    """A model's arrays as a worker sees them."""
+    """A model's arrays as a worker sees them, the least recently used ones let go."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self._arrays: dict[str, np.ndarray] = {}
+        self._arrays: OrderedDict[str, np.ndarray] = OrderedDict()
+        self._read = 0
 
     def array(self, name: str) -> np.ndarray:
-        if name not in self._arrays:
-            self._arrays[name] = map_array(f"{self.model.folder}/{name}.npy")
-        return self._arrays[name]
+        if name in self._arrays:
+            self._arrays.move_to_end(name)
+            return self._arrays[name]
+        values = self._arrays[name] = map_array(f"{self.model.folder}/{name}.npy")
+        self._read += self._bytes(values)
+        while len(self._arrays) > 1 and (
+            len(self._arrays) > MOST_MAPPED or self._read > MOST_READ
+        ):
+            self._read -= self._bytes(self._arrays.popitem(last=False)[1])
+        return values
+
+    @staticmethod
+    def _bytes(values: np.ndarray) -> int:
+        return 0 if isinstance(values, np.memmap) else values.nbytes
 
     def _search(self, kind: str, bits: int, keys: np.ndarray) -> Iterator[tuple]:
         """Of sorted keys: slices that one shard holds, places there, and which are found."""
@@ -305,11 +441,12 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
     texts = docs.select(F.col(text_column).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = _bits(math.ceil(size / SHARD_BYTES))
-    shards = 1 << bits
+    shards, fan_bits = 1 << bits, FAN_BITS
+    shifts = _shifts(bits, fan_bits)
 
     # Every shard gets a row, so that each writes its files, be they empty.
     none = spark.range(shards).select(
-        F.col("id").cast("int").alias("shard"), *(F.lit(b"").alias(c) for c in ("keys", "counts"))
+        F.col("id").cast("int").alias("place"), *(F.lit(b"").alias(c) for c in ("keys", "counts"))
     )
 
     def word_tasks(batches):
@@ -318,11 +455,11 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
             for block in blocks(batch, "text", BLOCK_BYTES):
                 counter.add(token_hashes(*text_bytes(block.column("text")))[0])
             if counter.full():
-                yield counter.packed(bits)
-        yield counter.packed(bits)
+                yield counter.packed(bits, shifts[0])
+        yield counter.packed(bits, shifts[0])
 
     def write_words(batches):
-        for shard, rows in _by_shard(batches, "keys", "counts"):
+        for shard, rows in _by_place(batches, "keys", "counts"):
             keys, counts = _merged(rows)
             write_array(f"{folder}/word-{shard}-keys.npy", keys)
             write_array(f"{folder}/word-{shard}-counts.npy", counts)
@@ -335,11 +472,12 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
                 names=["shard", "size", "total"],
             )
 
+    def recounted(shift):
+        return _recounted(bits, shift)
+
+    words_found = texts.mapInArrow(word_tasks, _PACKED)
     found = (
-        texts.mapInArrow(word_tasks, _PACKED)
-        .union(none)
-        .repartition(shards, "shard")
-        .sortWithinPartitions("shard")
+        _exchange(words_found, bits, shifts, recounted, none)
         .mapInArrow(write_words, "shard int, size long, total long")
         .collect()
     )
@@ -350,6 +488,9 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
     range_words = max(LEAST_RANGE, math.ceil(offsets[-1] / shards))
     if offsets[-1] > BEGIN - range_words:
         raise ValueError("too many distinct words for 32-bit numbers")
+    last = offsets[-1] // range_words + 1
+    range_bits = _bits(last + 1)
+    range_shifts = _shifts(range_bits, fan_bits)
     counted = Model(
         folder, bits, offsets, bits, range_words, sum(row.total for row in found), offsets[-1], 0,
         (0.5, 1.0, 1.5), (0.5, 1.0, 1.5), 1.0,
@@ -367,11 +508,11 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
                 context[first[:-1]] = BEGIN
                 counter.add(mix(context << np.uint64(32) | ids))
             if counter.full():
-                yield counter.packed(bits)
-        yield counter.packed(bits)
+                yield counter.packed(bits, shifts[0])
+        yield counter.packed(bits, shifts[0])
 
     def write_pairs(batches):
-        for shard, rows in _by_shard(batches, "keys", "counts"):
+        for shard, rows in _by_place(batches, "keys", "counts"):
             keys, counts = _merged(rows)
             write_array(f"{folder}/pair-{shard}-keys.npy", keys)
             write_array(
@@ -379,40 +520,26 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
                 counts if counts.max(initial=0) >> 32 else counts.astype(np.uint32),
             )
             pairs = unmix(keys)
-            of = np.bincount(np.minimum(counts, 5), minlength=5)[1:5].tolist()
             context = pairs >> np.uint64(32)
             ones, twos = (counts == 1).astype(np.int64), (counts == 2).astype(np.int64)
             more = (counts > 2).astype(np.int64)
-            left = _sum_by_key(context, counts, ones, twos, more)
-            right = _sum_by_key(pairs & np.uint64(BEGIN), np.ones_like(counts))
-            for r in np.unique(np.concatenate([left[0], right[0]]) // np.uint64(range_words)):
-                lo, hi = r * np.uint64(range_words), (r + np.uint64(1)) * np.uint64(range_words)
-                a = slice(*np.searchsorted(left[0], [lo, hi]))
-                b = slice(*np.searchsorted(right[0], [lo, hi]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([int(r)], pa.int32()),
-                        pa.array([left[0][a].tobytes()], pa.binary()),
-                        pa.array([_narrow(np.stack([v[a] for v in left[1:]]))], pa.binary()),
-                        pa.array([right[0][b].tobytes()], pa.binary()),
-                        pa.array([_narrow(right[1][b])], pa.binary()),
-                        pa.array([of], pa.list_(pa.int64())),
-                    ],
-                    names=["shard", "left", "sums", "right", "before", "of"],
-                )
-                of = [0, 0, 0, 0]
-
-    kind = "shard int, left binary, sums binary, right binary, before binary, of array<long>"
+            sums = _WordSums(range_words, last)
+            sums.add(
+                (context, counts, ones, twos, more),
+                (pairs & np.uint64(BEGIN), np.ones_like(counts)),
+                np.bincount(np.minimum(counts, 5), minlength=6)[1:5],
+            )
+            yield from sums.packed(range_shifts[0])
 
     def write_statistics(batches):
         columns = ("left", "sums", "right", "before", "of")
-        for r, rows in _by_shard(batches, *columns):
-            low = r * range_words
-            is_begin = low + range_words > BEGIN
+        for r, rows in _by_place(batches, *columns):
+            is_begin = r == last
+            low = BEGIN if is_begin else r * range_words
             size = range_words if not is_begin else 1
             stats, of_pairs = np.zeros((size, 5), np.int64), np.zeros(4, np.int64)
             for left, sums, right, before, of in rows:
-                at = np.frombuffer(left, np.uint64).astype(np.int64) - (BEGIN if is_begin else low)
+                at = np.frombuffer(left, np.uint64).astype(np.int64) - low
                 stats[at, :4] += _wide(sums, 4 * len(at)).reshape(4, -1).T
                 at = np.frombuffer(right, np.uint64).astype(np.int64) - low
                 stats[at, 4] += _wide(before, len(at))
@@ -427,15 +554,15 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
                 }
             )
 
-    ranges = offsets[-1] // range_words + 1
+    def resummed(shift):
+        return _resummed(range_words, last, shift)
+
+    pairs_found = texts.mapInArrow(pair_tasks, _PACKED)
+    sums_found = _exchange(pairs_found, bits, shifts, recounted, none).mapInArrow(
+        write_pairs, _SUMS
+    )
     found = (
-        texts.mapInArrow(pair_tasks, _PACKED)
-        .union(none)
-        .repartition(shards, "shard")
-        .sortWithinPartitions("shard")
-        .mapInArrow(write_pairs, kind)
-        .repartition(ranges, "shard")
-        .sortWithinPartitions("shard")
+        _exchange(sums_found, range_bits, range_shifts, resummed)
         .mapInArrow(write_statistics, "pairs array<long>, words array<long>, n_pairs long")
         .collect()
     )

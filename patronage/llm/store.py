@@ -1,9 +1,9 @@
-"""Arrays in the shared scratch folder: written by tasks, memory-mapped by workers."""
+"""Arrays in the shared scratch folder: written by tasks, memory-mapped or read by workers."""
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 from urllib.parse import urlparse
 
@@ -41,11 +41,9 @@ def write_array(path: str, values: np.ndarray) -> None:
 
 
 def map_array(path: str) -> np.ndarray:
-    """Memory-map a written array.
+    """A written array, memory-mapped where its folder is mounted.
 
-    A folder that is mounted here is mapped in place. From any other store the
-    file is copied once into a nameless temporary file, which the system
-    removes with the worker.
+    From any other store it is read into memory; callers bound what they keep.
     """
     local = _local(path)
     if local is not None:
@@ -53,16 +51,5 @@ def map_array(path: str) -> np.ndarray:
     from pyarrow import fs
 
     system, place = fs.FileSystem.from_uri(path)
-    with tempfile.TemporaryFile() as copy, system.open_input_stream(place) as file:
-        while block := file.read(1 << 22):
-            copy.write(block)
-        copy.flush()
-        copy.seek(0)
-        version = np.lib.format.read_magic(copy)
-        reader = (
-            np.lib.format.read_array_header_1_0
-            if version == (1, 0)
-            else np.lib.format.read_array_header_2_0
-        )
-        shape, _, dtype = reader(copy)
-        return np.memmap(copy, dtype=dtype, shape=shape, mode="r", offset=copy.tell())
+    with system.open_input_stream(place) as file:
+        return np.load(io.BytesIO(file.read()))

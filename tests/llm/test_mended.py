@@ -5,6 +5,7 @@ import random
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,12 +13,15 @@ from patronage.llm import (
     byte_bpe,
     embedding_dedup,
     exact_dedup,
+    kneser_ney,
     language_id,
     license_scan,
     mixing,
     quality,
     simhash,
 )
+from patronage.llm.scan import text_bytes
+from patronage.llm.store import map_array
 from patronage.session import stage
 
 
@@ -153,3 +157,42 @@ def test_recall_of_the_nearest_lists(lists):
     near = unit[sparse] @ unit[sparse].T >= 0.95
     probed = quantiser.probed(unit[sparse], 0.0, embedding_dedup.PROBES)
     assert (near & probed[:, own[sparse]]).sum() / near.sum() >= 0.95
+
+
+def test_kneser_ney_levels_of_shards(spark, edge_docs, monkeypatch):
+    """Models counted through one, two and three levels of exchanges are the same."""
+    docs = edge_docs.repartition(3)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    scored = []
+    for shards, fan_bits, shifts in ((1, 8, [0]), (16, 2, [2, 0]), (8, 1, [2, 1, 0])):
+        monkeypatch.setattr(kneser_ney, "SHARD_BYTES", size / shards)
+        monkeypatch.setattr(kneser_ney, "FAN_BITS", fan_bits)
+        monkeypatch.setattr(kneser_ney, "LEAST_RANGE", 16)
+        model = kneser_ney.train(docs)
+        assert kneser_ney._shifts(model.pair_bits, fan_bits) == shifts
+        numbers = (model.n_tokens, model.n_words, model.n_pairs, model.pair_discounts)
+        rows = kneser_ney.score(edge_docs, model).collect()
+        scored.append((numbers, model.word_discounts, sorted(map(repr, rows))))
+    assert scored[0][:2] == scored[1][:2] == scored[2][:2]
+    for other in scored[1:]:
+        assert other[2] == scored[0][2]
+
+
+def test_kneser_ney_keeps_few_arrays(spark, edge_docs, monkeypatch):
+    size = edge_docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", size / 8)
+    model = kneser_ney.train(edge_docs)
+    texts = text_bytes(pa.array([r.text for r in edge_docs.select("text").collect()]))
+    hashes, first = kneser_ney.token_hashes(*texts)
+    whole = kneser_ney.MappedModel(model).score(hashes, first)
+    monkeypatch.setattr(kneser_ney, "MOST_MAPPED", 2)
+    few = kneser_ney.MappedModel(model)
+    assert all((a == b).all() for a, b in zip(whole, few.score(hashes, first), strict=True))
+    assert len(few._arrays) == 2
+    # Arrays read whole count by their bytes.
+    monkeypatch.setattr(kneser_ney, "MOST_MAPPED", 4_096)
+    monkeypatch.setattr(kneser_ney, "MOST_READ", 1_000)
+    monkeypatch.setattr(kneser_ney, "map_array", lambda path: np.array(map_array(path)))
+    read = kneser_ney.MappedModel(model)
+    assert all((a == b).all() for a, b in zip(whole, read.score(hashes, first), strict=True))
+    assert read._read <= max(1_000, *(a.nbytes for a in read._arrays.values()))
