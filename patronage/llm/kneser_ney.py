@@ -2,9 +2,9 @@
 
 Training takes three jobs. Every one combines counts inside its tasks and sends packed
 arrays of them to shards, so no word, however frequent, makes a large group, and shards
-grow in number with the text. With more than 256 shards the arrays go by levels, each of which
-tells at most 256 groups apart and merges what came, so a task makes a bounded number of
-arrays whatever the number of shards:
+grow in number with the text. With more than 4,096 shards (64 GB of text) the arrays go by
+levels, each of which tells at most 4,096 groups apart and merges what came, so the number of
+arrays a task makes for a million counts is bounded whatever the number of shards:
 
 1. words: hash -> count, in shards by the hash's top bits. A word's number is its
    place in the concatenated sorted shards.
@@ -43,7 +43,7 @@ END = np.uint64(0x51ED270B7F4A7C15)
 #: Bytes of training text per shard of counts.
 SHARD_BYTES = 16 << 20
 #: Bits of a shard's number that one exchange tells apart.
-FAN_BITS = 8
+FAN_BITS = 12
 #: Arrays of a model that a worker keeps mapped, and bytes of those it had to read whole.
 MOST_MAPPED, MOST_READ = 4_096, 256 << 20
 #: Word numbers per file of word statistics, at least.
@@ -434,7 +434,8 @@ def train(docs: DataFrame, text_column: str = "text") -> Model:
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text is its words
     and one end. Words are told apart by 64-bit hashes. No row at all gives a
-    model that knows nothing and spreads its mass evenly.
+    model that knows nothing and spreads its mass evenly. A corpus of more than about
+    2^32 distinct words is refused, as two words' numbers make one 64-bit key.
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "kneser-ney")
