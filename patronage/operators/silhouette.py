@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import ship, stage
 from .cftree import FeatureTree, feature_tree, refine
 from .features import SCALED
 from .kmeans import SEED
 from .microclusters import MICRO_CLUSTERS, fit_micro_clusters, summarise, with_micro
 
-# Rows of a block in the pairwise method.
-BLOCK_ROWS = 2_000
+# Points of a block in the pairwise method, and partitions that blocks are dealt to at most.
+BLOCK_ROWS = 4_000
+MOST_PARTS = 16
 
 # How far apart the bounds of the tree method may be.
 TOLERANCE = 0.005
@@ -30,6 +33,8 @@ MOST_CELLS = 100_000
 _FIRST_SHARE, _FIRST_OPEN = 0.02, 2.0
 
 _CHUNK_CELLS = 4_000_000  # distances held at once in a task
+_TILE_CELLS = 128_000  # distances worked out at once, which fit a core's cache
+_BLOCK = "block long, x array<double>, own array<int>, weight array<double>"
 
 
 def silhouette_euclidean(
@@ -60,8 +65,8 @@ def silhouette_euclidean(
     sides; the value is the middle. The table of cells goes to every task: more than
     ``MOST_CELLS`` are refused.
 
-    ``pairwise`` is exact and quadratic: blocks of rows meet each other on
-    the executors, which send sums per row and cluster.
+    ``pairwise`` is exact and quadratic in the distinct rows: blocks of them meet each other
+    on the executors, which send sums per row and cluster.
     """
     if method == "pairwise":
         return _pairwise(df.select(F.col(label).alias("label"), *columns), list(columns))
@@ -159,10 +164,6 @@ def _bounds_from_tree(tree: FeatureTree, opening: float):
             row, node = np.repeat(row, each), children[begin + np.arange(each.sum())]
         return near.reshape(n, labels), far.reshape(n, labels)
 
-    def value(own: np.ndarray, other: np.ndarray) -> np.ndarray:
-        larger = np.maximum(own, other)
-        return np.divide(other - own, larger, out=np.zeros_like(own), where=larger > 0)
-
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = {name: i for i, name in enumerate(tree.labels)}
         for whole in batches:
@@ -186,8 +187,8 @@ def _bounds_from_tree(tree: FeatureTree, opening: float):
                 far[rows, mine] = np.inf
                 other_low, other_high = near.min(axis=1), far.min(axis=1)
                 alone = sizes[mine] == 1  # counts 0
-                low = np.where(alone, 0.0, value(own_high, other_low))
-                high = np.where(alone, 0.0, value(own_low, other_high))
+                low = np.where(alone, 0.0, _value(own_high, other_low))
+                high = np.where(alone, 0.0, _value(own_low, other_high))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(low), pa.array(high)], ["low", "high"]
                 )
@@ -196,66 +197,163 @@ def _bounds_from_tree(tree: FeatureTree, opening: float):
 
 
 def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """The exact silhouette from all distances, block against block."""
-    points = stage(rows.withColumn("id", F.monotonically_increasing_id()), "points")
-    sizes = stage(points.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    n, clusters = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    if clusters < 2:
-        raise ValueError("a silhouette needs at least two clusters")
-    blocks = -(-n // BLOCK_ROWS)
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    left = points.withColumns({"i": own, "j": every})
-    right = points.select("label", *columns, own.alias("j"), every.alias("i"))
-
-    def distances(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
-        x, y = one[columns].to_numpy(float), other[columns].to_numpy(float)
-        names, code = np.unique(other["label"].to_numpy(), return_inverse=True)
-        member = np.zeros((len(y), len(names)))
-        member[np.arange(len(y)), code] = 1
-        totals = np.empty((len(x), len(names)))
-        for at in range(0, len(x), 200):
-            squared = np.zeros((len(x[at : at + 200]), len(y)))
-            for c in range(x.shape[1]):
-                squared += (x[at : at + 200, c, None] - y[None, :, c]) ** 2
-            totals[at : at + 200] = np.sqrt(squared) @ member
-        return pd.DataFrame(
-            {
-                "id": np.repeat(one["id"].to_numpy(), len(names)),
-                "own": np.repeat(one["label"].to_numpy(), len(names)),
-                "other": np.tile(names, len(x)),
-                "total": totals.ravel(),
-            }
-        )
+    """The exact silhouette from all distances, block against block.
 
-    kind = rows.schema["label"].dataType.simpleString()
-    sums = (
-        left.groupBy("i", "j")
-        .cogroup(right.groupBy("i", "j"))
-        .applyInPandas(distances, f"id long, own {kind}, other {kind}, total double")
-        .groupBy("id", "own", "other")
-        .agg(F.sum("total").alias("total"))
-    )
-    same = F.col("own") == F.col("other")
-    a, b, own_size = (
-        F.max(F.when(same, F.col("total") / F.greatest(F.col("size") - 1, F.lit(1)))).alias("a"),
-        F.min(F.when(~same, F.col("total") / F.col("size"))).alias("b"),
-        F.max(F.when(same, F.col("size"))).alias("own_size"),
+    Equal rows of a cluster are one point with a weight. A block of points is one row of arrays; a
+    cross join brings every pair of blocks together once, without a shuffle, and tasks send
+    a sum per point and cluster for each block they met. What is sent therefore grows with the points
+    and the number of partitions, which is bounded; the distances grow with the points' square.
+    """
+    ship(rows.sparkSession)
+    weight = F.count(F.lit(1)).alias("weight")
+    points = stage(rows.groupBy("label", *columns).agg(weight), "points")
+    found = points.groupBy("label").agg(F.sum("weight"), F.count(F.lit(1))).collect()
+    found.sort(key=lambda row: (row[0] is None, row[0]))
+    labels, n = len(found), sum(row[1] for row in found)
+    if labels < 2:
+        raise ValueError("a silhouette needs at least two clusters")
+    code = {row[0]: i for i, row in enumerate(found)}
+    sizes = np.array([row[1] for row in found], float)
+    block_rows = max(1, min(BLOCK_ROWS, _CHUNK_CELLS // labels))
+    blocks = stage(points.mapInArrow(_packed(columns, code, block_rows), _BLOCK), "blocks")
+    parts = max(1, min(MOST_PARTS, sum(row[2] for row in found) // block_rows))
+    spread = blocks.repartition(parts, "block")
+    right = spread.select(*(F.col(c).alias(f"{c}_2") for c in spread.columns))
+    # Of each two blocks, either may stand left: partitions share the pairs evenly.
+    lower = F.col("block") < F.col("block_2")
+    even = F.pmod(F.xxhash64("block").bitwiseXOR(F.xxhash64("block_2")), F.lit(2)) == 0
+    once = (F.col("block") == F.col("block_2")) | (lower == even)
+    pairs = spread.join(right.hint("shuffle_replicate_nl"), once)
+    sums = pairs.mapInArrow(
+        _sums_of_pairs(len(columns), labels), "block long, totals array<double>"
     )
-    # ``sizes`` has one row per cluster; Spark broadcasts it while it is small.
-    per_row = sums.join(sizes, sums["other"] == sizes["label"]).groupBy("id").agg(a, b, own_size)
-    larger = F.greatest("a", "b")
-    value = F.when((F.col("own_size") == 1) | (larger == 0), 0.0).otherwise(
-        (F.col("b") - F.col("a")) / larger
+
+    def values(partial: pa.Table, block: pa.Table) -> pa.Table:
+        whole = partial.column("totals").combine_chunks().flatten().to_numpy()
+        own, mine = _arrays(block.slice(0, 1).to_batches()[0], 0, len(columns))[1:]
+        totals = whole.reshape(partial.num_rows, len(own), labels).sum(axis=0)
+        at = np.arange(len(own))
+        a = totals[at, own] / np.maximum(sizes[own] - 1, 1)
+        totals /= sizes
+        totals[at, own] = np.inf
+        value = np.where(sizes[own] == 1, 0.0, _value(a, totals.min(axis=1)))
+        return pa.table({"total": [float((mine * value).sum())]})
+
+    per_block = (
+        sums.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(values, "total double")
     )
-    mean = F.avg(value)
-    return per_row.agg(
+    mean = F.sum("total") / F.lit(float(n))
+    return per_block.agg(
         mean.alias("silhouette"),
         mean.alias("silhouette_low"),
         mean.alias("silhouette_high"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.lit(clusters).cast("int").alias("n_clusters"),
+        F.lit(n).cast("long").alias("n_rows"),
+        F.lit(labels).cast("int").alias("n_clusters"),
+    )
+
+
+def _packed(columns: list[str], code: dict, block_rows: int):
+    """A ``mapInArrow`` function packing points, sorted by cluster, into blocks of ``block_rows``."""
+
+    def block(number: int, x: np.ndarray, own: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(own, kind="stable")
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([(TaskContext.get().partitionId() << 32) + number]),
+                pa.array([x[order].ravel()], pa.list_(pa.float64())),
+                pa.array([own[order]], pa.list_(pa.int32())),
+                pa.array([weight[order]], pa.list_(pa.float64())),
+            ],
+            ["block", "x", "own", "weight"],
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, own, weight = np.zeros((0, len(columns))), np.zeros(0, np.int32), np.zeros(0)
+        number = 0
+        for batch in batches:
+            more = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+            x = np.concatenate([x, np.column_stack(more)])
+            codes = [code[v] for v in batch.column("label").to_pylist()]
+            own = np.concatenate([own, np.array(codes, np.int32)])
+            weight = np.concatenate([weight, batch.column("weight").to_numpy().astype(float)])
+            while len(x) >= block_rows:
+                yield block(number, x[:block_rows], own[:block_rows], weight[:block_rows])
+                x, own, weight = x[block_rows:], own[block_rows:], weight[block_rows:]
+                number += 1
+        if len(x):
+            yield block(number, x, own, weight)
+
+    return pack
+
+
+def _arrays(batch: pa.RecordBatch, i: int, d: int, suffix: str = "") -> tuple[np.ndarray, ...]:
+    """Points, their clusters and weights of a row that holds a block."""
+    x, own, weight = (
+        batch.column(f"{c}{suffix}")[i].values.to_numpy() for c in ("x", "own", "weight")
     )
+    return x.reshape(-1, d), own, weight
+
+
+def _sums_of_pairs(d: int, labels: int):
+    """A ``mapInArrow`` function over pairs of blocks: for each block, the sums of its points'
+    distances to the points of each cluster in the blocks that it met."""
+
+    def runs(own: np.ndarray) -> list[tuple[int, slice]]:
+        """The clusters of a block and where each one's points stand."""
+        ends = np.searchsorted(own, np.arange(labels + 1))
+        return [(c, slice(a, b)) for c, (a, b) in enumerate(pairwise(ends)) if a < b]
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for number, totals in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([totals.ravel()], pa.list_(pa.float64()))],
+                    ["block", "totals"],
+                )
+            held.clear()
+
+        for batch in batches:
+            for i in range(len(batch)):
+                one, other = batch.column("block")[i].as_py(), batch.column("block_2")[i].as_py()
+                x, own, weight = _arrays(batch, i, d)
+                y, own_2, weight_2 = _arrays(batch, i, d, "_2")
+                right = runs(own_2)
+                for number, points in ((one, x), (other, y)):
+                    if number not in held:
+                        held[number] = np.zeros((len(points), labels))
+                y = np.ascontiguousarray(y.T)
+                tile = max(1, _TILE_CELLS // y.shape[1])
+                gap, step = np.empty((2, min(tile, len(x)), y.shape[1]))
+                for at in range(0, len(x), tile):
+                    part = x[at : at + tile]
+                    squared, away = gap[: len(part)], step[: len(part)]
+                    for c in range(d):
+                        np.subtract(part[:, c, None], y[c], out=away if c else squared)
+                        if c:
+                            away *= away
+                            squared += away
+                        else:
+                            squared *= squared
+                    np.sqrt(squared, out=squared)
+                    for c, some in right:
+                        held[one][at : at + tile, c] += squared[:, some] @ weight_2[some]
+                    if one != other:
+                        some_weights = weight[at : at + tile]
+                        for c, some in runs(own[at : at + tile]):
+                            held[other][:, c] += some_weights[some] @ squared[some]
+            if sum(totals.size for totals in held.values()) > _CHUNK_CELLS:
+                yield from sent()
+        yield from sent()
+
+    return tasks
+
+
+def _value(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Silhouettes of rows from their mean distances to their own and to the nearest other cluster."""
+    larger = np.maximum(own, other)
+    return np.divide(other - own, larger, out=np.zeros_like(own), where=larger > 0)
 
 
 def _bounds_of_rows(known: pd.DataFrame, names: list, columns: list[str]):
@@ -269,10 +367,6 @@ def _bounds_of_rows(known: pd.DataFrame, names: list, columns: list[str]):
     sizes = by_cluster.sum(axis=0)
     rows_at_once = max(1, _CHUNK_CELLS // len(known))
 
-    def value(own: np.ndarray, other: np.ndarray) -> np.ndarray:
-        larger = np.maximum(own, other)
-        return np.divide(other - own, larger, out=np.zeros_like(own), where=larger > 0)
-
     def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), rows_at_once):
@@ -293,8 +387,8 @@ def _bounds_of_rows(known: pd.DataFrame, names: list, columns: list[str]):
                 other_low, other_high = near.min(axis=1), far.min(axis=1)
                 # A row alone in its cluster counts 0.
                 alone = sizes[mine] == 1
-                low = np.where(alone, 0.0, value(own_high, other_low))
-                high = np.where(alone, 0.0, value(own_low, other_high))
+                low = np.where(alone, 0.0, _value(own_high, other_low))
+                high = np.where(alone, 0.0, _value(own_low, other_high))
                 yield pd.DataFrame({"low": low, "high": high})
 
     return bounds

@@ -296,6 +296,27 @@ def test_pairwise_silhouette(labelled, block, monkeypatch):
     assert (row["n_rows"], row["n_clusters"]) == (240, 4)
 
 
+def test_pairwise_silhouette_of_copies_and_blocks_met_once(labelled, monkeypatch):
+    """Copies count as rows but meet others as one point; what is written grows with the points."""
+    monkeypatch.setattr(silhouette, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(silhouette, "_TILE_CELLS", 100)
+    df, x, labels = labelled
+    staged = {}
+
+    def noted(frame, name="stage"):
+        staged[name] = stage(frame, name)
+        return staged[name]
+
+    monkeypatch.setattr(silhouette, "stage", noted)
+    many = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("copy")
+    row = silhouette.silhouette_euclidean(many, "label", method="pairwise").head()
+    expected = brute_silhouette(np.repeat(x, 5, axis=0), np.repeat(labels, 5))
+    assert row["silhouette"] == pytest.approx(expected, abs=1e-12)
+    assert (row["n_rows"], row["n_clusters"]) == (1200, 4)
+    assert staged["points"].count() == len(np.unique(np.column_stack([x, np.unique(labels, return_inverse=True)[1]]), axis=0))
+    assert staged["blocks"].count() > 4
+
+
 @pytest.mark.parametrize("micro", [2, 20, 60])
 def test_bounded_silhouette_encloses_the_exact_one(labelled, micro):
     df, x, labels = labelled
