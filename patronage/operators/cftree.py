@@ -10,6 +10,7 @@ the data, not on the number of points; only features reach the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,11 @@ class FeatureTree:
     """Nodes as arrays; ``first`` is a node's first child of ``2 ** dimensions``, -1 for leaves.
 
     Roots are the nodes of the labels, in the labels' order. Nodes that hold no point have
-    ``count`` 0.
+    ``count`` 0. ``cross`` holds the sums of products of deviations in the pairs ``crossed`` of
+    dimensions, none unless ``mixed``.
     """
 
-    def __init__(self, columns: Sequence[str], labels: list) -> None:
+    def __init__(self, columns: Sequence[str], labels: list, mixed: bool = False) -> None:
         self.columns, self.labels = list(columns), labels
         d = len(self.columns)
         self.fan, n = 1 << d, len(labels)
@@ -43,6 +45,8 @@ class FeatureTree:
         self.count = np.zeros(n, np.int64)
         self.mean, self.error = np.zeros((n, d)), np.zeros((n, d))
         self.low, self.high = np.full((n, d), np.inf), np.full((n, d), -np.inf)
+        self.crossed = list(combinations(range(d), 2)) if mixed else []
+        self.cross = np.zeros((n, len(self.crossed)))
 
     @property
     def leaves(self) -> np.ndarray:
@@ -96,6 +100,7 @@ class FeatureTree:
         self.count = np.append(self.count, np.zeros(more, np.int64))
         self.mean = np.concatenate([self.mean, np.repeat(self.mean[nodes], self.fan, axis=0)])
         self.error = np.concatenate([self.error, np.zeros((more, d))])
+        self.cross = np.concatenate([self.cross, np.zeros((more, len(self.crossed)))])
         self.low = np.concatenate([self.low, np.full((more, d), np.inf)])
         self.high = np.concatenate([self.high, np.full((more, d), -np.inf)])
         return np.arange(n, n + more)
@@ -123,6 +128,7 @@ def _measure(points: DataFrame, tree: FeatureTree, label: str | None, fresh: np.
         count = np.zeros(n, np.int64)
         s, q = np.zeros((n, d)), np.zeros((n, d))
         low, high = np.full((n, d), np.inf), np.full((n, d), -np.inf)
+        cross = np.zeros((n, len(tree.crossed)))
         for batch in batches:
             x, codes = _columns_of(batch, tree, label)
             leaf = tree.leaf_of(x, codes) - base
@@ -135,8 +141,14 @@ def _measure(points: DataFrame, tree: FeatureTree, label: str | None, fresh: np.
                 q[:, c] += np.bincount(leaf, away[:, c] ** 2, n)
                 np.minimum.at(low[:, c], leaf, x[:, c])
                 np.maximum.at(high[:, c], leaf, x[:, c])
-        met = np.repeat(np.flatnonzero(count), d)
-        part = np.tile(np.arange(d), len(met) // max(d, 1))
+            for i, (a, b) in enumerate(tree.crossed):
+                cross[:, i] += np.bincount(leaf, away[:, a] * away[:, b], n)
+        # Products of two dimensions are further parts with a sum alone.
+        parts, none = d + len(tree.crossed), np.zeros_like(cross)
+        s, low, high = (np.concatenate([v, none], axis=1) for v in (s, low, high))
+        q = np.concatenate([q, cross], axis=1)
+        met = np.repeat(np.flatnonzero(count), parts)
+        part = np.tile(np.arange(parts), len(met) // max(parts, 1))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(met + base),
@@ -160,8 +172,18 @@ def _measure(points: DataFrame, tree: FeatureTree, label: str | None, fresh: np.
         )
         .toPandas()  # a row per new node and dimension
     )
+    d = len(tree.columns)
+    products, rows = rows[rows["part"] >= d], rows[rows["part"] < d]
     node, part, n = rows["node"].to_numpy(), rows["part"].to_numpy(), rows["n"].to_numpy()
     s = rows["s"].to_numpy()
+    if len(products):
+        sums = np.zeros((len(fresh), d))
+        sums[node - base, part] = s
+        at, pair = products["node"].to_numpy(), products["part"].to_numpy() - d
+        a, b = np.array(tree.crossed)[pair].T
+        tree.cross[at, pair] = products["q"].to_numpy() - (
+            sums[at - base, a] * sums[at - base, b] / products["n"].to_numpy()
+        )
     tree.count[node] = n
     tree.mean[node, part] += s / n
     tree.error[node, part] = np.maximum(rows["q"].to_numpy() - s * s / n, 0)
@@ -175,7 +197,11 @@ def refine(points: DataFrame, tree: FeatureTree, share: float, label: str | None
 
 
 def feature_tree(
-    points: DataFrame, columns: Sequence[str], share: float, label: str | None = None
+    points: DataFrame,
+    columns: Sequence[str],
+    share: float,
+    label: str | None = None,
+    mixed: bool = False,
 ) -> FeatureTree:
     """A tree over the points, or one per value of ``label``, with ``share`` of the error inside.
 
@@ -191,7 +217,7 @@ def feature_tree(
         if len(found) > MOST_NODES:
             raise ValueError(f"more than {MOST_NODES} labels")
         labels = sorted((row[0] for row in found), key=lambda v: (v is None, v))
-    tree = FeatureTree(columns, labels)
+    tree = FeatureTree(columns, labels, mixed)
     _measure(points, tree, label, np.arange(len(labels)))
     refine(points, tree, share, label)
     return tree

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
-from itertools import pairwise
+from itertools import combinations_with_replacement, pairwise
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,9 @@ MOST_CELLS = 100_000
 _FIRST_SHARE, _FIRST_OPEN = 0.02, 2.0
 
 _CHUNK_CELLS = 4_000_000  # distances held at once in a task
+# Rows that a task sorts into groups of near ones, those of a group, and boxes it meets at once.
+_ROWS_AT_ONCE, _GROUP_ROWS, _GROUPS_AT_ONCE, _BOXES_AT_ONCE = 65_536, 32, 64, 512
+_THIRD = 1 / (3 * math.sqrt(3))  # a sixth of the bound of a distance's third derivative
 _TILE_CELLS = 128_000  # distances worked out at once, which fit a core's cache
 _BLOCK = "block long, x array<double>, own array<int>, weight array<double>"
 
@@ -104,7 +108,7 @@ def _tree(rows: DataFrame, columns: list[str], tolerance: float) -> DataFrame:
         raise ValueError("the tolerance must be positive")
     rows = stage(rows, "rows")
     share, opening = _FIRST_SHARE, _FIRST_OPEN * tolerance
-    tree = feature_tree(rows, columns, share, "label")
+    tree = feature_tree(rows, columns, share, "label", mixed=True)
     if len(tree.labels) < 2:
         raise ValueError("a silhouette needs at least two clusters")
     # Small files make few tasks, and a row costs far more here than its shuffle.
@@ -129,73 +133,176 @@ def _tree(rows: DataFrame, columns: list[str], tolerance: float) -> DataFrame:
 def _bounds_from_tree(tree: FeatureTree, opening: float):
     """A ``mapInArrow`` function giving each row's silhouette bounds.
 
-    A box is opened while its mean distance from the row is uncertain by more than ``opening`` of the
-    row's scale, the distance to the nearest other cluster's mean at the least.
+    Rows are taken in groups of near ones, and a group meets the boxes once. It opens a box while a row's mean
+    distance from it may be uncertain by more than ``opening`` of the smallest scale in the group; a row's
+    scale is the distance to the nearest other cluster's mean.
+
+    A row stands by ``a`` from its group's centre, a point of the box by ``b`` from the box's mean, the mean by d from
+    the centre. Where d exceeds ``|a| + |b|``, the distance of row and point is Taylor's series in ``a - b``:
+    d, the part of ``a - b`` along the line of sight, and the square of that across it over 2d; for
+    the mean over the box's points the moments of the box are enough. Third derivatives of a distance
+    are at most ``2 / sqrt(3)`` over its square, which bounds what is left by
+    ``(|a| + |b|)^3 / (3 sqrt(3) (d - |a| - |b|)^2)``. Sums over boxes are kept as coefficients, so a row costs
+    as much as its group has clusters. In the boxes left, row by row, the mean distance lies
+    between that from the box's mean and the root of its square and the box's mean squared radius.
     """
-    labels = len(tree.labels)
-    squares = np.divide(
-        tree.error.sum(axis=1), tree.count, out=np.zeros(len(tree.count)), where=tree.count > 0
-    )
+    labels, d = len(tree.labels), len(tree.columns)
+    count = np.maximum(tree.count, 1)
+    squares = tree.error.sum(axis=1) / count
+    spread = tree.error / count[:, None]
+    mixed = tree.cross / count[:, None]
+    held_points = tree.count > 0
+    corner = np.maximum(tree.high - tree.mean, tree.mean - tree.low)
+    radius = np.sqrt(np.where(held_points[:, None], corner, 0.0) ** 2 @ np.ones(d))
+    # Means of |b| and its second and third power, at most.
+    powers = np.column_stack([np.sqrt(squares), squares, radius * squares])
     sizes = tree.count[:labels].astype(float)
+    forms = list(combinations_with_replacement(range(d), 2))
     held = [np.flatnonzero(tree.count[a : a + tree.fan]) + a for a in tree.first if a >= 0]
     many = np.zeros(len(tree.first), np.int64)
     many[tree.first >= 0] = [len(some) for some in held]
     children = np.concatenate([*held, np.zeros(0, np.int64)])
     begins = np.cumsum(many) - many
 
-    def sums(x: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper sums of each row's distances to the rows of each cluster."""
-        n = len(x)
-        near, far = np.zeros(n * labels), np.zeros(n * labels)
-        row = np.repeat(np.arange(n), labels)
-        node = np.tile(np.arange(labels), n)
-        while len(row):
-            away = x[row] - tree.mean[node]
-            squared = np.einsum("ij,ij->i", away, away)
-            low, high = np.sqrt(squared), np.sqrt(squared + squares[node])
-            closed = (high - low <= opening * scale[row]) | (many[node] == 0)
-            cell = row[closed] * labels + tree.label[node[closed]]
-            weight = tree.count[node[closed]]
-            near += np.bincount(cell, weight * low[closed], n * labels)
-            far += np.bincount(cell, weight * high[closed], n * labels)
-            row, node = row[~closed], node[~closed]
+    def met(centre: np.ndarray, reach: np.ndarray, allowed: np.ndarray):
+        """For each group and cluster the coefficients of far boxes; and the near boxes of each group."""
+        n = len(centre)
+        group, node = np.repeat(np.arange(n), labels), np.tile(np.arange(labels), n)
+        series = np.zeros((n * labels, 1 + d + len(forms) + 4))
+        groups, nodes = [], []
+        while len(group):
+            away, r = centre[group] - tree.mean[node], reach[group]
+            distance = np.sqrt((away * away).sum(axis=1))
+            gap = distance - r - radius[node]
+            first, second, third = powers[node].T
+            rest = ((r + 3 * first) * r + 3 * second) * r + third
+            left = np.full(len(node), np.inf)
+            np.divide(_THIRD * rest, gap * gap, out=left, where=gap > 1e-6 * distance)
+            near = np.maximum(distance - r, 0.0)
+            unsure = np.sqrt(near * near + squares[node]) - near
+            end = many[node] == 0
+            far = (2 * left <= allowed[group]) | (end & (2 * left <= unsure))
+            some = np.flatnonzero(far)
+            if len(some):
+                g, k, w = group[some], node[some], tree.count[node[some]]
+                cell = g * labels + tree.label[k]
+                along, apart = away[some] / distance[some, None], distance[some]
+                across = squares[k] - (spread[k] * along * along).sum(axis=1)
+                for i, (a, b) in enumerate(tree.crossed):
+                    across -= 2 * mixed[k, i] * along[:, a] * along[:, b]
+                parts = [w * (apart + across / (2 * apart)), *(w[:, None] * along).T]
+                half = w / (2 * apart)
+                parts += [
+                    half * ((a == b) - along[:, a] * along[:, b]) * (1 if a == b else 2)
+                    for a, b in forms
+                ]
+                over = w * _THIRD / gap[some] ** 2
+                parts += [over * third[some], 3 * over * second[some], 3 * over * first[some], over]
+                for i, part in enumerate(parts):
+                    series[:, i] += np.bincount(cell, part, n * labels)
+            closed = ~far & (end | (unsure <= allowed[group]))
+            groups.append(group[closed])
+            nodes.append(node[closed])
+            open_to = ~far & ~closed
+            group, node = group[open_to], node[open_to]
             each = many[node]
             begin = np.repeat(begins[node] - (np.cumsum(each) - each), each)
-            row, node = np.repeat(row, each), children[begin + np.arange(each.sum())]
-        return near.reshape(n, labels), far.reshape(n, labels)
+            group, node = np.repeat(group, each), children[begin + np.arange(each.sum())]
+        groups, nodes = np.concatenate(groups), np.concatenate(nodes)
+        ends = np.cumsum(np.bincount(groups, minlength=n))[:-1]
+        near_boxes = np.split(nodes[np.argsort(groups, kind="stable")], ends)
+        return series.reshape(n, labels, -1), near_boxes
+
+    def sums(
+        x: np.ndarray, near: np.ndarray, centre: np.ndarray, series: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper sums of distances to the rows of each cluster from rows of a group,
+        which are taken from its centre."""
+        length = np.sqrt((x * x).sum(axis=1))
+        terms = [np.ones(len(x)), *x.T, *(x[:, a] * x[:, b] for a, b in forms)]
+        middle = np.column_stack(terms) @ series[:, : len(terms)].T
+        rest = np.column_stack([length**i for i in range(4)]) @ series[:, len(terms) :].T
+        low, high = middle - rest, middle + rest
+        for at in range(0, len(near), _BOXES_AT_ONCE):
+            node = near[at : at + _BOXES_AT_ONCE]
+            mean = tree.mean[node] - centre
+            squared = np.zeros((len(x), len(node)))
+            for c in range(d):
+                squared += (x[:, c, None] - mean[None, :, c]) ** 2
+            weight = np.zeros((len(node), labels))
+            weight[np.arange(len(node)), tree.label[node]] = tree.count[node]
+            low += np.sqrt(squared) @ weight
+            squared += squares[node]
+            high += np.sqrt(squared, out=squared) @ weight
+        return low, high
+
+    def bounds_of(x: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.arange(len(x))
+        to_roots = np.zeros((len(x), labels))
+        for c in range(d):
+            to_roots += (x[:, c, None] - tree.mean[None, :labels, c]) ** 2
+        # No mean distance to a cluster is below the distance to its mean.
+        to_roots[rows, mine] = np.inf
+        scale = np.sqrt(to_roots.min(axis=1))
+        groups = _near_rows(x)
+        points = x[groups]
+        centre = (points.max(axis=1) + points.min(axis=1)) / 2
+        reach = np.sqrt(((points - centre[:, None]) ** 2).sum(axis=2).max(axis=1))
+        allowed = opening * scale[groups].min(axis=1)
+        near, far = np.empty((len(x), labels)), np.empty((len(x), labels))
+        for at in range(0, len(groups), _GROUPS_AT_ONCE):
+            some = slice(at, at + _GROUPS_AT_ONCE)
+            series, boxes = met(centre[some], reach[some], allowed[some])
+            for i, (group, middle) in enumerate(zip(groups[some], centre[some], strict=True)):
+                near[group], far[group] = sums(x[group] - middle, boxes[i], middle, series[i])
+        others = np.maximum(sizes[mine] - 1, 1)
+        own_low, own_high = near[rows, mine] / others, far[rows, mine] / others
+        near, far = near / sizes, far / sizes
+        near[rows, mine] = np.inf
+        far[rows, mine] = np.inf
+        other_low, other_high = near.min(axis=1), far.min(axis=1)
+        alone = sizes[mine] == 1  # counts 0
+        low = np.where(alone, 0.0, _value(own_high, other_low))
+        return low, np.where(alone, 0.0, _value(own_low, other_high))
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = {name: i for i, name in enumerate(tree.labels)}
-        for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                x = np.column_stack(
-                    [batch.column(c).to_numpy(zero_copy_only=False) for c in tree.columns]
-                )
-                mine = np.array([code[v] for v in batch.column("label").to_pylist()])
-                rows = np.arange(len(x))
-                to_roots = np.zeros((len(x), labels))
-                for c in range(x.shape[1]):
-                    to_roots += (x[:, c, None] - tree.mean[None, :labels, c]) ** 2
-                # No mean distance to a cluster is below the distance to its mean.
-                to_roots[rows, mine] = np.inf
-                near, far = sums(x, np.sqrt(to_roots.min(axis=1)))
-                others = np.maximum(sizes[mine] - 1, 1)
-                own_low, own_high = near[rows, mine] / others, far[rows, mine] / others
-                near, far = near / sizes, far / sizes
-                near[rows, mine] = np.inf
-                far[rows, mine] = np.inf
-                other_low, other_high = near.min(axis=1), far.min(axis=1)
-                alone = sizes[mine] == 1  # counts 0
-                low = np.where(alone, 0.0, _value(own_high, other_low))
-                high = np.where(alone, 0.0, _value(own_low, other_high))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(low), pa.array(high)], ["low", "high"]
-                )
+
+        def found(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            low, high = bounds_of(*(np.concatenate(arrays) for arrays in zip(*parts, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["low", "high"])
+
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for at in range(0, len(batch), _ROWS_AT_ONCE):
+                part = batch.slice(at, _ROWS_AT_ONCE)
+                x = [part.column(c).to_numpy(zero_copy_only=False) for c in tree.columns]
+                mine = np.array([code[v] for v in part.column("label").to_pylist()], np.int64)
+                parts.append((np.column_stack(x).astype(float), mine))
+                if sum(len(mine) for _, mine in parts) >= _ROWS_AT_ONCE:
+                    yield found(parts)
+                    parts = []
+        if any(len(mine) for _, mine in parts):
+            yield found(parts)
 
     return bounds
 
 
+def _near_rows(x: np.ndarray) -> np.ndarray:
+    """Groups of near rows as rows of indices, by halving at the median of the widest side; the last
+    row fills up what the halves lack."""
+    halvings = max(0, math.ceil(math.log2(len(x) / _GROUP_ROWS)))
+    each = -(-len(x) // (1 << halvings))
+    order = np.minimum(np.arange(each << halvings), len(x) - 1)[None]
+    for _ in range(halvings):
+        points = x[order]
+        widest = (points.max(axis=1) - points.min(axis=1)).argmax(axis=1)
+        side = np.take_along_axis(points, widest[:, None, None], axis=2)[:, :, 0]
+        order = np.take_along_axis(order, side.argsort(axis=1), axis=1)
+        order = order.reshape(2 * len(order), -1)
+    return order
+
+
 def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
     """The exact silhouette from all distances, block against block.
 

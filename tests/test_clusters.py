@@ -1,4 +1,6 @@
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from patronage.operators import (
     centres,
@@ -313,7 +315,8 @@ def test_pairwise_silhouette_of_copies_and_blocks_met_once(labelled, monkeypatch
     expected = brute_silhouette(np.repeat(x, 5, axis=0), np.repeat(labels, 5))
     assert row["silhouette"] == pytest.approx(expected, abs=1e-12)
     assert (row["n_rows"], row["n_clusters"]) == (1200, 4)
-    assert staged["points"].count() == len(np.unique(np.column_stack([x, np.unique(labels, return_inverse=True)[1]]), axis=0))
+    codes = np.unique(labels, return_inverse=True)[1]
+    assert staged["points"].count() == len(np.unique(np.column_stack([x, codes]), axis=0))
     assert staged["blocks"].count() > 4
 
 
@@ -348,6 +351,32 @@ def test_cells_of_a_column_are_bounded(labelled, monkeypatch):
 
 
 @pytest.mark.parametrize("method", ["tree", "cells", "pairwise"])
+@pytest.mark.parametrize("opening", [1e-4, 0.05, 1.0])
+def test_each_row_is_within_its_bounds_met_in_groups(spark, opening):
+    """Rows of skew clusters, near and far, in groups of 32 that meet the boxes together."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(900, 3)) @ np.array([[2.0, 1.5, 0], [0, 0.5, -0.4], [0, 0, 0.2]])
+    labels = np.arange(900) % 3
+    x[labels == 1] += [9, 0, 0]
+    x[labels == 2] += [40, 30, 0]
+    rows = [(int(own), *map(float, point)) for own, point in zip(labels, x)]
+    points = stage(spark.createDataFrame(rows, "label int, a double, b double, c double"))
+    tree = cftree.feature_tree(points, ["a", "b", "c"], 0.05, "label", mixed=True)
+    for node in range(3):
+        about = x[labels == node] - x[labels == node].mean(axis=0)
+        products = [(about[:, a] * about[:, b]).sum() for a, b in tree.crossed]
+        assert tree.cross[node] == pytest.approx(products)
+    frame = pd.DataFrame({"label": labels, "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]})
+    found = silhouette._bounds_from_tree(tree, opening)(iter([pa.RecordBatch.from_pandas(frame)]))
+    low, high = (np.concatenate(v) for v in zip(*((b["low"], b["high"]) for b in found)))
+    away = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    mean = np.column_stack([away[:, labels == c].sum(axis=1) / 300 for c in range(3)])
+    own = mean[np.arange(900), labels] * 300 / 299
+    mean[np.arange(900), labels] = np.inf
+    exact = (mean.min(axis=1) - own) / np.maximum(mean.min(axis=1), own)
+    assert (low - 1e-9 <= exact).all() and (exact <= high + 1e-9).all()
+
+
 def test_silhouette_needs_two_clusters(labelled, method):
     with pytest.raises(ValueError):
         silhouette.silhouette_euclidean(labelled[0].where("label = 'a'"), "label", method=method)
