@@ -519,27 +519,17 @@ def _squared_from(values, centre) -> F.Column:
 def _elbow_shown(customers: DataFrame, scaled: DataFrame, scaler: str) -> DataFrame:
     """Each k beside what must hold of fits that have ended: the customers' error about the
     nearest centre is the fit's, with that of the centres about the mean it is the error
-    of one cluster, and more clusters never cost more."""
+    of one cluster, and more clusters never cost more. The errors add up over the rows that each centre
+    is the mean of; a row on a border may be nearer to another centre once the last round has moved them."""
     fits = kmeans.elbow_fits(customers, scaler=scaler)
     values = [F.col(c) for c in features.SCALED]
-    mean = scaled.agg(*(F.avg(v) for v in values)).first()
-    sums = []
-    for fit in fits:
-        ranked = F.array_min(
-            F.array(
-                *(
-                    F.struct(_squared_from(values, c).alias("squared"), F.lit(i).alias("i"))
-                    for i, c in enumerate(fit.centres)
-                )
-            )
-        )
-        between = [float(((c - list(mean)) ** 2).sum()) for c in fit.centres]
-        own = F.element_at(F.array(*map(F.lit, between)), ranked["i"] + 1)
-        sums += [F.sum(ranked["squared"]), F.sum(own)]
-    found = scaled.agg(*sums).first()
+    mean = list(scaled.agg(*(F.avg(v) for v in values)).first())
+    sums = [
+        F.sum(F.array_min(F.array(*(_squared_from(values, c) for c in fit.centres)))) for fit in fits
+    ]
     rows, last = [], None
-    for i, fit in enumerate(fits):
-        within, between = found[2 * i : 2 * i + 2]
+    for fit, within in zip(fits, scaled.agg(*sums).first(), strict=True):
+        between = float((fit.counts * ((fit.centres - mean) ** 2).sum(axis=1)).sum())
         same = abs(within - fit.sse) <= 1e-6 * (within + between)
         falls = last is None or fit.sse <= last * (1 + 1e-9)
         rows.append((fit.k, round(fit.sse + between, 4), same, falls, fit.converged))

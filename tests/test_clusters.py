@@ -14,7 +14,7 @@ from patronage.operators import (
     scoring,
     silhouette,
 )
-from patronage.plans import segmentation
+from patronage.plans import queries, segmentation
 from patronage.schema import METRICS, TRANSACTION_SCHEMA
 from patronage.session import scratch_path, stage
 from patronage.sources import results
@@ -130,6 +130,14 @@ def test_all_numbers_of_clusters_at_once_equal_rounds_over_all_rows(spark, monke
         kmeans.elbow(points, [1], scaler="log")
 
 
+def test_errors_shown_add_up_where_rows_still_change_centres(blobs, monkeypatch):
+    monkeypatch.setattr(elbow, "TOLERANCE", 0.3)
+    monkeypatch.setattr(elbow, "START_ROUNDS", 0)
+    scaled = stage(features.standardize(blobs), "scaled")
+    shown = queries._elbow_shown(blobs, scaled, "standard").collect()
+    assert {round(row.sse_of_one, 4) for row in shown} == {round(3.0 * blobs.count(), 4)}
+
+
 def test_no_centre_is_ruled_out_that_is_nearest_in_its_box():
     rng = np.random.default_rng(4)
     for _ in range(50):
@@ -343,14 +351,6 @@ def test_silhouette_to_a_tolerance(labelled, tolerance):
         silhouette.silhouette_euclidean(df, "label", tolerance=0)
 
 
-def test_cells_of_a_column_are_bounded(labelled, monkeypatch):
-    monkeypatch.setattr(silhouette, "MOST_CELLS", 10)
-    rows = labelled[0].withColumn("cell", F.monotonically_increasing_id())
-    with pytest.raises(ValueError, match="more than 10 cells"):
-        silhouette.silhouette_euclidean(rows, "label", cell="cell")
-
-
-@pytest.mark.parametrize("method", ["tree", "cells", "pairwise"])
 @pytest.mark.parametrize("opening", [1e-4, 0.05, 1.0])
 def test_each_row_is_within_its_bounds_met_in_groups(spark, opening):
     """Rows of skew clusters, near and far, in groups of 32 that meet the boxes together."""
@@ -377,6 +377,14 @@ def test_each_row_is_within_its_bounds_met_in_groups(spark, opening):
     assert (low - 1e-9 <= exact).all() and (exact <= high + 1e-9).all()
 
 
+def test_cells_of_a_column_are_bounded(labelled, monkeypatch):
+    monkeypatch.setattr(silhouette, "MOST_CELLS", 10)
+    rows = labelled[0].withColumn("cell", F.monotonically_increasing_id())
+    with pytest.raises(ValueError, match="more than 10 cells"):
+        silhouette.silhouette_euclidean(rows, "label", cell="cell")
+
+
+@pytest.mark.parametrize("method", ["tree", "cells", "pairwise"])
 def test_silhouette_needs_two_clusters(labelled, method):
     with pytest.raises(ValueError):
         silhouette.silhouette_euclidean(labelled[0].where("label = 'a'"), "label", method=method)
