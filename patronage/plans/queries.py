@@ -740,8 +740,11 @@ def rfm_corrected(spark: SparkSession, folder: str) -> DataFrame:
     )
     source, out, checkpoint = (scratch_path(spark, f"changes-{n}") for n in ("in", "out", "state"))
     for run, changes in enumerate(runs):
-        changes.repartition(2).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        # Two micro-batches, whatever the number of files; each file is a task.
+        files = 2 * max(spark.sparkContext.defaultParallelism, changes.rdd.getNumPartitions())
+        changes.repartition(files).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", files // 2)
+        stream = stream.parquet(source)
         corrections.start_corrections(stream, out, checkpoint).awaitTermination()
         if run == 0:
             corrections.compact_corrections(spark, out)

@@ -1,8 +1,10 @@
 import datetime
 import random
+from pathlib import Path
 
 import pytest
 from patronage.operators import rfm
+from patronage.plans import queries
 from patronage.schema import TRANSACTION_SCHEMA
 from patronage.session import scratch_path
 from patronage.streaming import corrections
@@ -103,3 +105,17 @@ def test_empty_batches_and_no_batch(spark):
     empty = spark.createDataFrame([], TRANSACTION_SCHEMA)
     corrections.apply_changes(corrections.added(empty), out, 0)
     assert corrections.corrected_rfm(spark, out).count() == 0
+
+
+def test_changes_are_read_by_as_many_tasks_as_they_are_written(spark, monkeypatch):
+    """A micro-batch of one file would be one task, however large the table."""
+    made = {}
+
+    def noted(session, name):
+        made[name] = scratch_path(session, name)
+        return made[name]
+
+    monkeypatch.setattr(queries, "scratch_path", noted)
+    queries.rfm_corrected(spark, "/root/testdata/sf0.001")
+    files = list(Path(made["changes-in"]).glob("part-*.parquet"))
+    assert len(files) >= 4 * spark.sparkContext.defaultParallelism
