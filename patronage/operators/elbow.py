@@ -64,8 +64,9 @@ def candidates(
     out = to_mean <= (reach + 1e-9 * (1 + reach))[:, None]
     rest = np.flatnonzero(out.sum(axis=1) > 1)
     for a, one in enumerate(centres):
+        near = rest[out[rest, a]]
         for b, other in enumerate(centres):
-            rows = rest[out[rest, a] & out[rest, b]] if a != b else rest[:0]
+            rows = near[out[near, b]] if a != b else rest[:0]
             if len(rows):
                 corner = np.where(other > one, high[rows], low[rows])
                 to_one = ((corner - one) ** 2).sum(axis=1)
@@ -84,7 +85,7 @@ def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def _lloyd(x: np.ndarray, weight: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, float]:
     """Centres and cost after rounds over weighted points."""
     for _ in range(START_ROUNDS):
-        near = _squared(x, centres).argmin(axis=1)
+        near = ((centres**2).sum(axis=1) - 2 * (x @ centres.T)).argmin(axis=1)
         total = np.bincount(near, weight, len(centres))
         sums = [np.bincount(near, weight * x[:, c], len(centres)) for c in range(x.shape[1])]
         moved = np.where(
@@ -140,8 +141,6 @@ def fit_all(
         raise ValueError("K-Means needs at least one row")
     located = stage(with_leaf(points.select(*columns), tree), "located")
     leaves = tree.leaves
-    place = np.full(len(tree.first), -1)
-    place[leaves] = np.arange(len(leaves))
     count, mean = tree.count[leaves], tree.mean[leaves]
     error = tree.error[leaves].sum(axis=1)
     d = len(columns)
@@ -150,16 +149,25 @@ def fit_all(
 
     def compared(active: list[tuple[int, np.ndarray, np.ndarray]]) -> dict[int, np.ndarray]:
         """Per fit and centre: rows, squared error about the centre, and sums about it."""
+        # Tasks get the open leaves alone and drop the rows of all others at once.
+        crossed = np.column_stack([open_to.any(axis=1) for _, _, open_to in active])
+        kept = np.flatnonzero(crossed.any(axis=1))
+        place = np.full(len(tree.first), -1)
+        place[leaves[kept]] = np.arange(len(kept))
+        crossed = crossed[kept]
+        active = [(i, centres, open_to[kept]) for i, centres, open_to in active]
 
         def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals = [np.zeros((len(centres), 2 + d)) for _, centres, _ in active]
             for batch in batches:
+                at = place[batch.column("leaf").to_numpy()]
+                open_rows = np.flatnonzero(at >= 0)
+                at = at[open_rows]
                 x = np.column_stack(
-                    [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+                    [batch.column(c).to_numpy(zero_copy_only=False)[open_rows] for c in columns]
                 )
-                at = place[batch.column("leaf").to_numpy()]
-                for total, (_, centres, open_to) in zip(totals, active, strict=True):
-                    rows = np.flatnonzero(open_to[at].any(axis=1))
+                for n, (total, (_, centres, open_to)) in enumerate(zip(totals, active, strict=True)):
+                    rows = np.flatnonzero(crossed[at, n])
                     if not len(rows):
                         continue
                     some, may = x[rows], open_to[at[rows]]
