@@ -1,6 +1,6 @@
 """Token ids as compact binary files in document order.
 
-A tokenizer file's library turns every distinct space-separated piece of text into ids
+A tokenizer file's library turns every distinct part of the pieces between spaces into ids
 once per worker. The ids are counted over all documents and renumbered by falling frequency, so
 that nearly all take one byte. A document's numbers are written in groups of four: a control
 byte with four two-bit lengths goes to one stream, the numbers' one to four bytes go to
@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.scan import blocks
+from patronage.llm.scan import blocks, text_bytes
 from patronage.llm.segments import once_per_worker
 from patronage.session import scratch_path, stage
 
@@ -93,8 +93,9 @@ def unpack(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     return out.reshape(-1)
 
 
-#: Letters that are one code point in every normal form, and those of lower case.
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Ends of pieces before their last punctuation that are matches of their own: of ASCII, or
+#: letters that are one code point in every normal form.
+_SIMPLE = r"^(?:[\x00-\x7F]*[0-9A-Za-z]|[A-Za-zÀ-ÖØ-öø-ÿ]+)$"
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 #: How byte-level vocabularies show bytes without a printable sign.
 _SHOWN = {
@@ -103,13 +104,21 @@ _SHOWN = {
 }
 
 
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of some spans one after another."""
+    places = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    places += np.arange(len(places))
+    return places
+
+
 class Pieces:
-    """Ids of texts by a tokenizer file, each distinct piece between spaces worked out once.
+    """Ids of texts by a tokenizer file, each distinct part of a piece worked out once.
 
     No match of the tokenizer's pattern and no normalisation reaches across a space, so a
-    text's ids are those of its pieces in order. A piece of ASCII that ends in punctuation is
-    two matches, of which the first does not depend on the case of letters where the tokenizer
-    lower-cases; such pieces share the ids of their first part.
+    text's ids are those of its pieces in order. Where the tokenizer lower-cases and takes any white
+    space for a space, pieces also end at line ends and tabs, and one that ends in punctuation is
+    two matches, of which the first does not depend on the case of letters. Only these parts are
+    kept and given to the tokenizer's library; pieces are put together from them block by block.
     """
 
     def __init__(self, path: str) -> None:
@@ -124,79 +133,90 @@ class Pieces:
 
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.parts: dict[str, bytes] = {}
         self.characters = 0
         self.ids, self.used = np.zeros(1 << 16, self.width), 0
         self.ends = np.zeros(1 << 16, np.int64)
 
-    def _cut(self, piece: str) -> tuple[str, str]:
-        if not self.splits or "<" in piece:
-            return piece, ""
-        first = piece.rstrip(string.punctuation)
-        if first.isascii():
-            simple = first[-1:].isalnum()  # other characters and punctuation are one match
-        else:
-            simple = _LATIN.fullmatch(first) is not None
-        return (first.lower(), piece[len(first) :]) if simple else (piece, "")
-
-    def _encoded(self, parts: list[str]) -> None:
-        """Work out parts: plain words by the file's merges alone, as nothing else changes them."""
-        merges, others = self.tokenizer.model, []
-        for part in parts:
+    def _cut(self, pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The two parts of each piece; the second is empty if the piece is one part."""
+        stems = pc.ascii_rtrim(pieces, characters=string.punctuation)
+        simple = pc.and_not(
+            pc.match_substring_regex(stems, _SIMPLE), pc.match_substring(pieces, "<")
+        )
+        lengths = pc.subtract(pc.binary_length(pieces), pc.binary_length(stems))
+        lengths = pc.if_else(simple, lengths, 0).to_numpy(zero_copy_only=False)
+        data, bounds = text_bytes(pieces)
+        tails = pa.LargeStringArray.from_buffers(
+            len(pieces),
+            pa.py_buffer(np.append(0, np.cumsum(lengths))),
+            pa.py_buffer(data[_spans(bounds[1:] - lengths, lengths)]),
+        )
+        return pc.if_else(simple, pc.utf8_lower(stems), pieces), tails
+
+    def _encoded(self, parts: list[str]) -> list[list[int]]:
+        """Ids of parts: plain words by the file's merges alone, as nothing else changes them."""
+        merges, found, others = self.tokenizer.model, [], []
+        for i, part in enumerate(parts):
             if self.splits and _PLAIN.fullmatch(part):
                 octets = part if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
-                found = [token.id for token in merges.tokenize(octets)]
-                self.parts[part] = np.array(found, self.width).tobytes()
+                found.append([token.id for token in merges.tokenize(octets)])
             else:
-                others.append(part)
+                found.append([])
+                others.append(i)
         for at in range(0, len(others), 4_000):
             some = others[at : at + 4_000]
-            for part, found in zip(
-                some,
-                self.tokenizer.encode_batch_fast(some, add_special_tokens=False),
-                strict=True,
-            ):
-                self.parts[part] = np.array(found.ids, self.width).tobytes()
+            encoded = self.tokenizer.encode_batch_fast(
+                [parts[i] for i in some], add_special_tokens=False
+            )
+            for i, one in zip(some, encoded, strict=True):
+                found[i] = one.ids
+        return found
 
     def _learn(self, fresh: list[str]) -> None:
-        """Number pieces that are not known yet."""
-        cut = [self._cut(piece) for piece in fresh]
-        new = list(dict.fromkeys(part for pair in cut for part in pair if part not in self.parts))
-        self._encoded(new)
-        raw = [self.parts[a] + self.parts[b] if b else self.parts[a] for a, b in cut]
-        size = np.dtype(self.width).itemsize
-        ends = self.used + np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))) // size
-        while len(raw) and ends[-1] > len(self.ids):
+        """Number parts that are not known yet."""
+        found = self._encoded(fresh)
+        ends = self.used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : ends[-1]] = np.frombuffer(b"".join(raw), self.width)
+        self.ids[self.used : ends[-1]] = np.fromiter(
+            chain.from_iterable(found), self.width, ends[-1] - self.used
+        )
         first = len(self.numbers)
-        while first + len(raw) >= len(self.ends):
+        while first + len(fresh) >= len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ends[first + 1 : first + 1 + len(raw)] = ends
+        self.ends[first + 1 : first + 1 + len(fresh)] = ends
         self.used = int(ends[-1])
         self.numbers.update(zip(fresh, range(first, first + len(fresh)), strict=True))
         self.characters += sum(map(len, fresh))
 
+    def _known(self, parts: pa.Array) -> np.ndarray:
+        """The number of each part, new ones being learned."""
+        met = parts.dictionary_encode()
+        distinct = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [self.numbers.get(part, -1) for part in distinct]
+        fresh = [part for part, number in zip(distinct, found, strict=True) if number < 0]
+        if fresh:
+            self._learn(fresh)
+            found = list(map(self.numbers.__getitem__, distinct))
+        return np.array(found, np.int64)[met.indices.to_numpy()]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts one after another, and where each text's begin; null is empty."""
         if len(self.numbers) > KEPT_PIECES or self.characters > KEPT_CHARACTERS:
             self._forget()
-        lists = pc.split_pattern(texts.fill_null("").cast(pa.large_string()), " ")
+        texts = texts.fill_null("").cast(pa.large_string())
+        lists = pc.ascii_split_whitespace(texts) if self.splits else pc.split_pattern(texts, " ")
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         met = lists.flatten().dictionary_encode()
-        pieces = met.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = [self.numbers.get(piece, -1) for piece in pieces]
-        fresh = [piece for piece, number in zip(pieces, found, strict=True) if number < 0]
-        if fresh:
-            self._learn(fresh)
-            found = list(map(self.numbers.__getitem__, pieces))
-        places = np.array(found, np.int64)[met.indices.to_numpy()]
-        starts = self.ends[places]
-        lengths = self.ends[places + 1] - starts
-        begins = np.append(0, np.cumsum(lengths))
-        shift = np.repeat(starts - begins[:-1], lengths)
-        shift += np.arange(len(shift))
-        return self.ids[shift], begins[bounds]
+        parts = self._cut(met.dictionary) if self.splits else [met.dictionary]
+        numbers = np.stack([self._known(part) for part in parts], axis=1)
+        starts = self.ends[numbers]
+        lengths = self.ends[numbers + 1] - starts
+        ids = self.ids[_spans(starts.reshape(-1), lengths.reshape(-1))]
+        lengths = lengths.sum(axis=1)
+        places = met.indices.to_numpy()
+        starts, lengths = (np.cumsum(lengths) - lengths)[places], lengths[places]
+        return ids[_spans(starts, lengths)], np.append(0, np.cumsum(lengths))[bounds]
 
 
 def _splits_punctuation(file: dict) -> bool:
@@ -324,17 +344,20 @@ def _slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterato
         at = to
 
 
-def _write_block(file: BinaryIO, held: list[tuple]) -> None:
-    ids, counts, control, data = zip(*held, strict=True)
+def _write_block(file: BinaryIO, ids: list, found: list[np.ndarray], rank: np.ndarray) -> None:
+    """Write the ids found of some documents, filled up to whole groups each and packed at once."""
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    room = counts + -counts % 4
+    numbers = np.zeros(room.sum(), "<u4")
+    numbers[_spans(np.cumsum(room) - room, counts)] = rank[np.concatenate(found)]
+    control, data = pack(numbers)
     known = np.array([i is not None for i in ids], np.uint8)
-    controls, datas = sum(map(len, control)), sum(map(len, data))
-    file.write(_HEADER.pack(_MARK, len(held), controls, datas))
+    file.write(_HEADER.pack(_MARK, len(ids), len(control), len(data)))
     file.write(np.array([i or 0 for i in ids], "<i8").tobytes())
     file.write(known.tobytes())
-    file.write(np.array(counts, "<u8").tobytes())
-    for parts in (control, data):
-        for part in parts:
-            file.write(part)
+    file.write(counts.astype("<u8").tobytes())
+    file.write(control.tobytes())
+    file.write(data.tobytes())
 
 
 def _blocks(file: BinaryIO) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
@@ -393,13 +416,13 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int | None, folder: str)
                     ):
                         n = len(found)
                         if held and ids + n > BLOCK_IDS:
-                            _write_block(file, held)
+                            _write_block(file, *map(list, zip(*held, strict=True)), rank)
                             held, ids = [], 0
-                        held.append((doc_id, n, *map(np.ndarray.tobytes, pack(rank[found]))))
+                        held.append((doc_id, found))
                         ids += n
                         documents += 1
                         total += n
-            _write_block(file, held)
+            _write_block(file, *map(list, zip(*held, strict=True)), rank)
         yield pa.RecordBatch.from_pylist(
             [{"part": part, "path": path, "documents": documents, "ids": total}]
         )

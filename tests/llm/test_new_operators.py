@@ -6,6 +6,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +170,45 @@ def test_token_files(spark, edge_docs, edge_rows, no_docs, tmp_path, monkeypatch
     assert token_files.round_trip(no_docs, WORDS, 2).count() == 0
 
 
+def test_parts_of_pieces_are_worked_out_once_whatever_stands_beside_them():
+    words = ["dog", "Éclair", "naïve", "THE", "it's", "3.14", "a<b", "日本語"]
+    pairs = [f"{a}{end}{b}" for a in words for b in words for end in (".\n", ",\r\n", "!!\t", "\n")]
+    pairs += [f"{case(word)}{end}" for word in words for case in (str.upper, str.title) for end in ("", ".", "?!")]
+    texts = [" ".join(pairs), None, "", "\n", *pairs]
+    pieces = token_files.Pieces(WORDS)
+    ids, bounds = pieces.encode(pa.array(texts))
+    library = Tokenizer.from_file(WORDS)
+    for text, i, j in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[i:j].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert len(pieces.numbers) < 60  # of 297 strings between spaces
+
+
+def test_any_sign_between_words_is_encoded_as_by_the_library():
+    signs = [*map(chr, range(0x100)), *"\u0130\u0301\u1680\u2003\u2028\u3000\ufeff\u00ad\u03a3"]
+    texts = [f"Ab{x}Cd. {x}E{x}, F.{x} {x}{x} <{x}|endoftext|>{x}<|ENDOFTEXT|>" for x in signs]
+    ids, bounds = token_files.Pieces(WORDS).encode(pa.array(texts))
+    library = Tokenizer.from_file(WORDS)
+    for text, i, j in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[i:j].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_documents_of_a_block_are_packed_at_once(tmp_path, monkeypatch):
+    draw, calls = np.random.default_rng(5), []
+    found = [draw.integers(0, 400, n).astype("<u2") for n in (0, 1, 4, 7, 0, 1001)]
+    rank = np.arange(400, dtype="<u4")[::-1] * 200
+    path = tmp_path / "block"
+    with open(path, "wb") as file, monkeypatch.context() as patch:
+        pack = token_files.pack
+        patch.setattr(token_files, "pack", lambda numbers: calls.append(1) or pack(numbers))
+        token_files._write_block(file, [None, 1, 2, 3, 4, 5], found, rank)
+    assert len(calls) == 1
+    with open(path, "rb") as file:
+        ((ids, counts, numbers),) = token_files._blocks(file)
+    assert ids == [None, 1, 2, 3, 4, 5] and counts.tolist() == list(map(len, found))
+    expected = [np.pad(rank[f], (0, -len(f) % 4)) for f in found]
+    assert (numbers == np.concatenate(expected)).all()
+
+
 def test_one_id_for_many_rows_is_cut_into_ranges(spark):
     docs = spark.range(4_000).select(
         F.lit(7).alias("doc_id"), F.concat(F.lit("same words "), F.col("id") % 2).alias("text")
