@@ -24,7 +24,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
-from itertools import chain
+from itertools import chain, repeat
 from typing import BinaryIO
 from urllib.parse import urlparse
 
@@ -50,31 +50,31 @@ BLOCK_IDS = 1 << 20
 _HEADER = struct.Struct("<4sIQQ")
 _MARK = b"TID1"
 _MANIFEST = "part long, path string, documents long, ids long"
-_GROUPS = 1 << 16
+_GROUPS = 1 << 14
 
 _lengths = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 #: Bytes that the four numbers of a control byte take.
 _REACH = _lengths.sum(axis=1)
-#: Place of each of the 16 bytes of four numbers, 16 where the number has no such byte.
+#: 255 for each of the 16 bytes of four numbers that is written, 0 for one that is left out.
+_THERE = np.where(np.arange(4) < _lengths[:, :, None], 255, 0).astype(np.uint8).reshape(256, 16)
+#: Places of those that are written.
 _PLACES = np.where(
     np.arange(4) < _lengths[:, :, None],
     (np.cumsum(_lengths, axis=1) - _lengths)[:, :, None] + np.arange(4),
-    16,
-).reshape(256, 16)
+    0,
+).astype(np.int32).reshape(256, 16)
+#: Four flags, as one number, of the bytes that a number of one to four bytes takes.
+_TAKEN = np.array([0x1, 0x101, 0x10101, 0x1010101], "<u4")
 
 
 def pack(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Control bytes and data bytes of unsigned 32-bit numbers, filled up to whole groups with 0."""
     numbers = np.pad(numbers.astype("<u4"), (0, -len(numbers) % 4))
-    extra = (
-        (numbers > 0xFF).astype(np.uint8)
-        + (numbers > 0xFFFF).astype(np.uint8)
-        + (numbers > 0xFFFFFF).astype(np.uint8)
-    )
+    extra = (numbers > 0xFF).view(np.uint8) + (numbers > 0xFFFF).view(np.uint8)
+    extra += (numbers > 0xFFFFFF).view(np.uint8)
     quads = extra.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    octets = numbers.view(np.uint8).reshape(-1, 4)
-    return control, octets[np.arange(4) <= extra[:, None]]
+    return control, numbers.view(np.uint8)[_TAKEN[extra].view(bool)]
 
 
 def unpack(control: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -85,10 +85,8 @@ def unpack(control: np.ndarray, data: np.ndarray) -> np.ndarray:
         some = control[at : at + _GROUPS]
         base = int(ends[at - 1]) if at else 0
         part = data[base : int(ends[at + len(some) - 1])]
-        starts = ends[at : at + len(some)] - _REACH[some] - base
-        places = _PLACES[some]
-        reach = np.minimum(starts[:, None] + places, len(part) - 1)
-        octets = np.where(places < 16, part[reach], 0).astype(np.uint8)
+        starts = (ends[at : at + len(some)] - _REACH[some] - base).astype(np.int32)
+        octets = part[starts[:, None] + _PLACES[some]] & _THERE[some]
         out[at : at + len(some)] = octets.view("<u4")
     return out.reshape(-1)
 
@@ -172,8 +170,8 @@ class Pieces:
                 found[i] = one.ids
         return found
 
-    def _learn(self, fresh: list[str]) -> None:
-        """Number parts that are not known yet."""
+    def _learn(self, fresh: list[str]) -> np.ndarray:
+        """The numbers given to parts that are not known yet."""
         found = self._encoded(fresh)
         ends = self.used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         while ends[-1] > len(self.ids):
@@ -188,17 +186,17 @@ class Pieces:
         self.used = int(ends[-1])
         self.numbers.update(zip(fresh, range(first, first + len(fresh)), strict=True))
         self.characters += sum(map(len, fresh))
+        return np.arange(first, first + len(fresh))
 
     def _known(self, parts: pa.Array) -> np.ndarray:
         """The number of each part, new ones being learned."""
         met = parts.dictionary_encode()
         distinct = met.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = [self.numbers.get(part, -1) for part in distinct]
-        fresh = [part for part, number in zip(distinct, found, strict=True) if number < 0]
-        if fresh:
-            self._learn(fresh)
-            found = list(map(self.numbers.__getitem__, distinct))
-        return np.array(found, np.int64)[met.indices.to_numpy()]
+        found = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
+        fresh = np.flatnonzero(found < 0)
+        if len(fresh):
+            found[fresh] = self._learn([distinct[i] for i in fresh.tolist()])
+        return found[met.indices.to_numpy()]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts one after another, and where each text's begin; null is empty."""
