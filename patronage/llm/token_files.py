@@ -42,6 +42,8 @@ from patronage.session import scratch_path, stage
 #: Pieces, and characters of them, kept in a worker's memory; beyond, it starts anew.
 KEPT_PIECES = 800_000
 KEPT_CHARACTERS = 32 << 20
+#: Parts whose ids are held as lists at once.
+LEARNED_AT_ONCE = 20_000
 #: Bytes of texts whose pieces are looked up at once, or one text.
 BLOCK_BYTES = 8 << 20
 #: Ids of a block of a file, unless a single document has more.
@@ -170,8 +172,8 @@ class Pieces:
                 found[i] = one.ids
         return found
 
-    def _learn(self, fresh: list[str]) -> np.ndarray:
-        """The numbers given to parts that are not known yet."""
+    def _learn(self, fresh: list[str]) -> None:
+        """Number parts that are not known yet."""
         found = self._encoded(fresh)
         ends = self.used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         while ends[-1] > len(self.ids):
@@ -186,16 +188,16 @@ class Pieces:
         self.used = int(ends[-1])
         self.numbers.update(zip(fresh, range(first, first + len(fresh)), strict=True))
         self.characters += sum(map(len, fresh))
-        return np.arange(first, first + len(fresh))
 
     def _known(self, parts: pa.Array) -> np.ndarray:
         """The number of each part, new ones being learned."""
         met = parts.dictionary_encode()
         distinct = met.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
-        fresh = np.flatnonzero(found < 0)
-        if len(fresh):
-            found[fresh] = self._learn([distinct[i] for i in fresh.tolist()])
+        fresh, first = np.flatnonzero(found < 0), len(self.numbers)
+        for at in range(0, len(fresh), LEARNED_AT_ONCE):
+            self._learn([distinct[i] for i in fresh[at : at + LEARNED_AT_ONCE].tolist()])
+        found[fresh] = np.arange(first, len(self.numbers))
         return found[met.indices.to_numpy()]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

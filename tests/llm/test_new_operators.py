@@ -170,7 +170,8 @@ def test_token_files(spark, edge_docs, edge_rows, no_docs, tmp_path, monkeypatch
     assert token_files.round_trip(no_docs, WORDS, 2).count() == 0
 
 
-def test_parts_of_pieces_are_worked_out_once_whatever_stands_beside_them():
+def test_parts_of_pieces_are_worked_out_once_whatever_stands_beside_them(monkeypatch):
+    monkeypatch.setattr(token_files, "LEARNED_AT_ONCE", 7)
     words = ["dog", "Éclair", "naïve", "THE", "it's", "3.14", "a<b", "日本語"]
     pairs = [f"{a}{end}{b}" for a in words for b in words for end in (".\n", ",\r\n", "!!\t", "\n")]
     pairs += [f"{case(word)}{end}" for word in words for case in (str.upper, str.title) for end in ("", ".", "?!")]
