@@ -15,13 +15,23 @@ from pyspark.sql import functions as F
 
 from ..session import ship, stage
 from .cftree import FeatureTree, feature_tree, refine
+from .distances import (
+    KINDS,
+    LEAF_ROWS,
+    POINTS,
+    Boxes,
+    add_apart,
+    add_near,
+    boxes_of,
+    meetings,
+)
 from .features import SCALED
 from .kmeans import SEED
 from .microclusters import MICRO_CLUSTERS, fit_micro_clusters, summarise, with_micro
 
-# Points of a block in the pairwise method, and partitions that blocks are dealt to at most.
+# Points of a block in the pairwise method, blocks of a task's region at most, and regions that a core should have.
 BLOCK_ROWS = 4_000
-MOST_PARTS = 16
+_REGION_BLOCKS, _REGIONS_A_CORE = 8, 8
 
 # How far apart the bounds of the tree method may be.
 TOLERANCE = 0.005
@@ -38,7 +48,9 @@ _CHUNK_CELLS = 4_000_000  # distances held at once in a task
 _ROWS_AT_ONCE, _GROUP_ROWS, _GROUPS_AT_ONCE, _BOXES_AT_ONCE = 65_536, 32, 64, 512
 _THIRD = 1 / (3 * math.sqrt(3))  # a sixth of the bound of a distance's third derivative
 _TILE_CELLS = 128_000  # distances worked out at once, which fit a core's cache
-_BLOCK = "block long, x array<double>, own array<int>, weight array<double>"
+_BLOCK = "region int, box int, kind int, x array<double>, own array<int>, weight array<double>"
+_EDGES = KINDS  # kind of the row with the edges of a region's boxes
+_ROWS_SENT = 1_000  # blocks handed to Spark at once
 
 
 def silhouette_euclidean(
@@ -69,8 +81,8 @@ def silhouette_euclidean(
     sides; the value is the middle. The table of cells goes to every task: more than
     ``MOST_CELLS`` are refused.
 
-    ``pairwise`` is exact and quadratic in the distinct rows: blocks of them meet each other
-    on the executors, which send sums per row and cluster.
+    ``pairwise`` takes the distances between all distinct rows, exact but for the last digits: far boxes
+    of rows meet by polynomials that stand for the distance, near ones row by row.
     """
     if method == "pairwise":
         return _pairwise(df.select(F.col(label).alias("label"), *columns), list(columns))
@@ -304,53 +316,58 @@ def _near_rows(x: np.ndarray) -> np.ndarray:
 
 
 def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """The exact silhouette from all distances, block against block.
-
-    Equal rows of a cluster are one point with a weight. A block of points is one row of arrays; a
-    cross join brings every pair of blocks together once, without a shuffle, and tasks send
-    a sum per point and cluster for each block they met. What is sent therefore grows with the points
-    and the number of partitions, which is bounded; the distances grow with the points' square.
+    """The silhouette from the distances between all rows.
+
+    Equal rows of a cluster are one point with a weight. Points are dealt to regions along a curve that fills space,
+    and a region's task halves its box down to leaves. Boxes far apart meet by polynomials that stand for the
+    distance to about the last digits of a double, near leaves point by point (see ``distances``). A
+    region is sent the leaves around it and the grids of the boxes farther off, so that what is sent and worked out
+    grows about with the points, and a task holds a region and a part of what it is sent. The
+    driver holds the edges of all boxes.
     """
-    ship(rows.sparkSession)
+    spark = rows.sparkSession
+    ship(spark)
     weight = F.count(F.lit(1)).alias("weight")
     points = stage(rows.groupBy("label", *columns).agg(weight), "points")
-    found = points.groupBy("label").agg(F.sum("weight"), F.count(F.lit(1))).collect()
+    ends = [f(c) for f in (F.min, F.max) for c in columns]
+    found = points.groupBy("label").agg(F.sum("weight"), F.count(F.lit(1)), *ends).collect()
     found.sort(key=lambda row: (row[0] is None, row[0]))
-    labels, n = len(found), sum(row[1] for row in found)
+    d, labels, n = len(columns), len(found), sum(row[1] for row in found)
     if labels < 2:
         raise ValueError("a silhouette needs at least two clusters")
     code = {row[0]: i for i, row in enumerate(found)}
     sizes = np.array([row[1] for row in found], float)
-    block_rows = max(1, min(BLOCK_ROWS, _CHUNK_CELLS // labels))
-    blocks = stage(points.mapInArrow(_packed(columns, code, block_rows), _BLOCK), "blocks")
-    parts = max(1, min(MOST_PARTS, sum(row[2] for row in found) // block_rows))
-    spread = blocks.repartition(parts, "block")
-    right = spread.select(*(F.col(c).alias(f"{c}_2") for c in spread.columns))
-    # Of each two blocks, either may stand left: partitions share the pairs evenly.
-    lower = F.col("block") < F.col("block_2")
-    even = F.pmod(F.xxhash64("block").bitwiseXOR(F.xxhash64("block_2")), F.lit(2)) == 0
-    once = (F.col("block") == F.col("block_2")) | (lower == even)
-    pairs = spread.join(right.hint("shuffle_replicate_nl"), once)
-    sums = pairs.mapInArrow(
-        _sums_of_pairs(len(columns), labels), "block long, totals array<double>"
+    edges = np.array([row[3:] for row in found], float)
+    low, high = edges[:, :d].min(axis=0), edges[:, d:].max(axis=0)
+    n_points = sum(row[2] for row in found)
+    # Large regions are sent less, but every core should have some.
+    even = n_points // (_REGIONS_A_CORE * spark.sparkContext.defaultParallelism)
+    region_rows = min(max(even, BLOCK_ROWS), _REGION_BLOCKS * BLOCK_ROWS)
+    region_rows = max(1, min(region_rows, _CHUNK_CELLS // labels))
+    regions = -(-n_points // region_rows)
+    axes = [f"x{c}" for c in range(d)]
+    placed = points.mapInArrow(
+        _placed(columns, code, low, high),
+        "place long, own int, weight double, " + ", ".join(f"{axis} double" for axis in axes),
     )
-
-    def values(partial: pa.Table, block: pa.Table) -> pa.Table:
-        whole = partial.column("totals").combine_chunks().flatten().to_numpy()
-        own, mine = _arrays(block.slice(0, 1).to_batches()[0], 0, len(columns))[1:]
-        totals = whole.reshape(partial.num_rows, len(own), labels).sum(axis=0)
-        at = np.arange(len(own))
-        a = totals[at, own] / np.maximum(sizes[own] - 1, 1)
-        totals /= sizes
-        totals[at, own] = np.inf
-        value = np.where(sizes[own] == 1, 0.0, _value(a, totals.min(axis=1)))
-        return pa.table({"total": [float((mine * value).sum())]})
-
-    per_block = (
-        sums.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(values, "total double")
+    dealt = placed.repartitionByRange(regions, "place", *axes)
+    most = min(LEAF_ROWS, BLOCK_ROWS)
+    blocks = stage(dealt.mapInArrow(_blocked(d, labels, most), _BLOCK), "blocks")
+    boxes, first, roots = _all_boxes(blocks.where(F.col("kind") == _EDGES).toArrow(), d)
+    wanted = spark.range(0, len(roots), 1, min(len(roots), 1_000)).mapInArrow(
+        _wanted(boxes, first, roots), "target int, region int, box int, kind int"
     )
+    # A hint, as the size of what a function returns is not known and may be large.
+    sent = blocks.join(wanted.hint("merge"), ["region", "box", "kind"])
+    own = (F.col("region") == F.col("target")) & (F.col("kind") == POINTS)
+    sorted_rows = (
+        sent.withColumn("own_points", own)
+        .repartition(len(roots), "target")
+        .sortWithinPartitions("target", F.desc("own_points"), "region", "box")
+    )
+    values = sorted_rows.mapInArrow(_met(boxes, first, roots, sizes), "total double")
     mean = F.sum("total") / F.lit(float(n))
-    return per_block.agg(
+    return values.agg(
         mean.alias("silhouette"),
         mean.alias("silhouette_low"),
         mean.alias("silhouette_high"),
@@ -359,100 +376,280 @@ def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _packed(columns: list[str], code: dict, block_rows: int):
-    """A ``mapInArrow`` function packing points, sorted by cluster, into blocks of ``block_rows``."""
-
-    def block(number: int, x: np.ndarray, own: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(own, kind="stable")
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([(TaskContext.get().partitionId() << 32) + number]),
-                pa.array([x[order].ravel()], pa.list_(pa.float64())),
-                pa.array([own[order]], pa.list_(pa.int32())),
-                pa.array([weight[order]], pa.list_(pa.float64())),
-            ],
-            ["block", "x", "own", "weight"],
-        )
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, own, weight = np.zeros((0, len(columns))), np.zeros(0, np.int32), np.zeros(0)
-        number = 0
-        for batch in batches:
-            more = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
-            x = np.concatenate([x, np.column_stack(more)])
-            codes = [code[v] for v in batch.column("label").to_pylist()]
-            own = np.concatenate([own, np.array(codes, np.int32)])
-            weight = np.concatenate([weight, batch.column("weight").to_numpy().astype(float)])
-            while len(x) >= block_rows:
-                yield block(number, x[:block_rows], own[:block_rows], weight[:block_rows])
-                x, own, weight = x[block_rows:], own[block_rows:], weight[block_rows:]
-                number += 1
-        if len(x):
-            yield block(number, x, own, weight)
-
-    return pack
-
-
-def _arrays(batch: pa.RecordBatch, i: int, d: int, suffix: str = "") -> tuple[np.ndarray, ...]:
-    """Points, their clusters and weights of a row that holds a block."""
-    x, own, weight = (
-        batch.column(f"{c}{suffix}")[i].values.to_numpy() for c in ("x", "own", "weight")
-    )
-    return x.reshape(-1, d), own, weight
-
+def _placed(columns: list[str], code: dict, low: np.ndarray, high: np.ndarray):
+    """A ``mapInArrow`` function giving points their place on a curve that goes through octants of octants."""
+    axes = columns[:60]
+    bits = 60 // len(axes)
+    width = np.maximum((high - low).max(), np.finfo(float).tiny)
 
-def _sums_of_pairs(d: int, labels: int):
-    """A ``mapInArrow`` function over pairs of blocks: for each block, the sums of its points'
-    distances to the points of each cluster in the blocks that it met."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns]
+            found = np.zeros(len(batch), np.int64)
+            for c, _ in enumerate(axes):
+                step = np.nan_to_num((x[c] - low[c]) / width * ((1 << bits) - 1))
+                step = np.clip(step, 0, (1 << bits) - 1).astype(np.int64)
+                for bit in range(bits):
+                    found |= ((step >> bit) & 1) << (bit * len(axes) + c)
+            own = np.array([code[v] for v in batch.column("label").to_pylist()], np.int32)
+            weight = batch.column("weight").to_numpy().astype(float)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found), pa.array(own), pa.array(weight), *(pa.array(v) for v in x)],
+                ["place", "own", "weight", *(f"x{c}" for c in range(len(columns)))],
+            )
+
+    return place
+
+
+def _by_cluster(own: np.ndarray, weight: np.ndarray, labels: int) -> np.ndarray:
+    """Weights of points, a column a cluster."""
+    out = np.zeros((len(own), labels))
+    out[np.arange(len(own)), own] = weight
+    return out
+
+
+def _blocked(d: int, labels: int, most: int):
+    """A ``mapInArrow`` function packing a region: a row with the edges of its boxes, a row a leaf with
+    its points, a row a grid with the weights of its nodes for the clusters its box holds."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [
+            np.column_stack([batch.column(i).to_numpy() for i in range(1, 3 + d)])
+            for batch in batches
+            if len(batch)
+        ]
+        if not parts:
+            return
+        points = np.concatenate(parts)
+        boxes, order, begin = boxes_of(points[:, 2:], most)
+        own, weight, x = points[order, 0].astype(np.int32), points[order, 1], points[order, 2:]
+        tree = np.concatenate([boxes.left, boxes.right, boxes.count])
+        none = np.zeros(0)
+        rows = [(-1, _EDGES, np.concatenate([boxes.low, boxes.high]).ravel(), tree, none)]
+        grids: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+        def seen(box: int, gap: float) -> list[tuple[np.ndarray, np.ndarray]]:
+            """What stands for a box from ``gap`` away."""
+            kind = boxes.kind_within(box, gap)
+            if kind < POINTS:
+                return [grids[box, kind]]
+            if boxes.leaf[box]:
+                some = slice(begin[box], begin[box] + boxes.count[box])
+                return [(x[some], _by_cluster(own[some], weight[some], labels))]
+            return seen(boxes.left[box], gap) + seen(boxes.right[box], gap)
+
+        for box in reversed(range(len(begin))):  # halves come after their box
+            if boxes.leaf[box]:
+                some = slice(begin[box], begin[box] + boxes.count[box])
+                rows.append((box, POINTS, x[some].ravel(), own[some], weight[some]))
+                inside = [(x[some], _by_cluster(own[some], weight[some], labels))]
+            for kind in np.flatnonzero(boxes.gridded[:, box]):
+                gap = boxes.reach[kind, box]
+                if not boxes.leaf[box]:
+                    inside = seen(boxes.left[box], gap) + seen(boxes.right[box], gap)
+                here, w = (np.concatenate(arrays) for arrays in zip(*inside, strict=True))
+                present = np.flatnonzero((w != 0).any(axis=0))
+                found = boxes.onto_grid(box, kind, here, w[:, present])
+                rows.append((box, kind, none, present, found.T.ravel()))
+                w = np.zeros((len(found), labels))
+                w[:, present] = found
+                grids[box, kind] = boxes.grid(box, kind), w
+        region = TaskContext.get().partitionId()
+        for at in range(0, len(rows), _ROWS_SENT):
+            yield _block_rows(region, rows[at : at + _ROWS_SENT])
+
+    return blocks
+
+
+def _block_rows(region: int, rows: list[tuple]) -> pa.RecordBatch:
+    box, kind, *arrays = zip(*rows, strict=True)
+    columns = [pa.array(np.full(len(box), region, np.int32)), pa.array(box, pa.int32())]
+    columns.append(pa.array(kind, pa.int32()))
+    for values, held in zip(arrays, (pa.float64(), pa.int32(), pa.float64()), strict=True):
+        ends = np.cumsum([0, *map(len, values)])
+        flat = pa.array(np.concatenate(values), held)
+        columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+    return pa.RecordBatch.from_arrays(columns, ["region", "box", "kind", "x", "own", "weight"])
+
+
+def _all_boxes(edges: pa.Table, d: int) -> tuple[Boxes, np.ndarray, np.ndarray]:
+    """The boxes of all regions, one region after another; the number of each one's first box, by region, and
+    the regions that have points."""
+    edges = edges.sort_by("region")
+    regions = edges.column("region").to_numpy()
+    sides, trees = [], []
+    for i in range(len(edges)):
+        tree = edges.column("own")[i].values.to_numpy().astype(np.int64).reshape(3, -1)
+        sides.append(edges.column("x")[i].values.to_numpy().reshape(2, -1, d))
+        trees.append(tree)
+    first = np.zeros(int(regions[-1]) + 1, np.int64)
+    counts = np.array([tree.shape[1] for tree in trees])
+    first[regions] = np.cumsum(counts) - counts
+    for region, tree in zip(regions, trees, strict=True):
+        tree[:2] += np.where(tree[:2] >= 0, first[region], 0)
+    low, high = np.concatenate(sides, axis=1)
+    return Boxes(low, high, *np.concatenate(trees, axis=1)), first, regions.astype(np.int64)
+
+
+def _wanted(boxes: Boxes, first: np.ndarray, regions: np.ndarray):
+    """A ``mapInArrow`` function giving the blocks that each region meets, and its own leaves."""
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts = first[regions]
+        for batch in batches:
+            for target in regions[batch.column(0).to_numpy()]:
+                root = int(first[target])
+                met = meetings(boxes, root, starts)
+                last = np.append(starts[1:], len(boxes.leaf))[np.searchsorted(regions, target)]
+                mine = np.arange(root, last)
+                mine = mine[boxes.leaf[mine]] * KINDS + POINTS
+                keys = np.unique(np.concatenate([met[:, 2] * KINDS + met[:, 3], mine]))
+                box = keys // KINDS
+                which = np.searchsorted(starts, box, "right") - 1
+                columns = (
+                    np.full(len(keys), target), regions[which], box - starts[which], keys % KINDS
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v.astype(np.int32)) for v in columns],
+                    ["target", "region", "box", "kind"],
+                )
 
-    def runs(own: np.ndarray) -> list[tuple[int, slice]]:
-        """The clusters of a block and where each one's points stand."""
-        ends = np.searchsorted(own, np.arange(labels + 1))
-        return [(c, slice(a, b)) for c, (a, b) in enumerate(pairwise(ends)) if a < b]
+    return wanted
+
+
+class _Region:
+    """Sums of distances from the points of a region to those of each cluster, as blocks come in."""
+
+    def __init__(self, boxes: Boxes, root: int, last: int, roots: np.ndarray, labels: int) -> None:
+        self.boxes, self.root, self.last, self.labels = boxes, root, last, labels
+        met = meetings(boxes, root, roots)
+        self.met = met[np.lexsort((met[:, 3], met[:, 1], met[:, 0]))]
+        self.keys = self.met[:, 2] * KINDS + self.met[:, 3]
+        self.leaves: dict[int, tuple[np.ndarray, ...]] = {}
+        self.at_points: dict[int, np.ndarray] = {}
+        self.at_grid: dict[tuple[int, int], np.ndarray] = {}
+
+    def meet(self, blocks: list[tuple]) -> None:
+        """Add distances to ``blocks``; those of the region's own leaves come before all others."""
+        boxes, labels = self.boxes, self.labels
+        keys, places, weights = [], [], []
+        for box, kind, x, own, weight in blocks:
+            if kind == POINTS:
+                x = x.reshape(-1, boxes.low.shape[1])
+                if self.root <= box < self.last:
+                    self.leaves[box] = x, own, weight
+                    self.at_points[box] = np.zeros((len(x), labels))
+                w = _by_cluster(own, weight, labels)
+            else:
+                x = boxes.grid(box, kind)
+                w = np.zeros((len(x), labels))
+                w[:, own] = weight.reshape(len(own), -1).T
+            keys.append(box * KINDS + kind)
+            places.append(x)
+            weights.append(w)
+        order = np.argsort(keys)
+        length = np.array([len(x) for x in places])
+        begin = np.cumsum(length) - length
+        place, weight = np.concatenate(places), np.concatenate(weights)
+        known = np.array(keys)[order]
+        at = np.minimum(np.searchsorted(known, self.keys), len(known) - 1)
+        here = np.flatnonzero(known[at] == self.keys)
+        block, met = order[at[here]], self.met[here]
+        if not len(met):
+            return
+        cuts = np.flatnonzero((np.diff(met[:, [0, 1, 3]], axis=0) != 0).any(axis=1)) + 1
+        for a, b in pairwise([0, *cuts, len(met)]):
+            box, mine, _, its = map(int, met[a])
+            some = block[a:b]
+            each = length[some]
+            index = np.repeat(begin[some] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+            if mine == POINTS:
+                x, out = self.leaves[box][0], self.at_points[box]
+            else:
+                x = boxes.grid(box, mine)
+                out = self.at_grid.setdefault((box, mine), np.zeros((len(x), labels)))
+            add = add_near if mine == its == POINTS else add_apart
+            add(out, x, place[index], weight[index], _TILE_CELLS)
+
+    def total(self, sizes: np.ndarray) -> float:
+        """The sum of the silhouettes of the region's rows."""
+        boxes = self.boxes
+        for box in range(self.root, self.last):  # from large to small
+            for kind in range(POINTS):
+                values = self.at_grid.pop((box, kind), None)
+                if values is None:
+                    continue
+                gap = boxes.reach[kind, box]
+                inside = [box] if boxes.leaf[box] else [boxes.left[box], boxes.right[box]]
+                while inside:
+                    part = int(inside.pop())
+                    lower = boxes.kind_within(part, gap) if part != box else POINTS
+                    if lower < POINTS:
+                        nodes = boxes.off_grid(box, kind, values, boxes.grid(part, lower))
+                        if (part, lower) in self.at_grid:
+                            nodes += self.at_grid[part, lower]
+                        self.at_grid[part, lower] = nodes
+                    elif boxes.leaf[part]:
+                        x = self.leaves[part][0]
+                        self.at_points[part] += boxes.off_grid(box, kind, values, x)
+                    else:
+                        inside += [boxes.left[part], boxes.right[part]]
+        found = 0.0
+        for box, (_, own, weight) in self.leaves.items():
+            totals, at = self.at_points[box], np.arange(len(own))
+            a = totals[at, own] / np.maximum(sizes[own] - 1, 1)
+            totals = totals / sizes
+            totals[at, own] = np.inf
+            value = np.where(sizes[own] == 1, 0.0, _value(a, totals.min(axis=1)))
+            found += float((weight * value).sum())
+        return found
+
+
+def _met(boxes: Boxes, first: np.ndarray, regions: np.ndarray, sizes: np.ndarray):
+    """A ``mapInArrow`` function over the blocks sent to regions, sorted by region: the sum of the silhouettes
+    of each region's rows."""
+    most = max(1, _CHUNK_CELLS // len(sizes))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        starts = first[regions]
+        lasts = np.append(starts[1:], len(boxes.leaf))
+        region, target, blocks, held = None, None, [], 0
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            for number, totals in held.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([totals.ravel()], pa.list_(pa.float64()))],
-                    ["block", "totals"],
-                )
-            held.clear()
+        def ended() -> pa.RecordBatch:
+            if blocks:
+                region.meet(blocks)
+            return pa.RecordBatch.from_arrays([pa.array([region.total(sizes)])], ["total"])
 
         for batch in batches:
+            targets, numbers, kinds = (
+                batch.column(c).to_numpy() for c in ("target", "box", "kind")
+            )
+            numbers = numbers + first[batch.column("region").to_numpy()]
+            arrays = [batch.column(c) for c in ("x", "own", "weight")]
+            ends = [v.offsets.to_numpy() for v in arrays]
+            flat = [v.values.to_numpy(zero_copy_only=False) for v in arrays]
             for i in range(len(batch)):
-                one, other = batch.column("block")[i].as_py(), batch.column("block_2")[i].as_py()
-                x, own, weight = _arrays(batch, i, d)
-                y, own_2, weight_2 = _arrays(batch, i, d, "_2")
-                right = runs(own_2)
-                for number, points in ((one, x), (other, y)):
-                    if number not in held:
-                        held[number] = np.zeros((len(points), labels))
-                y = np.ascontiguousarray(y.T)
-                tile = max(1, _TILE_CELLS // y.shape[1])
-                gap, step = np.empty((2, min(tile, len(x)), y.shape[1]))
-                for at in range(0, len(x), tile):
-                    part = x[at : at + tile]
-                    squared, away = gap[: len(part)], step[: len(part)]
-                    for c in range(d):
-                        np.subtract(part[:, c, None], y[c], out=away if c else squared)
-                        if c:
-                            away *= away
-                            squared += away
-                        else:
-                            squared *= squared
-                    np.sqrt(squared, out=squared)
-                    for c, some in right:
-                        held[one][at : at + tile, c] += squared[:, some] @ weight_2[some]
-                    if one != other:
-                        some_weights = weight[at : at + tile]
-                        for c, some in runs(own[at : at + tile]):
-                            held[other][:, c] += some_weights[some] @ squared[some]
-            if sum(totals.size for totals in held.values()) > _CHUNK_CELLS:
-                yield from sent()
-        yield from sent()
+                if targets[i] != target:
+                    if region is not None:
+                        yield ended()
+                    target, blocks, held = targets[i], [], 0
+                    which = int(np.searchsorted(regions, target))
+                    region = _Region(
+                        boxes, int(starts[which]), int(lasts[which]), starts, len(sizes)
+                    )
+                box = int(numbers[i])
+                own_points = kinds[i] == POINTS and region.root <= box < region.last
+                if held >= most and not own_points:
+                    region.meet(blocks)
+                    blocks, held = [], 0
+                # Copies, so that a batch is not kept for a few of its rows.
+                x, own, weight = (
+                    v[e[i] : e[i + 1]].copy() for v, e in zip(flat, ends, strict=True)
+                )
+                blocks.append((box, int(kinds[i]), x, own, weight))
+                held += int(boxes.count[box] if kinds[i] == POINTS else boxes.cells[kinds[i], box])
+        if region is not None:
+            yield ended()
 
     return tasks
 
