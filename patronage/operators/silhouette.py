@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ship, stage
 from .cftree import FeatureTree, feature_tree, refine
@@ -43,13 +44,17 @@ MOST_CELLS = 100_000
 # a box's mean distance may be uncertain by at first.
 _FIRST_SHARE, _FIRST_OPEN = 0.02, 2.0
 
+_PARTS_A_CORE = 4  # of the points that meet the trees
 _CHUNK_CELLS = 4_000_000  # distances held at once in a task
-# Rows that a task sorts into groups of near ones, those of a group, and boxes it meets at once.
-_ROWS_AT_ONCE, _GROUP_ROWS, _GROUPS_AT_ONCE, _BOXES_AT_ONCE = 65_536, 32, 64, 512
+# Rows that a task sorts into groups of near ones, those of a group at least and at most, groups of a table
+# about, and groups and boxes that meet at once.
+_ROWS_AT_ONCE, _GROUP_ROWS, _MOST_GROUP_ROWS, _GROUPS = 65_536, 32, 512, 4_000
+_GROUPS_AT_ONCE, _BOXES_AT_ONCE = 64, 512
 _THIRD = 1 / (3 * math.sqrt(3))  # a sixth of the bound of a distance's third derivative
 _TILE_CELLS = 128_000  # distances worked out at once, which fit a core's cache
 _BLOCK = "region int, box int, kind int, x array<double>, own array<int>, weight array<double>"
 _EDGES = KINDS  # kind of the row with the edges of a region's boxes
+_PLACE = "_place"
 _ROWS_SENT = 1_000  # blocks handed to Spark at once
 
 
@@ -123,13 +128,22 @@ def _tree(rows: DataFrame, columns: list[str], tolerance: float) -> DataFrame:
     tree = feature_tree(rows, columns, share, "label", mixed=True)
     if len(tree.labels) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    # Small files make few tasks, and a row costs far more here than its shuffle.
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    spread = rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    # Equal rows have equal bounds. A task takes points of one part of the space, whose groups are small boxes.
+    points = rows.groupBy("label", *columns).agg(F.count(F.lit(1)).alias("weight"))
+    roots = slice(len(tree.labels))
+    placed = _placed(points, columns, tree.low[roots].min(axis=0), tree.high[roots].max(axis=0))
+    parts = _PARTS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    dealt = placed.repartitionByRange(parts, _PLACE, *columns).sortWithinPartitions(_PLACE)
+    points = stage(dealt.drop(_PLACE), "points")
+    n = int(tree.count[roots].sum())
+    # The more points, the nearer are those of a group to each other, and the more meet the boxes together.
+    group_rows = min(max(_GROUP_ROWS, points.count() // _GROUPS), _MOST_GROUP_ROWS)
     while True:
-        bounds = _bounds_from_tree(tree, opening)
-        per_row = spread.mapInArrow(bounds, "low double, high double")
-        low, high, n = per_row.agg(F.avg("low"), F.avg("high"), F.count(F.lit(1))).first()
+        bounds = _bounds_from_tree(tree, opening, group_rows)
+        per_point = points.mapInArrow(bounds, "low double, high double, weight double")
+        low, high = per_point.agg(
+            *(F.sum(F.col(c) * F.col("weight")) / F.lit(float(n)) for c in ("low", "high"))
+        ).first()
         if high - low <= tolerance:
             break
         # What single boxes leave uncertain falls with both; distinct points end it.
@@ -142,7 +156,7 @@ def _tree(rows: DataFrame, columns: list[str], tolerance: float) -> DataFrame:
     )
 
 
-def _bounds_from_tree(tree: FeatureTree, opening: float):
+def _bounds_from_tree(tree: FeatureTree, opening: float, group_rows: int = _GROUP_ROWS):
     """A ``mapInArrow`` function giving each row's silhouette bounds.
 
     Rows are taken in groups of near ones, and a group meets the boxes once. It opens a box while a row's mean
@@ -256,7 +270,7 @@ def _bounds_from_tree(tree: FeatureTree, opening: float):
         # No mean distance to a cluster is below the distance to its mean.
         to_roots[rows, mine] = np.inf
         scale = np.sqrt(to_roots.min(axis=1))
-        groups = _near_rows(x)
+        groups = _near_rows(x, group_rows)
         points = x[groups]
         centre = (points.max(axis=1) + points.min(axis=1)) / 2
         reach = np.sqrt(((points - centre[:, None]) ** 2).sum(axis=2).max(axis=1))
@@ -280,30 +294,28 @@ def _bounds_from_tree(tree: FeatureTree, opening: float):
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = {name: i for i, name in enumerate(tree.labels)}
 
-        def found(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            low, high = bounds_of(*(np.concatenate(arrays) for arrays in zip(*parts, strict=True)))
-            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["low", "high"])
+        def found(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            x, mine, weight = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+            columns = [pa.array(v) for v in (*bounds_of(x, mine), weight)]
+            return pa.RecordBatch.from_arrays(columns, ["low", "high", "weight"])
 
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for at in range(0, len(batch), _ROWS_AT_ONCE):
-                part = batch.slice(at, _ROWS_AT_ONCE)
-                x = [part.column(c).to_numpy(zero_copy_only=False) for c in tree.columns]
-                mine = np.array([code[v] for v in part.column("label").to_pylist()], np.int64)
-                parts.append((np.column_stack(x).astype(float), mine))
-                if sum(len(mine) for _, mine in parts) >= _ROWS_AT_ONCE:
+                parts.append(_points_of(batch.slice(at, _ROWS_AT_ONCE), tree.columns, code))
+                if sum(len(mine) for _, mine, _ in parts) >= _ROWS_AT_ONCE:
                     yield found(parts)
                     parts = []
-        if any(len(mine) for _, mine in parts):
+        if any(len(mine) for _, mine, _ in parts):
             yield found(parts)
 
     return bounds
 
 
-def _near_rows(x: np.ndarray) -> np.ndarray:
+def _near_rows(x: np.ndarray, group_rows: int) -> np.ndarray:
     """Groups of near rows as rows of indices, by halving at the median of the widest side; the last
     row fills up what the halves lack."""
-    halvings = max(0, math.ceil(math.log2(len(x) / _GROUP_ROWS)))
+    halvings = max(0, math.ceil(math.log2(len(x) / group_rows)))
     each = -(-len(x) // (1 << halvings))
     order = np.minimum(np.arange(each << halvings), len(x) - 1)[None]
     for _ in range(halvings):
@@ -345,14 +357,9 @@ def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
     region_rows = min(max(even, BLOCK_ROWS), _REGION_BLOCKS * BLOCK_ROWS)
     region_rows = max(1, min(region_rows, _CHUNK_CELLS // labels))
     regions = -(-n_points // region_rows)
-    axes = [f"x{c}" for c in range(d)]
-    placed = points.mapInArrow(
-        _placed(columns, code, low, high),
-        "place long, own int, weight double, " + ", ".join(f"{axis} double" for axis in axes),
-    )
-    dealt = placed.repartitionByRange(regions, "place", *axes)
+    dealt = _placed(points, columns, low, high).repartitionByRange(regions, _PLACE, *columns)
     most = min(LEAF_ROWS, BLOCK_ROWS)
-    blocks = stage(dealt.mapInArrow(_blocked(d, labels, most), _BLOCK), "blocks")
+    blocks = stage(dealt.mapInArrow(_blocked(columns, code, most), _BLOCK), "blocks")
     boxes, first, roots = _all_boxes(blocks.where(F.col("kind") == _EDGES).toArrow(), d)
     wanted = spark.range(0, len(roots), 1, min(len(roots), 1_000)).mapInArrow(
         _wanted(boxes, first, roots), "target int, region int, box int, kind int"
@@ -376,29 +383,38 @@ def _pairwise(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _placed(columns: list[str], code: dict, low: np.ndarray, high: np.ndarray):
-    """A ``mapInArrow`` function giving points their place on a curve that goes through octants of octants."""
+def _placed(points: DataFrame, columns: list[str], low: np.ndarray, high: np.ndarray) -> DataFrame:
+    """Add points' place (``_PLACE``) on a curve that goes through octants of octants."""
     axes = columns[:60]
     bits = 60 // len(axes)
     width = np.maximum((high - low).max(), np.finfo(float).tiny)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns]
             found = np.zeros(len(batch), np.int64)
-            for c, _ in enumerate(axes):
-                step = np.nan_to_num((x[c] - low[c]) / width * ((1 << bits) - 1))
+            for c, name in enumerate(axes):
+                x = batch.column(name).to_numpy(zero_copy_only=False).astype(float)
+                step = np.nan_to_num((x - low[c]) / width * ((1 << bits) - 1))
                 step = np.clip(step, 0, (1 << bits) - 1).astype(np.int64)
                 for bit in range(bits):
                     found |= ((step >> bit) & 1) << (bit * len(axes) + c)
-            own = np.array([code[v] for v in batch.column("label").to_pylist()], np.int32)
-            weight = batch.column("weight").to_numpy().astype(float)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(own), pa.array(weight), *(pa.array(v) for v in x)],
-                ["place", "own", "weight", *(f"x{c}" for c in range(len(columns)))],
-            )
+            yield batch.append_column(_PLACE, pa.array(found))
+
+    kind = T.StructType([*points.schema.fields, T.StructField(_PLACE, T.LongType())])
+    return points.mapInArrow(place, kind)
+
 
-    return place
+def _points_of(batch: pa.RecordBatch, columns: list[str], code: dict) -> tuple[np.ndarray, ...]:
+    """Places, clusters and weights of points, each one row where there is no column of weights."""
+    x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+    names = batch.column("label").dictionary_encode()
+    known = np.array([code[name] for name in names.dictionary.to_pylist()], np.int32)
+    # A null among the labels has no entry in the dictionary.
+    own = names.indices.fill_null(-1).to_numpy()
+    own = np.where(own >= 0, known[own], code.get(None, -1)) if len(known) else np.full(len(own), code[None])
+    weighted = "weight" in batch.schema.names
+    weight = batch.column("weight").to_numpy() if weighted else np.ones(len(batch))
+    return x.astype(float), own.astype(np.int32), weight.astype(float)
 
 
 def _by_cluster(own: np.ndarray, weight: np.ndarray, labels: int) -> np.ndarray:
@@ -408,21 +424,17 @@ def _by_cluster(own: np.ndarray, weight: np.ndarray, labels: int) -> np.ndarray:
     return out
 
 
-def _blocked(d: int, labels: int, most: int):
+def _blocked(columns: list[str], code: dict, most: int):
     """A ``mapInArrow`` function packing a region: a row with the edges of its boxes, a row a leaf with
     its points, a row a grid with the weights of its nodes for the clusters its box holds."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [
-            np.column_stack([batch.column(i).to_numpy() for i in range(1, 3 + d)])
-            for batch in batches
-            if len(batch)
-        ]
+        parts = [_points_of(batch, columns, code) for batch in batches if len(batch)]
         if not parts:
             return
-        points = np.concatenate(parts)
-        boxes, order, begin = boxes_of(points[:, 2:], most)
-        own, weight, x = points[order, 0].astype(np.int32), points[order, 1], points[order, 2:]
+        x, own, weight = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+        boxes, order, begin = boxes_of(x, most)
+        x, own, weight, labels = x[order], own[order], weight[order], len(code)
         tree = np.concatenate([boxes.left, boxes.right, boxes.count])
         none = np.zeros(0)
         rows = [(-1, _EDGES, np.concatenate([boxes.low, boxes.high]).ravel(), tree, none)]

@@ -84,3 +84,48 @@ def test_silhouette_of_many_regions(spark, kind, monkeypatch):
     row = silhouette.silhouette_euclidean(frame, "label", method="pairwise").head()
     assert row["silhouette"] == pytest.approx(brute(x, own, weight), abs=1e-12)
     assert (row["n_rows"], row["n_clusters"]) == (8_997 + 12_000, 3)
+
+
+def test_silhouette_of_a_cluster_without_a_name(spark):
+    x = _cloud("planes", 600)
+    own = (x[:, 0] > 1).astype(int)
+    rows = [(None if c else "a", *map(float, p)) for c, p in zip(own, x)]
+    frame = spark.createDataFrame(rows, "label string, " + ", ".join(f"{c} double" for c in features.SCALED))
+    row = silhouette.silhouette_euclidean(frame, "label", method="pairwise").head()
+    assert row["silhouette"] == pytest.approx(brute(x, own, np.ones(len(x))), abs=1e-12)
+
+
+def test_equal_rows_meet_the_trees_as_one_point_and_groups_grow_with_the_points(spark, monkeypatch):
+    """Points come by their place, so that groups of more points are not larger boxes."""
+    x = _cloud("planes", 4_000)
+    own = np.digitize(x[:, 0], [0.4, 1.2])
+    weight = np.where(np.arange(len(x)) % 3 == 0, 4, 1)
+    rows = [(int(c), *map(float, p), int(w)) for c, p, w in zip(own, x, weight)]
+    frame = spark.createDataFrame(rows, ["label", *features.SCALED, "n"])
+    frame = frame.withColumn("copy", F.explode(F.sequence(F.lit(1), "n"))).drop("n", "copy")
+    staged, sizes, bounds = {}, [], silhouette._bounds_from_tree
+
+    def noted(df, name="stage"):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    def grouped(tree, opening, group_rows):
+        sizes.append(group_rows)
+        return bounds(tree, opening, group_rows)
+
+    monkeypatch.setattr(silhouette, "stage", noted)
+    monkeypatch.setattr(silhouette, "_bounds_from_tree", grouped)
+    monkeypatch.setattr(silhouette, "_GROUPS", 50)
+    row = silhouette.silhouette_euclidean(frame, "label", tolerance=0.01).head()
+    expected = brute(x, own, weight)
+    assert row["silhouette_low"] - 1e-9 <= expected <= row["silhouette_high"] + 1e-9
+    assert row["silhouette_high"] - row["silhouette_low"] <= 0.01
+    assert (row["n_rows"], row["n_clusters"]) == (weight.sum(), 3)
+    assert staged["points"].count() == len(x)
+    assert set(sizes) == {80}
+    # A file holds one part of the space: far less than all of it.
+    file = F.input_file_name().alias("file")
+    width = [F.max(c) - F.min(c) for c in features.SCALED[1:]]
+    parts = staged["points"].select(file, *features.SCALED).groupBy("file").agg(*width).collect()
+    area = np.prod([p[1:] for p in parts], axis=1)
+    assert np.median(area) < 0.4 * np.prod(np.ptp(x[:, 1:], axis=0))
