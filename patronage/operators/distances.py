@@ -61,6 +61,10 @@ class Boxes:
         self.cells = self.nodes.prod(axis=2)
         self.gridded = self.cells < self.count
 
+    def __reduce__(self) -> tuple:
+        # What follows from the edges is worked out again where it is needed, and not sent.
+        return Boxes, (self.low, self.high, self.left, self.right, self.count)
+
     def grid(self, box: int, kind: int) -> np.ndarray:
         """The nodes of a box's grid."""
         sides = [
