@@ -30,6 +30,9 @@ _LARGER = 16
 # Multiplications in a product of matrices that the library leaves to one thread.
 _ALONE = 262_144
 
+# More nodes than a box has points.
+_NO_GRID = 2**40
+
 #: How a box meets another: by the grid of that number, or by its points.
 POINTS = len(APART)
 KINDS = POINTS + 1
@@ -55,10 +58,13 @@ class Boxes:
         self.reach = np.array(APART)[:, None] * self.widest
         ratio = np.full((len(APART), *self.half.shape), np.inf)
         some = np.broadcast_to(self.half > 0, ratio.shape)
-        np.divide(self.reach[:, :, None], self.half, out=ratio, where=some)
-        steps = np.ceil(-np.log(REST) / np.arcsinh(ratio))
-        self.nodes = np.where(some, np.maximum(steps, 1), 1).astype(np.int64)
-        self.cells = self.nodes.prod(axis=2)
+        with np.errstate(invalid="ignore"):
+            np.divide(self.reach[:, :, None], self.half, out=ratio, where=some)
+        # No grid has so many nodes as one over a side without an end, or of very many columns.
+        steps = np.nan_to_num(np.ceil(-np.log(REST) / np.arcsinh(ratio)), nan=_NO_GRID)
+        self.nodes = np.where(some, np.clip(steps, 1, _NO_GRID), 1).astype(np.int64)
+        cells = self.nodes.prod(axis=2, dtype=float)
+        self.cells = np.minimum(cells, _NO_GRID).astype(np.int64)
         self.gridded = self.cells < self.count
 
     def __reduce__(self) -> tuple:

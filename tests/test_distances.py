@@ -54,6 +54,17 @@ def test_what_is_worked_out_grows_about_with_the_points():
     assert found[1] < 6 * found[0]
 
 
+@pytest.mark.parametrize("columns", [12, 24, 60])
+def test_boxes_of_many_columns_have_no_grids(columns):
+    """Their nodes would be more than a number of 64 bits holds."""
+    x = np.random.default_rng(2).random((400, columns))
+    boxes = distances.boxes_of(x, 50)[0]
+    assert (boxes.cells > boxes.count).all() and not boxes.gridded.any()
+    x[0, 0] = np.inf
+    boxes = distances.boxes_of(x[:, :1], 50)[0]
+    assert not boxes.gridded.any()
+
+
 def brute(x, own, weight):
     """The mean silhouette of rows, some points being several."""
     labels = own.max() + 1
